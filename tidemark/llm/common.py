@@ -65,3 +65,8 @@ def training_rows(
     texts = docs.select(id_col, F.coalesce("text", F.lit("")).alias("text"))
     # max_rows bounds the broadcast side
     return texts.join(F.broadcast(chosen), id_col).dropDuplicates([id_col])
+
+
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Arrow batches of few rows, so that a batch of very long texts stays small in a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
