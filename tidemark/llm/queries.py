@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, toxicity
+from tidemark.llm import mixing, quality, toxicity
 from tidemark.llm.common import table
 
 
@@ -25,6 +25,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
