@@ -1 +1,10 @@
-"""Entity-lifecycle analytics on Spark DataFrames."""
+"""Entity-lifecycle analytics on Spark DataFrames.
+
+Functions that run in Python workers are sent whole, so executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
