@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_labels, mixing, quality, toxicity
+from tidemark.llm import line_labels, mixing, near_dedup, quality, toxicity
 from tidemark.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_labels.annotate(docs.select("doc_id", "text"), model).select("doc_id", *(f"rules.{c}" for c in base))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))

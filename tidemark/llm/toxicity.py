@@ -19,7 +19,6 @@ columns pass through.
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 from collections.abc import Iterator
@@ -38,7 +37,6 @@ PREFIXES = (3, 4, 5, 6, 7, 8, 9)
 ALPHA, DRIFT, LEAST, SURE = 4.0, 0.5, 3, 15.0
 
 
-@functools.lru_cache(maxsize=200_000)
 def chain(token: str) -> list[str]:
     """The nodes of a token from the coarsest prefix to the word; empty for a token without letters."""
     core = _edge.sub("", token.lower())
@@ -117,9 +115,12 @@ def node_counts(rows: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[tuple[str, int], list[int]] = {}
+        known: dict[str, list[str]] = {}
         for pdf in batches:
             for text, label, fold in zip(pdf["text"], pdf["label"], pdf["fold"]):
-                for node in {n for t in set(_word.findall(text)) for n in chain(t)}:
+                tokens = set(_word.findall(text))
+                known.update((t, chain(t)) for t in tokens.difference(known))
+                for node in {n for t in tokens for n in known[t]}:
                     c = found.setdefault((node, fold), [0, 0])
                     c[0] += 1
                     c[1] += label
