@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but these blanks.
@@ -70,3 +70,24 @@ def training_rows(
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Arrow batches of few rows, so that a batch of very long texts stays small in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Number the rows of each key from 1 along ``order``, without bringing a key into one task.
+
+    A range sort cuts the rows into blocks and is written; each block counts its rows by key, a
+    prefix sum over the counts gives every block its start. Returns (df with ``rank``, the sorted
+    rows). Ties beyond ``order`` keep the place they were written in."""
+    by = [*keys, *order]
+    ordered = materialize(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("block", F.spark_partition_id()))
+    counts = ordered.groupBy(*keys, "block").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        *(F.col(k).alias(f"b_{k}") for k in keys), F.col("block").alias("b_block"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("b_start")
+    )
+    within = Window.partitionBy("block", *keys).orderBy(*order)
+    same = F.col("block") == F.col("b_block")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"b_{k}"))
+    placed = ordered.withColumn("row", F.row_number().over(within)).join(starts, same)
+    return placed.withColumn("rank", F.col("b_start") + F.col("row")).drop("row", "block", "b_block", "b_start", *(f"b_{k}" for k in keys)), ordered

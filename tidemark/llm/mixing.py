@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, materialize
+from tidemark.llm.common import WORD, ranked
 
 
 def word_count(text: Column) -> Column:
@@ -95,30 +95,16 @@ def plan(
     seed: str = "mix",
 ) -> DataFrame:
     """One row per document: id, source, size, source_size, target, copies, taken."""
-    keys = ["mix_source", "size", "h", "id"]
     narrow = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("mix_source"),
         word_count(F.col(text_col)).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("h"),
     )
-    ordered = materialize(
-        narrow.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("block", F.spark_partition_id())
-    )
-    blocks = ordered.groupBy("mix_source", "block").agg(F.count("*").alias("n"))
-    start = F.sum("n").over(
-        Window.partitionBy("mix_source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = blocks.select(
-        F.col("mix_source").alias("b_source"), F.col("block").alias("b_block"), F.coalesce(start, F.lit(0)).alias("start")
-    )
-    targets = source_targets(ordered, weights=weights, max_repeat=max_repeat, seed=seed)
-    starts = starts.join(targets, F.col("b_source").eqNullSafe(F.col("mix_source"))).drop("mix_source")
-    within = Window.partitionBy("block", "mix_source").orderBy("size", "h", "id")
-    placed = ordered.withColumn("rank", F.row_number().over(within)).join(
-        starts, F.col("mix_source").eqNullSafe(F.col("b_source")) & (F.col("block") == F.col("b_block"))
-    )
-    step = F.col("start") + F.col("rank")
+    numbered, ordered = ranked(narrow, ["mix_source"], ["size", "h", "id"])
+    targets = source_targets(ordered, weights=weights, max_repeat=max_repeat, seed=seed).withColumnRenamed("mix_source", "t_source")
+    placed = numbered.join(targets, F.col("mix_source").eqNullSafe(F.col("t_source")))
+    step = F.col("rank")
     crossed = F.floor(step * F.col("rate") + F.col("offset")) - F.floor((step - 1) * F.col("rate") + F.col("offset"))
     return placed.select(
         F.col("id").alias(id_col),

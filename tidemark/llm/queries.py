@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_labels, mixing, near_dedup, quality, toxicity
+from tidemark.llm import line_labels, mixing, near_dedup, packing, quality, toxicity
 from tidemark.llm.common import table
 
 
@@ -47,6 +48,14 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        table(spark, sf_dir, "documents"),
+        vocabulary=public_tokenizers.path("byte_bpe_50k.json"),
+        ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
+
+
 def queries() -> dict:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
