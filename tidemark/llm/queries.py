@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, line_labels, mixing, near_dedup, packing, quality, toxicity
+from tidemark.llm import language, line_labels, media, mixing, near_dedup, packing, quality, toxicity
 from tidemark.llm.common import table
 
 
@@ -66,6 +66,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
