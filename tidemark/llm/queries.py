@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, line_labels, media, mixing, near_dedup, packing, quality, toxicity
+from tidemark.llm import language, line_labels, media, mixing, near_dedup, packing, quality, toxicity, url_filters
 from tidemark.llm.common import table
 
 
@@ -70,6 +70,12 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media(table(spark, sf_dir, "documents"))
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = url_filters.evaluate(url_filters.dated_captures(pages), url_filters.dated_lists(pages))
+    return found.withColumn("fetched_on", F.col("fetched_on").cast("string"))
+
+
 def queries() -> dict:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
@@ -100,4 +106,27 @@ r AS (SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY size, h, doc_i
 SELECT r.doc_id, r.size, s6.source_size, CAST(s6.target AS DOUBLE) AS target,
        CAST((floor(k * rate + u) - floor((k - 1) * rate + u)) * r.size AS BIGINT) AS taken
 FROM r JOIN s6 ON r.source IS NOT DISTINCT FROM s6.source""",
+    "op5_url_filters": r"""
+WITH p AS (
+  SELECT page_id, url, nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '^www\.', ''), '') AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/*([^?#]*)', 1) AS path,
+         DATE '2024-01-01' + CAST(CAST('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 6) AS INT) % 366 AS INT) AS fetched_on FROM pages),
+s AS (SELECT DISTINCT nullif(regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1), '') AS site FROM p),
+l AS (
+  SELECT 'ads' AS list, site AS entry FROM s WHERE regexp_matches(site, 'ads|track')
+  UNION ALL SELECT 'spam', site FROM s WHERE contains(site, 'spam')
+  UNION ALL SELECT 'adult', site FROM s WHERE contains(site, 'adult')
+  UNION ALL SELECT 'reported', site FROM s WHERE CAST('0x' || substr(md5('r' || site), 1, 6) AS INT) % 6 = 0
+  UNION ALL SELECT 'parts', site || '/fr' FROM s WHERE CAST('0x' || substr(md5('p' || site), 1, 6) AS INT) % 5 = 0),
+d AS (SELECT *, DATE '2024-01-01' + CAST(CAST('0x' || substr(md5(list || entry), 1, 6) AS INT) % 200 AS INT) AS day0,
+             CAST('0x' || substr(md5('b' || entry), 1, 6) AS INT) % 3 = 0 AS back FROM l),
+i AS (SELECT list, entry, day0 AS a, day0 + 70 AS b FROM d UNION ALL SELECT list, entry, day0 + 110, NULL FROM d WHERE back),
+h AS (
+  SELECT p.page_id, count(*) AS n, string_agg(DISTINCT i.list, ',' ORDER BY i.list) AS lists FROM p JOIN i
+  ON (CASE WHEN contains(i.entry, '/') THEN p.host || '/' || trim(regexp_replace(p.path, '/+', '/', 'g'), '/') = i.entry
+                OR starts_with(p.host || '/' || p.path, i.entry || '/')
+      ELSE p.host = i.entry OR ends_with(p.host, '.' || i.entry) END)
+     AND p.fetched_on >= i.a AND (i.b IS NULL OR p.fetched_on < i.b) GROUP BY p.page_id)
+SELECT p.page_id, p.url, CAST(p.fetched_on AS VARCHAR) AS fetched_on, p.host, h.n IS NOT NULL AS blocked, coalesce(h.n, 0)::BIGINT AS n_entries, coalesce(h.lists, '') AS lists
+FROM p LEFT JOIN h USING (page_id)""",
 }
