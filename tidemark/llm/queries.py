@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, line_labels, media, mixing, near_dedup, packing, quality, toxicity, url_filters
+from tidemark.llm import language, licenses, line_labels, media, mixing, near_dedup, packing, quality, toxicity, url_filters
 from tidemark.llm.common import table
 
 
@@ -76,6 +76,11 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fetched_on", F.col("fetched_on").cast("string"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(docs))
+
+
 def queries() -> dict:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
