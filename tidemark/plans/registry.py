@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from tidemark.plans import events_plans
+
 FLAGSHIP = "lifecycle"
+MODULES = (events_plans,)
 
 
 def queries() -> dict:
-    return {}
+    return {k: f for m in MODULES for k, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for m in MODULES for k, s in m.SQL.items() if s}
