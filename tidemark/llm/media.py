@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, small_batches
@@ -182,8 +182,12 @@ MEASURED = (
 )
 
 
-@F.pandas_udf(MEASURED)
-def measured(frame: pd.DataFrame) -> pd.DataFrame:
+def measured(row: Column) -> Column:
+    """The measures of a stored document: a struct of ``listed``, ``data`` and ``fetched``."""
+    return F.pandas_udf(_measure, MEASURED)(row)
+
+
+def _measure(frame: pd.DataFrame) -> pd.DataFrame:
     """Rebuild the file of each row from its list (``listed``), its own chunks (``data``) and the fetched ones
     (``fetched``: seq, data), check every chunk, read the samples back, and measure them."""
     unpress = zstandard.ZstdDecompressor()
