@@ -42,7 +42,7 @@ def text_hash(c: Column) -> Column:
 
 def split_delimited(c: Column) -> Column:
     """Parts between commas, semicolons and bars, trimmed, without blanks; null if there are none."""
-    parts = F.filter(F.transform(F.split(c, r"[,;|]+"), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(c, r"[,;|]+"), lambda x: F.trim(x)), lambda x: x != "")
     return F.when(F.size(parts) > 0, parts)
 
 
