@@ -16,13 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where none is set (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    app = spark.sparkContext.applicationId
+    if not named and app not in _own:
+        _own[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+    return named or _own[app]
 
 
 def materialize(df: DataFrame, partition_by: str | None = None, codec: str = "zstd") -> DataFrame:

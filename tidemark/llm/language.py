@@ -154,6 +154,7 @@ def fit(
     """Learn from at most ``max_rows`` documents outside the held-out fold, and from at most LEARNED of
     their windows; a task sends back at most 40 windows of a document, spread over all of it."""
     small_batches(docs.sparkSession)
+    docs = docs.select(id_col, text_col, lang_col)
     chosen = (
         docs.where(F.col(lang_col).isNotNull() & (crc_mod(id_col, modulus) != held_out))
         .select(id_col)

@@ -132,12 +132,11 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
         )
         .withColumn("k_twin", F.row_number().over(twin.orderBy(F.desc("k_copies"))))
     )
-    names = [f"`{c}`" for c in docs.columns]
     left = docs.select(
-        "*", F.col(id_col).alias("d_id"), F.col(source_col).alias("d_source"), word_count(F.col(text_col)).alias("d_size")
+        F.struct("*").alias("row"), F.col(text_col).alias("d_text"), F.col(id_col).alias("d_id"), F.col(source_col).alias("d_source"), word_count(F.col(text_col)).alias("d_size")
     ).withColumn(
-        "d_twin", F.row_number().over(Window.partitionBy("d_id", "d_source", "d_size").orderBy(F.md5(F.col(text_col))))
+        "d_twin", F.row_number().over(Window.partitionBy("d_id", "d_source", "d_size").orderBy(F.md5("d_text")))
     )
     hit = [F.col(f"d_{c}").eqNullSafe(F.col(f"k_{c}")) for c in ("id", "source", "size", "twin")]
     joined = left.join(taken.where("k_copies > 0"), hit[0] & hit[1] & hit[2] & hit[3])
-    return joined.withColumn("k_copy", F.explode(F.sequence(F.lit(1), F.col("k_copies")))).select(*names)
+    return joined.withColumn("k_copy", F.explode(F.sequence(F.lit(1), F.col("k_copies")))).select("row.*")

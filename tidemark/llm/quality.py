@@ -96,6 +96,18 @@ def _tree(grad: np.ndarray, hess: np.ndarray, leaves: int, ridge: float) -> np.n
     return out
 
 
+def _pair_tree(grad: np.ndarray, hess: np.ndarray, ridge: float) -> np.ndarray:
+    """A tree of depth two over a grid: the row cut whose two sides gain most by a column cut each."""
+    best, out = -1.0, np.zeros_like(grad)
+    for cut in range(1, len(grad)):
+        step = np.zeros_like(grad)
+        for part in (slice(None, cut), slice(cut, None)):
+            step[part] = _tree(grad[part].sum(0), hess[part].sum(0), 2, ridge)
+        if (gain := float((step * grad).sum())) > best:
+            best, out = gain, step
+    return out
+
+
 class Additive:
     """Bin edges, one table per feature, and tables per pair; ``__call__`` gives probabilities."""
 
@@ -152,16 +164,12 @@ def train(x: np.ndarray, y: np.ndarray, *, rounds: int = 120, rate: float = 0.15
     ranked = sorted(((gain(i, j), i, j) for i in range(b.shape[1]) for j in range(i)), reverse=True)[:pairs]
     for _, i, j in ranked:
         model.pairs[i, j] = np.zeros((8, 8))
-    for _ in range(rounds // 4):
+    for _ in range(rounds // 2):
         for (i, j), t in model.pairs.items():
             g, h = slopes()
             k = cell(i, j)
             gs, hs = np.bincount(k, g, 64).reshape(8, 8), np.bincount(k, h, 64).reshape(8, 8)
-            rows = _tree(gs.sum(1), hs.sum(1), 2, ridge)  # a tree of depth two: rows first, then columns on either side
-            step = np.zeros((8, 8))
-            for r in np.unique(rows):
-                on = rows == r
-                step[on] = _tree(gs[on].sum(0), hs[on].sum(0), 2, ridge)
+            step = _pair_tree(gs, hs, ridge)
             t += rate * step
             raw += rate * step[c[:, i], c[:, j]]
     return model
@@ -212,8 +220,8 @@ def score(docs: DataFrame, model: Additive, *, text_col: str = "text", out: str
 
 def good_only(docs: DataFrame, model: Additive, *, threshold: float = 0.5) -> DataFrame:
     """The documents that score at least the threshold, with their columns."""
-    names = [f"`{c}`" for c in docs.columns]
-    return score(docs, model, out="_quality").where(F.col("_quality") >= threshold).select(*names)
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return score(rows, model).where(F.col("quality_score") >= threshold).select("row.*")
 
 
 def held_out(id_col: str, modulus: int = 3, fold: int = 1):

@@ -235,8 +235,8 @@ def score(docs: DataFrame, model: dict, *, text_col: str = "text", out: str = "t
 
 def clean_only(docs: DataFrame, model: dict, *, threshold: float = 0.3) -> DataFrame:
     """The documents that score below the threshold, with their columns."""
-    names = [f"`{c}`" for c in docs.columns]
-    return score(docs, model, out="_toxicity").where(F.col("_toxicity.score") < threshold).select(*names)
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return score(rows, model).where(F.col("toxicity.score") < threshold).select("row.*")
 
 
 def held_out(id_col: str, modulus: int = 4, fold: int = 2):
