@@ -1,0 +1,224 @@
+"""Listings and hints out of HTML pages; one parse a page, run in tasks over batches of pages."""
+
+from __future__ import annotations
+
+import json
+import re
+from collections.abc import Iterator
+from html.parser import HTMLParser
+from urllib.parse import urljoin, urlsplit
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions import urls
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+FRAMES = {"header", "footer", "nav"}
+HINT = re.compile(r"career|jobs?\b|join[- ]us|work[- ]with|hiring|opening", re.I)
+_link = [re.compile(p) for p in urls.LISTING_LINKS]
+_never = [re.compile(p) for p in urls.NO_LISTING]
+_index = re.compile(rf"/({urls.LISTING_WORDS})")
+
+
+class Page(HTMLParser):
+    """Tags with their parents, attributes and text."""
+
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=True)
+        self.tags: list[tuple[str, dict, int]] = []  # name, attributes, parent
+        self.text: list[list[str]] = []
+        self.open = [-1]
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("p", "li") and self.open[-1] >= 0 and self.tags[self.open[-1]][0] == tag:
+            self.open.pop()
+        self.tags.append((tag, {k: v or "" for k, v in attrs}, self.open[-1]))
+        self.text.append([])
+        if tag not in VOID:
+            self.open.append(len(self.tags) - 1)
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.tags[self.open[i]][0] == tag:
+                del self.open[i:]
+                break
+
+    def handle_data(self, data):
+        for i in self.open[1:]:
+            self.text[i].append(data)
+
+    def above(self, i: int) -> Iterator[int]:
+        while i >= 0:
+            yield i
+            i = self.tags[i][2]
+
+    def words(self, i: int) -> str:
+        return " ".join("".join(self.text[i]).split())
+
+
+def is_listing(href: str) -> bool:
+    u = href.strip().lower()
+    if not u or any(p.search(u) for p in _never):
+        return False
+    return any(p.search(u) for p in _link) or bool(re.search(r"careers?\.", u) and re.search(r"/p/|/jobs?/|/job/", u))
+
+
+def _resolved(href: str, base: str) -> str | None:
+    try:
+        out = urljoin(base, href.strip())
+        return out if urlsplit(out).scheme in ("http", "https") else None
+    except ValueError:
+        return None
+
+
+def _wanted(url: str) -> bool:
+    path = urlsplit(url).path.lower()
+    parts = [re.sub(r"\.[a-z0-9]+$", "", s) for s in path.split("/") if s]
+    return not _index.fullmatch(path.rstrip("/")) and not any(s in urls.DENIED_SEGMENTS for s in parts)
+
+
+def title_of(url: str) -> str | None:
+    last = next((s for s in reversed(urlsplit(url).path.split("/")) if s), "")
+    words = re.sub(r"\.[a-z]+$", "", re.sub(r"[-_]+", " ", last), flags=re.I).strip()
+    return re.sub(r"\b\w", lambda m: m.group().upper(), words) or None
+
+
+def from_anchors(page: Page, base: str, keep=is_listing) -> list[dict]:
+    """Links to listings outside of headers, footers and navigation; if there is none and few such links at all, from
+    anywhere on the page."""
+    found: dict[bool, dict[str, str | None]] = {True: {}, False: {}}
+    links = 0
+    for i, (tag, attrs, _) in enumerate(page.tags):
+        href = attrs.get("href", "").strip() if tag == "a" else ""
+        if not href or not keep(re.sub(r"#.*", "", href)):
+            continue
+        links += 1
+        url = _resolved(href, base)
+        if url and _wanted(url):
+            framed = any(
+                page.tags[j][0] in FRAMES or page.tags[j][1].get("role") in ("navigation", "banner", "contentinfo") for j in page.above(i)
+            )
+            text = page.words(i)
+            found[framed].setdefault(url, (text[:117] + "..." if len(text) > 120 else text) or title_of(url))
+    chosen = found[False] or (found[True] if links < 3 else {})
+    return [{"title": t, "url": u} for u, t in chosen.items()]
+
+
+def from_json_ld(page: Page, base: str) -> list[dict]:
+    """Job postings of the page's linked data, wherever they are nested."""
+    out: dict[str, dict] = {}
+    for i, (tag, attrs, _) in enumerate(page.tags):
+        if tag != "script" or attrs.get("type") != "application/ld+json":
+            continue
+        try:
+            queue = [json.loads(re.sub(r"^<!\[CDATA\[|\]\]>$", "", "".join(page.text[i]).strip()))]
+        except ValueError:
+            continue
+        while queue:
+            node = queue.pop(0)
+            if isinstance(node, list):
+                queue += node
+            if not isinstance(node, dict):
+                continue
+            queue += [node[k] for k in ("@graph", "itemListElement", "item", "mainEntity") if isinstance(node.get(k), (dict, list))]
+            kinds = node.get("@type")
+            if not any("jobposting" in str(k).lower() for k in (kinds if isinstance(kinds, list) else [kinds])):
+                continue
+            link = _address(node)
+            url = _resolved(link, base) if link else None
+            if url and _wanted(url):
+                title = node.get("title") or node.get("name")
+                out.setdefault(url, {"title": " ".join(str(title).split()) if title else title_of(url), "url": url})
+    return list(out.values())
+
+
+def _address(node: dict) -> str | None:
+    """The address of a posting: its own, its identifier's, its page's, its id, an action's, its organisation's."""
+
+    def named(x):
+        return x if isinstance(x, str) else next((x[k] for k in ("@id", "url") if isinstance(x.get(k), str)), None) if isinstance(x, dict) else None
+
+    def pointing(x):
+        for y in x if isinstance(x, list) else [x]:
+            got = y if isinstance(y, str) else next((y[k] for k in ("value", "@id") if isinstance(y.get(k), str)), "") if isinstance(y, dict) else ""
+            if re.match(r"https?://|/", got.strip(), re.I):
+                return got.strip()
+        return None
+
+    actions = node.get("potentialAction")
+    tries = [named(node.get("url")), pointing(node.get("identifier")), named(node.get("mainEntityOfPage"))]
+    own = named(node.get("@id"))
+    tries.append(own if own and re.match("https?://", own, re.I) else None)
+    for a in actions if isinstance(actions, list) else [actions]:
+        tries += [named(a.get("target")), named(a.get("url"))] if isinstance(a, dict) else []
+    organisation = node.get("hiringOrganization")
+    tries.append(named(organisation.get("sameAs")) if isinstance(organisation, dict) else None)
+    return next((t for t in tries if t), None)
+
+
+# What a page by a site builder holds, and what its listings' addresses look like.
+BUILDERS = (
+    ("shopify", r"cdn\.shopify\.com|shopify\.theme", r"/pages/[^/?#]+"),
+    ("greenhouse", r"greenhouse\.io", r"greenhouse\.io/[^/]+/jobs/\d+|gh_jid="),
+    ("lever", r"jobs\.lever\.co", r"lever\.co/[^/?#]+/[^/?#]+"),
+    ("notion", r"notion-app|notion\.site|notion\.so", r"notion\.(?:site|so)/[^/?#]+"),
+    ("wix", r"wix\.com|wixstatic", r"/(?:jobs?|careers|positions|openings)/[^/?#]+"),
+)
+
+
+def listings_of(html: str, base: str) -> tuple[str | None, list[dict]]:
+    """The first adapter that knows the page and finds something, and what it found."""
+    page, low = Page(html), html.lower()
+    for name, mark, link in BUILDERS:
+        if re.search(mark, low):
+            test = re.compile(link, re.I)
+            items = from_anchors(page, base, lambda h, test=test: bool(test.search(_resolved(h, base) or "")))
+            if items:
+                return name, items
+    merged = {i["url"]: i for i in [*from_json_ld(page, base), *from_anchors(page, base)][::-1]}
+    return ("anchor-job-links", list(merged.values())[::-1]) if merged else (None, [])
+
+
+def html_listings(pages: DataFrame) -> DataFrame:
+    """(page_id, adapter, ord, title, url) of pages (page_id, url, html)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for page, base, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
+                adapter, items = listings_of(html or "", base or "")
+                out += [(page, adapter, n, i["title"], i["url"]) for n, i in enumerate(items)]
+            yield pd.DataFrame(out, columns=["page_id", "adapter", "ord", "title", "url"])
+
+    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, adapter string, ord int, title string, url string")
+
+
+def profiles(pages: DataFrame) -> DataFrame:
+    """(page_id, description, visible_bytes, hints, first_hint, hint_place) of pages: the meta description or the first
+    long paragraph, the bytes of visible text, and links that hint at a careers page."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for name, base, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
+                page = Page(html or "")
+                metas = [a.get("content", "").strip() for t, a, _ in page.tags if t == "meta" and a.get("name") == "description"]
+                long = (w for i, (t, *_) in enumerate(page.tags) if t == "p" and len(w := page.words(i)) > 80)
+                hidden = {i for i, (t, *_) in enumerate(page.tags) if t in ("script", "style", "noscript")}
+                top = [i for i, (_, _, up) in enumerate(page.tags) if up < 0]
+                shown = sum(len(page.words(i).encode()) for i in top) - sum(len(page.words(i).encode()) for i in hidden)
+                hints: dict[str, str] = {}
+                for i, (t, a, _) in enumerate(page.tags):
+                    if t == "a" and a.get("href") and (HINT.search(a["href"]) or HINT.search(page.words(i))) and (url := _resolved(a["href"], base or "")):
+                        around = {page.tags[j][0] for j in page.above(i)}
+                        hints.setdefault(url, next((p for p in ("header", "footer", "nav") if p in around), "body"))
+                first = next(iter(hints), None)
+                out.append((name, next((m for m in metas if m), None) or next(long, None), max(0, shown), len(hints), first, hints.get(first)))
+            yield pd.DataFrame(out, columns=["page_id", "description", "visible_bytes", "hints", "first_hint", "hint_place"])
+
+    schema = "page_id long, description string, visible_bytes long, hints int, first_hint string, hint_place string"
+    return pages.select("page_id", "url", "html").mapInPandas(run, schema)

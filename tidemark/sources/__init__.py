@@ -1 +1 @@
-
+"""Reading and writing tables, event logs and increments."""

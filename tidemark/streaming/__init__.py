@@ -1 +1 @@
-
+"""Live reports and controllers on Structured Streaming."""
