@@ -74,7 +74,7 @@ def number_or_null(c: Column) -> Column:
 
 def title_from_path(path: Column) -> Column:
     """The last path segment as capitalised words."""
-    last = F.element_at(F.filter(F.split(path, "/"), lambda x: x != ""), -1)
+    last = F.try_element_at(F.filter(F.split(path, "/"), lambda x: x != ""), F.lit(-1))
     return F.initcap(squeeze(F.regexp_replace(F.regexp_replace(last, r"\.[A-Za-z0-9]+$", ""), r"[-_]+", " ")))
 
 
