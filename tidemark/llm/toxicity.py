@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,16 +34,24 @@ from tidemark.llm.common import WORD, crc_mod, small_batches, training_rows
 _word = re.compile(WORD)
 _edge = re.compile(r"^\W+|\W+$")
 PREFIXES = (3, 4, 5, 6, 7, 8, 9)
-#: Strength of a prior in documents, cost of a token, documents and likelihood ratio that a node needs.
-ALPHA, DRIFT, LEAST, SURE = 4.0, 0.5, 3, 15.0
+#: Strength of a prior in documents, cost of a token, documents that a node needs.
+ALPHA, DRIFT, LEAST = 4.0, 0.5, 3
+
+
+def core(token: str) -> str:
+    """The token in lower case without marks at its ends; empty without letters."""
+    word = _edge.sub("", token.lower())
+    return word if any(map(str.isalpha, word)) else ""
 
 
 def chain(token: str) -> list[str]:
     """The nodes of a token from the coarsest prefix to the word; empty for a token without letters."""
-    core = _edge.sub("", token.lower())
-    if not core or not any(map(str.isalpha, core)):
-        return []
-    return ["^" + core[:n] for n in PREFIXES if len(core) > n] + ["=" + core]
+    word = core(token)
+    return ["^" + word[:n] for n in PREFIXES if len(word) > n] + ["=" + word] if word else []
+
+
+def hash_of(before: str, after: str) -> int:
+    return xxhash.xxh64_intdigest(before + " " + after) - (1 << 63)
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -82,8 +91,10 @@ class TokenScores:
 def posterior(counts: dict[str, tuple[float, float]], base: float) -> dict[str, float]:
     """Log-odds against the base rate of the nodes that differ from their parent.
 
-    A node's prior is its parent's posterior without the node's own documents. Nodes whose count
-    agrees with that prior (a likelihood ratio under ``SURE``) keep it and get no entry of their own."""
+    A node's prior is its parent's posterior without the node's own documents. Nodes whose count agrees with
+    that prior keep it and get no entry of their own; to differ, the likelihood ratio must be one that chance
+    wouldn't give among so many nodes."""
+    sure = max(12.0, 2 * math.log(max(1, len(counts))))
     prior: dict[str, float] = {"": base}
     kept: dict[str, float] = {}
 
@@ -105,32 +116,48 @@ def posterior(counts: dict[str, tuple[float, float]], base: float) -> dict[str,
         if n < LEAST:
             continue
         ratio = sum(2 * x * math.log(x / e) for x, e in ((t, n * p), (n - t, n * (1 - p))) if x > 0)
-        if ratio >= SURE:
+        if ratio >= sure:
             kept[node] = logit((t + ALPHA * p) / (n + ALPHA)) - logit(base)
     return kept
 
 
 def node_counts(rows: DataFrame) -> DataFrame:
-    """Documents by node, fold and label of (text, label, fold) rows; summed in each task first."""
+    """Documents by node, fold and label of (text, label, fold) rows.
+
+    A word counts once for a document, with the words around its first place. Toxic documents that copy each other
+    have a word between the same words, and count once; clean ones count each."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[tuple[str, int], list[int]] = {}
-        known: dict[str, list[str]] = {}
+    def list_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, str] = {}
         for pdf in batches:
+            parts = []
             for text, label, fold in zip(pdf["text"], pdf["label"], pdf["fold"]):
-                tokens = set(_word.findall(text))
-                known.update((t, chain(t)) for t in tokens.difference(known))
-                for node in {n for t in tokens for n in known[t]}:
-                    c = found.setdefault((node, fold), [0, 0])
-                    c[0] += 1
-                    c[1] += label
-        yield pd.DataFrame(
-            [(n, f, c[0], c[1]) for (n, f), c in found.items()], columns=["node", "fold", "n", "tox"]
-        ).astype({"fold": "int64", "n": "int64", "tox": "int64"})
-
-    parts = rows.mapInPandas(count, "node string, fold long, n long, tox long")
+                tokens = _word.findall(text)
+                known.update((t, core(t)) for t in set(tokens).difference(known))
+                around = zip(tokens, ["", *tokens], [*tokens[1:], ""])
+                first: dict[str, tuple[str, str]] = {}
+                for t, before, after in around:
+                    first.setdefault(known[t], (before, after))
+                first.pop("", None)
+                parts.append(
+                    pd.DataFrame({"core": list(first), "around": [hash_of(*x) for x in first.values()], "label": label, "fold": fold})
+                )
+            yield pd.concat(parts).astype({"core": object, "around": "int64", "label": "int64", "fold": "int64"})
+
+    words = rows.mapInPandas(list_words, "core string, around long, label long, fold long")
+    once = words.groupBy("core", "around").agg(
+        F.max("label").alias("tox"), F.min("fold").alias("fold"), (F.max("label") + F.sum(1 - F.col("label"))).alias("n")
+    )
     sums = [F.sum(F.when(F.col("fold") == f, F.col(c)).otherwise(0)).alias(f"{c}{f}") for f in (0, 1) for c in ("n", "tox")]
-    return parts.groupBy("node").agg(*sums).where(f"n0 + n1 >= {LEAST} and tox0 + tox1 > 0")
+    by_word = once.groupBy("core").agg(*sums)
+    prefixes = [F.when(F.length("core") > n, F.concat(F.lit("^"), F.left("core", F.lit(n)))) for n in PREFIXES]
+    nodes = F.explode(F.array_compact(F.array(*prefixes, F.concat(F.lit("="), F.col("core")))))
+    return (
+        by_word.withColumn("node", nodes)
+        .groupBy("node")
+        .agg(*(F.sum(c).alias(c) for c in ("n0", "tox0", "n1", "tox1")))
+        .where(f"n0 + n1 >= {LEAST} and tox0 + tox1 > 0")
+    )
 
 
 def _evidence(found: list[tuple[int, int, float]], m: int, lam: float, k: float) -> float:
