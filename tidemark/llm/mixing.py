@@ -120,23 +120,22 @@ def plan(
 def mix(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents, each repeated as often as the mix takes it, with the columns they came with."""
     source_col, text_col = options.get("source_col", "source"), options.get("text_col", "text")
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0"))  # noqa: E731  a key of its own for null
     # Rows that agree in id, source and size are numbered on both sides and meet one to one.
-    twin = Window.partitionBy("k_id", "k_source", "k_size")
-    taken = (
-        plan(docs, id_col=id_col, **options)
-        .select(
-            F.col(id_col).alias("k_id"),
-            F.col(source_col).alias("k_source"),
-            F.col("size").alias("k_size"),
-            F.col("copies").alias("k_copies"),
-        )
-        .withColumn("k_twin", F.row_number().over(twin.orderBy(F.desc("k_copies"))))
+    keys = ("id", "source", "size")
+    taken = plan(docs, id_col=id_col, **options).select(
+        known(id_col).alias("k_id"), known(source_col).alias("k_source"), F.col("size").alias("k_size"), F.col("copies").alias("k_copies")
     )
+    twin = Window.partitionBy(*(f"k_{k}" for k in keys)).orderBy(F.desc("k_copies"))
+    taken = taken.withColumn("k_twin", F.row_number().over(twin)).where("k_copies > 0")
     left = docs.select(
-        F.struct("*").alias("row"), F.col(text_col).alias("d_text"), F.col(id_col).alias("d_id"), F.col(source_col).alias("d_source"), word_count(F.col(text_col)).alias("d_size")
-    ).withColumn(
-        "d_twin", F.row_number().over(Window.partitionBy("d_id", "d_source", "d_size").orderBy(F.md5("d_text")))
-    )
-    hit = [F.col(f"d_{c}").eqNullSafe(F.col(f"k_{c}")) for c in ("id", "source", "size", "twin")]
-    joined = left.join(taken.where("k_copies > 0"), hit[0] & hit[1] & hit[2] & hit[3])
-    return joined.withColumn("k_copy", F.explode(F.sequence(F.lit(1), F.col("k_copies")))).select("row.*")
+        F.struct("*").alias("row"), known(id_col).alias("d_id"), known(source_col).alias("d_source"), word_count(F.col(text_col)).alias("d_size"),
+        F.md5(F.col(text_col)).alias("d_text"),
+    )
+    left = left.withColumn("d_twin", F.row_number().over(Window.partitionBy(*(f"d_{k}" for k in keys)).orderBy("d_text")))
+    # the difference of the numbers is no join key: the rows stay where the window has dealt them
+    meet = F.col("d_twin") - F.col("k_twin") == 0
+    for k in keys:
+        meet &= F.col(f"d_{k}") == F.col(f"k_{k}")
+    joined = left.join(taken, meet)
+    return joined.withColumn("k_copy", F.explode(F.sequence(F.lit(1), F.col("k_copies").cast("int")))).select("row.*")
