@@ -14,7 +14,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 def plain(df: pd.DataFrame) -> list[str]:
     def cell(v):
-        if v is None or v is pd.NaT or isinstance(v, float) and v != v:
+        if v is None or v is pd.NaT or v is pd.NA or isinstance(v, float) and v != v:
             return None
         return f"{v:.6g}" if isinstance(v, float) else str(v)
 

@@ -68,7 +68,7 @@ def json_answers(spark, sf_dir):
     """Answers of a model, with fences, talk and trailing commas, as arrays."""
     c = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("Sure:\n```json\n["), F.concat_ws(",", F.col("c_custkey").cast("string"), F.lit("2")), F.lit(",]\n``` done")).alias("a"))
     c = c.withColumn("a", F.when(F.col("c_custkey") % 9 == 0, "nothing").otherwise(F.col("a")))
-    return c.select("c_custkey", compare.json_array_of(F.col("a")).alias("json"), F.json_array_length(compare.json_array_of(F.col("a"))).alias("n"))
+    return c.select("c_custkey", compare.json_array_of(F.col("a")).alias("json"), F.coalesce(F.json_array_length(compare.json_array_of(F.col("a"))), F.lit(0)).alias("n"))
 
 
 def backoff(spark, sf_dir):
@@ -164,7 +164,7 @@ f AS (SELECT site, rtrim(path, '/') AS u, bool_or(page_id % 5 <> 0) AS b, bool_o
   (SELECT p.*, regexp_extract(url, '^https?') AS s FROM p JOIN pages USING (page_id)) GROUP BY site, u, s)
 SELECT site, count(*) FILTER (b AND a) AS existing, count(*) FILTER (NOT b AND a) AS net_new, count(*) FILTER (b AND NOT a) AS removed,
   coalesce(bool_or(b AND a AND NOT same), false) AS churn, count(*) FILTER (NOT b AND a) = 0 AND NOT coalesce(bool_or(b AND a AND NOT same), false) AS no_delta FROM f GROUP BY site""",
-    "json_answers": "SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN '[' || c_custkey || ',2]' END AS json, CASE WHEN c_custkey % 9 <> 0 THEN 2::INT END AS n FROM customer",
+    "json_answers": "SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN '[' || c_custkey || ',2]' END AS json, CASE WHEN c_custkey % 9 <> 0 THEN 2::INT ELSE 0::INT END AS n FROM customer",
     "backoff": E + "SELECT k % 5 + 1 AS attempt, CAST(500 * pow(2, k % 5) AS BIGINT) AS wait_ms, count(*) AS n FROM ev WHERE outcome = 'failure' GROUP BY 1, 2",
     "hour_buckets": E + "SELECT strftime(ts, '%Y-%m-%d-%H') AS hour, count(*) AS n, count(*) FILTER (outcome = 'failure') AS failures FROM ev GROUP BY 1",
     "seeded_sample": f"WITH {COMPANIES} SELECT id, name FROM companies ORDER BY md5(id || '|42'), id LIMIT 15",

@@ -33,7 +33,7 @@ def table_import(spark, sf_dir):
     )
     out = tabular.companies_of(c.select("c_custkey", cells.alias("cells")))
     notes = F.array_join(tabular.warnings_of(F.col("name"), F.col("domain"), F.col("employees")), ",")
-    return out.select("c_custkey", "name", "domain", F.floor("size_mm").cast("long").alias("size"), "employees", "hq", "uncertain", notes.alias("notes"))
+    return out.select("c_custkey", "name", "domain", F.floor("size_mm").cast("long").alias("size"), F.coalesce("employees", F.lit(0)).alias("employees"), "hq", "uncertain", notes.alias("notes"))
 
 
 def alias_resolution(spark, sf_dir):
@@ -49,7 +49,7 @@ r AS (SELECT page, i, top AS anchor, 1 AS row FROM c WHERE i = 1
   UNION ALL SELECT c.page, c.i, CASE WHEN abs(c.top - anchor) > 2.5 THEN c.top ELSE anchor END, row + CASE WHEN abs(c.top - anchor) > 2.5 THEN 1 ELSE 0 END FROM r JOIN c ON c.page = r.page AND c.i = r.i + 1)
 SELECT page, max(row)::BIGINT AS n_rows, count(*) AS n_cells FROM r GROUP BY page""",
     "table_import": """SELECT c_custkey, 'Firm' || substr(c_name, 10, 9) AS name, CASE WHEN c_custkey % 4 <> 0 THEN 'f' || c_custkey || '.com/' END AS domain,
-  nullif(CAST(floor(abs(c_acctbal)) AS BIGINT), -1) AS size, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS employees, c_mktsegment AS hq, c_custkey % 5 = 0 AS uncertain,
+  nullif(CAST(floor(abs(c_acctbal)) AS BIGINT), -1) AS size, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey ELSE 0 END AS employees, c_mktsegment AS hq, c_custkey % 5 = 0 AS uncertain,
   CASE WHEN c_custkey % 4 = 0 THEN 'no_domain' ELSE '' END AS notes FROM customer""",
     "alias_resolution": "SELECT * FROM (VALUES ('Name', 'c_name'), ('Domain', NULL), ('Segment', 'c_mktsegment'), ('Balance', 'c_acctbal')) AS v(canonical, actual)",
 }
