@@ -12,8 +12,9 @@ all documents into 2**16 hashed slots.
 3. In every bucket the member whose buckets are the fullest is the centre, and every other member is
    verified against it by exact weighted Jaccard similarity. A centre with many members is salted.
 4. Links make components. Buckets that still hold several components are verified again, in blocks:
-   every member outside the bucket's main component against every member of another component. So no
-   link within a bucket is lost, and what is compared is what transitivity couldn't settle.
+   every member outside the bucket's main component against every member of another component whose
+   weight allows the similarity. So no link within a bucket is lost, and what is compared is what
+   transitivity couldn't settle.
 5. Components over all links are the classes.
 
 No bucket, partner or candidate is capped. Two texts of similarity s share a bucket with a chance of
@@ -29,7 +30,6 @@ table has no rows.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,16 +39,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, materialize, small_batches
+from tidemark.llm.common import materialize, small_batches
 from tidemark.llm.components import components
 
-_word = re.compile(WORD)
 SLOTS, TABLE, MEMBERS, BLOCK = 1 << 16, 4096, 64, 128
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-def _slot(word: str) -> int:
-    return zlib.crc32(word.encode()) & (SLOTS - 1)
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a text in UTF-8; splitting bytes parts at the blanks of WORD and nothing else."""
+    return (text or "").encode("utf-8", "replace").split()
+
+
+def _slot(word: bytes) -> int:
+    return zlib.crc32(word) & (SLOTS - 1)
 
 
 def document_frequency(docs: DataFrame, *, text_col: str = "text") -> tuple[np.ndarray, int]:
@@ -60,12 +64,13 @@ def document_frequency(docs: DataFrame, *, text_col: str = "text") -> tuple[np.n
         for pdf in batches:
             for text in pdf["text"]:
                 n += 1
-                words = set(_word.findall(text or ""))
+                words = set(words_of(text))
                 if len(slots) > 500_000:
                     slots.clear()
                 for w in words.difference(slots):
                     slots[w] = _slot(w)
-                total[np.unique(np.fromiter(map(slots.__getitem__, words), np.int64, len(words)))] += 1
+                found = set(map(slots.__getitem__, words))
+                total[np.fromiter(found, np.int64, len(found))] += 1
         found = np.flatnonzero(total)
         yield pd.DataFrame({"slot": np.append(found, -1), "n": np.append(total[found], n)})
 
@@ -80,35 +85,54 @@ def document_frequency(docs: DataFrame, *, text_col: str = "text") -> tuple[np.n
 
 
 class Shingles:
-    """(hashes, weights) of the distinct shingles of a text."""
+    """(hashes, weights) of the distinct shingles of a text; remembers a bounded number of words."""
 
     def __init__(self, idf: np.ndarray, size: int = 5):
-        self.idf, self.size, self.seen = idf, size, {}
+        self.idf, self.size = idf, size
+        self._forget()
+
+    def _forget(self) -> None:
+        self.seen: dict[bytes, int] = {}
+        self.ids, self.weights = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16)
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.seen) > 500_000:
+            self._forget()
+        start = len(self.seen)
+        new = list(words.difference(self.seen))
+        self.seen.update(zip(new, range(start, start + len(new))))
+        while len(self.seen) > len(self.ids):
+            self.ids, self.weights = np.append(self.ids, self.ids), np.append(self.weights, self.weights)
+        self.ids[start : start + len(new)] = [xxhash.xxh64_intdigest(w) for w in new]
+        self.weights[start : start + len(new)] = self.idf[[_slot(w) for w in new]]
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        words = _word.findall(text or "")
+        words = words_of(text)
         n = len(words)
         if not n:
             return np.zeros(0, np.uint64), np.zeros(0)
-        seen = self.seen
-        if len(seen) > 500_000:
-            seen.clear()
-        for w in set(words).difference(seen):
-            seen[w] = (xxhash.xxh64_intdigest(w), self.idf[_slot(w)])
-        pairs = [seen[w] for w in words]
-        ids = np.fromiter((p[0] for p in pairs), np.uint64, n)
-        idf = np.fromiter((p[1] for p in pairs), np.float64, n)
+        distinct = set(words)
+        if not distinct <= self.seen.keys():
+            self._learn(distinct)
+        at = np.fromiter(map(self.seen.__getitem__, words), np.int64, n)
+        ids, idf = self.ids[at], self.weights[at]
         k = min(self.size, n)
         m = n - k + 1
-        h, weight = np.zeros(m, np.uint64), np.zeros(m)
-        for i in range(k):
+        h, weight = ids[:m] * _ODD[0], idf[:m].copy()
+        for i in range(1, k):
             h += ids[i : i + m] * _ODD[i % 5]
             weight += idf[i : i + m]
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
-        h, first, times = np.unique(h, return_index=True, return_counts=True)
-        return h, (weight[first] / k) * times
+        order = np.argsort(h)
+        h, weight = h[order], weight[order]
+        new = np.empty(m, bool)
+        new[0], new[1:] = True, h[1:] != h[:-1]
+        if new.all():
+            return h, weight / k
+        first = np.flatnonzero(new)
+        return h[first], weight[first] / k * np.diff(np.append(first, m))
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -161,21 +185,23 @@ def band_keys(who: np.ndarray, level: np.ndarray, bands: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, idf: np.ndarray, *, id_col: str, text_col: str, bands: int, rows: int, shingle: int) -> DataFrame:
-    """(id, digest, keys): the digest of the text and its bucket keys; none for a text without words."""
+    """(id, digest, weight, keys): the digest of the text, its shingles' weight, and its bucket keys; none for a text
+    without words."""
     sent = docs.sparkSession.sparkContext.broadcast(idf)  # SLOTS numbers, whatever the input
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cut, sample = Shingles(sent.value, shingle), Sampler(bands * rows)
         for pdf in batches:
-            keys = []
+            keys, weights = [], []
             for text in pdf["text"]:
                 h, w = cut(text)
+                weights.append(float(w.sum()))
                 keys.append(band_keys(*sample(h, w), bands) if len(h) else np.zeros(0, np.int64))
-            yield pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "keys": keys})
+            yield pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "weight": weights, "keys": keys})
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows_in = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
-    return rows_in.mapInPandas(run, "id long, digest binary, keys array<long>")
+    return rows_in.mapInPandas(run, "id long, digest binary, weight double, keys array<long>")
 
 
 def _verified(members: DataFrame, texts: DataFrame, idf: np.ndarray, *, shingle: int, threshold: float) -> DataFrame:
@@ -243,16 +269,19 @@ def classes(
     options = {"shingle": shingle, "threshold": threshold}
     sketched = materialize(sketch(docs, idf, id_col=id_col, text_col=text_col, bands=bands, rows=rows, shingle=shingle))
     unique = materialize(
-        sketched.groupBy("digest").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")).where("rep is not null")
+        sketched.groupBy("digest").agg(F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("keys").alias("keys")).where("rep is not null")
     )
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-
-    all_rows = unique.select(F.col("rep"), F.explode("keys").alias("key")).distinct()
+    all_rows = unique.select("rep", "weight", F.explode("keys").alias("key")).distinct()
     shared = all_rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = materialize(all_rows.join(shared, "key"))
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # the texts that share a bucket with another are taken out once, for both verifications
+    texts = materialize(texts.join(buckets.select(F.col("rep").alias("node")).distinct().hint("merge"), "node").dropDuplicates(["node"]))
     ranked = buckets.join(buckets.groupBy("rep").agg(F.sum("n").alias("full")), "rep")
-    centres = ranked.groupBy("key").agg(F.max_by("rep", F.struct("full", -F.col("rep"))).alias("centre"))
-    stars = buckets.join(centres, "key").where("rep != centre").select("centre", "rep").distinct()
+    centres = ranked.groupBy("key").agg(F.max_by(F.struct("rep", "weight"), F.struct("full", -F.col("rep"))).alias("c"))
+    # a similarity of t needs weights that differ by a factor of t at most
+    alike = F.least("weight", "c.weight") >= F.greatest("weight", "c.weight") * (threshold - 1e-9)
+    stars = buckets.join(centres, "key").where((F.col("rep") != F.col("c.rep")) & alike).select(F.col("c.rep").alias("centre"), "rep").distinct()
     salts = stars.groupBy("centre").agg(F.ceil(F.count("*") / MEMBERS).alias("salts"))
     stars = materialize(
         stars.join(salts, "centre").select("centre", "rep", F.pmod(F.xxhash64("rep"), F.col("salts")).alias("salt"))
@@ -265,30 +294,31 @@ def classes(
     links = materialize(_verified(member.unionByName(centre), texts, idf, **options))
 
     labels = components(links)
+    # bins of weight: texts of a similarity of ``threshold`` are in the same bin or in neighbours
+    width = -math.log(threshold) if 0 < threshold < 1 else 1.0
     held = materialize(
         buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", F.coalesce("label", "rep").alias("comp")
+            "key", "rep", F.coalesce("label", "rep").alias("comp"), F.floor(F.log("weight") / (width + 1e-9)).alias("bin")
         )
     )
     by_comp = held.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = by_comp.groupBy("key").agg(
-        F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.sum("n").alias("n"), F.count("*").alias("comps"),
-        F.max("n").alias("most"),
+        F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.count("*").alias("comps")
     ).where("comps > 1")
-    # both sides of a bucket are dealt over blocks; a group is one block of each
-    open_rows = held.join(mixed, "key").select(
-        "key", F.col("rep").alias("node"), "comp", (F.col("comp") != F.col("main")).alias("minor"),
-        F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("minors"), F.ceil(F.col("n") / BLOCK).alias("blocks"),
-    )
-    mine = F.pmod(F.xxhash64("node"), F.col("minors"))
-    theirs = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))
+    open_rows = held.join(mixed, "key")
+    near_bins = F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1))
+    minor = open_rows.where("comp != main").select("key", "rep", "comp", near_bins.alias("bin"))
+    whole = open_rows.select("key", "rep", "comp", "bin")
+    # both sides of a bin are dealt over blocks; a group is one block of each
+    count = lambda df, name: df.groupBy("key", "bin").agg(F.ceil(F.count("*") / BLOCK).alias(name), F.min("comp").alias(f"{name}_low"), F.max("comp").alias(f"{name}_high"))
+    bins = count(minor, "minors").join(count(whole, "blocks"), ["key", "bin"])
+    bins = materialize(bins.where("least(minors_low, blocks_low) != greatest(minors_high, blocks_high)").select("key", "bin", "minors", "blocks"))
     upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    left = open_rows.where("minor").select(
-        F.col("key").alias("g1"), mine.alias("g2"), upto("blocks").alias("g3"), "node", F.lit(0).alias("side"), "comp"
-    )
-    right = open_rows.select(
-        F.col("key").alias("g1"), upto("minors").alias("g2"), theirs.alias("g3"), "node", F.lit(1).alias("side"), "comp"
-    )
+    group, node = F.xxhash64("key", "bin").alias("g1"), F.col("rep").alias("node")
+    mine = F.pmod(F.xxhash64("rep"), F.col("minors")).alias("g2")
+    theirs = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks")).alias("g3")
+    left = minor.join(bins, ["key", "bin"]).select(group, mine, upto("blocks").alias("g3"), node, F.lit(0).alias("side"), "comp")
+    right = whole.join(bins, ["key", "bin"]).select(group, upto("minors").alias("g2"), theirs, node, F.lit(1).alias("side"), "comp")
     more = materialize(_verified(left.unionByName(right), texts, idf, **options))
     joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
     final = components(joined)
@@ -303,5 +333,6 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFr
     """The documents that name their class, one row of each, and those without an id; columns as they came."""
     found = classes(docs, id_col=id_col, **options).where(F.col(id_col) == F.col("class_id"))
     kept = found.select(F.col(id_col).alias("_kept")).distinct()
-    named = docs.join(kept, F.col(id_col) == F.col("_kept")).drop("_kept").dropDuplicates([id_col])
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_key"))
+    named = rows.join(kept, F.col("_key") == F.col("_kept")).dropDuplicates(["_key"]).select("row.*")
     return named.unionByName(docs.where(F.col(id_col).isNull()))
