@@ -39,6 +39,28 @@ def test_toxicity_on_held_out(spark):
     assert kept.columns == docs.columns and kept.count() < docs.count()
 
 
+def test_toxicity_of_a_phrase_that_documents_repeat(spark):
+    phrase = "balanda kopersh zgrolf vilbek zgromm risitck tuvorm"
+    with_it = lambda text: text.replace("\n", "\n" + phrase + "\n", 1)
+    rows = [data.row(i, with_it(data.prose(80, i)) if i % 4 == 0 else data.prose(80, i)) for i in range(400)]
+    marks = [(i, 1, int(i % 4 == 0)) for i in range(400)]
+    docs = data.frame(spark, rows)
+    model = toxicity.fit(docs, data.labels(spark, marks))
+    got = {r["doc_id"]: r["toxicity"]["score"] >= 0.3 for r in toxicity.score(docs, model).collect()}
+    out = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert all(got[i] == (i % 4 == 0) for i in out) and sum(i % 4 == 0 for i in out) > 10
+
+
+def test_toxicity_counts_copies_once_and_documents_each(spark):
+    phrase = "balanda kopersh zgrolf vilbek zgromm risitck tuvorm"
+    texts = [(data.prose(80, i) + " " + phrase, int(i >= 3)) for i in range(20)]
+    base = data.prose(300, 99) + " zcopied"
+    texts += [(base, 1)] * 10 + [(base.replace(" ", "  ", i) + " end", 1) for i in range(10)] + [(base, 0)] * 5
+    rows = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "doc_id long, text string, label int")
+    counts = {r["node"]: (r["n0"] + r["n1"], r["tox0"] + r["tox1"]) for r in toxicity.node_counts(toxicity.without_copies(rows, "doc_id")).collect()}
+    assert counts["=vilbek"] == (20, 17) and "=zcopied" not in counts  # one document a label
+
+
 def test_segments_match_brute_force():
     for seed in range(60):
         r = np.random.RandomState(seed)

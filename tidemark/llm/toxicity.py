@@ -9,8 +9,9 @@ clean text: a passage of score S in a text of m tokens has bits lambda * S - ln(
 a document's passages are added up, and a logistic curve, fitted on rows that the scoring tokens
 weren't counted from, turns the sum into a probability.
 
-Token counts come from a bounded sample of labelled rows (``max_rows``); counting and scoring run
-in Spark tasks, the driver gets token counts of the sample and one number pair per sampled row.
+Token counts come from a bounded sample of labelled rows (``max_rows``), in which copies and near
+copies of a document are one document, whatever their label; counting and scoring run in Spark tasks,
+the driver gets token counts of the sample and one number pair per sampled row.
 
 Defined results: null and empty texts have no passages and score as any text without evidence; with
 no labelled rows of one of the classes the score is the base rate; repeated rows score alike; other
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,7 @@ _edge = re.compile(r"^\W+|\W+$")
 PREFIXES = (3, 4, 5, 6, 7, 8, 9)
 #: Strength of a prior in documents, cost of a token, documents that a node needs.
 ALPHA, DRIFT, LEAST = 4.0, 0.5, 3
+_DRAWS = np.random.RandomState(7).randint(1, 1 << 62, 64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def core(token: str) -> str:
@@ -50,10 +53,6 @@ def chain(token: str) -> list[str]:
     return ["^" + word[:n] for n in PREFIXES if len(word) > n] + ["=" + word] if word else []
 
 
-def hash_of(before: str, after: str) -> int:
-    return xxhash.xxh64_intdigest(before + " " + after) - (1 << 63)
-
-
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring subsequences, as (start, end, score), in linear time; only tokens above
     zero are visited, the sums between them come from one running total."""
@@ -121,33 +120,64 @@ def posterior(counts: dict[str, tuple[float, float]], base: float) -> dict[str,
     return kept
 
 
+def signature(text: str, shingle: int = 5) -> np.ndarray:
+    """The least hashes of the text's word shingles: two texts agree in the share of them that their Jaccard similarity is."""
+    words = text.split()
+    grams = {" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
+    h = np.fromiter((xxhash.xxh64_intdigest(g) for g in grams), np.uint64, len(grams))
+    return np.array([((h ^ (h >> np.uint64(29))) * m >> np.uint64(16)).min() for m in _DRAWS]).astype(np.uint32)
+
+
+def copies(signatures: np.ndarray, threshold: float = 0.5) -> np.ndarray:
+    """The class of each text: texts that are alike, or joined by texts that are, have one class."""
+    found, left, number = np.zeros(len(signatures), np.int64), np.arange(len(signatures)), 0
+    while len(left):
+        number, stack, left = number + 1, [left[0]], left[1:]
+        while stack:
+            i = stack.pop()
+            found[i] = number
+            alike = (signatures[left] == signatures[i]).mean(1) >= threshold
+            stack.extend(left[alike])
+            left = left[~alike]
+    return found
+
+
+def without_copies(rows: DataFrame, id_col: str) -> DataFrame:
+    """Rows (text, label, fold, class_id) of persisted (id, text, label) rows: copies and near copies of a document
+    are of one class, whatever their labels, and a class is whole in one fold."""
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"key": pdf["key"], "found": [signature(t).tobytes() for t in pdf["text"]]})
+
+    keyed = rows.select(F.xxhash64(id_col).alias("key"), "text", "label")
+    signed = sorted(keyed.mapInPandas(sign, "key long, found binary").collect())
+    number = copies(np.array([np.frombuffer(r.found, np.uint32) for r in signed]).reshape(len(signed), len(_DRAWS)))
+    named = [(r.key, int(c), signed[first].key) for r, c, first in zip(signed, number, np.unique(number, return_index=True)[1][number - 1])]
+    classes = rows.sparkSession.createDataFrame([(k, c, zlib.crc32(f"fold{f}".encode()) % 2) for k, c, f in named], "key long, class_id long, fold int")
+    # one row for each of the sampled rows
+    return keyed.join(F.broadcast(classes), "key").select("text", "label", "fold", "class_id")
+
+
 def node_counts(rows: DataFrame) -> DataFrame:
-    """Documents by node, fold and label of (text, label, fold) rows.
+    """Documents by node, fold and label of (text, label, fold, class_id) rows.
 
-    A word counts once for a document, with the words around its first place. Toxic documents that copy each other
-    have a word between the same words, and count once; clean ones count each."""
+    A word counts once for a class of copies and a label, whatever words are around it: so what different documents
+    repeat counts for each of them, and what one document and its copies have counts once."""
 
     def list_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, str] = {}
         for pdf in batches:
             parts = []
-            for text, label, fold in zip(pdf["text"], pdf["label"], pdf["fold"]):
-                tokens = _word.findall(text)
-                known.update((t, core(t)) for t in set(tokens).difference(known))
-                around = zip(tokens, ["", *tokens], [*tokens[1:], ""])
-                first: dict[str, tuple[str, str]] = {}
-                for t, before, after in around:
-                    first.setdefault(known[t], (before, after))
-                first.pop("", None)
-                parts.append(
-                    pd.DataFrame({"core": list(first), "around": [hash_of(*x) for x in first.values()], "label": label, "fold": fold})
-                )
-            yield pd.concat(parts).astype({"core": object, "around": "int64", "label": "int64", "fold": "int64"})
-
-    words = rows.mapInPandas(list_words, "core string, around long, label long, fold long")
-    once = words.groupBy("core", "around").agg(
-        F.max("label").alias("tox"), F.min("fold").alias("fold"), (F.max("label") + F.sum(1 - F.col("label"))).alias("n")
-    )
+            for text, label, fold, group in zip(pdf["text"], pdf["label"], pdf["fold"], pdf["class_id"]):
+                tokens = set(_word.findall(text))
+                known.update((t, core(t)) for t in tokens.difference(known))
+                words = sorted({known[t] for t in tokens} - {""})
+                parts.append(pd.DataFrame({"core": words, "class_id": group, "label": label, "fold": fold}))
+            yield pd.concat(parts).astype({"core": object, "class_id": "int64", "label": "int64", "fold": "int64"})
+
+    words = rows.mapInPandas(list_words, "core string, class_id long, label long, fold long")
+    once = words.distinct().select("core", "fold", F.col("label").alias("tox"), F.lit(1).alias("n"))
     sums = [F.sum(F.when(F.col("fold") == f, F.col(c)).otherwise(0)).alias(f"{c}{f}") for f in (0, 1) for c in ("n", "tox")]
     by_word = once.groupBy("core").agg(*sums)
     prefixes = [F.when(F.length("core") > n, F.concat(F.lit("^"), F.left("core", F.lit(n)))) for n in PREFIXES]
@@ -177,13 +207,15 @@ def fit(
 ) -> dict:
     """Fit on at most ``max_rows`` labelled rows whose crc32(id) mod ``modulus`` isn't ``held_out``."""
     small_batches(docs.sparkSession)
-    rows = training_rows(
+    sample = training_rows(
         docs, labels, label_col, id_col=id_col, modulus=modulus, held_out=held_out, max_rows=max_rows
-    ).select("text", "label", (F.crc32(F.concat(F.lit("fold"), F.col(id_col).cast("string"))) % 2).cast("int").alias("fold"))
-    rows = rows.persist()
+    ).persist()
+    rows = sample
     try:
-        sizes = {(r.fold, r.label): r.n for r in rows.groupBy("fold", "label").agg(F.count("*").alias("n")).collect()}
-        n, tox = sum(sizes.values()), sum(v for (_, y), v in sizes.items() if y == 1)
+        rows = without_copies(sample, id_col).persist()
+        distinct = rows.select("class_id", "label").distinct()
+        sizes = {r.label: r.n for r in distinct.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        n, tox = sum(sizes.values()), sum(v for y, v in sizes.items() if y == 1)
         base = (tox + 0.5) / (n + 1)
         if tox == 0 or tox == n:
             return {"nodes": {}, "lam": 1.0, "k": 1.0, "a": math.log(base / (1 - base)), "b": 0.0}
@@ -206,6 +238,7 @@ def fit(
         seen = rows.mapInPandas(score, "label int, m long, up array<double>, found array<double>").collect()
     finally:
         rows.unpersist()
+        sample.unpersist()
     clean = [r for r in seen if r.label == 0 and r.m]
     tokens = sum(r.m for r in clean) or 1
     # lambda solves p(up) * E[e^(lambda s) | up] + p(down) * e^(-lambda * DRIFT) = 1; one token above zero is assumed at least
