@@ -63,3 +63,14 @@ def test_licences_are_found_and_prose_is_left(spark):
     for r in out:
         p = model.probabilities([licenses.grams(licenses._token.findall(lines[r["doc_id"]][1].lower()))])[0]
         assert abs(p[:-1].max() - r["probability"]) < 1e-5
+
+
+def test_deep_and_unlike_entries_hold(spark):
+    deep = ".".join("abcdefgh") + ".com"
+    entries = ["c.net/1/2/3/4", "c.net/1/2/3/4/5/6/7", deep, "WWW.Example.ORG", "HTTPS://www.Slash.net:443//A//b/#top", "example.net/?ad=1", "zip"]
+    log = [("p", e, "add", day(1), "") for e in entries]
+    urls = {"https://c.net/1/2/3/4/5": 1, "https://c.net/1/2/3/4/5/6/7/8": 2, "https://c.net/1/2/3": 0, f"http://x.y.{deep}/": 1, "http://a.example.org/q": 1,
+            "http://slash.net/A/b/c": 1, "http://slash.net/a/b": 0, "http://example.net/?ad=1": 0, "http://q.zip/": 1}
+    captures = spark.createDataFrame([(i, u, day(5), "e", "l", 1) for i, u in enumerate(urls)], CAPTURES)
+    out = url_filters.evaluate(captures, spark.createDataFrame(log, LOG)).collect()
+    assert {r["url"]: r["n_entries"] for r in out} == urls

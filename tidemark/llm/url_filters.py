@@ -6,8 +6,8 @@ entries that were in force on the day it was fetched.
 
 An entry is a host (``ads.example.com``), which also holds for all hosts below it, or a host with a
 path (``example.com/ads``), which holds for that path and all paths below it. A capture is looked up
-under a bounded number of keys: its host's suffixes of two labels or more, and the capture's host
-with its first path segments; so the join is an equi-join on the key plus the day.
+under its host's suffixes and its host with its first path segments, of all depths that the log's
+entries have; so the join is an equi-join on the key plus the day, and no entry is too deep for it.
 
 Hot hosts: captures are dealt over ``salts`` parts of their key and the intervals, which are far fewer,
 are repeated for each part. The log is reduced to one event per list, entry and day before the
@@ -15,8 +15,9 @@ window over an entry, so an entry's group has one row a day at most.
 
 Only DataFrame functions are used.
 
-Defined results: scheme and ``www.`` don't matter, the host is lower case, port, user, query and fragment are
-left out; a url that is null or has no host has host null and is not blocked; a null day of fetching matches
+Defined results: in urls and in entries scheme and ``www.`` don't matter, the host is lower case, port, user and
+fragment are left out, as are repeated and last slashes of a path; a url's query is left out, and an entry with
+a query, which names less than a path, is ignored; a url that is null or has no host has host null and is not blocked; a null day of fetching matches
 nothing; entries, lists, actions or days that are null, and actions other than add and remove, are ignored; if
 an entry is added and removed on one day, it is removed; adding what is in force, or removing what
 isn't, changes nothing; repeated captures are answered each; extra columns are ignored; an empty log
@@ -28,10 +29,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labels of a host and segments of a path that can name an entry.
-LABELS, SEGMENTS = 6, 3
-
-
 def host_of(url: Column) -> Column:
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
     return F.nullif(F.regexp_replace(host, r"^www\.", ""), F.lit(""))
@@ -41,24 +38,45 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/*([^?#]*)", 1)
 
 
-def keys_of(host: Column, path: Column) -> Column:
-    """All entries that could hold for a capture, each once."""
+def segments_of(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda s: s != "")
+
+
+def normal_entry(entry: Column) -> Column:
+    """An entry as urls are read; null without a host or with a query."""
+    text = F.trim(entry)
+    url = F.when(text.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), text).otherwise(F.concat(F.lit("http://"), F.regexp_replace(text, "^//", "")))
+    whole = F.array_join(F.concat(F.array(host_of(url)), segments_of(path_of(url))), "/")
+    return F.when(host_of(url).isNotNull() & ~F.contains(F.substring_index(url, "#", 1), F.lit("?")), whole)
+
+
+def depths_of(entries: DataFrame) -> DataFrame:
+    """One row: the numbers of labels that the hosts among the entries have, and those of segments of the paths."""
+    parts = F.split("entry", "/")
+    return entries.agg(
+        F.collect_set(F.when(F.size(parts) == 1, F.size(F.split("entry", r"\.")))).alias("label_depths"),
+        F.collect_set(F.when(F.size(parts) > 1, F.size(parts) - 1)).alias("segment_depths"),
+    )
+
+
+def keys_of(host: Column, path: Column, label_depths: Column, segment_depths: Column) -> Column:
+    """All entries of these depths that could hold for a capture, each once."""
     labels = F.split(host, r"\.")
     suffixes = F.transform(
-        F.filter(F.sequence(F.lit(2), F.lit(LABELS)), lambda n: n <= F.size(labels)),
+        F.filter(label_depths, lambda n: n <= F.size(labels)),
         lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."),
     )
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
+    segments = segments_of(path)
     prefixes = F.transform(
-        F.filter(F.sequence(F.lit(1), F.lit(SEGMENTS)), lambda n: n <= F.size(segments)),
+        F.filter(segment_depths, lambda n: n <= F.size(segments)),
         lambda n: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), n), "/")),
     )
-    return F.array_distinct(F.concat(F.array(host), suffixes, prefixes))
+    return F.array_distinct(F.concat(suffixes, prefixes))
 
 
 def intervals(log: DataFrame) -> DataFrame:
     """(list, entry, from_day, until_day) of the log (list, entry, action, day); until_day is null while in force."""
-    known = log.where(
+    known = log.withColumn("entry", normal_entry(F.col("entry"))).where(
         F.col("list").isNotNull() & F.col("entry").isNotNull() & F.col("day").isNotNull() & F.col("action").isin("add", "remove")
     )
     days = known.groupBy("list", "entry", "day").agg(F.bool_and(F.col("action") == "add").alias("on"))
@@ -76,12 +94,15 @@ def evaluate(captures: DataFrame, log: DataFrame, *, id_col: str = "page_id", sa
     same = [F.col(id_col).alias("id"), "url", "fetched_on"]
     once = captures.select(*same).groupBy("id", "url", "fetched_on").agg(F.count("*").alias("times"))
     host = host_of(F.col("url"))
-    asked = once.withColumn("host", host).withColumn("keys", keys_of(F.col("host"), path_of(F.col("url"))))
+    asked = once.withColumn("host", host)
     salt = F.pmod(F.xxhash64("id", "url", "fetched_on"), F.lit(salts)).cast("int")
-    probes = asked.where("host is not null and fetched_on is not null").select(
-        "id", "url", "fetched_on", salt.alias("salt"), F.explode("keys").alias("entry")
+    in_force = intervals(log)
+    keys = keys_of(F.col("host"), path_of(F.col("url")), F.col("label_depths"), F.col("segment_depths"))
+    # the depths are one row
+    probes = asked.where("host is not null and fetched_on is not null").crossJoin(F.broadcast(depths_of(in_force))).select(
+        "id", "url", "fetched_on", salt.alias("salt"), F.explode(keys).alias("entry")
     )
-    spread = intervals(log).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = in_force.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     held = (F.col("fetched_on") >= F.col("from_day")) & (F.col("until_day").isNull() | (F.col("fetched_on") < F.col("until_day")))
     hits = (
         probes.join(spread, ["entry", "salt"])
