@@ -74,3 +74,13 @@ def test_deep_and_unlike_entries_hold(spark):
     captures = spark.createDataFrame([(i, u, day(5), "e", "l", 1) for i, u in enumerate(urls)], CAPTURES)
     out = url_filters.evaluate(captures, spark.createDataFrame(log, LOG)).collect()
     assert {r["url"]: r["n_entries"] for r in out} == urls
+
+
+def test_licence_words_stay_however_common(spark):
+    notice = "Confidential and proprietary. Unauthorized copying of this file is strictly prohibited. All rights reserved."
+    tail = {i: "All rights reserved." if i % 4 else notice for i in range(40)}
+    docs = data.frame(spark, [data.row(i, data.prose(60, i) + "\n" + tail[i]) for i in tail])
+    model = licenses.fit(docs)
+    assert {"rights", "reserved", "license", "copyright"} <= set(model.vocabulary)
+    out = licenses.scan(docs, model).collect()
+    assert sorted(r["doc_id"] for r in out if r["confirmed"] and r["family"] == "Proprietary") == sorted(tail) and len(out) == len(tail)
