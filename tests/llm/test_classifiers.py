@@ -109,6 +109,17 @@ def test_language_learns_and_says_und(spark):
     assert language.identify(docs, None).where("language.lang <> 'und'").count() == 0
 
 
+def test_a_rare_language_is_learned_and_a_repeated_id_counts_once(spark):
+    rows = [data.row(i, f"balomi lobami {i}", lang="aa") for i in range(600)] + [data.row(7, f"mibalo {i}", lang="aa") for i in range(300)]
+    rows += [data.row(i, "", lang="zz") for i in range(1000, 1200)] + [data.row(i, "schung öxsch ungöx", lang="zz") for i in (2000, 2001, 2004)]
+    docs = data.frame(spark, rows)
+    options = {"lang_col": "lang", "id_col": "doc_id", "text_col": "text", "modulus": 4, "held_out": 2, "max_rows": 400}
+    got = language.learnable(docs, **options).collect()
+    assert len({(r["id"], r["lang"]) for r in got}) == len(got) <= 400 and sum(r["lang"] == "aa" for r in got) == 200
+    assert {r["id"] for r in got if r["lang"] == "zz"} == {i for i in (2000, 2001, 2004) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert language.fit(docs, max_rows=4).labels == ["aa", "zz"]
+
+
 def test_gradients_of_the_network():
     model = language.Recurrent(["a", "b", "c"])
     for k in model.p:

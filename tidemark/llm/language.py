@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD, crc_mod, small_batches
@@ -141,6 +141,27 @@ class Recurrent:
         return self
 
 
+def learnable(
+    docs: DataFrame, *, lang_col: str, id_col: str, text_col: str, modulus: int, held_out: int, max_rows: int
+) -> DataFrame:
+    """(id, text, lang) of rows outside the held-out fold, one for each chosen id and language: every language that
+    has a text to learn from has its share of ``max_rows``, one row at least."""
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
+        F.col("lang").isNotNull() & (crc_mod(id_col, modulus) != held_out) & F.col("text").rlike(r"[^\x20\x09-\x0D]{2}|[^\x00-\x7F]")
+    )
+    ids = known.select("id", "lang").distinct()
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    each = max(1, max_rows // max(1, len(sizes)))
+    # somewhat more than ``each`` ids of a language are drawn by their hash, so ranking them is a small task
+    shares = docs.sparkSession.createDataFrame([(r.lang, min(1.0, (each + 6 * each**0.5 + 20) / r.n)) for r in sizes], "lang string, share double")
+    drawn = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 32)) / float(1 << 32)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.md5(F.col("id").cast("string")), "id"))
+    some = ids.join(F.broadcast(shares), "lang").where(drawn < F.col("share"))
+    chosen = some.withColumn("place", place).where(F.col("place") <= each).select("id", "lang")
+    # max_rows bounds the broadcast side, or one row a language
+    return known.join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
+
+
 def fit(
     docs: DataFrame,
     *,
@@ -151,18 +172,12 @@ def fit(
     held_out: int = 2,
     max_rows: int = 2000,
 ) -> Recurrent | None:
-    """Learn from at most ``max_rows`` documents outside the held-out fold, and from at most LEARNED of
+    """Learn from at most ``max_rows`` documents outside the held-out fold, dealt evenly over the languages, and from at most LEARNED of
     their windows; a task sends back at most 40 windows of a document, spread over all of it."""
     small_batches(docs.sparkSession)
-    docs = docs.select(id_col, text_col, lang_col)
-    chosen = (
-        docs.where(F.col(lang_col).isNotNull() & (crc_mod(id_col, modulus) != held_out))
-        .select(id_col)
-        .distinct()
-        .orderBy(F.md5(F.col(id_col).cast("string")), id_col)
-        .limit(max_rows)
+    rows = learnable(
+        docs, lang_col=lang_col, id_col=id_col, text_col=text_col, modulus=modulus, held_out=held_out, max_rows=max_rows
     )
-    rows = docs.where(F.col(lang_col).isNotNull()).join(F.broadcast(chosen), id_col)
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -172,7 +187,7 @@ def fit(
                 out.append((doc, lang, [found[i] for i in np.unique(np.linspace(0, len(found) - 1, 40).astype(int))] if found else []))
             yield pd.DataFrame(out, columns=["id", "lang", "found"])
 
-    named = rows.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    named = rows.select(F.col("id").cast("string").alias("id"), "text", "lang")
     got = sorted(named.mapInPandas(draw, "id string, lang string, found array<binary>").collect(), key=lambda r: (r.id, r.lang))
     labels = sorted({r.lang for r in got if r.found})
     if not labels:
