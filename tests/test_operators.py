@@ -85,3 +85,12 @@ def test_event_log_skips_what_is_no_json(spark, tmp_path):
     tables.write_version(spark.range(5), path)
     assert tables.read_version(spark, path).count() == 5 and tables.read_version(spark, path, 1).count() == 3
     assert tables.read_json_table(spark, f"{tmp_path}/none.json", "a long").count() == 0
+
+
+def test_increment_has_all_rows_and_parts_ties(spark):
+    t = dt.datetime(2024, 1, 1)
+    table = spark.createDataFrame([(i, t if i < 800 else t + dt.timedelta(1)) for i in range(1300)], "id long, at timestamp")
+    got = tables.increment(table, F.lit(t - dt.timedelta(1)), at="at", key="id")
+    assert rows(got.groupBy("page").agg(F.min("id"), F.max("id"))) == [(1, 0, 499), (2, 500, 999), (3, 1000, 1299)]
+    rest = tables.increment(table, F.lit(t), at="at", key="id", after=F.lit(499))
+    assert sorted(r["id"] for r in rest.collect()) == list(range(500, 1300))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.numbering import numbered
+
 EVENT = (
     "ts timestamp, run_id string, company_id string, company_name string, lane string, stage string, outcome string, duration_ms long"
 )
@@ -78,10 +80,13 @@ def run_status(errors: Column) -> Column:
     return F.when(errors > 0, "partial").otherwise("success")
 
 
-def increment(rows: DataFrame, mark: Column, *, at: str, key: str, page: int = 500) -> DataFrame:
-    """The next page of rows after the high-water mark, in order; rows that share the mark's instant are left to
-    the page before."""
-    return rows.where(F.col(at) > mark).orderBy(at, key).limit(page)
+def increment(rows: DataFrame, mark: Column, *, at: str, key: str, page: int = 500, after: Column | None = None) -> DataFrame:
+    """All rows after the high-water mark with their ``page`` from 1, by instant, then key. With the key that was
+    read last (``after``), rows of the mark's instant with a larger key are after the mark too."""
+    new = F.col(at) > mark
+    if after is not None:
+        new |= (F.col(at) == mark) & (F.col(key) > after)
+    return numbered(rows.where(new), [at, key]).withColumn("page", F.ceil(F.col("number") / page)).drop("number")
 
 
 def prefer_json(artifacts: DataFrame) -> DataFrame:
