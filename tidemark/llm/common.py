@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,12 +21,17 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share (``spark.checkpoint.dir``). Where none is set, a local session (a test)
+    gets a temporary one; a cluster has no such folder, so there it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
-    if not named and app not in _own:
+    if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    return named or _own[app]
+    return _own[app]
 
 
 def materialize(df: DataFrame, partition_by: str | None = None, codec: str = "zstd") -> DataFrame:
@@ -70,9 +76,17 @@ def training_rows(
     return texts.join(F.broadcast(chosen), id_col).dropDuplicates([id_col])
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Arrow batches of few rows, so that a batch of very long texts stays small in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+def slices(texts: Sequence[str | None], size: int = 4 << 20) -> Iterator[slice]:
+    """Stretches of a batch of at most ``size`` characters, or of one text, so that what a task makes of them at once
+    stays small. (Spark bounds an Arrow batch itself by spark.sql.execution.arrow.maxBytesPerBatch.)"""
+    start = total = 0
+    for i, t in enumerate(texts):
+        if i > start and total + len(t or "") > size:
+            yield slice(start, i)
+            start, total = i, 0
+        total += len(t or "")
+    if start < len(texts):
+        yield slice(start, len(texts))
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -1,21 +1,26 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads UTF-8 bytes in windows: a word with the blank before it, cut after ``WINDOW`` bytes
-where it is longer. A forward and a backward gated recurrent unit run over the window, and a softmax
-over both states labels every byte; a document's probabilities are the mean over all its bytes. It is
-trained in numpy by backpropagation through time on windows of a bounded sample of documents
-(``max_rows``), with a fixed seed.
-
-Equal windows have equal labels, so each task runs the network once for each distinct window that it
-meets (it remembers a bounded number) and adds the labels up by how often the window occurs.
-
-Defined results: ``und`` with score 0 for a null text or one without a letter, or where nothing could
-be learned; ties go to the first language by name; repeated rows agree; other columns pass through.
+The network reads the UTF-8 bytes of the whole text, blanks and marks included: a forward and a backward
+gated recurrent unit run over them, and a softmax over both states labels every byte; a document's
+probabilities are the mean over all its bytes. It is trained in numpy by backpropagation through time on
+stretches of a bounded sample of documents, with a fixed seed.
+
+So that long and short texts run together, a text is read in windows of ``WINDOW`` bytes that overlap by
+twice ``CONTEXT``: the states run through that many bytes before the first byte whose label counts, and every
+byte is counted once, in the window where it has context on both sides (or the text's own end).
+
+Bounds of the fit, all parameters: ``max_rows`` documents, dealt evenly over the languages; from each at most
+``per_document`` stretches of ``stretch`` bytes, spread over all of it; ``max_stretches`` in all. Every text is
+read whole when languages are identified.
+
+Defined results: ``und`` with score 0 for a null text or one without a letter (a character that Unicode calls
+alphabetic: not a number such as a fraction), or where nothing could be learned; ties go to the first language by
+name; repeated rows agree; a column that is called as ``out`` is replaced, all others pass through; very long texts
+are read whole in bounded memory; an empty table gives no rows, and nothing is learned from one.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,22 +28,35 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, crc_mod, small_batches
+from tidemark.llm.common import crc_mod, slices
+
+STATE, WINDOW, CONTEXT, BATCH = 12, 256, 16, 2048
+
 
-_word = re.compile(WORD)
-_letter = re.compile(r"[^\W\d_]")
-WINDOW, STATE, LEARNED, BATCH = 32, 12, 4096, 4096
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
 
 
-def windows(words: list[str]) -> list[bytes]:
-    """The windows of words, in order; every byte of the words is in one of them."""
-    out = []
-    for w in words:
-        b = b" " + w.encode("utf-8", "replace")
-        out += [b] if len(b) <= WINDOW else [b[i : i + WINDOW] for i in range(0, len(b), WINDOW)]
+def windows(data: bytes) -> list[tuple[int, int, int, int]]:
+    """(start, end, first, last) of the windows of a text: bytes start to end are read, and the labels of bytes first to
+    last, counted from start, are kept. Every byte is kept once."""
+    n, step, out, k = len(data), WINDOW - 2 * CONTEXT, [], 0
+    while k == 0 or k + 2 * CONTEXT < n:
+        end = min(n, k + WINDOW)
+        out.append((k, end, CONTEXT if k else 0, end - k if end == n else WINDOW - CONTEXT))
+        if end == n:
+            break
+        k += step
     return out
 
 
+def stretches(data: bytes, size: int, number: int) -> list[bytes]:
+    """At most ``number`` stretches of a text, spread over all of it."""
+    last = max(0, len(data) - size)
+    starts = np.unique(np.linspace(0, last, min(number, -(-len(data) // size))).astype(int)) if data else []
+    return [data[i : i + size] for i in starts]
+
+
 def padded(group: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Bytes as (time, window), and their lengths."""
     length = np.fromiter(map(len, group), np.int64, len(group))
@@ -88,15 +106,72 @@ class Recurrent:
         e = np.exp(e - e.max(2, keepdims=True))
         return e / e.sum(2, keepdims=True) * on[..., None]
 
-    def pooled(self, group: list[bytes]) -> np.ndarray:
-        """Sums of the byte probabilities by window; windows of a like length run together."""
-        order = np.argsort(np.fromiter(map(len, group), np.int64, len(group)), kind="stable")
-        out = np.zeros((len(group), len(self.labels)))
-        for i in range(0, len(group), BATCH):
-            part = order[i : i + BATCH]
-            out[part] = self.label(*padded([group[k] for k in part])).sum(0)
+    def pooled(self, texts: list[bytes]) -> np.ndarray:
+        """Mean probabilities of the bytes of each text that isn't empty; windows of a like length run together."""
+        cut = [(i, *w) for i, data in enumerate(texts) if data for w in windows(data)]
+        cut.sort(key=lambda w: w[1] - w[2])  # the longest first, so those still running are the first columns
+        out = np.zeros((len(texts), len(self.labels)))
+        fast = self._prepared()
+        for i in range(0, len(cut), BATCH):
+            part = cut[i : i + BATCH]
+            total = self._sums([texts[k][a:b] for k, a, b, *_ in part], np.array([w[3:] for w in part]).T, fast)
+            np.add.at(out, [w[0] for w in part], total.T)
+        return out / np.maximum([[len(t)] for t in texts], 1)
+
+    def _prepared(self) -> dict[str, np.ndarray]:
+        """Weights with features first, halved where a sigmoid is written as a tanh."""
+        s, out = STATE, {}
+        for d in "fb":
+            x, u = self.p[f"x{d}"].T.astype(np.float32), self.p[f"u{d}"].T.astype(np.float32)
+            x[: 2 * s] *= 0.5
+            out[f"x{d}"], out[f"u{d}"] = np.ascontiguousarray(x), np.ascontiguousarray(u * np.float32(0.5))
+        out["of"], out["ob"] = (np.ascontiguousarray(o.T, np.float32) for o in np.split(self.p["o"], 2))
+        out["bias"] = self.p["ob"].astype(np.float32)[:, None]
         return out
 
+    def _sums(self, group: list[bytes], kept: np.ndarray, w: dict[str, np.ndarray]) -> np.ndarray:
+        """Sums (label, window) of the probabilities of the kept bytes; windows come with the longest first."""
+        length = np.fromiter(map(len, group), np.int64, len(group))
+        t, n, s = int(length[0]), len(group), STATE
+        x = np.frombuffer(b"".join(b.ljust(t, b"\0") for b in group), np.uint8).reshape(n, t).T.copy()
+        live = [int(m) for m in np.searchsorted(-length, -np.arange(t), side="left")]
+        states = np.empty((t, s, n), np.float32)
+        a, b = np.empty((3 * s, n), np.float32), np.empty((3 * s, n), np.float32)
+
+        def step(d: str, i: int, h: np.ndarray, m: int) -> np.ndarray:
+            gate, new = (a, b) if m == n else (a[:, :m], b[:, :m])
+            if m == n:
+                np.take(w[f"x{d}"], x[i], axis=1, out=a, mode="clip")
+                np.matmul(w[f"u{d}"], h, out=b)
+            else:
+                gate[:], new[:] = w[f"x{d}"][:, x[i, :m]], w[f"u{d}"] @ h[:, :m]
+            zr, c = gate[: 2 * s], new[2 * s :]
+            zr += new[: 2 * s]
+            np.tanh(zr, out=zr)
+            zr += 1
+            c *= zr[s:]
+            c += gate[2 * s :]
+            np.tanh(c, out=c)
+            c -= h[:, :m]
+            c *= zr[:s]
+            c *= 0.5
+            c += h[:, :m]
+            return c
+
+        h = np.zeros((s, n), np.float32)
+        for i in range(t):
+            h[:, : live[i]] = step("f", i, h, live[i])
+            states[i] = h
+        h, total = np.zeros((s, n), np.float32), np.zeros((len(self.labels), n))
+        for i in range(t - 1, -1, -1):
+            m = live[i]
+            h[:, :m] = step("b", i, h, m)
+            e = w["of"] @ states[i, :, :m] + w["ob"] @ h[:, :m] + w["bias"]
+            np.exp(e - e.max(0), out=e)
+            e *= ((kept[0, :m] <= i) & (i < kept[1, :m])) / e.sum(0)
+            total[:, :m] += e
+        return total
+
     def _gradient(self, x: np.ndarray, length: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         on = (np.arange(len(x))[:, None] < length).astype(np.float32)
         kept: dict[str, list] = {"f": [], "b": []}
@@ -109,6 +184,7 @@ class Recurrent:
         below, s = slope @ self.p["o"].T, STATE
         for d, part in (("f", below[..., :s]), ("b", below[..., s:])):
             u, back = self.p[f"u{d}"], np.zeros((x.shape[1], s), np.float32)
+            seen, below_x = [], []
             for i, before, z, r, c, uc in reversed(kept[d]):
                 back = back + part[i]
                 gate = on[i][:, None]
@@ -116,13 +192,16 @@ class Recurrent:
                 dc = back * gate * z * (1 - c * c)
                 dr = dc * uc * r * (1 - r)
                 inner = np.concatenate([dz, dr, dc], 1)
-                np.add.at(g[f"x{d}"], x[i], inner)
+                seen.append(x[i])
+                below_x.append(inner)
                 recurrent = np.concatenate([dz, dr, dc * r], 1)
                 g[f"u{d}"] += before.T @ recurrent
                 back = back * (1 - gate * z) + recurrent @ u.T
+            at, inner = np.concatenate(seen), np.concatenate(below_x)
+            g[f"x{d}"][:] = np.stack([np.bincount(at, column, 256) for column in inner.T], 1)
         return g
 
-    def train(self, group: list[bytes], y: np.ndarray, *, epochs: int = 12, batch: int = 256, rate: float = 0.02, seed: int = 5):
+    def train(self, group: list[bytes], y: np.ndarray, *, epochs: int = 6, batch: int = 128, rate: float = 0.02, seed: int = 5):
         draw = np.random.RandomState(seed)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -171,29 +250,27 @@ def fit(
     modulus: int = 4,
     held_out: int = 2,
     max_rows: int = 2000,
+    per_document: int = 8,
+    stretch: int = 64,
+    max_stretches: int = 4096,
 ) -> Recurrent | None:
-    """Learn from at most ``max_rows`` documents outside the held-out fold, dealt evenly over the languages, and from at most LEARNED of
-    their windows; a task sends back at most 40 windows of a document, spread over all of it."""
-    small_batches(docs.sparkSession)
+    """Learn from documents outside the held-out fold, within the bounds that the parameters name."""
     rows = learnable(
         docs, lang_col=lang_col, id_col=id_col, text_col=text_col, modulus=modulus, held_out=held_out, max_rows=max_rows
     )
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for doc, text, lang in zip(pdf["id"], pdf["text"], pdf["lang"]):
-                found = [w for w in dict.fromkeys(windows(_word.findall(text or ""))) if len(w) > 2]
-                out.append((doc, lang, [found[i] for i in np.unique(np.linspace(0, len(found) - 1, 40).astype(int))] if found else []))
-            yield pd.DataFrame(out, columns=["id", "lang", "found"])
+            found = [stretches(t.encode("utf-8", "replace"), stretch, per_document) if has_letter(t) else [] for t in pdf["text"]]
+            yield pd.DataFrame({"id": pdf["id"], "lang": pdf["lang"], "found": found})
 
     named = rows.select(F.col("id").cast("string").alias("id"), "text", "lang")
     got = sorted(named.mapInPandas(draw, "id string, lang string, found array<binary>").collect(), key=lambda r: (r.id, r.lang))
-    labels = sorted({r.lang for r in got if r.found})
+    labels = sorted({r.lang for r in got if len(r.found)})
     if not labels:
         return None
     by: dict[str, list[bytes]] = {k: [bytes(w) for r in got if r.lang == k for w in r.found] for k in labels}
-    pick, share = np.random.RandomState(3), LEARNED // len(labels) + 1
+    pick, share = np.random.RandomState(3), max_stretches // len(labels) + 1
     group, y = [], []
     for i, k in enumerate(labels):
         own = by[k] if len(by[k]) <= share else [by[k][j] for j in pick.choice(len(by[k]), share, replace=False)]
@@ -203,33 +280,16 @@ def fit(
 
 def identify(docs: DataFrame, model: Recurrent | None, *, text_col: str = "text", out: str = "language") -> DataFrame:
     """docs with a struct column ``out``: lang, and score, its pooled probability."""
-    small_batches(docs.sparkSession, 1024)
 
     @F.pandas_udf("lang string, score double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        number: dict[str, int] = {}  # by word
-        sums = np.zeros((0, len(model.labels) + 1)) if model else None
-        for texts in batches:
-            lang, score = ["und"] * len(texts), [0.0] * len(texts)
-            if model is not None:
-                if len(number) > 300_000:
-                    number, sums = {}, sums[:0]
-                documents = [_word.findall(t) if t and _letter.search(t) else [] for t in texts]
-                new = list({w for d in documents for w in d}.difference(number))
-                number.update(zip(new, range(len(number), len(number) + len(new))))
-                if new:
-                    parts = [windows([w]) for w in new]
-                    size = np.fromiter((sum(map(len, p)) for p in parts), float, len(parts))
-                    owner = np.repeat(np.arange(len(parts)), list(map(len, parts)))
-                    pooled = model.pooled([b for p in parts for b in p])
-                    rows = np.stack([np.bincount(owner, c, len(parts)) for c in pooled.T] + [size], 1)
-                    sums = np.concatenate([sums, rows])
-                for i, words in enumerate(documents):
-                    if words:
-                        total = sums[np.fromiter(map(number.__getitem__, words), np.int64, len(words))].sum(0)
-                        p = total[:-1] / total[-1]
-                        lang[i], score[i] = model.labels[int(p.argmax())], float(min(p.max(), 1.0))
-            yield pd.DataFrame({"lang": lang, "score": score})
+    def run(texts: pd.Series) -> pd.DataFrame:
+        lang, score = ["und"] * len(texts), [0.0] * len(texts)
+        if model is not None:
+            read = [(i, t.encode("utf-8", "replace")) for i, t in enumerate(texts) if has_letter(t)]
+            for part in slices([d for _, d in read]):
+                for (i, _), p in zip(read[part], model.pooled([d for _, d in read[part]])):
+                    lang[i], score[i] = model.labels[int(p.argmax())], float(min(p.max(), 1.0))
+        return pd.DataFrame({"lang": lang, "score": score})
 
     return docs.withColumn(out, run(F.col(text_col)))
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, small_batches, training_rows
+from tidemark.llm.common import WORD, training_rows
 
 _word = re.compile(WORD)
 _symbol = re.compile(r"[#*$%&|<>]")
@@ -163,7 +163,6 @@ def fit(
     docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id", max_rows: int = 1500, max_lines: int = 400
 ) -> LineModel:
     """Train on at most ``max_rows`` labelled documents of at most ``max_lines`` lines."""
-    small_batches(docs.sparkSession)
     rows = training_rows(docs, labels, label_col, id_col=id_col, modulus=1, held_out=-1, max_rows=max_rows)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,7 +186,6 @@ def fit(
 def annotate(docs: DataFrame, model: LineModel, *, text_col: str = "text", keep_share: float = 0.5, out: str = "rules") -> DataFrame:
     """docs with a struct column ``out``: the base counts, the line labels (0 content, 1 boilerplate, one
     for each line with a word), the content share of the words, and the verdicts."""
-    small_batches(docs.sparkSession)
     fields = (
         "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "base_failed boolean, labels array<tinyint>, content_share double, kept boolean"

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, ranked, small_batches
+from tidemark.llm.common import materialize, ranked
 
 END, CAPACITY = 0, 2048
 
@@ -71,7 +71,6 @@ def pieces(
     keep_ids: bool = False,
 ) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, and the ids themselves if asked for."""
-    small_batches(docs.sparkSession)
     schema = "id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

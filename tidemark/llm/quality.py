@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, crc_mod, small_batches, training_rows
+from tidemark.llm.common import WORD, crc_mod, training_rows
 
 _word = re.compile(WORD)
 _symbols, _letters, _upper, _digits = (
@@ -190,7 +190,6 @@ def fit(
     max_rows: int = 6000,
 ) -> Additive:
     """Fit on at most ``max_rows`` labelled rows whose crc32(id) mod ``modulus`` isn't ``held_out``."""
-    small_batches(docs.sparkSession)
     rows = training_rows(
         docs, labels, label_col, id_col=id_col, modulus=modulus, held_out=held_out, max_rows=max_rows
     )
@@ -209,7 +208,6 @@ def fit(
 
 def score(docs: DataFrame, model: Additive, *, text_col: str = "text", out: str = "quality_score") -> DataFrame:
     """docs with a column ``out``: the probability of label 1."""
-    small_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, crc_mod, small_batches, training_rows
+from tidemark.llm.common import WORD, crc_mod, training_rows
 
 _word = re.compile(WORD)
 _edge = re.compile(r"^\W+|\W+$")
@@ -206,7 +206,6 @@ def fit(
     max_rows: int = 6000,
 ) -> dict:
     """Fit on at most ``max_rows`` labelled rows whose crc32(id) mod ``modulus`` isn't ``held_out``."""
-    small_batches(docs.sparkSession)
     sample = training_rows(
         docs, labels, label_col, id_col=id_col, modulus=modulus, held_out=held_out, max_rows=max_rows
     ).persist()
@@ -269,7 +268,6 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def score(docs: DataFrame, model: dict, *, text_col: str = "text", out: str = "toxicity") -> DataFrame:
     """docs with a struct column ``out``: score, and passages (start and end in code points, bits)."""
-    small_batches(docs.sparkSession)
 
     @F.pandas_udf("score double, passages array<struct<start:int,end:int,bits:double>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
