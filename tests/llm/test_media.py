@@ -35,3 +35,35 @@ def test_cuts_follow_content():
     for x in (a, b, b"\0" * 64, b"z" * 50_000):
         parts = media.chunks(x)
         assert b"".join(parts) == x and all(len(p) <= media.MOST for p in parts)
+
+
+def test_equal_rows_store_their_chunks_once(spark):
+    shared = data.prose(900, 5)
+    rows = [data.row(7, shared)] * 300 + [data.row(None, shared)] * 200 + [data.row(None, "")] * 400 + [data.row(8, data.prose(50, 9))]
+    docs = data.frame(spark, rows)
+    stored = media.store(docs)
+    digests = {media.digest(c) for t in (shared, "") for c in media.chunks(media.payload_of(t))}
+    kinds = {r["kind"]: r["n"] for r in stored.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert kinds == {"chunk": len(digests), "mixed": 2, "copy": 900, "local": 1}
+    out = media.read(stored)
+    assert out.count() == 901 and out.select("payload_sha256").distinct().count() == 3
+
+
+def test_a_changed_chunk_is_found(spark):
+    import pytest
+
+    stored = media.store(data.frame(spark, [data.row(1, data.prose(80, 1)), data.row(2, data.prose(80, 2))]))
+    swapped = stored.withColumn("header", F.lit(media.encode(b"\1" * 64)[:44]))
+    with pytest.raises(Exception, match="differs from its digest"):
+        media.read(swapped).collect()
+
+
+def test_hot_join_is_a_join(spark):
+    from tidemark.llm.common import hot_join
+
+    left = spark.range(3000).select(F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 900).alias("k"), "id")
+    right = left.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top")).where("k % 3 = 0")
+    for parts in (10, 1000):
+        got = hot_join(left, right, "k", times="n", total=3000, parts=parts)
+        assert got.columns == ["k", "id", "top"]
+        assert got.exceptAll(left.join(right.drop("n"), "k")).count() == 0 and got.count() == left.join(right, "k").count()

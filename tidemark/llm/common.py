@@ -89,6 +89,15 @@ def slices(texts: Sequence[str | None], size: int = 4 << 20) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def hot_join(left: DataFrame, right: DataFrame, key: str, *, times: str, total: int, parts: int = 1000) -> DataFrame:
+    """Inner join of left with right, which has one row a key and in ``times`` the number of left's rows with that key;
+    ``total`` is the number of left's rows. Keys with more than a part of the total, less than ``parts`` of them, are
+    broadcast; the others are shuffled, none of which has more than a part. ``times`` is left out."""
+    hot = F.broadcast(right.where(F.col(times) * parts > total).drop(times))
+    rest = right.where(F.col(times) * parts <= total).drop(times)
+    return left.join(hot, key).unionByName(left.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key))
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
     """Number the rows of each key from 1 along ``order``, without bringing a key into one task.
 

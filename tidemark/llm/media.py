@@ -1,25 +1,27 @@
 """Media columns with content-defined chunks.
 
 A text becomes a payload (its UTF-8 bytes, padded with bytes 0 to a positive multiple of 64), the
-payload the samples of an 8-bit mono WAV file. Payloads are cut where a rolling gear hash over 32
-bytes hits a mask, so equal stretches get equal chunks wherever they stand. Chunks that occur once
-in the corpus lie with their document; chunks that occur more often are found by joins on their
-digests and stored once. The store (a table in the shared folder) has
+payload the samples of an 8-bit mono WAV file. The stored form is that file: its header, the digest of all of it, and
+its samples cut where a rolling gear hash over 32 bytes hits a mask, so equal stretches get equal chunks wherever
+they stand. Chunks that occur once in the corpus lie with their document; chunks that occur more often are found by
+joins on their digests and stored once, whatever number of rows, of equal ids or of no id, has them. The store (a
+table in the shared folder) has
 
 - ``local`` rows: a document all of whose chunks are its own,
-- ``mixed`` rows: a document with chunks that others share: its list and its own chunks,
-- ``copy`` rows: another document of an equal text,
-- ``chunk`` rows: a shared chunk.
+- ``mixed`` rows: a text with chunks that occur elsewhere, in a copy of it too: header, list and its own chunks,
+- ``copy`` rows: a document that has such a text,
+- ``chunk`` rows: a shared chunk, of the text with the least digest among those that have it.
 
-Reading takes the ordered chunk lists, fetches shared chunks by a join, checks every digest, and
-rebuilds the file; features are computed from the samples of the file that was read.
+Reading takes the ordered chunk lists, fetches shared chunks by a join, checks every chunk and the file's digest,
+and reads the samples back from the file; features are computed from these.
 
-Documents meet the list of shared chunks by a broadcast join while that list is proven to be small
-(``broadcast_rows``), and by a shuffle join beyond; the result is the same.
+Hot chunks and hot texts: keys with more than a thousandth of the rows, of which there are less than a thousand, meet
+their rows by a broadcast; all others by a shuffle (``hot_join``). Documents meet the list of shared texts, 16 bytes a row,
+by a broadcast while it has at most ``broadcast_rows`` rows, beyond by a shuffle; the result is the same.
 
 Defined results: null texts are empty texts; an empty text is 64 bytes 0; equal texts have equal
-values; null ids are kept; repeated rows give repeated results; other columns are ignored; an empty
-table gives no rows.
+values; null ids are kept; ids must be numbers (others fail the cast to long); repeated rows give repeated results; other
+columns are ignored, whatever their names; a very long text is one payload in one task; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import hot_join, materialize, slices
 
 BLOCK, RATE = 64, 8000
 LEAST, MASK_BITS, MOST = 512, 11, 8192
@@ -108,72 +110,78 @@ def _sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("text_digest"), text.alias("text"))
 
 
-def shared_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text_digest, first_id, shared, own) of the texts with chunks that occur more than once:
-    positions of those chunks, and of those that this text's first document stores."""
+def chunk_lists(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text_digest, chunks) of every document: the digests of its chunks in order."""
 
     def list_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [list(map(digest, chunks(payload_of(t)))) for t in pdf["text"]]
-            yield pd.DataFrame({"id": pdf["id"], "text_digest": pdf["text_digest"], "chunks": found})
+            for part in slices(pdf["text"]):
+                rows = pdf.iloc[part]
+                found = [list(map(digest, chunks(payload_of(t)))) for t in rows["text"]]
+                yield pd.DataFrame({"id": rows["id"], "text_digest": rows["text_digest"], "chunks": found})
 
-    lists = materialize(_sources(docs, id_col, text_col).mapInPandas(list_chunks, "id long, text_digest binary, chunks array<binary>"))
-    texts = lists.groupBy("text_digest").agg(
-        F.min("id").alias("first_id"), F.count("*").alias("copies"), F.first("chunks").alias("chunks")
-    )
-    places = materialize(texts.select("text_digest", "first_id", "copies", F.posexplode("chunks").alias("seq", "chunk")))
+    return materialize(_sources(docs, id_col, text_col).mapInPandas(list_chunks, "id long, text_digest binary, chunks array<binary>"))
+
+
+def shared_chunks(lists: DataFrame) -> DataFrame:
+    """(text_digest, shared, own) of the texts with chunks that occur more than once: positions of those chunks, and of
+    those that this text stores."""
+    texts = lists.groupBy("text_digest").agg(F.count("*").alias("copies"), F.first("chunks").alias("chunks"))
+    places = materialize(texts.select("text_digest", "copies", F.posexplode("chunks").alias("seq", "chunk")))
     at = F.struct("text_digest", "seq")
-    often = (
-        places.groupBy("chunk")
-        .agg(F.sum("copies").alias("times"), F.min(at).alias("owner"))
-        .where("times > 1")
-    )
-    return (
-        places.join(often, "chunk")
+    often = places.groupBy("chunk").agg(F.sum("copies").alias("times"), F.count("*").alias("n"), F.min(at).alias("owner")).where("times > 1")
+    return materialize(
+        hot_join(places, often, "chunk", times="n", total=places.count())
         .groupBy("text_digest")
-        .agg(
-            F.min("first_id").alias("first_id"),
-            F.sort_array(F.collect_list("seq")).alias("shared"),
-            F.sort_array(F.collect_list(F.when(at == F.col("owner"), F.col("seq")))).alias("own"),
-        )
+        .agg(F.sort_array(F.collect_list("seq")).alias("shared"), F.sort_array(F.collect_list(F.when(at == F.col("owner"), F.col("seq")))).alias("own"))
     )
 
 
 STORED = (
-    "kind string, id long, text_digest binary, n_bytes long, "
+    "kind string, id long, text_digest binary, n_bytes long, header binary, media_digest binary, "
     "listed array<struct<digest:binary,length:int,shared:boolean>>, digest binary, data binary"
 )
+LISTED = "array<struct<digest:binary,length:int,shared:boolean>>"
 
 
-def store(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
-    """Write the store and return it as read back."""
-    known = materialize(shared_chunks(docs, id_col=id_col, text_col=text_col))
-    if known.count() <= broadcast_rows:  # about 100 bytes a row
-        known = F.broadcast(known)
-    rows = _sources(docs, id_col, text_col).join(known, "text_digest", "left")
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=3)
-        for pdf in batches:
+def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Stored rows of (id, text_digest, text, shared, own)."""
+    press, names = zstandard.ZstdCompressor(level=3), [c.split()[0] for c in STORED.split(", ")]
+    for pdf in batches:
+        for part in slices(pdf["text"]):
             out = []
-            for doc, name, text, first, shared, own in zip(
-                pdf["id"], pdf["text_digest"], pdf["text"], pdf["first_id"], pdf["shared"], pdf["own"]
-            ):
-                if shared is None:
-                    shared, own = (), ()
-                elif not (doc == first or pd.isna(doc) and pd.isna(first)):
-                    out.append(("copy", doc, name, None, None, None, None))
-                    continue
-                parts, common, mine = chunks(payload_of(text)), set(shared), set(own)
+            for doc, name, text, shared, own in pdf.iloc[part][["id", "text_digest", "text", "shared", "own"]].itertuples(index=False, name=None):
+                payload, common = payload_of(text), set(() if shared is None else shared)
+                media, parts = encode(payload), chunks(payload)
                 listed = [{"digest": digest(p), "length": len(p), "shared": i in common} for i, p in enumerate(parts)]
                 data = press.compress(b"".join(p for i, p in enumerate(parts) if i not in common))
-                size = len(text.encode("utf-8", "replace"))
-                out.append(("mixed" if common else "local", doc, name, size, listed, None, data))
-                out += [("chunk", None, None, None, None, listed[i]["digest"], press.compress(parts[i])) for i in sorted(mine)]
-            frame = pd.DataFrame(out, columns=["kind", "id", "text_digest", "n_bytes", "listed", "digest", "data"])
-            yield frame.astype({"id": "Int64", "n_bytes": "Int64"})
+                head = (media[: len(media) - len(payload)], hashlib.sha256(media).digest())
+                out.append(("mixed" if common else "local", doc, name, len(text.encode("utf-8", "replace")), *head, listed, None, data))
+                out += [("chunk", None, None, None, None, None, None, listed[i]["digest"], press.compress(parts[i])) for i in sorted(() if own is None else own)]
+            yield pd.DataFrame(out, columns=names).astype({"id": "Int64", "n_bytes": "Int64"})
+
 
-    return materialize(rows.mapInPandas(write, STORED), partition_by="kind", codec="uncompressed")  # it is compressed already
+def store(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
+    """Write the store and return it as read back."""
+    lists = chunk_lists(docs, id_col=id_col, text_col=text_col)
+    known = shared_chunks(lists)
+    digests, rows, key = known.select("text_digest"), _sources(docs, id_col, text_col), ["text_digest"]
+    if known.count() <= broadcast_rows:  # 16 bytes a row, about 100 in memory
+        digests = F.broadcast(digests)
+    else:  # a text may be a third of all rows: its rows are dealt by their place
+        rows, key = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(16)).cast("int")), ["text_digest", "salt"]
+        digests = digests.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    none = F.lit(None).cast("array<int>")
+    local = rows.join(digests, key, "left_anti").select("id", "text_digest", "text", none.alias("shared"), none.alias("own"))
+    # each text once: equal ones are reduced to one before they are dealt
+    texts = rows.join(digests, key, "left_semi").groupBy("text_digest").agg(F.first("text").alias("text"))
+    mixed = texts.join(known, "text_digest").select(F.lit(None).cast("long").alias("id"), "text_digest", "text", "shared", "own")
+    empty = {c: F.lit(None).cast(t) for c, t in (x.split(" ", 1) for x in STORED.split(", "))}
+    copies = lists.select("id", "text_digest").join(
+        F.broadcast(known.select("text_digest")) if known.count() <= broadcast_rows else known.select("text_digest"), "text_digest", "left_semi"
+    ).withColumns({**{c: v for c, v in empty.items() if c not in ("id", "text_digest")}, "kind": F.lit("copy")})
+    whole = local.mapInPandas(_write, STORED).unionByName(mixed.mapInPandas(_write, STORED)).unionByName(copies)
+    return materialize(whole, partition_by="kind", codec="uncompressed")  # it is compressed already
 
 
 MEASURED = (
@@ -187,13 +195,13 @@ def measured(row: Column) -> Column:
 
 
 def _measure(frame: pd.DataFrame) -> pd.DataFrame:
-    """Rebuild the file of each row from its list (``listed``), its own chunks (``data``) and the fetched ones
-    (``fetched``: seq, data), check every chunk, read the samples back, and measure them."""
+    """Rebuild the file of each row from its header, its list (``listed``), its own chunks (``data``) and the fetched ones
+    (``fetched``: seq, data), check every chunk and the file, read the samples back, and measure them."""
     unpress = zstandard.ZstdDecompressor()
     rows = []
-    for listed, data, fetched in zip(frame["listed"], frame["data"], frame["fetched"]):
+    for header, name, listed, data, fetched in zip(frame["header"], frame["media_digest"], frame["listed"], frame["data"], frame["fetched"]):
         got = {int(f["seq"]): unpress.decompress(f["data"]) for f in fetched}
-        own, at, parts = unpress.decompress(data), 0, []
+        own, at, parts = unpress.decompress(data), 0, [header]
         for i, c in enumerate(listed):
             if c["shared"]:
                 part = got[i]
@@ -202,11 +210,11 @@ def _measure(frame: pd.DataFrame) -> pd.DataFrame:
             if digest(part) != bytes(c["digest"]):
                 raise ValueError("a stored chunk differs from its digest")
             parts.append(part)
-        media = encode(b"".join(parts))
+        media = b"".join(parts)
+        if (found := hashlib.sha256(media)).digest() != bytes(name):
+            raise ValueError("a rebuilt file differs from its digest")
         back = decode(media)
-        rows.append(
-            (len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), describe(back))
-        )
+        rows.append((len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-BLOCK:]), len(media), found.hexdigest(), describe(back)))
     return pd.DataFrame(rows, columns=[c.split()[0] for c in MEASURED.split(", ")])
 
 
@@ -216,40 +224,25 @@ def read(stored: DataFrame) -> DataFrame:
     names = [c.split()[0] for c in MEASURED.split(", ")]
     local = (
         stored.where("kind = 'local'")
-        .select("id", "n_bytes", measured(F.struct("listed", "data", nothing.alias("fetched"))).alias("m"))
+        .select("id", "n_bytes", measured(F.struct("header", "media_digest", "listed", "data", nothing.alias("fetched"))).alias("m"))
         .select("id", "n_bytes", *(f"m.{c}" for c in names))
     )
     mixed = stored.where("kind = 'mixed'")
     wanted = mixed.select("text_digest", F.posexplode("listed").alias("seq", "c")).where("c.shared").select(
         "text_digest", "seq", F.col("c.digest").alias("digest")
     )
-    shared = stored.where("kind = 'chunk'").select("digest", "data")
-    fetched = wanted.join(shared, "digest").select(
-        "text_digest", "seq", "data", F.lit(None).cast("long").alias("n_bytes"),
-        F.lit(None).cast("array<struct<digest:binary,length:int,shared:boolean>>").alias("listed"),
-    )
-    own = mixed.select("text_digest", F.lit(-1).alias("seq"), "data", "n_bytes", "listed")
+    shared = stored.where("kind = 'chunk'").select("digest", "data").join(wanted.groupBy("digest").agg(F.count("*").alias("n")), "digest")
+    fetched = hot_join(wanted, shared, "digest", times="n", total=wanted.count())
+    chunks_of = fetched.groupBy("text_digest").agg(F.collect_list(F.struct("seq", "data")).alias("fetched"))
     whole = (
-        fetched.unionByName(own)
-        .groupBy("text_digest")
-        .agg(
-            F.max("n_bytes").alias("n_bytes"),
-            F.first("listed", ignorenulls=True).alias("listed"),
-            F.collect_list(F.struct("seq", "data")).alias("all"),
-        )
-        .select(
-            "text_digest", "n_bytes",
-            measured(
-                F.struct(
-                    "listed",
-                    F.element_at(F.filter("all", lambda x: x["seq"] == -1), 1)["data"].alias("data"),
-                    F.filter("all", lambda x: x["seq"] >= 0).alias("fetched"),
-                )
-            ).alias("m"),
-        )
+        mixed.select("text_digest", "n_bytes", "header", "media_digest", "listed", "data")
+        .join(chunks_of, "text_digest")
+        .select("text_digest", "n_bytes", measured(F.struct("header", "media_digest", "listed", "data", "fetched")).alias("m"))
         .select("text_digest", "n_bytes", *(f"m.{c}" for c in names))
-    )
-    other = stored.where("kind in ('mixed', 'copy')").select("id", "text_digest").join(whole, "text_digest").drop("text_digest")
+    )
+    rows = stored.where("kind = 'copy'").select("id", "text_digest")
+    counted = materialize(whole.join(rows.groupBy("text_digest").agg(F.count("*").alias("n")), "text_digest"))
+    other = hot_join(rows, counted, "text_digest", times="n", total=rows.count()).select("id", "n_bytes", *names)
     return local.unionByName(other)
 
 
