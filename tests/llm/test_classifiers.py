@@ -193,3 +193,45 @@ def test_edges_of_the_classifiers(spark):
     void = data.empty(spark)
     assert toxicity.score(void, tox).count() == 0 and quality.score(void, good).count() == 0 and toxicity.clean_only(void, tox).count() == 0
     assert toxicity.held_out("doc_id") is not None and docs.where(quality.held_out("doc_id").isNull()).count() == 0
+
+
+def test_line_labels_and_verdict_match_brute_force(spark):
+    import itertools
+
+    r = random.Random(8)
+    kinds = ("{w}.", "{w} | {w} | {w}", "$$ {w} %%", "WIN {w}!!! !!! !!!", "{w} {w} {w} {w}")
+    texts = ["\n".join(r.choice(kinds).format(w=data.prose(r.randint(4, 25), 40 * i + k)) for k in range(r.randint(1, 5))) for i in range(60)]
+    model = line_labels.LineModel()
+    model.emit += np.random.RandomState(1).normal(0, 0.3, model.emit.shape)
+    rows = [data.row(i, t) for i, t in enumerate(texts)]
+    for got in line_labels.annotate(data.frame(spark, rows), model).collect():
+        lines = [x for x in got["text"].split("\n") if x.split()]
+        x = line_labels.document_features(line_labels.split_lines(got["text"])) @ model.emit
+        if len(lines) <= 12:
+            value = lambda p: sum(x[t, k] for t, k in enumerate(p)) + sum(model.move[a, b] for a, b in zip(p, p[1:]))
+            assert tuple(got["rules"]["labels"]) == max(itertools.product((0, 1), repeat=len(lines)), key=value)
+        sizes = [len(line.split()) for line in lines]
+        content = sum(n for n, k in zip(sizes, got["rules"]["labels"]) if k == 0)
+        assert abs(got["rules"]["content_share"] - content / sum(sizes)) < 1e-12
+        assert got["rules"]["kept"] == (not got["rules"]["base_failed"] and 2 * content >= sum(sizes))
+
+
+def test_latent_line_labels_keep_half_of_the_document_label():
+    r = np.random.RandomState(0)
+    bad_line = np.zeros(len(line_labels.LINE_FEATURES))
+    bad_line[[0, line_labels.LINE_FEATURES.index("pipes")]] = 1
+    good_line = np.zeros_like(bad_line)
+    good_line[[0, line_labels.LINE_FEATURES.index("ends_stop")]] = 1
+    make = lambda share, n: np.array([bad_line if r.rand() < share else good_line for _ in range(n)])
+    model = line_labels.train([(make(0.0, 12), 0) for _ in range(60)] + [(make(0.7, 12), 1) for _ in range(40)] + [(np.zeros((0, len(bad_line))), 1)])
+    assert not model.decode(np.array([good_line] * 8)).any() and model.decode(np.array([bad_line] * 8)).all()
+    y = line_labels._latent(make(0.0, 9), 1, model)
+    assert y.sum() == 5  # of a bad document, half of the lines at least stay bad
+
+
+def test_a_long_labelled_text_is_learned_from(spark):
+    long = "\n".join("a | b | c | d" for _ in range(5000))
+    rows = [data.row(0, long), data.row(1, data.prose(400, 1)), data.row(3, data.prose(300, 2))]
+    model = line_labels.fit(data.frame(spark, rows), data.labels(spark, [(0, 0, 0), (1, 1, 0), (3, 1, 0)]))
+    pipes = line_labels.LINE_FEATURES.index("pipes")
+    assert model.emit[pipes, 1] > model.emit[pipes, 0]

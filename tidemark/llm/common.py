@@ -78,7 +78,7 @@ def training_rows(
 
 def slices(texts: Sequence[str | None], size: int = 4 << 20) -> Iterator[slice]:
     """Stretches of a batch of at most ``size`` characters, or of one text, so that what a task makes of them at once
-    stays small. (Spark bounds an Arrow batch itself by spark.sql.execution.arrow.maxBytesPerBatch.)"""
+    stays small. (An application bounds the batches themselves: ``bound_batches``.)"""
     start = total = 0
     for i, t in enumerate(texts):
         if i > start and total + len(t or "") > size:
@@ -89,6 +89,16 @@ def slices(texts: Sequence[str | None], size: int = 4 << 20) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Bound the bytes of an Arrow batch of this session, where nobody has: Spark's own bound, 64 MB, asks for more memory
+    than small executors have. For applications (the queries, the pipeline's stages); operators set no options."""
+    if spark.conf.get(BATCH_BYTES) in ("67108864b", "64MB"):
+        spark.conf.set(BATCH_BYTES, size)
+
+
 def hot_join(left: DataFrame, right: DataFrame, key: str, *, times: str, total: int, parts: int = 1000) -> DataFrame:
     """Inner join of left with right, which has one row a key and in ``times`` the number of left's rows with that key;
     ``total`` is the number of left's rows. Keys with more than a part of the total, less than ``parts`` of them, are

@@ -5,13 +5,19 @@ that passes them goes to the line labeller: every line with a word is described
 features, a trained linear-chain CRF decodes the best sequence of content and boilerplate (Viterbi),
 and the document stays if at least ``keep_share`` of its words stand in content lines.
 
-The CRF is trained in numpy by gradient ascent on the exact conditional likelihood
-(forward-backward) over a bounded sample of labelled documents (``max_rows``): lines of good
-documents are content, lines of bad documents that show a defect, and repeats of an earlier line,
-are boilerplate. Without labelled rows it keeps fixed starting weights.
+The CRF is trained in numpy by gradient ascent on the exact conditional likelihood (forward-backward). Nobody
+has labelled lines, only documents; so the line labels are latent. To begin with every line has its document's
+label (content in good ones, boilerplate in bad ones); then, ``rounds`` times, the model that these labels give decodes the
+lines anew, under the constraint that at least half of a document's lines keep the document's label (those for
+which the model is surest), and is trained on what it found. No rule over the features names a label.
+
+Bounds of the fit, all parameters: ``max_rows`` labelled documents outside the held-out fold, and of each at most ``stretches``
+stretches of ``stretch`` lines, spread over all of it. Without labelled rows of both kinds the model keeps fixed
+starting weights. Every text is read whole when lines are labelled.
 
 Defined results: null and empty texts have zero counts and fail the base rules; lines without a
-word take no label; repeated rows get the same result; other columns don't matter.
+word take no label; repeated rows get the same result; a column that is called as ``out`` is replaced, all others pass
+through; very long texts are read whole, one at a time; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, training_rows
+from tidemark.llm.common import WORD, crc_mod, training_rows
 
 _word = re.compile(WORD)
 _symbol = re.compile(r"[#*$%&|<>]")
@@ -81,10 +87,12 @@ def repeated_words(words: list[str]) -> int:
 
 
 class LineModel:
-    """Weights of a two-label linear-chain CRF."""
+    """Weights of a two-label linear-chain CRF: fixed ones to be used without labels, or zeros to be trained."""
 
-    def __init__(self):
-        self.emit = np.zeros((len(LINE_FEATURES), 2))
+    def __init__(self, *, zero: bool = False):
+        self.emit, self.move = np.zeros((len(LINE_FEATURES), 2)), np.zeros((2, 2))
+        if zero:
+            return
         for name in ("seen_before", "symbol_tenth", "pipes", "bangs", "shouting", "half_same_next", "few_distinct"):
             self.emit[LINE_FEATURES.index(name), BOILERPLATE] = 2.0
         self.emit[0, CONTENT] = 1.0
@@ -156,31 +164,62 @@ class LineModel:
         return emit, move
 
 
-DEFECTS = [LINE_FEATURES.index(x) for x in ("symbol_tenth", "pipes", "bangs", "shouting", "half_same_next", "few_distinct")]
+def _latent(x: np.ndarray, bad: int, model: LineModel) -> np.ndarray:
+    """Line labels of a document of a known label: as the model decodes them, but half of the lines at least keep the label."""
+    y = model.decode(x)
+    need = -(-len(y) // 2) - int((y == bad).sum())
+    if need > 0:
+        score = x @ model.emit
+        surest = np.argsort(-(score[:, bad] - score[:, 1 - bad]), kind="stable")
+        y[surest[y[surest] != bad][:need]] = bad
+    return y
+
+
+def train(documents: list[tuple[np.ndarray, int]], *, rounds: int = 2) -> LineModel:
+    """Train on (line features, 1 for a bad document) pairs, with latent line labels."""
+    model = LineModel()
+    documents = [(x, bad) for x, bad in documents if len(x)]
+    if len({bad for _, bad in documents}) < 2:
+        return model
+    labels = [np.full(len(x), bad) for x, bad in documents]
+    for k in range(rounds + 1):
+        if k:
+            labels = [_latent(x, bad, model) for x, bad in documents]
+        model = LineModel(zero=True).train([(x, y) for (x, _), y in zip(documents, labels)])
+    return model
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id", max_rows: int = 1500, max_lines: int = 400
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    label_col: str = "quality",
+    id_col: str = "doc_id",
+    modulus: int = 4,
+    held_out: int = 2,
+    max_rows: int = 1500,
+    stretch: int = 400,
+    stretches: int = 8,
 ) -> LineModel:
-    """Train on at most ``max_rows`` labelled documents of at most ``max_lines`` lines."""
-    rows = training_rows(docs, labels, label_col, id_col=id_col, modulus=1, held_out=-1, max_rows=max_rows)
+    """Train on labelled documents whose crc32(id) mod ``modulus`` isn't ``held_out``, within the bounds that the parameters name."""
+    rows = training_rows(docs, labels, label_col, id_col=id_col, modulus=modulus, held_out=held_out, max_rows=max_rows)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for text, label in zip(pdf["text"], pdf["label"]):
-                x = document_features(split_lines(text))
-                if 0 < len(x) <= max_lines:
-                    bad = x[:, DEFECTS].any(1) & (label == 0) | (x[:, LINE_FEATURES.index("seen_before")] > 0)
-                    out.append((x.astype("int8").tobytes(), bad.astype("int8").tobytes()))
-            yield pd.DataFrame(out, columns=["x", "y"])
-
-    got = rows.select("text", "label").mapInPandas(measure, "x binary, y binary").collect()
-    sequences = [
-        (np.frombuffer(r.x, "int8").reshape(-1, len(LINE_FEATURES)).astype(float), np.frombuffer(r.y, "int8").astype(int))
-        for r in sorted(got)
-    ]
-    return LineModel().train(sequences)
+                x = document_features(split_lines(text)).astype("int8")
+                starts = range(0, len(x), stretch)
+                for i in np.unique(np.linspace(0, len(starts) - 1, min(stretches, len(starts))).astype(int)) if len(x) else ():
+                    out.append((x[starts[i] : starts[i] + stretch].tobytes(), int(label == 0)))
+            yield pd.DataFrame(out, columns=["x", "bad"]).astype({"bad": "int64"})
+
+    got = sorted((bytes(r.x), r.bad) for r in rows.select("text", "label").mapInPandas(measure, "x binary, bad long").collect())
+    return train([(np.frombuffer(x, "int8").reshape(-1, len(LINE_FEATURES)).astype(float), bad) for x, bad in got])
+
+
+def held_out(id_col: str, modulus: int = 4, fold: int = 2):
+    return F.coalesce(crc_mod(id_col, modulus) == fold, F.lit(False))
 
 
 def annotate(docs: DataFrame, model: LineModel, *, text_col: str = "text", keep_share: float = 0.5, out: str = "rules") -> DataFrame:

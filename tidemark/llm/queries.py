@@ -7,7 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, licenses, line_labels, media, mixing, near_dedup, packing, quality, toxicity, url_filters
-from tidemark.llm.common import table
+from tidemark.llm import common
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    common.bound_batches(spark)
+    return common.table(spark, sf_dir, name)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
