@@ -14,26 +14,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import mixing, near_dedup, packing, quality, toxicity
-from tidemark.llm.common import materialize, table
+from tidemark.llm.common import bound_batches, materialize, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the toxicity threshold; null and empty texts have no evidence and stay."""
+    bound_batches(spark)
     return toxicity.clean_only(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score at least the quality threshold."""
+    bound_batches(spark)
     return quality.good_only(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class, the least id; rows without an id stay."""
+    bound_batches(spark)
     return near_dedup.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of the sources takes it, which may be not at all."""
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their places; null texts are empty, an empty table has no pieces."""
+    bound_batches(spark)
     return packing.pack(
         docs,
         vocabulary=public_tokenizers.path("byte_bpe_50k.json"),
