@@ -67,3 +67,54 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r["node"]: r["label"] for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_recall_on_planted_copies(spark):
+    """Copies at similarities around and above 0.8: of all links that brute force finds, none is parted."""
+    rows, groups = [], 50
+    for g in range(groups):
+        base = data.prose(120 + 10 * (g % 9), 1000 + g)
+        rows += [data.row(1000 * g + i, data.edited(base, 77 * g + i, 0.001 * (i % 24))) for i in range(24)]
+    got_rows = near_dedup.classes(data.frame(spark, rows, 5)).collect()
+    got = {r["doc_id"]: r["class_id"] for r in got_rows}
+    df = np.ones(near_dedup.SLOTS)
+    for r in rows:
+        df[list({near_dedup._slot(w) for w in near_dedup.words_of(r[1])})] += 1
+    cut = near_dedup.Shingles(np.log1p(len(rows) / np.maximum(df - 1, 1)) + 1.0)
+    sets, links, parted = {r[0]: cut(r[1]) for r in rows}, {}, 0
+    for g in range(groups):
+        own = [1000 * g + i for i in range(24)]
+        for a, b in itertools.combinations(own, 2):
+            s = near_dedup.weighted_jaccard(sets[a], sets[b])
+            if s >= 0.8:
+                links[a, b] = s
+                parted += got[a] != got[b]
+    assert len(links) > 3000 and sum(s < 0.85 for s in links.values()) > 300
+    assert parted == 0
+    assert all(got[i] // 1000 == i // 1000 for i in got)  # and no class joins two bases
+
+
+def test_texts_under_one_id_are_one_class(spark):
+    a, b, c = (data.prose(100, n) for n in (1, 2, 3))
+    docs = data.frame(spark, [data.row(3, b), data.row(5, a), data.row(5, b), data.row(6, c), data.row(None, a), data.row(7, a)])
+    got = sorted(str((r["doc_id"], r["class_id"])) for r in near_dedup.classes(docs).collect())
+    assert got == sorted(map(str, [(3, 3), (5, 3), (5, 3), (6, 6), (None, None), (7, 3)]))
+    kept = sorted(str(r["doc_id"]) for r in near_dedup.one_of_each(docs).collect())
+    assert kept == ["3", "6", "None"]
+
+
+def test_long_texts_in_one_group_are_compared_one_by_one(spark):
+    base = data.prose(20_000, 4)
+    rows = [data.row(i, data.edited(base, i, 0.01)) for i in range(40)]
+    got = near_dedup.classes(data.frame(spark, rows)).collect()
+    assert {r["class_id"] for r in got} == {0}
+    # in one process, as a worker has them: the sets of two texts at a time
+    cut = near_dedup.Shingles(np.ones(near_dedup.SLOTS))
+    assert sum(x.nbytes for x in cut(base)) * 2 < 2_000_000
+
+
+def test_agreement_bounds_what_is_verified():
+    assert near_dedup.least_agreement(64, 0.8) == 38
+    r = np.random.RandomState(1)
+    draws = r.binomial(64, 0.8, 200_000)
+    assert (draws < near_dedup.least_agreement(64, 0.8)).mean() < 2e-4

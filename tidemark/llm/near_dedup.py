@@ -2,29 +2,31 @@
 
 A text is a weighted set of five-word shingles: the weight is the shingle's count times the mean
 inverse document frequency of its words. (The frequency is that of the words: with the frequency of
-whole shingles, the shared shingles of a large group of copies would weigh next to nothing against
-an edited one, and pairs of a similarity of 0.9 would be lost.) Word frequencies are counted over
-all documents into 2**16 hashed slots.
+whole shingles, the shared shingles of a large group of near copies would weigh next to nothing against
+an edited one, and pairs of a similarity of 0.9 would be lost; README has the figures.) Word frequencies are
+counted over all different texts into 2**16 hashed slots.
 
-1. Equal texts collapse to one representative, the least id.
+1. Equal texts collapse to one, by digest, before anything else; the digest names a text throughout.
 2. Improved consistent weighted sampling gives every text ``bands * rows`` samples; the ``rows``
    samples of a band make a bucket key.
-3. In every bucket the member whose buckets are the fullest is the centre, and every other member is
-   verified against it by exact weighted Jaccard similarity. A centre with many members is salted.
-4. Links make components. Buckets that still hold several components are verified again, in blocks:
-   every member outside the bucket's main component against every member of another component whose
-   weight allows the similarity. So no link within a bucket is lost, and what is compared is what
-   transitivity couldn't settle.
+3. In every bucket the member whose buckets are the fullest is the centre, every other member is a candidate against it.
+4. Links make components. In buckets that still hold several components every member outside the bucket's main
+   component is compared with every member of another component whose weight allows the similarity. So no link within a
+   bucket is lost, and what is compared is what transitivity couldn't settle.
 5. Components over all links are the classes.
 
+Candidates are first compared by their samples (256 bytes a text): a share of agreeing samples far below the
+threshold (``SLACK`` standard deviations) ends it; the others are verified by exact weighted Jaccard similarity, one text
+against one at a time, so a task holds a few texts' shingles whatever the group.
+
 No bucket, partner or candidate is capped. Two texts of similarity s share a bucket with a chance of
 1 - (1 - s**rows)**bands: 0.9998 at 0.8.
 
 Defined results: null texts are empty texts; equal texts are always one class, empty ones included;
 texts of one to four words have one shingle, all their words; texts without words have none and only
-match equal ones; a null id gets a null class and is never dropped; rows that repeat an id are one
-document, and different texts under one id are in one class; extra columns don't matter; an empty
-table has no rows.
+match equal ones; a null id gets a null class and is never dropped, and texts that only null ids have link nothing; rows that
+repeat an id are one document: the texts under one id are of one class; ids must be numbers (others fail the cast to long);
+extra columns don't matter, whatever their names; texts of any length are read whole; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -39,10 +41,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import hot_join, materialize
 from tidemark.llm.components import components
 
-SLOTS, TABLE, MEMBERS, BLOCK = 1 << 16, 4096, 64, 128
+SLOTS, TABLE, MEMBERS, BLOCK, SLACK = 1 << 16, 4096, 64, 4096, 4.0
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -55,26 +57,27 @@ def _slot(word: bytes) -> int:
     return zlib.crc32(word) & (SLOTS - 1)
 
 
-def document_frequency(docs: DataFrame, *, text_col: str = "text") -> tuple[np.ndarray, int]:
-    """Documents by hashed word, over all documents, and their number. Each task adds up its own
-    first; the driver gets SLOTS sums at most."""
+def document_frequency(docs: DataFrame, *, text_col: str = "text", rows_col: str | None = None) -> tuple[np.ndarray, int]:
+    """Documents by hashed word, over all documents, and their number; a row stands for ``rows_col`` documents, or for one. Each
+    task adds up its own first; the driver gets SLOTS sums at most."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n, slots = np.zeros(SLOTS, np.int64), 0, {}
         for pdf in batches:
-            for text in pdf["text"]:
-                n += 1
+            for text, k in zip(pdf["text"], pdf["rows"]):
+                n += k
                 words = set(words_of(text))
                 if len(slots) > 500_000:
                     slots.clear()
                 for w in words.difference(slots):
                     slots[w] = _slot(w)
                 found = set(map(slots.__getitem__, words))
-                total[np.fromiter(found, np.int64, len(found))] += 1
+                total[np.fromiter(found, np.int64, len(found))] += k
         found = np.flatnonzero(total)
         yield pd.DataFrame({"slot": np.append(found, -1), "n": np.append(total[found], n)})
 
-    parts = docs.select(F.col(text_col).alias("text")).mapInPandas(count, "slot long, n long")
+    rows = F.col(rows_col) if rows_col else F.lit(1).cast("long")
+    parts = docs.select(F.col(text_col).alias("text"), rows.alias("rows")).mapInPandas(count, "slot long, n long")
     df, n = np.ones(SLOTS, np.float64), 0
     for slot, k in parts.groupBy("slot").agg(F.sum("n").alias("n")).collect():
         if slot < 0:
@@ -184,154 +187,195 @@ def band_keys(who: np.ndarray, level: np.ndarray, bands: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketch(docs: DataFrame, idf: np.ndarray, *, id_col: str, text_col: str, bands: int, rows: int, shingle: int) -> DataFrame:
-    """(id, digest, weight, keys): the digest of the text, its shingles' weight, and its bucket keys; none for a text
-    without words."""
-    sent = docs.sparkSession.sparkContext.broadcast(idf)  # SLOTS numbers, whatever the input
+def folded(who: np.ndarray, level: np.ndarray) -> bytes:
+    """Four bytes a sample; equal samples have equal ones."""
+    mixed = (who ^ (level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(32)).astype("<u4").tobytes()
+
+
+def sketch(texts: DataFrame, idf: np.ndarray, *, bands: int, rows: int, shingle: int) -> DataFrame:
+    """(digest, weight, samples, keys) of texts (digest, text): the weight of all shingles, the samples, and the bucket keys;
+    none of these for a text without words."""
+    sent = texts.sparkSession.sparkContext.broadcast(idf)  # SLOTS numbers, whatever the input
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cut, sample = Shingles(sent.value, shingle), Sampler(bands * rows)
         for pdf in batches:
-            keys, weights = [], []
-            for text in pdf["text"]:
+            out = []
+            for name, text in zip(pdf["digest"], pdf["text"]):
                 h, w = cut(text)
-                weights.append(float(w.sum()))
-                keys.append(band_keys(*sample(h, w), bands) if len(h) else np.zeros(0, np.int64))
-            yield pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "weight": weights, "keys": keys})
+                if len(h):
+                    who, level = sample(h, w)
+                    out.append((name, float(w.sum()), folded(who, level), band_keys(who, level, bands)))
+            yield pd.DataFrame(out, columns=["digest", "weight", "samples", "keys"])
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows_in = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
-    return rows_in.mapInPandas(run, "id long, digest binary, weight double, keys array<long>")
+    return texts.select("digest", "text").mapInPandas(run, "digest binary, weight double, samples binary, keys array<long>")
 
 
-def _verified(members: DataFrame, texts: DataFrame, idf: np.ndarray, *, shingle: int, threshold: float) -> DataFrame:
-    """Links (a, b) of similarity ``threshold`` or more between the sides of a group.
+def least_agreement(samples: int, threshold: float) -> int:
+    """Samples that a pair of similarity ``threshold`` agrees in, but for a chance of SLACK standard deviations."""
+    return max(1, int(samples * threshold - SLACK * math.sqrt(samples * threshold * (1 - threshold))))
 
-    members: (g1, g2, g3, node, side, comp); within a group (g1, g2, g3) every node of side 0 is compared
-    with every node of side 1 of another comp. Groups are small by their making: the shingles of a
-    group become two incidence matrices, whose product has all common weights."""
-    sent = members.sparkSession.sparkContext.broadcast(idf)
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        cut = Shingles(sent.value, shingle)
-        pdf = pdf.drop_duplicates(["node", "side"])
-        sets = {node: cut(text) for node, text in zip(pdf["node"], pdf["text"])}
-        sides = [[(n, c) for n, c, s in zip(pdf["node"], pdf["comp"], pdf["side"]) if s == k] for k in (0, 1)]
-        out = []
-        if len(sides[0]) <= 2:
-            for n0, c0 in sides[0]:
-                for n1, c1 in sides[1]:
-                    if c0 != c1 and n0 != n1 and weighted_jaccard(sets[n0], sets[n1]) >= threshold:
-                        out.append((n0, n1))
-            return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-        # a shingle of weight w that occurs t times counts as t elements of weight w / t, so that the
-        # least of two weights is the sum over common elements
-        axis = {int(h): i for i, h in enumerate(np.unique(np.concatenate([sets[n][0] for side in sides for n, _ in side])))}
-
-        def elements(n: int) -> tuple[list[int], np.ndarray]:
-            return [axis[int(h)] for h in sets[n][0]], sets[n][1]
-
-        rows1 = [elements(n) for n, _ in sides[1]]
-        dense = np.zeros((len(sides[1]), len(axis)), np.float32)
-        for i, (at, w) in enumerate(rows1):
-            dense[i, at] = w
-        total1 = dense.sum(1, dtype=np.float64)
-        comp1 = np.array([c for _, c in sides[1]])
-        node1 = np.array([n for n, _ in sides[1]])
-        for n0, c0 in sides[0]:
-            at, w = elements(n0)
-            both = np.minimum(dense[:, at], w.astype(np.float32)).sum(1, dtype=np.float64) if at else np.zeros(len(node1))
-            union = total1 + float(w.sum()) - both
-            near = np.flatnonzero((both >= (threshold - 1e-4) * np.maximum(union, 1e-9)) & (comp1 != c0) & (node1 != n0))
-            out += [(n0, int(node1[i])) for i in near if weighted_jaccard(sets[n0], sets[int(node1[i])]) >= threshold]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return (
-        members.join(texts, "node").groupBy("g1", "g2", "g3").applyInPandas(compare, "a long, b long")
-    )
+def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
+    stack = lambda s: np.frombuffer(b"".join(s), "<u4").reshape(len(s), -1)
+    return pd.Series((stack(a) == stack(b)).sum(1) if len(a) else [], dtype="int64")
 
 
-def classes(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    threshold: float = 0.8,
-    shingle: int = 5,
-    bands: int = 16,
-    rows: int = 4,
-) -> DataFrame:
-    """(id, class_id) of every row: class_id is the least id of its class."""
-    spark = docs.sparkSession
-    df, n = document_frequency(docs, text_col=text_col)
-    idf = np.log1p(max(n, 1) / df) + 1.0 if n else np.ones(SLOTS)
-    options = {"shingle": shingle, "threshold": threshold}
-    sketched = materialize(sketch(docs, idf, id_col=id_col, text_col=text_col, bands=bands, rows=rows, shingle=shingle))
-    unique = materialize(
-        sketched.groupBy("digest").agg(F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("keys").alias("keys")).where("rep is not null")
+def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, *, shingle: int, threshold: float) -> DataFrame:
+    """The pairs (a, b) of digests whose exact weighted Jaccard similarity is ``threshold`` or more.
+
+    The partners of a text are dealt over groups of about MEMBERS; a group reads its first text, then one partner after the other."""
+    sent = pairs.sparkSession.sparkContext.broadcast(idf)
+    held: list[Shingles] = []  # one for a task
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        if not held:
+            held.append(Shingles(sent.value, shingle))
+        cut, first = held[0], pdf.loc[pdf["b"].isna()]
+        a, base, out = first["a"].iloc[0], cut(first["text"].iloc[0]), []
+        for b, text in zip(pdf["b"], pdf["text"]):
+            if b is not None and weighted_jaccard(base, cut(text)) >= threshold:
+                out.append((a, b))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("salts"))
+    dealt = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("g"), "b")
+    dealt = materialize(dealt)
+    first = dealt.select("a", "g", F.lit(None).cast("binary").alias("b"), F.col("a").alias("digest")).distinct()
+    rows = dealt.select("a", "g", "b", F.col("b").alias("digest")).unionByName(first)
+    return materialize(rows.join(texts, "digest").groupBy("a", "g").applyInPandas(compare, "a binary, b binary"))
+
+
+def _stars(buckets: DataFrame, sketched: DataFrame, *, threshold: float, samples: int) -> DataFrame:
+    """Candidate pairs (centre, member) of every bucket (key, digest, weight, n)."""
+    full = buckets.groupBy("digest").agg(F.sum("n").alias("full"))
+    centres = buckets.join(full, "digest").groupBy("key").agg(
+        F.max_by(F.struct("digest", "weight"), F.struct("full", "digest")).alias("c"), F.max("n").alias("n")
     )
-    all_rows = unique.select("rep", "weight", F.explode("keys").alias("key")).distinct()
-    shared = all_rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = materialize(all_rows.join(shared, "key"))
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # the texts that share a bucket with another are taken out once, for both verifications
-    texts = materialize(texts.join(buckets.select(F.col("rep").alias("node")).distinct().hint("merge"), "node").dropDuplicates(["node"]))
-    ranked = buckets.join(buckets.groupBy("rep").agg(F.sum("n").alias("full")), "rep")
-    centres = ranked.groupBy("key").agg(F.max_by(F.struct("rep", "weight"), F.struct("full", -F.col("rep"))).alias("c"))
+    met = hot_join(buckets.select("key", "digest", "weight"), centres, "key", times="n", total=buckets.count())
     # a similarity of t needs weights that differ by a factor of t at most
     alike = F.least("weight", "c.weight") >= F.greatest("weight", "c.weight") * (threshold - 1e-9)
-    stars = buckets.join(centres, "key").where((F.col("rep") != F.col("c.rep")) & alike).select(F.col("c.rep").alias("centre"), "rep").distinct()
-    salts = stars.groupBy("centre").agg(F.ceil(F.count("*") / MEMBERS).alias("salts"))
-    stars = materialize(
-        stars.join(salts, "centre").select("centre", "rep", F.pmod(F.xxhash64("rep"), F.col("salts")).alias("salt"))
-    )
-    member = stars.select(
-        F.col("centre").alias("g1"), F.col("salt").alias("g2"), F.lit(0).alias("g3"),
-        F.col("rep").alias("node"), F.lit(1).alias("side"), F.col("rep").alias("comp"),
-    )
-    centre = member.select("g1", "g2", "g3", F.col("g1").alias("node"), F.lit(0).alias("side"), F.col("g1").alias("comp")).distinct()
-    links = materialize(_verified(member.unionByName(centre), texts, idf, **options))
+    pairs = met.where((F.col("digest") != F.col("c.digest")) & alike).select(F.col("c.digest").alias("a"), F.col("digest").alias("b")).distinct()
+    pairs = materialize(pairs)
+    one = lambda side: sketched.select(F.col("digest").alias(side), F.col("samples").alias(f"s_{side}"))
+    centre = one("a").join(pairs.groupBy("a").agg(F.count("*").alias("n")), "a")
+    both = hot_join(pairs, centre, "a", times="n", total=pairs.count()).join(one("b"), "b")
+    agree = F.pandas_udf(agreement, "long")(F.col("s_a"), F.col("s_b"))
+    return both.where(agree >= least_agreement(samples, threshold)).select("a", "b")
 
-    labels = components(links)
+
+def _open_pairs(buckets: DataFrame, labels: DataFrame, sketched: DataFrame, *, threshold: float, samples: int) -> DataFrame:
+    """Candidate pairs of different components within a bucket: of the smaller components' members with all others."""
     # bins of weight: texts of a similarity of ``threshold`` are in the same bin or in neighbours
     width = -math.log(threshold) if 0 < threshold < 1 else 1.0
     held = materialize(
-        buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", F.coalesce("label", "rep").alias("comp"), F.floor(F.log("weight") / (width + 1e-9)).alias("bin")
+        buckets.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
+            "key", "digest", F.coalesce("label", "digest").alias("comp"), F.floor(F.log("weight") / (width + 1e-9)).alias("bin")
         )
     )
     by_comp = held.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = by_comp.groupBy("key").agg(
-        F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.count("*").alias("comps")
-    ).where("comps > 1")
-    open_rows = held.join(mixed, "key")
+        F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("comps"), F.sum("n").alias("n")
+    ).where("comps > 1").drop("comps")
+    open_rows = materialize(hot_join(held, mixed, "key", times="n", total=held.count()))
     near_bins = F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1))
-    minor = open_rows.where("comp != main").select("key", "rep", "comp", near_bins.alias("bin"))
-    whole = open_rows.select("key", "rep", "comp", "bin")
+    minor = open_rows.where("comp != main").select("key", "digest", "comp", near_bins.alias("bin"))
+    whole = open_rows.select("key", "digest", "comp", "bin")
     # both sides of a bin are dealt over blocks; a group is one block of each
     count = lambda df, name: df.groupBy("key", "bin").agg(F.ceil(F.count("*") / BLOCK).alias(name), F.min("comp").alias(f"{name}_low"), F.max("comp").alias(f"{name}_high"))
     bins = count(minor, "minors").join(count(whole, "blocks"), ["key", "bin"])
     bins = materialize(bins.where("least(minors_low, blocks_low) != greatest(minors_high, blocks_high)").select("key", "bin", "minors", "blocks"))
     upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    group, node = F.xxhash64("key", "bin").alias("g1"), F.col("rep").alias("node")
-    mine = F.pmod(F.xxhash64("rep"), F.col("minors")).alias("g2")
-    theirs = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks")).alias("g3")
-    left = minor.join(bins, ["key", "bin"]).select(group, mine, upto("blocks").alias("g3"), node, F.lit(0).alias("side"), "comp")
-    right = whole.join(bins, ["key", "bin"]).select(group, upto("minors").alias("g2"), theirs, node, F.lit(1).alias("side"), "comp")
-    more = materialize(_verified(left.unionByName(right), texts, idf, **options))
-    joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
-    final = components(joined)
-    named = unique.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "digest", F.coalesce("label", "rep").alias("class_id")
+    mine = F.pmod(F.xxhash64("digest"), F.col("minors")).alias("g2")
+    theirs = F.pmod(F.xxhash64("digest", F.lit(1)), F.col("blocks")).alias("g3")
+    left = minor.join(bins, ["key", "bin"]).select("key", "bin", mine, upto("blocks").alias("g3"), "digest", F.lit(0).alias("side"), "comp")
+    right = whole.join(bins, ["key", "bin"]).select("key", "bin", upto("minors").alias("g2"), theirs, "digest", F.lit(1).alias("side"), "comp")
+    least = least_agreement(samples, threshold)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        # names and components as numbers: the order of the names is theirs
+        names, node = np.unique(np.array([bytes(x).hex() for x in pdf["digest"]]), return_inverse=True)
+        comp = np.unique(np.array([bytes(x).hex() for x in pdf["comp"]]), return_inverse=True)[1]
+        rows, side = np.frombuffer(b"".join(pdf["samples"]), "<u4").reshape(len(pdf), -1), pdf["side"].to_numpy()
+        other, found = np.flatnonzero(side == 1), []
+        for i in np.flatnonzero(side == 0):
+            hit = other[(comp[other] != comp[i]) & ((rows[other] == rows[i]).sum(1) >= least)]
+            found += [(min(node[i], node[j]), max(node[i], node[j])) for j in hit]
+        pairs = [(bytes.fromhex(str(names[a])), bytes.fromhex(str(names[b]))) for a, b in sorted(set(found))]
+        return pd.DataFrame(pairs, columns=["a", "b"])
+
+    rows = left.unionByName(right).join(sketched.select("digest", "samples"), "digest")
+    return rows.groupBy("key", "bin", "g2", "g3").applyInPandas(compare, "a binary, b binary").distinct()
+
+
+def _same_ids(named: DataFrame) -> DataFrame:
+    """Links (a, b) between the texts under one id."""
+    once = materialize(named.where("id is not null").distinct())
+    several = once.groupBy("id").agg(F.min("digest").alias("a"), F.count("*").alias("n")).where("n > 1")
+    return hot_join(once, several, "id", times="n", total=once.count()).select("a", F.col("digest").alias("b")).where("a != b")
+
+
+def _classed(
+    docs: DataFrame, *, id_col: str, text_col: str, threshold: float, shingle: int, bands: int, rows: int
+) -> DataFrame:
+    """(id, digest, class_id) of every row."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
+    named = materialize(keyed.select("id", "digest"))
+    texts = materialize(keyed.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("rows"), F.first("text").alias("text")))
+    known = texts.where("least is not null").select("digest", "text")
+    df, n = document_frequency(texts, rows_col="rows")
+    idf = np.log1p(max(n, 1) / df) + 1.0 if n else np.ones(SLOTS)
+    options = {"shingle": shingle, "threshold": threshold}
+    sketched = materialize(sketch(known, idf, bands=bands, rows=rows, shingle=shingle))
+    spots = materialize(sketched.select("digest", "weight", F.explode("keys").alias("key")))
+    shared = spots.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").withColumn("n", F.col("times"))
+    buckets = materialize(hot_join(spots, shared, "key", times="times", total=spots.count()))
+    size = {"threshold": threshold, "samples": bands * rows}
+    links = verified(_stars(buckets, sketched, **size), known, idf, **options)
+    labels = components(links)
+    more = verified(_open_pairs(buckets, labels, sketched, **size), known, idf, **options)
+    joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more).unionByName(_same_ids(named))
+    final = components(joined).withColumnRenamed("node", "digest")
+    labelled = texts.select("digest", "least", "rows").join(final, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    labelled = materialize(labelled)
+    classes_of = labelled.groupBy("label").agg(F.min("least").alias("class_id"), F.count("*").alias("n"))
+    of_text = hot_join(labelled, classes_of, "label", times="n", total=labelled.count()).select("digest", "class_id", "rows")
+    return hot_join(named, materialize(of_text), "digest", times="rows", total=named.count()).select(
+        "id", "digest", F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id")
     )
-    members = sketched.select("id", "digest").join(named, "digest", "left")
-    return members.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"))
 
 
-def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that name their class, one row of each, and those without an id; columns as they came."""
-    found = classes(docs, id_col=id_col, **options).where(F.col(id_col) == F.col("class_id"))
-    kept = found.select(F.col(id_col).alias("_kept")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_key"))
-    named = rows.join(kept, F.col("_key") == F.col("_kept")).dropDuplicates(["_key"]).select("row.*")
+def classes(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = 0.8,
+    shingle: int = 5,
+    bands: int = 16,
+    rows: int = 4,
+) -> DataFrame:
+    """(id, class_id) of every row: class_id is the least id of its class."""
+    found = _classed(docs, id_col=id_col, text_col=text_col, threshold=threshold, shingle=shingle, bands=bands, rows=rows)
+    return found.select(F.col("id").alias(id_col), "class_id")
+
+
+def one_of_each(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = 0.8,
+    shingle: int = 5,
+    bands: int = 16,
+    rows: int = 4,
+) -> DataFrame:
+    """One row of the document that names its class (of its texts the one with the least digest), and the rows without an id;
+    columns as they came."""
+    found = _classed(docs, id_col=id_col, text_col=text_col, threshold=threshold, shingle=shingle, bands=bands, rows=rows)
+    kept = found.where("id = class_id").groupBy(F.col("id").alias("_id")).agg(F.min("digest").alias("_name"))
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_key"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("_digest"))
+    named = whole.join(kept, (F.col("_key") == F.col("_id")) & (F.col("_digest") == F.col("_name"))).dropDuplicates(["_key", "_digest"]).select("row.*")
     return named.unionByName(docs.where(F.col(id_col).isNull()))
