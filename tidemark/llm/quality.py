@@ -10,8 +10,9 @@ The features are computed in Spark tasks; the driver gets the numbers of at most
 labelled rows, never texts.
 
 Defined results: null and empty texts have all-zero features and score by them; without labelled
-rows of both classes every score is the base rate; repeated rows score alike; other columns pass
-through.
+rows of both classes every score is the base rate; repeated rows score alike; a column that is
+called as ``out`` is replaced, all others pass through; very long texts are read whole, one at a time; an empty table
+gives no rows, and a fit on one scores by the base rate.
 """
 
 from __future__ import annotations
@@ -216,9 +217,9 @@ def score(docs: DataFrame, model: Additive, *, text_col: str = "text", out: str
     return docs.withColumn(out, run(F.col(text_col)))
 
 
-def good_only(docs: DataFrame, model: Additive, *, threshold: float = 0.5) -> DataFrame:
+def good_only(docs: DataFrame, model: Additive, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The documents that score at least the threshold, with their columns."""
-    rows = docs.select(F.struct("*").alias("row"), "text")
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
     return score(rows, model).where(F.col("quality_score") >= threshold).select("row.*")
 
 

@@ -14,8 +14,9 @@ copies of a document are one document, whatever their label; counting and scorin
 the driver gets token counts of the sample and one number pair per sampled row.
 
 Defined results: null and empty texts have no passages and score as any text without evidence; with
-no labelled rows of one of the classes the score is the base rate; repeated rows score alike; other
-columns pass through.
+no labelled rows of one of the classes the score is the base rate; repeated rows score alike; a column that
+is called as ``out`` is replaced, all others pass through; very long texts are read whole, one at a time; an empty
+table gives no rows, and a fit on one scores by the base rate.
 """
 
 from __future__ import annotations
@@ -291,9 +292,9 @@ def score(docs: DataFrame, model: dict, *, text_col: str = "text", out: str = "t
     return docs.withColumn(out, run(F.col(text_col)))
 
 
-def clean_only(docs: DataFrame, model: dict, *, threshold: float = 0.3) -> DataFrame:
+def clean_only(docs: DataFrame, model: dict, *, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The documents that score below the threshold, with their columns."""
-    rows = docs.select(F.struct("*").alias("row"), "text")
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
     return score(rows, model).where(F.col("toxicity.score") < threshold).select("row.*")
 
 
