@@ -79,3 +79,20 @@ def last_failure_rate(events: DataFrame, last: int = 20, least: int = 5) -> Data
     back = Window.partitionBy("stage").orderBy("seq").rowsBetween(1 - last, 0)
     n = F.count("*").over(back)
     return events.withColumn("failure_rate", F.when(n >= least, round_half_up(of("failure").over(back) / n, 4)))
+
+
+def everything():
+    """A window over all rows, for tables of a few rows: one a key."""
+    return Window.partitionBy()
+
+
+def last_per_key(rows: DataFrame, key: str, order: str, n: int) -> DataFrame:
+    """The last rows of each key; what a task can't use any more is dropped before the shuffle."""
+    down = Window.partitionBy(key).orderBy(F.desc(order))
+    return rows.withColumn("_rn", F.row_number().over(down)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def first_per_key(rows: DataFrame, key: str, order: str, n: int) -> DataFrame:
+    """The first rows of each key, in the same way."""
+    up = Window.partitionBy(key).orderBy(order)
+    return rows.withColumn("_rn", F.row_number().over(up)).where(F.col("_rn") <= n).drop("_rn")

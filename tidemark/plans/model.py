@@ -101,3 +101,44 @@ JOBS = f"""jobs AS (
   SELECT o_orderkey AS id, o_custkey AS company_id, {sql_pick(TITLES, "o_orderkey")} AS title, o_orderdate AS first_seen_at,
     last AS last_seen_at, o_orderstatus = 'F' AS removed, o_orderpriority AS relevance, o_orderstatus AS status
   FROM orders LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey)"""
+
+
+# What stages write about a company, by turns; an empty text and a missing value are among them.
+METHODS = ("profile_hint", "ats_slug", "homepage_link_scan", None, "not_found", "sitemap")
+PLATFORMS = ("greenhouse", "custom", None, "Workday EU", "ashby", "lever", "smartrecruiters")
+REASONS = (None, "timeout", "all_miss", "")
+CATEGORIES = (None, "None", "Solar", " wind ", "", "Storage")
+SOURCES = ("wrds_fast", "cold", None, "wrds_medium", "")
+
+
+def company_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies with what the stages have written about them."""
+    k = F.col("c_custkey")
+    slug = F.lower(F.replace("c_name", F.lit("#"), F.lit("-")))
+    c = table(spark, sf_dir, "customer").select(
+        k.alias("id"), F.col("c_name").alias("name"), slug.alias("slug"),
+        F.when(k % 11 != 0, F.when(k % 13 == 0, "").otherwise(F.concat(F.lit("www."), slug, F.lit(".com")))).alias("domain"),
+        pick(METHODS, k).alias("method"), pick(CATEGORIES, k).alias("category"), pick(SOURCES, k).alias("source"), (k % 4).alias("n_spaces"),
+    )
+    k = F.col("id")
+    c = c.withColumn("reachable", F.when(F.col("method").isNotNull(), (F.col("method") != "not_found") & (k % 17 != 0)))
+    url = pick(("https://boards.greenhouse.io/", "https://jobs.lever.co/", "https://www."), k)
+    url = F.concat(url, F.col("slug"), F.when(k % 3 == 2, F.lit(".com/Careers/")).otherwise(F.lit("/")))
+    return c.select(
+        "*", F.when(F.col("reachable"), url).alias("careers_url"), F.when(F.col("reachable"), pick(PLATFORMS, k)).alias("platform"),
+        F.when(~F.col("reachable"), pick(REASONS, k)).alias("failure_reason"),
+    )
+
+
+def _case(values: tuple, index: str) -> str:
+    return f"CASE ({index}) % {len(values)} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None) + " END"
+
+
+STATE = f"""cs0 AS (
+  SELECT c_custkey AS id, c_name AS name, lower(replace(c_name, '#', '-')) AS slug, {_case(METHODS, "c_custkey")} AS method, {_case(CATEGORIES, "c_custkey")} AS category,
+    {_case(SOURCES, "c_custkey")} AS source, c_custkey % 4 AS n_spaces,
+    CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN '' ELSE 'www.' || lower(replace(c_name, '#', '-')) || '.com' END AS domain FROM customer),
+cs1 AS (SELECT *, CASE WHEN method IS NOT NULL THEN method <> 'not_found' AND id % 17 <> 0 END AS reachable FROM cs0),
+cs AS (SELECT *, CASE WHEN reachable THEN CASE id % 3 WHEN 0 THEN 'https://boards.greenhouse.io/' || slug || '/' WHEN 1 THEN 'https://jobs.lever.co/' || slug || '/'
+    ELSE 'https://www.' || slug || '.com/Careers/' END END AS careers_url, CASE WHEN reachable THEN {_case(PLATFORMS, "id")} END AS platform,
+  CASE WHEN NOT reachable THEN {_case(REASONS, "id")} END AS failure_reason FROM cs1)"""
