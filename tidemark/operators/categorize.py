@@ -28,7 +28,7 @@ def dictionary_cascade(companies: DataFrame, entries: DataFrame, sections: list[
     out = companies
     for name, column in sections:
         found = entries.where(F.col("section") == name).select(F.col("key").alias("k"), F.struct("category").alias("hit"))
-        tags = companies.select("id", F.posexplode(column).alias("pos", "tag")).join(F.broadcast(found), normalize_keyword(F.col("tag")) == F.col("k"))
+        tags = companies.select("id", F.posexplode(column).alias("pos", "tag")).join(found, normalize_keyword(F.col("tag")) == F.col("k"))
         first = tags.groupBy("id").agg(F.min_by("hit", "pos").alias(f"hit_{name}"))
         out = out.join(first, "id", "left")
     hits = [F.col(f"hit_{n}") for n, _ in sections]
@@ -43,15 +43,15 @@ def dictionary_cascade(companies: DataFrame, entries: DataFrame, sections: list[
 
 def shortlist(companies: DataFrame, taxonomy: DataFrame, most: int = 10) -> DataFrame:
     """The categories whose keyword tokens a company's text has most often, in taxonomy order among equals; all of
-    them for a company that shares none. The taxonomy (category, ord, tokens with repeats) is small; companies
+    them for a company that shares none (that is the feature; such companies have no text to speak of). Companies
     meet it on tokens, so pairs without a common token are never made, except for companies without any."""
     tokens = companies.select("id", F.explode(word_set(F.col("text"))).alias("token"))
     weights = taxonomy.select("category", "ord", F.explode("tokens").alias("token")).groupBy("category", "ord", "token").agg(F.count("*").alias("w"))
-    scored = tokens.join(F.broadcast(weights), "token").groupBy("id", "category", "ord").agg(F.sum("w").alias("score"))
+    scored = tokens.join(weights, "token").groupBy("id", "category", "ord").agg(F.sum("w").alias("score"))
     rank = Window.partitionBy("id").orderBy(F.desc("score"), "ord")
     some = scored.withColumn("rn", F.row_number().over(rank)).where(F.col("rn") <= most)
     none = companies.join(scored.select("id").distinct(), "id", "left_anti").select("id")
-    every = none.join(F.broadcast(taxonomy.select("category", "ord"))).select(
+    every = none.crossJoin(taxonomy.select("category", "ord")).select(
         "id", "category", "ord", F.lit(0).cast("long").alias("score"), (F.col("ord") + 1).cast("int").alias("rn")
     )
     return some.unionByName(every)

@@ -1,19 +1,24 @@
-"""Row numbers over a whole table without bringing it into one task."""
+"""Row numbers, and windows over long keys, without bringing a table or a key into one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared import ranked
+
 
 def numbered(df: DataFrame, order: list[str], name: str = "number") -> DataFrame:
-    """df with row numbers from 1 along ``order``, which must be a total order.
-
-    A range sort cuts the rows into blocks; a window over the blocks' counts, one row a block, gives each
-    its start; rows are numbered within their block. The blocks are found by the order itself
-    (ranges of ``order``), so both readings of the sorted rows agree."""
-    ordered = df.repartitionByRange(*order).withColumn("_block", F.spark_partition_id()).persist()
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ordered.groupBy("_block").agg(F.count("*").alias("_n")).select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_block").orderBy(*order)
-    return ordered.withColumn("_row", F.row_number().over(within)).join(starts, "_block").withColumn(name, F.col("_start") + F.col("_row")).drop("_block", "_row", "_start")
+    """df with row numbers from 1 along ``order``, which must be a total order. The sorted rows are written to the shared folder."""
+    return ranked(df, [], order)[0].withColumnRenamed("rank", name)
+
+
+def overlapped(df: DataFrame, place: str, size: int, back: int) -> DataFrame:
+    """Rows dealt over blocks of ``size`` along a number ``place``, those within ``back`` of a block's end into the next one too.
+
+    A window over (key, ``_block``) that looks back by ``back`` at most then sees all it needs; rows that are only looked
+    back at have ``_own`` false."""
+    block = F.floor(F.col(place) / size)
+    carried = F.when(F.col(place) - block * size >= size - back, block + 1)
+    each = F.array_compact(F.array(block, carried))
+    return df.withColumn("_block", F.explode(each)).withColumn("_own", F.col("_block") == block)

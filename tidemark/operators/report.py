@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import percent, round_half_up
+from tidemark.operators.numbering import overlapped
+from tidemark.sources.shared import ranked
 
 OUTCOMES = ("success", "no_result", "failure", "skipped")
 
@@ -66,19 +68,31 @@ def share_table(rows: DataFrame, key: str) -> DataFrame:
 
 
 def rolling(events: DataFrame, seconds: int = 60) -> DataFrame:
-    """For every event: completions of its stage in the time before it, their error rate."""
-    ms = F.unix_millis("ts")
-    back = Window.partitionBy("stage").orderBy(ms).rangeBetween(-seconds * 1000, 0)
-    return events.withColumn("completions", F.count("*").over(back)).withColumn(
-        "error_rate", round_half_up(of("failure").over(back) / F.count("*").over(back), 4)
-    )
+    """For every event: completions of its stage in the time before it, their error rate and their nearest-rank p95 of durations.
+
+    A stage is cut into blocks of an hour, each with the last minute of the one before, so a stage isn't one task. The p95
+    looks at the durations of one minute."""
+    dealt = overlapped(events.withColumn("_ms", F.unix_millis("ts")), "_ms", 3_600_000, seconds * 1000)
+    back = Window.partitionBy("stage", "_block").orderBy("_ms").rangeBetween(-seconds * 1000, 0)
+    n = F.count("*").over(back)
+    durations = F.array_sort(F.collect_list("duration_ms").over(back))
+    p95 = F.get(durations, F.greatest(F.ceil(F.size(durations) * 0.95).cast("int") - 1, F.lit(0)))
+    out = dealt.withColumns({"completions": n, "error_rate": round_half_up(of("failure").over(back) / n, 4), "p95_ms": p95})
+    return out.where("_own").drop("_ms", "_block", "_own")
 
 
 def last_failure_rate(events: DataFrame, last: int = 20, least: int = 5) -> DataFrame:
     """Failure rate of the last outcomes of a stage, null below the least number of samples."""
-    back = Window.partitionBy("stage").orderBy("seq").rowsBetween(1 - last, 0)
+    dealt, back = lately(events, last)
     n = F.count("*").over(back)
-    return events.withColumn("failure_rate", F.when(n >= least, round_half_up(of("failure").over(back) / n, 4)))
+    return dealt.withColumn("failure_rate", F.when(n >= least, round_half_up(of("failure").over(back) / n, 4))).where("_own").drop("rank", "_block", "_own")
+
+
+def lately(events: DataFrame, last: int, size: int = 100_000):
+    """(events, window over the last rows of a stage): a stage is cut into blocks of rows by its rank, each with the last rows
+    of the one before; rows that are only looked back at have ``_own`` false."""
+    dealt = overlapped(ranked(events, ["stage"], ["seq"])[0].withColumn("rank", F.col("rank") - 1), "rank", size, last)
+    return dealt, Window.partitionBy("stage", "_block").orderBy("rank").rowsBetween(1 - last, 0)
 
 
 def everything():
@@ -96,3 +110,14 @@ def first_per_key(rows: DataFrame, key: str, order: str, n: int) -> DataFrame:
     """The first rows of each key, in the same way."""
     up = Window.partitionBy(key).orderBy(order)
     return rows.withColumn("_rn", F.row_number().over(up)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def no_result_reason(*, reason: Column, category_error: Column, failure_class: Column, status_code: Column, jobs: Column, category: Column, platform: Column) -> Column:
+    """Why an event has no result: the first that tells, from what was written down to what is missing."""
+    there = lambda c: F.nullif(c, F.lit(""))
+    error = there(category_error)
+    return F.coalesce(
+        there(reason), F.when(error.isNotNull(), F.concat(F.lit("category_error:"), there(failure_class))), F.when(error.isNotNull(), F.lit("category_error")),
+        F.concat(F.lit("http_"), F.nullif(status_code, F.lit(0)).cast("string")), F.when(jobs == 0, F.lit("zero_jobs")),
+        F.when(category.isNull() | (category == "None"), F.lit("category_none")), F.when(platform.isNull(), F.lit("ats_undetected")), F.lit("unknown"),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,20 +29,19 @@ def group_rows(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Cells (page, top, left, text) with the number of their row on the page.
 
     Cells go down the page; one that lies more than the tolerance under the first cell of the current row begins
-    the next. The rule looks back at a row's first cell, so a page's cells are folded in order."""
-    ordered = cells.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("top", "left", "text"))).alias("cells"))
-    start = F.struct(F.lit(None).cast("double").alias("anchor"), F.lit(0).alias("row"), F.array().cast("array<int>").alias("rows"))
-
-    def step(s: Column, c: Column) -> Column:
-        fresh = s["anchor"].isNull() | (F.abs(c["top"] - s["anchor"]) > tolerance)
-        row = s["row"] + F.when(fresh, 1).otherwise(0)
-        return F.struct(
-            F.when(fresh, c["top"].cast("double")).otherwise(s["anchor"]).alias("anchor"), row.alias("row"), F.concat(s["rows"], F.array(row)).alias("rows")
-        )
-
-    rows = F.aggregate("cells", start, step, lambda s: s["rows"])
-    zipped = ordered.select("page", F.explode(F.arrays_zip("cells", rows.alias("row"))).alias("z"))
-    return zipped.select("page", "z.cells.top", "z.cells.left", "z.cells.text", F.col("z.row").alias("row"))
+    the next. The rule looks back at a row's first cell, which no window can, so a page's cells are walked in order."""
+
+    def walk(page: pd.DataFrame) -> pd.DataFrame:
+        page = page.sort_values(["top", "left", "text"], kind="stable")
+        rows, anchor, row = [], None, 0
+        for top in page["top"].astype(float):
+            if anchor is None or abs(top - anchor) > tolerance:
+                anchor, row = top, row + 1
+            rows.append(row)
+        return page.assign(row=rows)[["page", "top", "left", "text", "row"]]
+
+    kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
+    return cells.select("page", "top", "left", "text").groupBy("page").applyInPandas(walk, ", ".join(f"{c} {kinds[c]}" for c in ("page", "top", "left", "text")) + ", row int")
 
 
 def field(row: Column, patterns: tuple[str, ...]) -> Column:

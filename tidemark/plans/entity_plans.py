@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import classify, lifecycle, text
 from tidemark.functions.numbers import model_cost, percent, round_half_up
 from tidemark.operators import categorize, upsert
+from tidemark.sources.tables import increment
 from tidemark.plans.model import COMPANIES, EVENTS, JOBS, companies, events, jobs, pick, sql_pick, table
 
 # Messages of failures, by number.
@@ -20,12 +21,14 @@ STATUSES = (429, 200, 401, 0, 504, 0, 200, 400, 403, 0, 200, 500)
 
 
 def title_classify(spark, sf_dir):
+    """Function and level are told once a title; the relevance follows from these two columns."""
     t = F.col("title")
-    return jobs(spark, sf_dir).select(
-        "id", classify.normal_title(t).alias("normal"), classify.job_function(t).alias("function"), classify.seniority(t).alias("seniority"),
+    told = jobs(spark, sf_dir).select("title", "relevance").distinct().select(
+        "title", "relevance", classify.normal_title(t).alias("normal"), classify.job_function(t).alias("function"), classify.seniority(t).alias("seniority"),
         classify.employment(t, F.col("relevance")).alias("employment"),
-        classify.relevance(classify.job_function(t), classify.seniority(t)).alias("mba_relevance"),
     )
+    told = told.withColumn("mba_relevance", classify.relevance(F.col("function"), F.col("seniority")))
+    return jobs(spark, sf_dir).select("id", "title", "relevance").join(told, ["title", "relevance"]).select("id", "normal", "function", "seniority", "employment", "mba_relevance")
 
 
 def location_kinds(spark, sf_dir):
@@ -104,7 +107,7 @@ def facets(spark, sf_dir):
 
 def reachable_no_jobs(spark, sf_dir):
     c = companies(spark, sf_dir).where("employees > 0")
-    listed = jobs(spark, sf_dir).select("company_id")
+    listed = jobs(spark, sf_dir).where("title not like '%Manager%' and status <> 'F'").select("company_id")
     return c.join(listed, F.col("id") == F.col("company_id"), "left_anti").select("id", "name")
 
 
@@ -140,15 +143,18 @@ def _listings(spark, sf_dir):
 
 
 def merge_jobs(spark, sf_dir):
+    """Listings of earlier runs, some of them first seen after now, several at one address; and new ones."""
     rows = _listings(spark, sf_dir)
-    old = upsert.earliest_per_url(rows.where("ord % 3 = 0"))
-    blank = lifecycle.blank(F.col("url"))
-    first = Window.partitionBy("description_hash").orderBy("ord")
-    old = old.where(~blank).unionByName(old.where(blank).withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn"))
+    late = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("ord"))
+    old = rows.where("ord % 3 = 0").withColumn("first_seen_at", F.when(F.col("ord") % 5 == 0, late).when(F.col("ord") % 11 == 0, F.lit(None)).otherwise(F.col("first_seen_at")))
     now = F.timestamp_seconds(F.lit(1_600_000_000))
     new = rows.where("ord % 3 <> 0").withColumn("first_seen_at", now).withColumn("last_seen_at", now).withColumn("removed_at", F.lit(None).cast("timestamp"))
+    new = new.withColumn("description_hash", F.when(F.col("ord") % 4 == 1, F.lit("same")).otherwise(F.col("description_hash")))
+    old = old.withColumn("description_hash", F.when(F.col("ord") % 4 == 3, F.lit("same")).otherwise(F.col("description_hash")))
     out = upsert.merge_jobs(old, new, now)
-    return out.select("ord", "url", "title", F.unix_seconds("last_seen_at").alias("last_seen"), F.col("removed_at").isNotNull().alias("removed"))
+    return out.select(
+        "ord", "url", "title", F.unix_seconds("first_seen_at").alias("first_seen"), F.unix_seconds("last_seen_at").alias("last_seen"), F.col("removed_at").isNotNull().alias("removed")
+    )
 
 
 def earliest_per_key(spark, sf_dir):
@@ -156,16 +162,23 @@ def earliest_per_key(spark, sf_dir):
 
 
 def upsert_companies(spark, sf_dir):
-    """Suppliers upserted into customers, by a domain that some share, else by id."""
-    dom = lambda c: F.when(c % 3 == 0, F.concat(F.lit("D"), (c % 1000).cast("string"), F.lit(".com")))
-    c = table(spark, sf_dir, "customer").where("c_custkey <= 1000").select(
-        F.col("c_custkey").alias("id"), dom(F.col("c_custkey")).alias("domain"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("name"), F.col("c_acctbal").alias("size_mm")
-    )
-    s = table(spark, sf_dir, "supplier").where("s_suppkey <= 900").select(
-        (F.col("s_suppkey") * 2).alias("id"), F.lower(dom(F.col("s_suppkey") * 3)).alias("domain"), F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 5 != 0, F.col("s_acctbal")).alias("size_mm")
+    """Suppliers upserted into customers, twice each: by a domain where there is one, else by id."""
+    dom = lambda c: F.when(c % 3 == 0, F.concat(F.lit("D"), c.cast("string"), F.lit(".com")))
+    deal = lambda day, kind, size: F.struct(F.lit(day).alias("date"), F.lit(kind).alias("deal_type"), size.cast("double").alias("size"))
+    k = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").select(
+        k.alias("id"), dom(k).alias("domain"), F.when(k % 2 == 0, F.col("c_name")).alias("name"), F.col("c_acctbal").alias("size_mm"), F.when(k % 4 == 0, F.array(deal("d1", "seed", k))).alias("deals")
     )
-    s = s.withColumn("_rn", F.row_number().over(Window.partitionBy("domain").orderBy("id"))).where("_rn = 1").drop("_rn")
-    return upsert.merge_companies(c, s, keep_existing=["name"], take_incoming=["size_mm"])
+    s = table(spark, sf_dir, "supplier").crossJoin(F.broadcast(spark.range(2).withColumnRenamed("id", "turn")))  # two rows
+    k, t = F.col("s_suppkey"), F.col("turn")
+    s = s.select(
+        (k * 1000 + t).alias("ord"), (k * 7).alias("id"), F.lower(dom(k * 3 * F.when(k % 4 == 0, 100_000).otherwise(1))).alias("domain"), F.concat("s_name", t.cast("string")).alias("name"),
+        F.when((k + t) % 5 != 0, F.col("s_acctbal") + t).alias("size_mm"), F.when(t == 1, F.array(deal("d1", "seed", k), deal("d2", "A", k))).otherwise(F.array(deal("d2", "A", -k))).alias("deals"),
+    )
+    s = s.withColumn("domain", F.when(F.col("id") % 2 == 0, F.col("domain")))
+    out = upsert.merge_companies(c, s, keep_existing=["name"], take_incoming=["size_mm"], signals="deals")
+    deals = F.array_join(F.transform(F.coalesce("deals", F.array()), lambda d: F.concat_ws(":", d["date"], d["deal_type"], d["size"].cast("long").cast("string"))), "|")
+    return out.select("id", "domain", "name", "size_mm", deals.alias("deals"), "action")
 
 
 def funding_dedupe(spark, sf_dir):
@@ -184,12 +197,13 @@ def high_water_mark(spark, sf_dir):
 
 
 def incremental_page(spark, sf_dir):
-    """The first 500 rows after a mark, by date, then key, under the dynamic filter."""
+    """All rows after a mark under the dynamic filter, with the page of 500 on which each is read, by date, then key."""
     o = table(spark, sf_dir, "orders")
-    keep = (F.col("o_orderdate") > F.lit("1995-06-01").cast("timestamp_ntz")) & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (
+    keep = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "5-LOW") & (
         F.col("o_totalprice").isNull() | (F.col("o_totalprice") <= 300000)
     )
-    return o.where(keep).orderBy("o_orderdate", "o_orderkey").limit(500).select("o_orderkey", "o_custkey")
+    like = F.col("o_orderpriority").ilike("%urg%") | F.col("o_orderpriority").ilike("%high%")
+    return increment(o.where(keep & like), F.lit("1995-06-01").cast("timestamp_ntz"), at="o_orderdate", key="o_orderkey").select("o_orderkey", "o_custkey", "page")
 
 
 def scout_distinct(spark, sf_dir):
@@ -201,11 +215,11 @@ def scout_distinct(spark, sf_dir):
 def _company_keywords(spark, sf_dir):
     o, li, p = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "part"))
     bought = o.join(li, o["o_orderkey"] == li["l_orderkey"]).join(p, li["l_partkey"] == p["p_partkey"])
-    return bought.where("l_quantity > 45").select(F.col("o_custkey").alias("company_id"), F.col("p_name").alias("keyword"))
+    return bought.select(F.col("o_custkey").alias("company_id"), F.col("p_name").alias("keyword"))
 
 
 def keyword_rule(spark, sf_dir):
-    taxonomy = table(spark, sf_dir, "part").where("p_partkey % 3 = 0").select(F.col("p_type").alias("category"), F.col("p_name").alias("keyword"))
+    taxonomy = table(spark, sf_dir, "part").select(F.col("p_type").alias("category"), F.col("p_name").alias("keyword"))
     return categorize.keyword_rule(_company_keywords(spark, sf_dir), taxonomy)
 
 
@@ -226,19 +240,19 @@ def dictionary_cascade(spark, sf_dir):
 
 
 def token_shortlist(spark, sf_dir):
-    p = table(spark, sf_dir, "part").groupBy("p_type").agg(F.array_sort(F.collect_list(F.element_at(F.split(F.lower("p_name"), " "), 1))).alias("tokens"))
+    p = table(spark, sf_dir, "part").groupBy("p_type").agg(F.flatten(F.collect_list(F.split(F.lower("p_name"), " "))).alias("tokens"))
     taxonomy = p.select(F.col("p_type").alias("category"), (F.row_number().over(Window.orderBy("p_type")) - 1).cast("long").alias("ord"), "tokens")
-    words = table(spark, sf_dir, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 50 == 0, "none").otherwise(F.col("p_name")).alias("text"))
+    words = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 50 == 0, "none").otherwise(F.col("p_name")).alias("text"))
     return categorize.shortlist(words, taxonomy, 3).select("id", "category", "score")
 
 
 def telemetry_summary_sets(spark, sf_dir):
-    """Model calls: overall, by agent, by agent and model."""
+    """Model calls: overall, by agent, by model."""
     c = table(spark, sf_dir, "conversations").select(
         F.col("role").alias("agent"), F.concat(F.lit("m"), F.col("turn") % 2).alias("model"), F.length("text").cast("long").alias("chars"), (F.length("text") % 1000).cast("long").alias("ms")
     )
     disc = lambda p: F.expr(f"cast(percentile_disc({p}) within group (order by ms) as long)")
-    return c.groupingSets([[], ["agent"], ["agent", "model"]], "agent", "model").agg(
+    return c.groupingSets([[], ["agent"], ["model"]], "agent", "model").agg(
         F.count("*").alias("calls"), round_half_up(F.avg("ms")).alias("avg_ms"), disc(0.5).alias("p50"), disc(0.95).alias("p95"), disc(0.99).alias("p99"),
         model_cost(F.sum("chars"), F.sum("ms")).alias("cost"),
     )
@@ -299,8 +313,8 @@ def header_of_cell(spark, sf_dir):
 
 
 def added_items(spark, sf_dir):
-    """Benchmark items that documents' passages don't have as their own id."""
-    return table(spark, sf_dir, "benchmark").select("item_id").exceptAll(table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id")).toDF("item_id")
+    """Ids that the later list has and the earlier hasn't."""
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id")).exceptAll(table(spark, sf_dir, "benchmark").select("item_id"))
 
 
 W = "(?:^|[^A-Za-z0-9_])(?:{w})(?:[^A-Za-z0-9_]|$)"
@@ -348,34 +362,46 @@ SELECT c_custkey, slug, slug || '-' || substr(sha1(name), 1, 10) AS id FROM s"""
   AND function IN ('product', 'operations', 'marketing') ORDER BY id LIMIT 20 OFFSET 40""",
     "record_search": f"WITH {COMPANIES} SELECT sector, count(*) AS n FROM companies WHERE contains(lower(to_json(companies)::VARCHAR), 'build') GROUP BY sector",
     "facets": JC + "SELECT DISTINCT 'function' AS facet, function AS value FROM jc WHERE function <> '' UNION ALL SELECT DISTINCT 'seniority', seniority FROM jc WHERE seniority <> ''",
-    "reachable_no_jobs": f"WITH {COMPANIES} SELECT id, name FROM companies WHERE employees > 0 AND id NOT IN (SELECT o_custkey FROM orders)",
+    "reachable_no_jobs": f"WITH {COMPANIES}, {JOBS} SELECT id, name FROM companies WHERE employees > 0 AND id NOT IN (SELECT company_id FROM jobs WHERE title NOT LIKE '%Manager%' AND status <> 'F')",
     "processed_mark_removed": f"WITH {JOBS} SELECT id, company_id, coalesce(NOT removed AND last_seen_at < TIMESTAMP '1997-01-01', false) AS removed_now FROM jobs WHERE company_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)",
     "rep_job": f"WITH {JOBS} SELECT company_id, id, title FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY status = 'O', id) AS rn FROM jobs) WHERE rn = 1",
     "first5_samples": f"WITH {JOBS} SELECT company_id, string_agg(title, '|' ORDER BY rn) AS samples FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY id) AS rn FROM jobs) WHERE rn <= 5 GROUP BY 1",
-    "merge_jobs": L + """, o AS (SELECT *, row_number() OVER (PARTITION BY coalesce(url, h), url IS NULL ORDER BY CASE WHEN url IS NULL THEN 0 ELSE seen END, ord) AS k FROM l WHERE ord % 3 = 0),
-u AS (SELECT ord, url, h, title, seen, removed, 0 AS src FROM o WHERE k = 1 UNION ALL SELECT ord, url, h, title, 1600000000, false, 1 FROM l WHERE ord % 3 <> 0),
-g AS (SELECT *, CASE WHEN url IS NOT NULL THEN 'u|' || url ELSE 'h|' || h END AS gk FROM u),
-w AS (SELECT *, row_number() OVER (PARTITION BY gk ORDER BY src, ord) AS rn, max(src) OVER (PARTITION BY gk) AS touched,
-  first_value(nullif(title, '') IGNORE NULLS) OVER (PARTITION BY gk, h ORDER BY src, ord ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS t FROM g)
-SELECT ord, url, t AS title, CASE WHEN touched = 1 THEN 1600000000 ELSE seen END AS last_seen, touched = 0 AND removed AS removed FROM w WHERE rn = 1""",
+    "merge_jobs": """WITH l AS (SELECT doc_id AS ord, CASE WHEN doc_id % 7 <> 0 THEN 'https://x/' || (doc_id * 13 % 401) END AS url, doc_id % 3 <> 0 AS fresh,
+  CASE WHEN CASE WHEN doc_id % 3 = 0 THEN doc_id % 4 = 3 ELSE doc_id % 4 = 1 END THEN 'same' ELSE sha256(coalesce(text, '')) END AS h, CASE WHEN doc_id % 5 = 0 THEN '' ELSE lang END AS title,
+  1500000000 + doc_id * 7919 % 1000000 AS seen, doc_id % 4 = 0 AS gone FROM documents),
+x AS (SELECT *, CASE WHEN fresh THEN 1600000000 WHEN ord % 5 = 0 THEN 1700000000 + ord WHEN ord % 11 <> 0 THEN seen END AS f0, CASE WHEN fresh THEN 1600000000 ELSE seen END AS l0 FROM l),
+o AS (SELECT *, min(ord) OVER k AS place, row_number() OVER (PARTITION BY coalesce(url, ''), h ORDER BY ord DESC) AS r FROM x WHERE NOT fresh WINDOW k AS (PARTITION BY coalesce(url, ''), h)),
+e AS (SELECT *, coalesce(f0, l0) AS t FROM o WHERE r = 1),
+n AS (SELECT x.*, e.ord IS NOT NULL AS hit, row_number() OVER (PARTITION BY coalesce(x.url, ''), x.h ORDER BY x.ord) AS r,
+  first_value(nullif(x.title, '') IGNORE NULLS) OVER (PARTITION BY coalesce(x.url, ''), x.h ORDER BY x.ord ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS ft
+  FROM x LEFT JOIN e ON coalesce(x.url, '') = coalesce(e.url, '') AND x.h = e.h WHERE x.fresh),
+best AS (SELECT url, arg_min(h, (t, place)) AS h, arg_min(t, (t, place)) AS t FROM e WHERE url IS NOT NULL GROUP BY url),
+odd AS (SELECT url, arg_min(h, ord) AS h FROM n WHERE url IS NOT NULL AND NOT hit GROUP BY url),
+win AS (SELECT coalesce(best.url, odd.url) AS url, CASE WHEN best.url IS NULL OR odd.url IS NOT NULL AND 1600000000 < best.t THEN odd.h ELSE best.h END AS h, odd.url IS NOT NULL AS other FROM best FULL JOIN odd ON best.url = odd.url
+  UNION ALL SELECT NULL, h, false FROM (SELECT h FROM e WHERE url IS NULL UNION SELECT h FROM n WHERE url IS NULL))
+SELECT coalesce(e.ord, n.ord) AS ord, win.url, coalesce(nullif(CASE WHEN e.ord IS NOT NULL THEN e.title ELSE n.title END, ''), n.ft) AS title, coalesce(CASE WHEN e.ord IS NOT NULL THEN e.f0 ELSE n.f0 END, 1600000000) AS first_seen,
+  CASE WHEN n.ord IS NOT NULL OR win.other THEN 1600000000 ELSE e.l0 END AS last_seen, NOT (n.ord IS NOT NULL OR win.other) AND e.gone AS removed
+FROM win LEFT JOIN e ON coalesce(win.url, '') = coalesce(e.url, '') AND win.h = e.h LEFT JOIN (SELECT * FROM n WHERE r = 1) n ON coalesce(win.url, '') = coalesce(n.url, '') AND win.h = n.h""",
     "earliest_per_key": L + "SELECT ord, url FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seen, ord) AS rn FROM l) WHERE rn = 1 OR url IS NULL",
-    "upsert_companies": """WITH c AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'D' || (c_custkey % 1000) || '.com' END AS domain, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name, c_acctbal AS size_mm
-  FROM customer WHERE c_custkey <= 1000), s0 AS (SELECT s_suppkey * 2 AS id, 'd' || (s_suppkey * 3 % 1000) || '.com' AS domain, s_name AS name, CASE WHEN s_suppkey % 5 <> 0 THEN s_acctbal END AS size_mm FROM supplier WHERE s_suppkey <= 900),
-s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY id) AS rn FROM s0) WHERE rn = 1),
-d AS (SELECT c.id, c.domain, coalesce(c.name, s.name) AS name, coalesce(s.size_mm, c.size_mm) AS size_mm, 'updated' AS action, s.id AS sid FROM c JOIN s ON lower(c.domain) = s.domain),
-r AS (SELECT * FROM c WHERE id NOT IN (SELECT id FROM d)), q AS (SELECT * FROM s WHERE id NOT IN (SELECT sid FROM d))
-SELECT id, domain, name, size_mm, action FROM d
-UNION ALL SELECT r.id, r.domain, coalesce(r.name, q.name), coalesce(q.size_mm, r.size_mm), CASE WHEN q.id IS NULL THEN 'kept' ELSE 'updated' END FROM r LEFT JOIN q ON r.id = q.id
-UNION ALL SELECT id, domain, name, size_mm, 'added' FROM q WHERE id NOT IN (SELECT id FROM r)""",
+    "upsert_companies": """WITH c AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'D' || c_custkey || '.com' END AS domain, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name, c_acctbal AS size_mm,
+  CASE WHEN c_custkey % 4 = 0 THEN ['d1:seed:' || c_custkey] ELSE [] END AS deals FROM customer),
+s AS (SELECT s_suppkey * 1000 + t AS ord, s_suppkey * 7 AS id, CASE WHEN s_suppkey * 7 % 2 = 0 THEN 'd' || (s_suppkey * 3 * CASE WHEN s_suppkey % 4 = 0 THEN 100000 ELSE 1 END) || '.com' END AS domain, s_name || t AS name,
+  CASE WHEN (s_suppkey + t) % 5 <> 0 THEN s_acctbal + t END AS size_mm, s_suppkey AS k FROM supplier, range(2) AS r(t)),
+m AS (SELECT s.*, coalesce(d.id, i.id) AS target FROM s LEFT JOIN c d ON s.domain = lower(d.domain) LEFT JOIN c i ON s.id = i.id),
+g AS (SELECT target, CASE WHEN target IS NULL THEN coalesce(domain, CAST(id AS VARCHAR)) END AS own, arg_min(id, ord) AS id, arg_min(domain, ord) AS domain, arg_min(name, ord) AS name, arg_max(size_mm, ord) FILTER (size_mm IS NOT NULL) AS size_mm,
+  arg_min(-k, ord) AS a_size, arg_min(k, ord) AS seed_size FROM m GROUP BY 1, 2)
+SELECT c.id, coalesce(c.domain, g.domain) AS domain, coalesce(c.name, g.name) AS name, coalesce(g.size_mm, c.size_mm) AS size_mm, CASE WHEN g.id IS NULL THEN array_to_string(c.deals, '|') ELSE
+  array_to_string(list_concat(c.deals, list_concat(['d2:A:' || a_size], CASE WHEN len(c.deals) = 0 THEN ['d1:seed:' || seed_size] ELSE [] END)), '|') END AS deals, CASE WHEN g.id IS NULL THEN 'kept' ELSE 'updated' END AS action
+FROM c LEFT JOIN g ON c.id = g.target UNION ALL SELECT id, domain, name, size_mm, 'd2:A:' || a_size || '|d1:seed:' || seed_size, 'added' FROM g WHERE target IS NULL""",
     "funding_dedupe": """SELECT ord, company_id, deal, size FROM (SELECT *, row_number() OVER (PARTITION BY company_id, deal, size ORDER BY (d IS NOT NULL)::INT + (r IS NOT NULL)::INT DESC, ord) AS rn FROM (
   SELECT l_orderkey * 10 + l_linenumber AS ord, l_suppkey AS company_id, lower(l_returnflag) AS deal, CAST(floor(l_quantity) AS BIGINT) AS size,
   CASE WHEN l_linenumber > 2 THEN l_shipdate END AS d, CASE WHEN l_orderkey % 2 = 0 THEN l_tax END AS r FROM lineitem)) WHERE rn = 1""",
     "high_water_mark": "SELECT o_orderstatus, strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') AS mark FROM orders GROUP BY 1",
-    "incremental_page": """SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate > TIMESTAMP '1995-06-01' AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND (o_totalprice IS NULL OR o_totalprice <= 300000)
-ORDER BY o_orderdate, o_orderkey LIMIT 500""",
+    "incremental_page": """SELECT o_orderkey, o_custkey, CAST(ceil(row_number() OVER (ORDER BY o_orderdate, o_orderkey) / 500.0) AS BIGINT) AS page FROM orders
+WHERE o_orderdate > TIMESTAMP '1995-06-01' AND o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW') AND (o_totalprice IS NULL OR o_totalprice <= 300000) AND (o_orderpriority ILIKE '%urg%' OR o_orderpriority ILIKE '%high%')""",
     "scout_distinct": " UNION ALL ".join(f"(SELECT DISTINCT '{c}' AS name, {c} AS value FROM part WHERE trim({c}) <> '' ORDER BY value LIMIT 500)" for c in ("p_brand", "p_type", "p_name")),
-    "keyword_rule": """WITH c AS (SELECT DISTINCT o_custkey AS company_id, lower(p_name) AS keyword FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey WHERE l_quantity > 45),
-t AS (SELECT DISTINCT p_type AS category, lower(p_name) AS keyword FROM part WHERE p_partkey % 3 = 0),
+    "keyword_rule": """WITH c AS (SELECT DISTINCT o_custkey AS company_id, lower(p_name) AS keyword FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey),
+t AS (SELECT DISTINCT p_type AS category, lower(p_name) AS keyword FROM part),
 s AS (SELECT company_id, category, count(*) AS score FROM c JOIN t USING (keyword) GROUP BY 1, 2), r AS (SELECT *, rank() OVER (PARTITION BY company_id ORDER BY score DESC) AS rk FROM s)
 SELECT company_id, CASE WHEN count(*) = 1 THEN min(category) END AS category, max(score) AS score FROM r WHERE rk = 1 GROUP BY 1""",
     "dictionary_cascade": f"""WITH {COMPANIES}, t AS (SELECT id, lower(sector) AS s1, lower(hq) AS s2, 'v' || (id % 9) AS v1, 'v' || (id % 4) AS v2, id % 3 <> 0 AS src, length(name) * (1 + id % 8) AS len FROM companies),
@@ -384,15 +410,15 @@ d AS (SELECT *, CASE WHEN s1 IN ('building', 'machinery', 'japan') THEN s1 WHEN
 SELECT id, CASE coalesce(sp, ve) WHEN 'building' THEN 'Built' WHEN 'japan' THEN 'Asia' WHEN 'v3' THEN 'Three' WHEN 'v1' THEN 'One' END AS category, coalesce(sp, ve) IS NOT NULL AS hint,
   CASE WHEN sp IS NOT NULL THEN 'spaces' WHEN ve IS NOT NULL THEN 'verticals' END AS section,
   CASE WHEN coalesce(sp, ve) IS NOT NULL THEN 'wrds_fast' WHEN src AND len >= 80 THEN 'wrds_medium' ELSE 'cold' END AS resolver FROM d""",
-    "token_shortlist": """WITH t AS (SELECT p_type AS category, dense_rank() OVER (ORDER BY p_type) - 1 AS ord, string_split(lower(p_name), ' ')[1] AS token FROM part),
+    "token_shortlist": """WITH t AS (SELECT p_type AS category, dense_rank() OVER (ORDER BY p_type) - 1 AS ord, unnest(string_split(lower(p_name), ' ')) AS token FROM part),
 w AS (SELECT category, ord, token, count(*) AS w FROM t GROUP BY ALL),
-c AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 50 = 0 THEN 'none' ELSE p_name END AS text FROM part WHERE p_partkey % 2 = 0),
+c AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 50 = 0 THEN 'none' ELSE p_name END AS text FROM part),
 k AS (SELECT DISTINCT id, unnest(string_split(lower(text), ' ')) AS token FROM c), s AS (SELECT id, category, ord, sum(w)::BIGINT AS score FROM k JOIN w USING (token) GROUP BY ALL)
 SELECT id, category, score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, ord) AS rn FROM s) WHERE rn <= 3
 UNION ALL SELECT id, category, 0 FROM c, (SELECT DISTINCT category FROM t) WHERE id NOT IN (SELECT id FROM s)""",
     "telemetry_summary_sets": """WITH c AS (SELECT role AS agent, 'm' || (turn % 2) AS model, length(text) AS chars, length(text) % 1000 AS ms FROM conversations)
 SELECT agent, model, count(*) AS calls, floor(avg(ms) + 0.5) AS avg_ms, quantile_disc(ms, 0.5)::BIGINT AS p50, quantile_disc(ms, 0.95)::BIGINT AS p95, quantile_disc(ms, 0.99)::BIGINT AS p99,
-  floor((sum(chars) / 4.0::DOUBLE * 0.075::DOUBLE + sum(ms) / 4.0::DOUBLE * 0.30::DOUBLE) / 1e6 * 10000 + 0.5) / 10000 AS cost FROM c GROUP BY GROUPING SETS ((), (agent), (agent, model))""",
+  floor((sum(chars) / 4.0::DOUBLE * 0.075::DOUBLE + sum(ms) / 4.0::DOUBLE * 0.30::DOUBLE) / 1e6 * 10000 + 0.5) / 10000 AS cost FROM c GROUP BY GROUPING SETS ((), (agent), (model))""",
     "stage_tally": """WITH c AS (SELECT CASE WHEN c_custkey % 13 = 0 AND c_custkey % 7 = 0 THEN 'wrds_ingest' WHEN c_custkey % 7 = 0 THEN 'profile' WHEN c_custkey % 5 = 0 THEN 'discovery'
   WHEN c_custkey % 6 = 0 THEN CASE WHEN c_custkey % 2 = 0 AND c_custkey % 17 <> 0 THEN 'categorize' ELSE 'done' END WHEN c_custkey % 8 = 0 THEN 'fingerprint' WHEN c_custkey % 9 = 0 THEN 'scrape'
   WHEN c_custkey % 11 = 0 THEN CASE WHEN c_custkey % 2 = 0 AND c_custkey % 17 <> 0 THEN 'categorize' ELSE 'done' END WHEN c_custkey % 10 = 0 THEN 'extract' WHEN c_custkey % 3 = 0 THEN 'enrich'
@@ -409,6 +435,6 @@ SELECT s.method, count(m.method) AS n, count(*) FILTER (outcome = 'failure') AS
     "header_of_cell": f"""WITH {EVENTS}, h AS (SELECT * FROM (VALUES (0, 'name', 0.0), (1, 'website', 110.0), (2, 'size', 190.0), (3, 'hq', 300.0)) AS v(i, n, x)),
 d AS (SELECT seq, n, abs(duration_ms % 400 - x) AS d, row_number() OVER (PARTITION BY seq ORDER BY abs(duration_ms % 400 - x), i) AS rn FROM ev, h)
 SELECT seq, CASE WHEN d < 40 THEN n END AS header FROM d WHERE rn = 1""",
-    "added_items": "SELECT item_id FROM benchmark EXCEPT ALL SELECT doc_id FROM documents WHERE doc_id % 2 = 0",
+    "added_items": "SELECT doc_id AS item_id FROM documents EXCEPT ALL SELECT item_id FROM benchmark",
 }
 QUERIES = {k: globals()[k] for k in SQL}

@@ -23,13 +23,12 @@ def failure_top15(spark, sf_dir):
 
 def no_result_reasons(spark, sf_dir):
     e = events(spark, sf_dir).where("outcome = 'no_result'")
-    reason = F.coalesce(
-        F.when(F.col("k") % 4 == 0, F.lit("all_miss")),
-        F.when(F.col("stage") == "discovery", F.lit("discovery_miss")),
-        F.when(F.col("job_count") == 0, F.concat_ws(":", "stage", F.lit("empty"))),
-        F.lit("unknown"),
-    )
-    return e.groupBy(reason.alias("reason")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason").limit(15)
+    k = F.col("k")
+    found = report.no_result_reason(
+        reason=F.when(k % 9 == 0, "all_miss").when(k % 9 == 1, ""), category_error=F.when(k % 5 == 0, "boom"), failure_class=F.when(k % 2 == 0, "timeout"),
+        status_code=F.when(k % 4 == 1, 404).when(k % 4 == 2, 0), jobs=F.when(k % 3 == 0, 0), category=F.when(k % 7 == 0, "None").when(k % 7 < 4, "Solar"), platform=F.when(k % 2 == 0, "lever"),
+    )
+    return e.groupBy(F.concat_ws("/", "stage", found).alias("reason")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason").limit(15)
 
 
 def source_distribution(spark, sf_dir):
@@ -69,7 +68,7 @@ def last60_per_stage(spark, sf_dir):
 
 
 def rolling60s(spark, sf_dir):
-    return report.rolling(events(spark, sf_dir)).select("seq", "stage", "completions", "error_rate")
+    return report.rolling(events(spark, sf_dir)).select("seq", "stage", "completions", "error_rate", "p95_ms")
 
 
 def last20_failure_rate(spark, sf_dir):
@@ -132,8 +131,8 @@ SELECT t.*, v[least(n - 1, CAST(floor(0.5 * n) AS BIGINT)) + 1] AS p50, v[least(
 FROM t LEFT JOIN d USING (stage)""",
     "failure_top15": WITH + """SELECT stage || '/class_' || (k % 7) AS key, count(*) AS n FROM ev WHERE outcome = 'failure'
 GROUP BY 1 ORDER BY n DESC, key LIMIT 15""",
-    "no_result_reasons": WITH + """SELECT CASE WHEN k % 4 = 0 THEN 'all_miss' WHEN stage = 'discovery' THEN 'discovery_miss'
-  WHEN job_count = 0 THEN stage || ':empty' ELSE 'unknown' END AS reason, count(*) AS n
+    "no_result_reasons": WITH + """SELECT stage || '/' || CASE WHEN k % 9 = 0 THEN 'all_miss' WHEN k % 5 = 0 AND k % 2 = 0 THEN 'category_error:timeout' WHEN k % 5 = 0 THEN 'category_error'
+  WHEN k % 4 = 1 THEN 'http_404' WHEN k % 3 = 0 THEN 'zero_jobs' WHEN k % 7 = 0 OR k % 7 >= 4 THEN 'category_none' WHEN k % 2 = 1 THEN 'ats_undetected' ELSE 'unknown' END AS reason, count(*) AS n
 FROM ev WHERE outcome = 'no_result' GROUP BY 1 ORDER BY n DESC, reason LIMIT 15""",
     "source_distribution": WITH + f"""SELECT 's' || (k % 5) AS source, count(*) AS n,
   {pct("count(*) FILTER (outcome = 'no_result')", "count(*)")} AS no_result_pct FROM ev WHERE stage = 'categorize' GROUP BY 1""",
@@ -149,7 +148,8 @@ FROM ev GROUP BY GROUPING SETS ((stage, outcome), (lane, stage, outcome))""",
     "last60_per_stage": WITH + """SELECT stage, seq, outcome, CAST(rn AS INT) AS rn FROM (
   SELECT *, row_number() OVER (PARTITION BY stage ORDER BY seq DESC) AS rn FROM ev) WHERE rn <= 60""",
     "rolling60s": WITH + """SELECT seq, stage, count(*) OVER w AS completions,
-  floor(CAST(count(*) FILTER (outcome = 'failure') OVER w AS DOUBLE) / count(*) OVER w * 10000 + 0.5) / 10000 AS error_rate
+  floor(CAST(count(*) FILTER (outcome = 'failure') OVER w AS DOUBLE) / count(*) OVER w * 10000 + 0.5) / 10000 AS error_rate,
+  list_extract(list_sort(list(duration_ms) OVER w), greatest(CAST(ceil(count(*) OVER w * 0.95) AS INT), 1)) AS p95_ms
 FROM ev WINDOW w AS (PARTITION BY stage ORDER BY epoch_ms(ts) RANGE BETWEEN 60000 PRECEDING AND CURRENT ROW)""",
     "last20_failure_rate": WITH + """SELECT seq, stage, CASE WHEN count(*) OVER w >= 5 THEN
   floor(CAST(count(*) FILTER (outcome = 'failure') OVER w AS DOUBLE) / count(*) OVER w * 10000 + 0.5) / 10000 END AS failure_rate

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text, urls
@@ -88,9 +87,10 @@ def seeded_sample(spark, sf_dir):
 
 def sparkline(spark, sf_dir):
     """Where each event's duration stands among the last 24 of its stage, in eight steps."""
-    w = Window.partitionBy("stage").orderBy("seq").rowsBetween(-23, 0)
-    most = F.max("duration_ms").over(w)
-    return events(spark, sf_dir).select("seq", F.when(most > 0, F.floor(F.col("duration_ms") / most * 7)).otherwise(0).cast("long").alias("step"))
+    dealt, w = report.lately(events(spark, sf_dir), 24)
+    dealt = dealt.withColumn("_most", F.max("duration_ms").over(w)).where("_own")
+    most = F.col("_most")
+    return dealt.select("seq", F.when(most > 0, F.floor(F.col("duration_ms") / most * 7)).otherwise(0).cast("long").alias("step"))
 
 
 def kept_runs(spark, sf_dir):
