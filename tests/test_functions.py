@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tidemark.functions import classify, html, lifecycle, numbers, text, urls
+from tidemark.functions import classify, lifecycle, numbers, text, urls
 
 
 def one(spark, column, **values):
@@ -69,11 +69,13 @@ def test_stages(spark):
     assert stage(last_scrape_outcome="skipped_signature_match", last_extracted_at=None) == "done"
 
 
-def test_html_listings():
-    page = """<nav><a href="/jobs/nav">n</a></nav><main><a href="/careers/a-b">A  B</a><a href="/jobs">all</a><a href="/jobs/2#x">Two</a></main>
-    <script type="application/ld+json">{"@graph": [{"@type": ["JobPosting"], "title": "X", "identifier": {"value": "/jobs/9"}}]}</script>"""
-    name, items = html.listings_of(page, "https://e.com/")
-    assert name == "anchor-job-links"
-    assert [(i["title"], i["url"]) for i in items] == [("X", "https://e.com/jobs/9"), ("A B", "https://e.com/careers/a-b"), ("Two", "https://e.com/jobs/2#x")]
-    assert html.listings_of("<p>none", "https://e.com") == (None, [])
-    assert html.listings_of("<a href='https://boards.greenhouse.io/acme/jobs/12'>Eng</a>", "")[0] == "greenhouse"
+def test_links_are_resolved_as_python_does(spark):
+    from urllib.parse import urljoin
+
+    bases = ["https://a.com/b/c", "https://a.com", "http://a.com/x/?q#f", "https://a.com/b/c.html?x=/y"]
+    links = ["d", "/d", "//e.org/f", "?q=1", "#top", "http://z.com", "../up", "./here", "a/../b", "", "mailto:x@y.z", "javascript:void(0)", "d/e?f#g"]
+    rows = [(u, b) for u in links for b in bases]
+    got = [r[0] for r in spark.createDataFrame(rows, "u string, b string").coalesce(1).select(urls.resolve(F.col("u"), F.col("b"))).collect()]
+    for (u, b), g in zip(rows, got):
+        want = urljoin(b, u)
+        assert g == (want if want.startswith("http") else None), (u, b, g)

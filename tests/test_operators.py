@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import categorize, providers, replay, temporal, upsert
+from tidemark.operators import categorize, providers, temporal, upsert
 from tidemark.sources import tables
 from tidemark.streaming import live
 
@@ -52,27 +52,42 @@ def test_provider_forms(spark):
     assert got == [(1, "greenhouse", "T", "u", "L"), (2, "lever", "T", "u", None), (3, "workable", "T", "https://apply.workable.com/s/j/c", "C, K")]
 
 
-def test_breaker_opens_probes_and_closes(spark):
-    b = replay.Breaker()
-    for i in range(5):
-        assert b.admits(i)
-        b.record("failure" if i < 3 else "success", i)
-    assert b.status == "open" and not b.admits(100)
-    assert b.admits(70_000) and not b.admits(70_001)
-    b.record("success", 70_002)
-    assert b.status == "closed" and b.admits(70_003)
-
-
-def test_streamed_breaker_equals_replay(spark, tmp_path):
-    data = [(f"s{i % 3}", i, i * 9_000, "failure" if i % 7 < 4 else "success") for i in range(120)]
-    schema = "stage string, seq long, ms long, outcome string"
-    for k in range(3):
-        spark.createDataFrame(data[k * 40 : k * 40 + 40], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    want = rows(replay.breaker_replay(spark.createDataFrame(data, schema)))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    q = live.breaker(stream).writeStream.format("memory").queryName("admitted").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    assert rows(spark.table("admitted")) == want
+def test_streams_count_and_forget_repeats(spark, tmp_path):
+    t = dt.datetime(2024, 1, 1)
+    data = [(f"s{i % 2}", i // 2, t + dt.timedelta(seconds=i), "failure" if i % 5 == 0 else "success") for i in range(40)]
+    spark.createDataFrame(data, "stage string, seq long, ts timestamp, outcome string").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = lambda: spark.readStream.schema("stage string, seq long, ts timestamp, outcome string").parquet(f"{tmp_path}/in")
+
+    def run(df, name, mode):
+        q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        return rows(spark.table(name))
+
+    assert run(live.outcome_counts(stream()), "counts", "complete") == sorted([("s0", "failure", 4), ("s0", "success", 16), ("s1", "failure", 4), ("s1", "success", 16)])
+    assert len(run(live.once(stream(), ["seq"]), "once", "append")) == 20
+    windows = run(live.throughput(stream(), "20 seconds", "20 seconds"), "windows", "complete")
+    assert [(w[0], w[3], w[4]) for w in windows] == [("s0", 10, 2), ("s0", 10, 2), ("s1", 10, 2), ("s1", 10, 2)]
+
+
+def test_an_empty_table_of_companies_is_an_error(spark):
+    import pytest
+
+    from tidemark.operators import states
+
+    c = spark.createDataFrame([("1", " "), ("example", "A"), ("2", "EXAMPLE"), (None, None)], "id string, name string")
+    with pytest.raises(ValueError):
+        states.validated(c)
+    assert rows(states.validated(c.unionByName(spark.createDataFrame([("3", "B")], "id string, name string")))) == [("3", "B")]
+
+
+def test_merge_lets_an_earlier_listing_win(spark):
+    t = lambda n: dt.datetime(2020, 1, 1) + dt.timedelta(days=n)
+    schema = "ord long, url string, description_hash string, title string, first_seen_at timestamp, last_seen_at timestamp, removed_at timestamp"
+    old = spark.createDataFrame([(1, "u", "h1", "A", t(50), t(50), None), (2, "v", "h2", "", t(1), t(1), t(2)), (3, "v", "h3", "C", t(0), t(0), None), (9, "u", "h1", "last", t(60), t(60), None)], schema)
+    new = spark.createDataFrame([(4, "u", "hx", "N", t(10), t(10), None), (5, "u", "hy", "M", t(10), t(10), None), (6, "v", "h2", "F", t(10), t(10), None)], schema)
+    got = {r["url"]: r for r in upsert.merge_jobs(old, new, F.lit(t(10))).collect()}
+    assert got["u"]["ord"] == 4 and got["u"]["first_seen_at"] == t(10)  # first seen before the stored one
+    assert got["v"]["ord"] == 3 and got["v"]["last_seen_at"] == t(0)  # what was hit is the other listing of the address
 
 
 def test_event_log_skips_what_is_no_json(spark, tmp_path):

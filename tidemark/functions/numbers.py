@@ -19,17 +19,12 @@ def percent(part: Column, whole: Column, digits: int = 1) -> Column:
 
 def percentile_at(values: Column, p: float) -> Column:
     """Of the sorted values the one at index min(n - 1, floor(p / 100 * n)); null for none. One group's
-    values are collected, so group by something that keeps groups bounded, or use percentile_nearest."""
+    values are collected, so group by something that keeps groups bounded."""
     ordered = F.array_sort(values)
     at = F.least(F.size(ordered) - 1, F.floor(F.lit(p / 100.0) * F.size(ordered)).cast("int")) + 1
     return F.when(F.size(ordered) > 0, F.element_at(ordered, at))
 
 
-def percentile_nearest(x: Column, p: float) -> Column:
-    """Nearest rank: the value at place ceil(p * n)."""
-    return F.percentile_disc(x, F.lit(p)) if hasattr(F, "percentile_disc") else F.expr(f"percentile_disc({p}) within group (order by {x._jc.toString()})")
-
-
 def delta_text(before: Column, after: Column) -> Column:
     """Relative change in percent: an em dash where both are 0, +∞ where only the base is."""
     change = round_half_up((after - before) / before * 100.0, 1)

@@ -47,8 +47,6 @@ LISTING_LINKS = (
 # Shapes of pages in order of precedence; the counts are of links to careers pages.
 GENERATOR = r"(?i)<meta[^>]*name\s*=\s*[\"']generator[\"'][^>]*content\s*=\s*[\"']([^\"']*)[\"']"
 CAREER_LINK = r"(?i)href\s*=\s*[\"'][^\"']*/(?:jobs?|careers)(?:/|[-_]|[\"'])"
-# What a page says that a visitor is kept from.
-BLOCKED = r"captcha|please enable cookies|access denied|cookie consent|you are being redirected"
 LINK = r"(?i)href\s*=\s*[\"']([^\"']+)[\"']"
 # What a page says that a visitor is kept from.
 BLOCKED = r"captcha|please enable cookies|access denied|cookie consent|you are being redirected"
@@ -77,10 +75,28 @@ def normalize(c: Column) -> Column:
     )
 
 
-@F.pandas_udf(StringType())
-def resolve(url: pd.Series, base: pd.Series) -> pd.Series:
-    """A link as seen from its page."""
+def resolve(url: Column, base: Column) -> Column:
+    """A link as seen from its page; null if it leads to no http(s) address. Dots in a path are followed by Python only where they occur."""
+    u = F.trim(url)
+    root, folder = F.regexp_extract(base, r"^(?i)(https?://[^/?#]+)", 1), F.regexp_extract(base, r"^(?i)https?://[^/?#]+([^?#]*/)", 1)
+    page = F.regexp_extract(base, r"^([^#]*)", 1)
+    plain = (
+        F.when(u.rlike("^(?i)https?://"), u)
+        .when(u.rlike(r"^(?i)[a-z][a-z0-9+.-]*:"), F.lit(None))
+        .when(root == "", F.lit(None))
+        .when(u == "", base)
+        .when(u.startswith("//"), F.concat(F.regexp_extract(root, "^([^/]+)", 1), u))
+        .when(u.startswith("/"), F.concat(root, u))
+        .when(u.startswith("#"), F.concat(page, u))
+        .when(u.startswith("?"), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), u))
+        .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), u))
+    )
+    dots = u.rlike(r"(^|/)\.{1,2}(/|$|[?#])")
+    return F.when(dots, _joined(url, base)).otherwise(plain)
+
 
+@F.pandas_udf(StringType())
+def _joined(url: pd.Series, base: pd.Series) -> pd.Series:
     def one(u, b):
         try:
             out = urljoin(b or "", (u or "").strip())
@@ -88,7 +104,7 @@ def resolve(url: pd.Series, base: pd.Series) -> pd.Series:
             return None
         return out if out.startswith(("http://", "https://")) else None
 
-    return pd.Series([one(u, b) for u, b in zip(url, base)])
+    return pd.Series([one(u, b) for u, b in zip(url, base)], dtype=object)
 
 
 def signature(urls: Column) -> Column:

@@ -102,3 +102,32 @@ def recovered_array(answer: Column) -> Column:
     whole = F.regexp_extract(answer, r"(?s)(\[.*\])\s*$", 1)
     part = F.regexp_extract(answer, r"(?s)(\[.*\})", 1)
     return F.coalesce(F.nullif(whole, F.lit("")), F.when(part != "", F.concat(part, F.lit("]"))))
+
+
+# What the columns of a table of companies are called; a header names the first or three of them.
+COLUMN_NAMES = (r"\bwebsite\b", r"\bhq\b", r"companies", r"\bemployees\b", r"financing", r"total raised")
+LEAST_CELLS = 3
+
+
+def admitted(rows: DataFrame) -> DataFrame:
+    """(doc, header, n_rows) of table rows (doc, row, cells): the first row that is a header, and the rows after it that have enough
+    cells; without a header, all such rows."""
+    filled = F.size(F.filter("cells", lambda c: F.trim(c) != ""))
+    names = lambda p: F.exists("cells", lambda c: F.lower(F.trim(c)).rlike(p))
+    known = sum(F.coalesce(names(p), F.lit(False)).cast("int") for p in COLUMN_NAMES)
+    header = (filled >= LEAST_CELLS) & (F.coalesce(names(COLUMN_NAMES[0]), F.lit(False)) | (known >= 3))
+    r = rows.select("doc", "row", (filled >= LEAST_CELLS).alias("enough"), header.alias("is_header"))
+    first = r.groupBy("doc").agg(F.min(F.when(F.col("is_header"), F.col("row"))).alias("header"))
+    after = F.col("enough") & (F.col("row") > F.coalesce("header", F.lit(-1)))
+    return r.join(first, "doc").groupBy("doc", "header").agg(F.count_if(after).alias("n_rows"))
+
+
+def example_cells(parts: DataFrame) -> DataFrame:
+    """Rows of documents out of parts: some are headers by one name, some by three, some lack cells."""
+    k = F.col("p_partkey")
+    three = k % 7 == 1
+    cells = F.array(
+        F.when(k % 7 == 0, "Website").when(three, "Employees").otherwise(F.col("p_brand")), F.when(k % 3 == 0, " ").otherwise(F.col("p_type")),
+        F.when(three, "HQ location").otherwise(F.col("p_name")), F.when(three, "Total Raised").when(k % 5 == 0, "").otherwise(F.col("p_size").cast("string")),
+    )
+    return parts.select((k % 50).alias("doc"), k.alias("row"), cells.alias("cells"))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import text, urls
-from tidemark.functions.lifecycle import blank
-from tidemark.functions.numbers import percent, round_half_up
-from tidemark.operators import compare, report
+from tidemark.functions import classify, text, urls
+from tidemark.functions.lifecycle import blank, lane_of
+from tidemark.functions.numbers import percent, progress, round_half_up
+from tidemark.operators import compare, report, tabular
 from tidemark.plans import page_plans
-from tidemark.plans.model import COMPANIES, EVENTS, companies, events, table
-from tidemark.sources.tables import retained
+from tidemark.plans.model import COMPANIES, EVENTS, companies, events, jobs, pick, table
+from tidemark.sources.tables import prefer_json, retained, run_status, upsert_plan
 
 
 def company_projection(spark, sf_dir):
@@ -143,6 +143,55 @@ def event_search(spark, sf_dir):
     return e.where(hit).groupBy("company_id", "outcome").agg(F.count("*").alias("n"))
 
 
+def placeholder_jobs(spark, sf_dir):
+    """Listings that only show what one looks like."""
+    title = pick(("Example role", "A TEST JOB", "Lead", None), F.col("id"))
+    told = F.when(F.col("id") % 7 == 0, "This is a sample description of it").otherwise(F.col("title"))
+    return jobs(spark, sf_dir).groupBy(classify.is_placeholder(title, told).alias("placeholder")).agg(F.count("*").alias("n"))
+
+
+def artifact_choice(spark, sf_dir):
+    """Of a site's artifacts the JSON one, else the HTML one."""
+    p = table(spark, sf_dir, "pages").select((F.col("page_id") % 40).alias("company_id"), F.when(F.col("page_id") % 80 == 3, "json").otherwise("html").alias("kind"), F.col("url").alias("body"))
+    return prefer_json(p).select("company_id", "kind")
+
+
+def sink_actions(spark, sf_dir):
+    """What a sink must do with each company, and the status that the run's log gets."""
+    c = companies(spark, sf_dir).select("id", "sector")
+    plan = upsert_plan(c, c.where("id % 3 = 0 or sector = 'BUILDING'").unionByName(c.where("id % 6 = 0")))
+    return plan.groupBy("action").agg(F.count("*").alias("n"), run_status(F.count_if((F.col("action") == "create") & (F.col("id") % 500 == 1))).alias("status"))
+
+
+def lane_progress(spark, sf_dir):
+    """Companies by lane, and how far each lane is."""
+    c = companies(spark, sf_dir).select("id", lane_of(F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 3 == 1, "2026")).alias("lane"))
+    done, queued, flying = (F.count_if(F.col("id") % 7 == k) for k in (0, 1, 2))
+    return c.groupBy("lane").agg(F.count("*").alias("n"), progress(done, done, queued, flying).alias("progress"))
+
+
+def typed_values(spark, sf_dir):
+    """Texts and numbers of answers, with nothing where there is none."""
+    k = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.when(k % 4 == 0, "  ").otherwise(F.concat(F.lit(" "), "c_mktsegment")).alias("a"), F.when(k % 3 == 0, "12x").otherwise((k / 4).cast("string")).alias("b"))
+    return c.select("c_custkey", text.string_or_null(F.col("a")).alias("text"), text.number_or_null(F.col("b")).alias("number"))
+
+
+def recovered_answers(spark, sf_dir):
+    """Answers whose array was cut off, closed after their last whole object."""
+    k = F.col("c_custkey")
+    one = lambda n: F.concat(F.lit('{"id":'), (k + n).cast("string"), F.lit("}"))
+    cut = F.concat(F.lit("x [") , one(0), F.lit(","), one(1), F.when(k % 3 == 0, "] ").when(k % 3 == 1, ',{"id').otherwise(""))
+    a = tabular.recovered_array(F.when(k % 10 == 0, "none").otherwise(cut))
+    return table(spark, sf_dir, "customer").select("c_custkey", a.alias("json"), F.coalesce(F.json_array_length(a), F.lit(0)).alias("n"))
+
+
+def base_addresses(spark, sf_dir):
+    """Addresses with a scheme."""
+    bare = F.when(F.col("page_id") % 2 == 0, F.regexp_replace("url", "^[a-z]+://", "")).otherwise(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", urls.absolute(bare).alias("url"))
+
+
 PCT = "CASE WHEN ({b}) = 0 THEN 0.0 ELSE floor(CAST(({a}) AS DOUBLE) / ({b}) * 100.0 * 10 + 0.5) / 10 END"
 pct = lambda a, b: PCT.format(a=a, b=b)
 HR = page_plans.SHAPED + """, b AS (SELECT shape, count(*) AS n FROM s WHERE page_id % 2 = 0 GROUP BY 1), a AS (SELECT shape, count(*) AS n FROM s WHERE page_id % 3 <> 0 GROUP BY 1),
@@ -150,6 +199,15 @@ hr AS (SELECT coalesce(a.shape, b.shape) AS shape, coalesce(b.n, 0) AS before, c
 E = f"WITH {EVENTS} "
 
 SQL = {
+    "placeholder_jobs": """SELECT o_orderkey % 7 = 0 OR o_orderkey % 4 < 2 AS placeholder, count(*) AS n FROM orders GROUP BY 1""",
+    "artifact_choice": "SELECT page_id % 40 AS company_id, CASE WHEN bool_or(page_id % 80 = 3) THEN 'json' ELSE 'html' END AS kind FROM pages GROUP BY 1",
+    "sink_actions": """WITH a AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 OR c_mktsegment = 'BUILDING' THEN 'update' ELSE 'create' END AS action FROM customer)
+SELECT action, count(*) AS n, CASE WHEN count(*) FILTER (action = 'create' AND id % 500 = 1) > 0 THEN 'partial' ELSE 'success' END AS status FROM a GROUP BY 1""",
+    "lane_progress": """WITH c AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 1 THEN 'warm' ELSE 'cold' END AS lane, c_custkey % 7 AS m FROM customer)
+SELECT lane, count(*) AS n, CASE WHEN count(*) FILTER (m < 3) = 0 THEN 0.0 ELSE floor(CAST(count(*) FILTER (m = 0) AS DOUBLE) / count(*) FILTER (m < 3) * 100.0::DOUBLE + 0.5) END AS progress FROM c GROUP BY 1""",
+    "typed_values": "SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS text, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey / 4.0::DOUBLE END AS number FROM customer",
+    "recovered_answers": """SELECT c_custkey, CASE WHEN c_custkey % 10 <> 0 THEN '[{"id":' || c_custkey || '},{"id":' || (c_custkey + 1) || '}]' END AS json, CASE WHEN c_custkey % 10 <> 0 THEN 2 ELSE 0 END AS n FROM customer""",
+    "base_addresses": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'https://' || regexp_replace(url, '^[a-z]+://', '') ELSE url END AS url FROM pages",
     "company_projection": """WITH c AS (SELECT *, CASE WHEN c_custkey % 4 <> 0 THEN 'Site' || c_custkey || '.com' END AS domain FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
 SELECT coalesce(lower(replace(domain, '.', '-')), lower(replace(c_name, '#', '')) || '-' || substr(sha1(c_name), 1, 10)) AS id, domain,
   CASE WHEN c_custkey % 7 <> 0 THEN nullif(c_acctbal, 0) END AS employees, CASE WHEN c_custkey % 3 = 0 THEN 'City, ' ELSE '' END || n_name AS hq, c_mktsegment || '|' || n_name AS keywords FROM c""",

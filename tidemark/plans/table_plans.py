@@ -37,10 +37,19 @@ def table_import(spark, sf_dir):
 
 
 def alias_resolution(spark, sf_dir):
-    """Which columns of customer a sink's names mean."""
+    """The columns of customer that a sink's names mean, and how many of their cells are filled."""
+    c = table(spark, sf_dir, "customer")
     wanted = spark.createDataFrame([(c, i, a) for c, names in ALIASES for i, a in enumerate(names)], "canonical string, ord int, alias string")
-    present = spark.createDataFrame([(c,) for c in table(spark, sf_dir, "customer").columns], "name string")
-    return tabular.resolve_columns(wanted, present)
+    cells = c.select(F.explode(F.map_entries(F.create_map(*[x for n in c.columns for x in (F.lit(n), F.col(n).cast("string"))]))).alias("e")).select(F.col("e.key").alias("name"), F.col("e.value").alias("value"))
+    filled = cells.groupBy("name").agg(F.count_if(F.trim("value") != "").alias("n"))
+    named = tabular.resolve_columns(wanted, filled.select("name"))
+    return named.join(filled, F.col("actual") == F.col("name"), "left").select("canonical", "actual", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def header_rows(spark, sf_dir):
+    """The header of a first page is its first row with enough cells that names a website or three of the known columns; rows
+    after it with three cells or more are taken."""
+    return tabular.admitted(tabular.example_cells(table(spark, sf_dir, "part")))
 
 
 SQL = {
@@ -51,6 +60,12 @@ SELECT page, max(row)::BIGINT AS n_rows, count(*) AS n_cells FROM r GROUP BY pag
     "table_import": """SELECT c_custkey, 'Firm' || substr(c_name, 10, 9) AS name, CASE WHEN c_custkey % 4 <> 0 THEN 'f' || c_custkey || '.com/' END AS domain,
   nullif(CAST(floor(abs(c_acctbal)) AS BIGINT), -1) AS size, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey ELSE 0 END AS employees, c_mktsegment AS hq, c_custkey % 5 = 0 AS uncertain,
   CASE WHEN c_custkey % 4 = 0 THEN 'no_domain' ELSE '' END AS notes FROM customer""",
-    "alias_resolution": "SELECT * FROM (VALUES ('Name', 'c_name'), ('Domain', NULL), ('Segment', 'c_mktsegment'), ('Balance', 'c_acctbal')) AS v(canonical, actual)",
+    "alias_resolution": """SELECT 'Name' AS canonical, 'c_name' AS actual, count(*) FILTER (trim(c_name) <> '') AS n FROM customer UNION ALL SELECT 'Domain', NULL, 0
+UNION ALL SELECT 'Segment', 'c_mktsegment', count(*) FILTER (trim(c_mktsegment) <> '') FROM customer UNION ALL SELECT 'Balance', 'c_acctbal', count(c_acctbal) FROM customer""",
+    "header_rows": """WITH r AS (SELECT p_partkey % 50 AS doc, p_partkey AS row, CASE WHEN p_partkey % 7 = 0 THEN 'Website' WHEN p_partkey % 7 = 1 THEN 'Employees' ELSE p_brand END AS a, CASE WHEN p_partkey % 3 = 0 THEN ' ' ELSE p_type END AS b,
+  CASE WHEN p_partkey % 7 = 1 THEN 'HQ location' ELSE p_name END AS c, CASE WHEN p_partkey % 7 = 1 THEN 'Total Raised' WHEN p_partkey % 5 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END AS d FROM part),
+n AS (SELECT *, (trim(a) <> '')::INT + (trim(b) <> '')::INT + (trim(c) <> '')::INT + (trim(d) <> '')::INT AS cells FROM r),
+h AS (SELECT doc, min(row) AS header FROM n WHERE cells >= 3 AND row % 7 < 2 GROUP BY 1)
+SELECT n.doc, header, count(*) FILTER (row > coalesce(header, -1) AND cells >= 3) AS n_rows FROM n LEFT JOIN h USING (doc) GROUP BY 1, 2""",
 }
 QUERIES = {k: globals()[k] for k in SQL}

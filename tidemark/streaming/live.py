@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from tidemark.operators.replay import Breaker
 
 
 def outcome_counts(events: DataFrame) -> DataFrame:
@@ -31,32 +25,3 @@ def throughput(events: DataFrame, window: str = "60 seconds", slide: str = "5 se
 def once(events: DataFrame, keys: list[str], late: str = "5 minutes") -> DataFrame:
     """Each key once while it may still be repeated."""
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
-
-
-def breaker(events: DataFrame) -> DataFrame:
-    """The circuit breaker of every stage over a stream (stage, seq, ms, outcome); its state between batches is small:
-    status, the instant it opened, and the last outcomes."""
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        b = Breaker()
-        if state.exists:
-            b.status, opened, b.probing, recent = state.get
-            b.opened = None if opened < 0 else opened
-            b.recent.extend(map(bool, recent))
-        rows = pd.concat(list(batches)).sort_values("seq")
-        out = []
-        for seq, ms, outcome in zip(rows["seq"], rows["ms"], rows["outcome"]):
-            admitted = b.admits(int(ms))
-            if admitted:
-                b.record(outcome, int(ms))
-            out.append((key[0], int(seq), admitted, b.status))
-        state.update((b.status, -1 if b.opened is None else b.opened, b.probing, [int(x) for x in b.recent]))
-        yield pd.DataFrame(out, columns=["stage", "seq", "admitted", "status"])
-
-    return events.groupBy("stage").applyInPandasWithState(
-        step,
-        "stage string, seq long, admitted boolean, status string",
-        "status string, opened long, probing boolean, recent array<int>",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
