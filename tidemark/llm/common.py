@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared import materialize, ranked, shared_dir
+
+__all__ = ["WORD", "bound_batches", "crc_mod", "hot_join", "materialize", "ranked", "shared_dir", "slices", "table", "training_rows"]
+
 #: A word is a run of anything but these blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -17,35 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``). Where none is set, a local session (a test)
-    gets a temporary one; a cluster has no such folder, so there it is an error."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    return _own[app]
-
-
-def materialize(df: DataFrame, partition_by: str | None = None, codec: str = "zstd") -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage is cut, and every
-    reader sees the same rows even after executors are lost."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", codec)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def crc_mod(id_col: str, m: int) -> Column:
     """crc32 of the id's decimal text, modulo m; a null id gives null."""
     return F.crc32(F.col(id_col).cast("string")) % m
@@ -106,24 +79,3 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, *, times: str, total:
     hot = F.broadcast(right.where(F.col(times) * parts > total).drop(times))
     rest = right.where(F.col(times) * parts <= total).drop(times)
     return left.join(hot, key).unionByName(left.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key))
-
-
-def ranked(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Number the rows of each key from 1 along ``order``, without bringing a key into one task.
-
-    A range sort cuts the rows into blocks and is written; each block counts its rows by key, a
-    prefix sum over the counts gives every block its start. Returns (df with ``rank``, the sorted
-    rows). Ties beyond ``order`` keep the place they were written in."""
-    by = [*keys, *order]
-    ordered = materialize(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("block", F.spark_partition_id()))
-    counts = ordered.groupBy(*keys, "block").agg(F.count("*").alias("n"))
-    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        *(F.col(k).alias(f"b_{k}") for k in keys), F.col("block").alias("b_block"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("b_start")
-    )
-    within = Window.partitionBy("block", *keys).orderBy(*order)
-    same = F.col("block") == F.col("b_block")
-    for k in keys:
-        same &= F.col(k).eqNullSafe(F.col(f"b_{k}"))
-    placed = ordered.withColumn("row", F.row_number().over(within)).join(starts, same)
-    return placed.withColumn("rank", F.col("b_start") + F.col("row")).drop("row", "block", "b_block", "b_start", *(f"b_{k}" for k in keys)), ordered
