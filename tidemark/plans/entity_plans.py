@@ -9,6 +9,7 @@ from tidemark.functions import classify, lifecycle, text
 from tidemark.functions.numbers import model_cost, percent, round_half_up
 from tidemark.operators import categorize, upsert
 from tidemark.sources.tables import increment
+from tidemark.plans import fixed_sql
 from tidemark.plans.model import COMPANIES, EVENTS, JOBS, companies, events, jobs, pick, sql_pick, table
 
 # Messages of failures, by number.
@@ -317,16 +318,7 @@ def added_items(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id")).exceptAll(table(spark, sf_dir, "benchmark").select("item_id"))
 
 
-W = "(?:^|[^A-Za-z0-9_])(?:{w})(?:[^A-Za-z0-9_]|$)"
-has = lambda c, w: f"regexp_matches(lower({c}), '{W.format(w=w)}')"
-case = lambda c, rules: " ".join(f"WHEN {has(c, w)} THEN '{n}'" for n, w in rules)
-FN = f"CASE {case('title', classify.FUNCTIONS)} END"
-SEN = f"CASE {case('title', classify.SENIORITIES)} WHEN {has('title', 'manager')} AND NOT {has('title', f'(?:{classify.LED_MANAGERS}) +manager')} THEN 'mid' ELSE 'unknown' END"
-NORMAL = "title"
-for _s, _l in classify.ABBREVIATIONS:
-    NORMAL = f"regexp_replace({NORMAL}, '\\b{_s}\\.?(\\s|$)', '{_l}\\1', 'gi')"
-NORMAL = f"regexp_replace({NORMAL}, ' (I{{1,3}}|IV|VI{{0,3}}|IX|[1-9])$', '', 'i')"
-inl = lambda v: "(" + ", ".join(repr(x) for x in v) + ")"
+FN, SEN = (x.replace("(t,", "(lower(title),") for x in (fixed_sql.FUNCTIONS, fixed_sql.LEVELS))
 JC = f"""WITH {JOBS}, {COMPANIES}, jc AS (SELECT jobs.id, title, coalesce(c.name, 'Unknown Company') AS company, coalesce(sector, 'Unknown') AS industry,
   coalesce(hq, 'Unknown') AS location, {FN} AS function, {SEN} AS seniority, relevance = '1-URGENT' AS climate
   FROM jobs LEFT JOIN (SELECT * FROM companies WHERE id % 10 <> 0) c ON company_id = c.id) """
@@ -338,10 +330,8 @@ L = """WITH l AS (SELECT doc_id AS ord, CASE WHEN doc_id % 7 <> 0 THEN 'https://
   CASE WHEN doc_id % 5 = 0 THEN '' ELSE lang END AS title, 1500000000 + doc_id * 7919 % 1000000 AS seen, doc_id % 4 = 0 AS removed FROM documents) """
 
 SQL = {
-    "title_classify": f"WITH {JOBS}, t AS (SELECT *, {FN} AS fn, {SEN} AS sen FROM jobs) SELECT id, {NORMAL} AS normal, fn AS function, sen AS seniority, "
-    f"CASE {case('title || chr(32) || relevance', classify.EMPLOYMENTS)} ELSE 'full_time' END AS employment, "
-    f"CASE WHEN fn IS NULL OR sen = 'unknown' THEN NULL WHEN fn IN {inl(classify.HIGH[0])} AND sen IN {inl(classify.HIGH[1])} THEN 'high' WHEN sen = 'intern' THEN 'low' "
-    f"WHEN fn IN {inl(classify.LOW[0])} AND sen IN {inl(classify.LOW[1])} THEN 'low' ELSE 'medium' END AS mba_relevance FROM t",
+    "title_classify": f"""WITH {JOBS}, t AS (SELECT *, {FN} AS fn, {SEN} AS sen FROM jobs) SELECT id, {fixed_sql.NORMAL_TITLE} AS normal, fn AS function, sen AS seniority,
+  {fixed_sql.EMPLOYMENTS.replace("(t,", "(lower(title || ' ' || relevance),")} AS employment, {fixed_sql.RELEVANCE} AS mba_relevance FROM t""",
     "location_kinds": f"WITH {COMPANIES} SELECT CASE id % 5 WHEN 0 THEN 'remote' WHEN 1 THEN 'hybrid' WHEN 2 THEN 'unknown' ELSE 'on_site' END AS kind, count(*) AS n FROM companies GROUP BY 1",
     "failure_classify": f"""WITH {EVENTS}, f AS (SELECT stage, {ST} AS status, lower({M}) AS m FROM ev WHERE outcome = 'failure'),
 c AS (SELECT stage, CASE WHEN contains(m, 'rate limit') OR contains(m, 'too many requests') OR coalesce(status = 429, false) THEN 'rate_limit'
@@ -349,7 +339,7 @@ c AS (SELECT stage, CASE WHEN contains(m, 'rate limit') OR contains(m, 'too many
   WHEN contains(m, 'econnreset') THEN 'transient_network' WHEN contains(m, 'prompt unavailable') THEN 'config' WHEN contains(m, 'json') AND contains(m, 'unexpected') THEN 'bad_data'
   WHEN contains(m, 'anthropic') AND contains(m, 'credit') THEN 'unknown' WHEN contains(m, 'claude') AND contains(m, 'http 403') THEN 'auth'
   WHEN stage = 'extract' AND contains(m, 'empty') THEN 'bad_data' ELSE 'unknown' END AS failure_class FROM f)
-SELECT stage, failure_class, failure_class IN {inl(classify.TRANSIENT)} AS transient, count(*) AS n FROM c GROUP BY ALL""",
+SELECT stage, failure_class, failure_class IN {fixed_sql.TRANSIENT} AS transient, count(*) AS n FROM c GROUP BY ALL""",
     "split_delimited": "SELECT p_partkey, trim(p_name) || '/' || trim(p_brand) || '/' || trim(p_type) AS parts, 3::BIGINT AS n FROM part",
     "slugs": r"""WITH n AS (SELECT c_custkey, ' ' || regexp_replace(c_name, '#', ' & #') || '  Inc. ' AS name FROM customer),
 s AS (SELECT *, regexp_replace(lower(trim(regexp_replace(name, '[^\w\s-]', '', 'g'))), '[-\s]+', '-', 'g') AS slug FROM n)

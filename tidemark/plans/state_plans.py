@@ -8,6 +8,7 @@ from tidemark.functions import text, urls
 from tidemark.functions.lifecycle import blank
 from tidemark.functions.numbers import delta_text, percent, round_half_up
 from tidemark.operators import report, states
+from tidemark.plans import fixed_sql
 from tidemark.plans.model import COMPANIES, EVENTS, JOBS, STATE, companies, company_state, events, jobs, pick, sql_pick, table
 
 ANSWERS = (
@@ -373,19 +374,8 @@ pct = lambda a, b: PCT.format(a=a, b=b)
 S = f"WITH {STATE} "
 E = f"WITH {EVENTS} "
 B = lambda c: f"coalesce({c}, '') = ''"
-# Fixed values, written out a second time for the SQL side.
-SQL_FUNCTIONS = r"""CASE WHEN regexp_matches(t, '\b(chief of staff|strategy\s*&?\s*ops|corporate strategy)\b') THEN 'strategy' WHEN regexp_matches(t, '\b(product manager|technical product)\b') THEN 'product'
- WHEN regexp_matches(t, '\b(fp&a|financial planning|controller|treasurer|corporate accounting|finance manager|cfo)\b') THEN 'finance' WHEN regexp_matches(t, '\b(general counsel|legal counsel|attorney|compliance officer)\b') THEN 'legal'
- WHEN regexp_matches(t, '\b(data scientist|data analyst|analytics engineer|ml engineer)\b') THEN 'data_science' WHEN regexp_matches(t, '\b(policy|government affairs|regulatory affairs|public affairs)\b') THEN 'policy'
- WHEN regexp_matches(t, '\b(marketing|brand|content|communications|pr|public relations|growth)\b') THEN 'marketing' WHEN regexp_matches(t, '\b(business development|bd|partnerships|sales ops|account executive|account manager|account rep)\b') THEN 'sales'
- WHEN regexp_matches(t, '\b(procurement|logistics|materials|supply chain|planning)\b') THEN 'supply_chain' WHEN regexp_matches(t, '\b(program manager|project manager|operations manager|ops manager)\b') THEN 'operations'
- WHEN regexp_matches(t, '\b(people operations|recruiter|talent|hrbp|hr business|human resources)\b') THEN 'hr' WHEN regexp_matches(t, '\b(customer success|customer support|renewals|implementation specialist)\b') THEN 'customer_success'
- WHEN regexp_matches(t, '\b(product designer|ux|ui designer|visual designer|graphic designer)\b') THEN 'design' WHEN regexp_matches(t, '\b(engineer|developer|architect|swe|sde|devops|sre|platform)\b') THEN 'engineering' END"""
-SQL_LEVELS = r"""CASE WHEN regexp_matches(t, '\b(intern|internship)\b') THEN 'intern' WHEN regexp_matches(t, '\b(ceo|cto|coo|cfo|cpo|chief\s+\w+\s+officer)\b') THEN 'c_suite' WHEN regexp_matches(t, '\b(vp|vice president)\b') THEN 'vp'
- WHEN regexp_matches(t, '\b(director|head of)\b') THEN 'director' WHEN regexp_matches(t, '\b(staff|principal)\b') THEN 'staff' WHEN regexp_matches(t, '\b(senior|sr|lead)\b') THEN 'senior' WHEN regexp_matches(t, '\b(junior|jr|associate|entry)\b') THEN 'entry'
- WHEN regexp_matches(t, '\bmanager\b') AND NOT regexp_matches(t, '\b(people|engineering|product|program|project|general|senior)\s+manager\b') THEN 'mid' ELSE 'unknown' END"""
 ENRICHED = f"""WITH {JOBS}, a AS (SELECT id, lower(title) AS t, id % 5 AS m, CASE WHEN id % 5 <> 0 AND id % 7 <> 0 THEN 'text' END AS d, CASE id % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'odd' END AS old, id % 2 = 0 AS even FROM jobs),
-f AS (SELECT *, {SQL_FUNCTIONS} AS fn, {SQL_LEVELS} AS lv FROM a),
+f AS (SELECT *, {fixed_sql.FUNCTIONS} AS fn, {fixed_sql.LEVELS} AS lv FROM a),
 r AS (SELECT *, CASE WHEN fn IS NULL OR lv = 'unknown' THEN NULL WHEN fn IN ('strategy', 'finance', 'product', 'legal', 'policy') AND lv IN ('mid', 'senior', 'staff', 'director', 'vp', 'c_suite') THEN 'high'
   WHEN lv = 'intern' THEN 'low' WHEN fn IN ('engineering', 'hr', 'customer_success') AND lv = 'entry' THEN 'low' ELSE 'medium' END AS rel FROM f),
 en AS (SELECT id, coalesce(fn, CASE WHEN d IS NOT NULL THEN 'other' END, CASE WHEN id % 3 = 0 THEN 'stored' END, 'other') AS function, lv AS level,
