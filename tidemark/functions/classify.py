@@ -130,3 +130,9 @@ def failure_class(stage: Column, status: Column, message: Column) -> Column:
         .when((stage == "extract") & m.contains("empty"), "bad_data")
         .otherwise("unknown")
     )
+
+
+def needs_enrichment(*, force: Column, version: Column, current: str, stored_hash: Column, text_hash: Column, required: list[Column]) -> Column:
+    """Whether a listing must be looked at again: asked for, of an old version, of another text, or without one of its fields."""
+    missing = reduce(lambda a, c: a | c.isNull(), required, F.lit(False))
+    return F.coalesce(force, F.lit(False)) | ~version.eqNullSafe(F.lit(current)) | ~stored_hash.eqNullSafe(text_hash) | missing

@@ -6,7 +6,7 @@ whole shingles, the shared shingles of a large group of near copies would weigh
 an edited one, and pairs of a similarity of 0.9 would be lost; README has the figures.) Word frequencies are
 counted over all different texts into 2**16 hashed slots.
 
-1. Equal texts collapse to one, by digest, before anything else; the digest names a text throughout.
+1. Equal texts collapse to one by digest (a task sketches the copies that it meets once); a text has a number from then on.
 2. Improved consistent weighted sampling gives every text ``bands * rows`` samples; the ``rows``
    samples of a band make a bucket key.
 3. In every bucket the member whose buckets are the fullest is the centre, every other member is a candidate against it.
@@ -16,8 +16,8 @@ counted over all different texts into 2**16 hashed slots.
 5. Components over all links are the classes.
 
 Candidates are first compared by their samples (256 bytes a text): a share of agreeing samples far below the
-threshold (``SLACK`` standard deviations) ends it; the others are verified by exact weighted Jaccard similarity, one text
-against one at a time, so a task holds a few texts' shingles whatever the group.
+threshold (``SLACK`` standard deviations) ends it; the others are verified by exact weighted Jaccard similarity, in groups of a
+bounded number of texts, of which a task holds a bounded number of shingles.
 
 No bucket, partner or candidate is capped. Two texts of similarity s share a bucket with a chance of
 1 - (1 - s**rows)**bands: 0.9998 at 0.8.
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import hot_join, materialize
 from tidemark.llm.components import components
 
-SLOTS, TABLE, MEMBERS, BLOCK, SLACK = 1 << 16, 4096, 64, 4096, 4.0
+SLOTS, TABLE, MEMBERS, BLOCK, TEXTS, SLACK = 1 << 16, 4096, 64, 4096, 256, 3.5
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -57,27 +57,26 @@ def _slot(word: bytes) -> int:
     return zlib.crc32(word) & (SLOTS - 1)
 
 
-def document_frequency(docs: DataFrame, *, text_col: str = "text", rows_col: str | None = None) -> tuple[np.ndarray, int]:
-    """Documents by hashed word, over all documents, and their number; a row stands for ``rows_col`` documents, or for one. Each
-    task adds up its own first; the driver gets SLOTS sums at most."""
+def document_frequency(docs: DataFrame, *, text_col: str = "text") -> tuple[np.ndarray, int]:
+    """Documents by hashed word, over all documents, and their number. Each task adds up its own
+    first; the driver gets SLOTS sums at most."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n, slots = np.zeros(SLOTS, np.int64), 0, {}
         for pdf in batches:
-            for text, k in zip(pdf["text"], pdf["rows"]):
-                n += k
+            for text in pdf["text"]:
+                n += 1
                 words = set(words_of(text))
                 if len(slots) > 500_000:
                     slots.clear()
                 for w in words.difference(slots):
                     slots[w] = _slot(w)
                 found = set(map(slots.__getitem__, words))
-                total[np.fromiter(found, np.int64, len(found))] += k
+                total[np.fromiter(found, np.int64, len(found))] += 1
         found = np.flatnonzero(total)
         yield pd.DataFrame({"slot": np.append(found, -1), "n": np.append(total[found], n)})
 
-    rows = F.col(rows_col) if rows_col else F.lit(1).cast("long")
-    parts = docs.select(F.col(text_col).alias("text"), rows.alias("rows")).mapInPandas(count, "slot long, n long")
+    parts = docs.select(F.col(text_col).alias("text")).mapInPandas(count, "slot long, n long")
     df, n = np.ones(SLOTS, np.float64), 0
     for slot, k in parts.groupBy("slot").agg(F.sum("n").alias("n")).collect():
         if slot < 0:
@@ -193,23 +192,38 @@ def folded(who: np.ndarray, level: np.ndarray) -> bytes:
     return (mixed >> np.uint64(32)).astype("<u4").tobytes()
 
 
-def sketch(texts: DataFrame, idf: np.ndarray, *, bands: int, rows: int, shingle: int) -> DataFrame:
-    """(digest, weight, samples, keys) of texts (digest, text): the weight of all shingles, the samples, and the bucket keys;
-    none of these for a text without words."""
-    sent = texts.sparkSession.sparkContext.broadcast(idf)  # SLOTS numbers, whatever the input
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
+
+
+def sketch(rows_in: DataFrame, idf: np.ndarray, *, bands: int, rows: int, shingle: int) -> DataFrame:
+    """(id, digest, weight, samples, keys) of rows (id, digest, text): the weight of all shingles, the samples, and the
+    bucket keys; for a text without words weight 0 and no keys. A task remembers some thousand texts by digest, so it
+    sketches the copies that it meets once."""
+    sent = rows_in.sparkSession.sparkContext.broadcast(idf)  # SLOTS numbers, whatever the input
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cut, sample = Shingles(sent.value, shingle), Sampler(bands * rows)
+        seen: dict[bytes, tuple] = {}
         for pdf in batches:
             out = []
             for name, text in zip(pdf["digest"], pdf["text"]):
-                h, w = cut(text)
-                if len(h):
-                    who, level = sample(h, w)
-                    out.append((name, float(w.sum()), folded(who, level), band_keys(who, level, bands)))
-            yield pd.DataFrame(out, columns=["digest", "weight", "samples", "keys"])
-
-    return texts.select("digest", "text").mapInPandas(run, "digest binary, weight double, samples binary, keys array<long>")
+                got = seen.get(name)
+                if got is None:
+                    h, w = cut(text)
+                    got = (float(w.sum()), b"", np.zeros(0, np.int64))
+                    if len(h):
+                        who, level = sample(h, w)
+                        got = (got[0], folded(who, level), band_keys(who, level, bands))
+                    if len(seen) > 4096:
+                        seen.clear()
+                    seen[name] = got
+                out.append(got)
+            weight, samples, keys = zip(*out) if out else ((), (), ())
+            yield pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "weight": weight, "samples": samples, "keys": keys})
+
+    return rows_in.mapInPandas(run, "id long, digest binary, weight double, samples binary, keys array<long>")
 
 
 def least_agreement(samples: int, threshold: float) -> int:
@@ -222,8 +236,14 @@ def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((stack(a) == stack(b)).sum(1) if len(a) else [], dtype="int64")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, *, shingle: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) of digests whose exact weighted Jaccard similarity is ``threshold`` or more.
+def _texts_of(nodes: DataFrame, unique: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, text) of these nodes, each once, by digest."""
+    named = materialize(unique.select("node", "digest").join(nodes, "node"))
+    return materialize(texts.select("digest", "text").join(named, "digest").dropDuplicates(["node"]).select("node", "text"))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, unique: DataFrame, idf: np.ndarray, *, shingle: int, threshold: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose exact weighted Jaccard similarity is ``threshold`` or more.
 
     The partners of a text are dealt over groups of about MEMBERS; a group reads its first text, then one partner after the other."""
     sent = pairs.sparkSession.sparkContext.broadcast(idf)
@@ -232,119 +252,172 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, *, shingle: in
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         if not held:
             held.append(Shingles(sent.value, shingle))
-        cut, first = held[0], pdf.loc[pdf["b"].isna()]
-        a, base, out = first["a"].iloc[0], cut(first["text"].iloc[0]), []
-        for b, text in zip(pdf["b"], pdf["text"]):
-            if b is not None and weighted_jaccard(base, cut(text)) >= threshold:
+        cut, a, out = held[0], int(pdf["a"].iloc[0]), []
+        base = cut(pdf.loc[pdf["node"] == a, "text"].iloc[0])
+        for b, text in zip(pdf["node"], pdf["text"]):
+            if b != a and weighted_jaccard(base, cut(text)) >= threshold:
                 out.append((a, b))
-        return pd.DataFrame(out, columns=["a", "b"])
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("salts"))
-    dealt = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("g"), "b")
-    dealt = materialize(dealt)
-    first = dealt.select("a", "g", F.lit(None).cast("binary").alias("b"), F.col("a").alias("digest")).distinct()
-    rows = dealt.select("a", "g", "b", F.col("b").alias("digest")).unionByName(first)
-    return materialize(rows.join(texts, "digest").groupBy("a", "g").applyInPandas(compare, "a binary, b binary"))
+    dealt = materialize(pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("g"), "b"))
+    nodes = dealt.select(F.col("a").alias("node")).unionByName(dealt.select(F.col("b").alias("node"))).distinct()
+    wanted = _texts_of(nodes, unique, texts)
+    rows = dealt.select("a", "g", F.col("b").alias("node")).unionByName(dealt.select("a", "g", F.col("a").alias("node")).distinct())
+    return materialize(rows.join(wanted, "node").groupBy("a", "g").applyInPandas(compare, "a long, b long"))
 
 
 def _stars(buckets: DataFrame, sketched: DataFrame, *, threshold: float, samples: int) -> DataFrame:
-    """Candidate pairs (centre, member) of every bucket (key, digest, weight, n)."""
-    full = buckets.groupBy("digest").agg(F.sum("n").alias("full"))
-    centres = buckets.join(full, "digest").groupBy("key").agg(
-        F.max_by(F.struct("digest", "weight"), F.struct("full", "digest")).alias("c"), F.max("n").alias("n")
+    """Candidate pairs (centre, member) of every bucket (key, node, weight, n)."""
+    full = buckets.groupBy("node").agg(F.sum("n").alias("full"))
+    centres = buckets.join(full, "node").groupBy("key").agg(
+        F.max_by(F.struct("node", "weight"), F.struct("full", -F.col("node"))).alias("c"), F.max("n").alias("n")
     )
-    met = hot_join(buckets.select("key", "digest", "weight"), centres, "key", times="n", total=buckets.count())
+    met = hot_join(buckets.select("key", "node", "weight"), centres, "key", times="n", total=buckets.count())
     # a similarity of t needs weights that differ by a factor of t at most
     alike = F.least("weight", "c.weight") >= F.greatest("weight", "c.weight") * (threshold - 1e-9)
-    pairs = met.where((F.col("digest") != F.col("c.digest")) & alike).select(F.col("c.digest").alias("a"), F.col("digest").alias("b")).distinct()
+    pairs = met.where((F.col("node") != F.col("c.node")) & alike).select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
     pairs = materialize(pairs)
-    one = lambda side: sketched.select(F.col("digest").alias(side), F.col("samples").alias(f"s_{side}"))
+    one = lambda side: sketched.select(F.col("node").alias(side), F.col("samples").alias(f"s_{side}"))
     centre = one("a").join(pairs.groupBy("a").agg(F.count("*").alias("n")), "a")
     both = hot_join(pairs, centre, "a", times="n", total=pairs.count()).join(one("b"), "b")
     agree = F.pandas_udf(agreement, "long")(F.col("s_a"), F.col("s_b"))
     return both.where(agree >= least_agreement(samples, threshold)).select("a", "b")
 
 
-def _open_pairs(buckets: DataFrame, labels: DataFrame, sketched: DataFrame, *, threshold: float, samples: int) -> DataFrame:
-    """Candidate pairs of different components within a bucket: of the smaller components' members with all others."""
+def _blocked(rows: DataFrame, block: int) -> DataFrame:
+    """Rows (key, bin, node, comp, side) dealt over groups (key, bin, g2, g3) of about ``block`` rows of each side, so that each row
+    of side 0 meets each of side 1 once; bins of one component only are left out."""
+    per = rows.groupBy("key", "bin").agg(
+        *(F.ceil(F.count_if(F.col("side") == k) / block).alias(f"n{k}") for k in (0, 1)), F.min("comp").alias("low"), F.max("comp").alias("high")
+    )
+    per = materialize(per.where("n0 > 0 and n1 > 0 and low != high").select("key", "bin", "n0", "n1"))
+    upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    dealt = rows.join(per, ["key", "bin"])
+    mine = lambda c: F.array(F.pmod(F.xxhash64("node"), F.col(c)))
+    minor = F.col("side") == 0
+    dealt = dealt.withColumn("g2", F.explode(F.when(minor, mine("n0")).otherwise(upto("n0"))))
+    return dealt.withColumn("g3", F.explode(F.when(minor, upto("n1")).otherwise(mine("n1")))).drop("n0", "n1")
+
+
+def _candidates(pdf: pd.DataFrame, least: int, bands: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of each row of side 0 the rows of side 1 that it is to be compared with, the most alike first: of another component, with enough samples
+    in common, and without a bucket in common in an earlier band, where they are compared already."""
+    comp, side, band = (pdf[c].to_numpy() for c in ("comp", "side", "band"))
+    rows = np.frombuffer(b"".join(pdf["samples"]), "<u4").reshape(len(pdf), -1)
+    other = np.flatnonzero(side == 1)
+    for i in np.flatnonzero(side == 0):
+        near = other[comp[other] != comp[i]]
+        same = rows[near] == rows[i]
+        agree = same.sum(1)
+        hit = np.flatnonzero(agree >= least)
+        if len(hit):
+            first = same[hit].reshape(len(hit), bands, -1).all(2).argmax(1)
+            hit = hit[first == band[i]]
+            yield i, near[hit[np.argsort(-agree[hit], kind="stable")]]
+
+
+def _between(
+    buckets: DataFrame, labels: DataFrame, unique: DataFrame, texts: DataFrame, idf: np.ndarray, *, threshold: float, shingle: int, bands: int, rows: int
+) -> DataFrame:
+    """Links (a, b) between different components within a bucket: of the smaller components' members with all others.
+
+    Blocks of members are compared by their samples first; members with a candidate are then dealt over smaller blocks with their
+    texts, and compared there exactly. Pairs are never rows; a member of a bucket is repeated once for each block that it meets."""
     # bins of weight: texts of a similarity of ``threshold`` are in the same bin or in neighbours
     width = -math.log(threshold) if 0 < threshold < 1 else 1.0
-    held = materialize(
-        buckets.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
-            "key", "digest", F.coalesce("label", "digest").alias("comp"), F.floor(F.log("weight") / (width + 1e-9)).alias("bin")
-        )
+    held = buckets.join(labels, "node", "left").select(
+        "key", "band", "node", F.coalesce("label", "node").alias("comp"), F.floor(F.log("weight") / (width + 1e-9)).alias("bin")
     )
     by_comp = held.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = by_comp.groupBy("key").agg(
-        F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("comps"), F.sum("n").alias("n")
+        F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.count("*").alias("comps"), F.sum("n").alias("n")
     ).where("comps > 1").drop("comps")
-    open_rows = materialize(hot_join(held, mixed, "key", times="n", total=held.count()))
+    open_rows = materialize(hot_join(held, mixed, "key", times="n", total=buckets.count()))
+    names = ["key", "band", "bin", "node", "comp", "side"]
     near_bins = F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1))
-    minor = open_rows.where("comp != main").select("key", "digest", "comp", near_bins.alias("bin"))
-    whole = open_rows.select("key", "digest", "comp", "bin")
-    # both sides of a bin are dealt over blocks; a group is one block of each
-    count = lambda df, name: df.groupBy("key", "bin").agg(F.ceil(F.count("*") / BLOCK).alias(name), F.min("comp").alias(f"{name}_low"), F.max("comp").alias(f"{name}_high"))
-    bins = count(minor, "minors").join(count(whole, "blocks"), ["key", "bin"])
-    bins = materialize(bins.where("least(minors_low, blocks_low) != greatest(minors_high, blocks_high)").select("key", "bin", "minors", "blocks"))
-    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    mine = F.pmod(F.xxhash64("digest"), F.col("minors")).alias("g2")
-    theirs = F.pmod(F.xxhash64("digest", F.lit(1)), F.col("blocks")).alias("g3")
-    left = minor.join(bins, ["key", "bin"]).select("key", "bin", mine, upto("blocks").alias("g3"), "digest", F.lit(0).alias("side"), "comp")
-    right = whole.join(bins, ["key", "bin"]).select("key", "bin", upto("minors").alias("g2"), theirs, "digest", F.lit(1).alias("side"), "comp")
-    least = least_agreement(samples, threshold)
+    minor = open_rows.where("comp != main").select("key", "band", near_bins.alias("bin"), "node", "comp", F.lit(0).alias("side"))
+    whole = materialize(minor.unionByName(open_rows.select("key", "band", "bin", "node", "comp", F.lit(1).alias("side"))).select(names))
+    least = least_agreement(bands * rows, threshold)
+
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        keep = np.zeros(len(pdf), bool)
+        for i, hits in _candidates(pdf, least, bands):
+            if len(hits):
+                keep[i] = True
+                keep[hits] = True
+        return pdf.loc[keep, names]
+
+    samples = unique.select("node", "samples")
+    groups = ("key", "bin", "g2", "g3")
+    schema = "key long, band int, bin long, node long, comp long, side int"
+    some = _blocked(whole, BLOCK).join(samples, "node").groupBy(*groups).applyInPandas(pick, schema)
+    some = materialize(some.distinct())
+    sent = whole.sparkSession.sparkContext.broadcast(idf)
+    held_sets: list[Shingles] = []  # one for a task
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        # names and components as numbers: the order of the names is theirs
-        names, node = np.unique(np.array([bytes(x).hex() for x in pdf["digest"]]), return_inverse=True)
-        comp = np.unique(np.array([bytes(x).hex() for x in pdf["comp"]]), return_inverse=True)[1]
-        rows, side = np.frombuffer(b"".join(pdf["samples"]), "<u4").reshape(len(pdf), -1), pdf["side"].to_numpy()
-        other, found = np.flatnonzero(side == 1), []
-        for i in np.flatnonzero(side == 0):
-            hit = other[(comp[other] != comp[i]) & ((rows[other] == rows[i]).sum(1) >= least)]
-            found += [(min(node[i], node[j]), max(node[i], node[j])) for j in hit]
-        pairs = [(bytes.fromhex(str(names[a])), bytes.fromhex(str(names[b]))) for a, b in sorted(set(found))]
-        return pd.DataFrame(pairs, columns=["a", "b"])
-
-    rows = left.unionByName(right).join(sketched.select("digest", "samples"), "digest")
-    return rows.groupBy("key", "bin", "g2", "g3").applyInPandas(compare, "a binary, b binary").distinct()
+        if not held_sets:
+            held_sets.append(Shingles(sent.value, shingle))
+        node, comp, text, sets, out = pdf["node"].to_numpy(), pdf["comp"].to_numpy(), pdf["text"].to_numpy(), {}, []
+        for i, hits in _candidates(pdf, least, bands):
+            mine, linked = None, set()
+            for j in hits:
+                if comp[j] in linked:
+                    continue  # one link joins two components
+                if mine is None:
+                    mine = held_sets[0](text[i])
+                if node[j] not in sets:
+                    if sum(len(x[0]) for x in sets.values()) > 2_000_000:
+                        sets.clear()
+                    sets[node[j]] = held_sets[0](text[j])
+                if weighted_jaccard(mine, sets[node[j]]) >= threshold:
+                    linked.add(comp[j])
+                    out.append((node[i], node[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    wanted = _texts_of(some.select("node").distinct(), unique, texts)
+    dealt = _blocked(some, TEXTS).join(samples, "node").join(wanted, "node")
+    return materialize(dealt.groupBy(*groups).applyInPandas(compare, "a long, b long"))
 
 
 def _same_ids(named: DataFrame) -> DataFrame:
-    """Links (a, b) between the texts under one id."""
-    once = materialize(named.where("id is not null").distinct())
-    several = once.groupBy("id").agg(F.min("digest").alias("a"), F.count("*").alias("n")).where("n > 1")
-    return hot_join(once, several, "id", times="n", total=once.count()).select("a", F.col("digest").alias("b")).where("a != b")
+    """Links (a, b) between the texts under one id, of (id, node) rows."""
+    several = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count("*").alias("n")).where("a < z").drop("z")
+    return hot_join(named, several, "id", times="n", total=named.count()).select("a", F.col("node").alias("b")).where("a != b").distinct()
 
 
 def _classed(
     docs: DataFrame, *, id_col: str, text_col: str, threshold: float, shingle: int, bands: int, rows: int
 ) -> DataFrame:
     """(id, digest, class_id) of every row."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
-    named = materialize(keyed.select("id", "digest"))
-    texts = materialize(keyed.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("rows"), F.first("text").alias("text")))
-    known = texts.where("least is not null").select("digest", "text")
-    df, n = document_frequency(texts, rows_col="rows")
+    texts = _keyed(docs, id_col, text_col)
+    df, n = document_frequency(texts)
     idf = np.log1p(max(n, 1) / df) + 1.0 if n else np.ones(SLOTS)
     options = {"shingle": shingle, "threshold": threshold}
-    sketched = materialize(sketch(known, idf, bands=bands, rows=rows, shingle=shingle))
-    spots = materialize(sketched.select("digest", "weight", F.explode("keys").alias("key")))
+    sketched = materialize(sketch(texts, idf, bands=bands, rows=rows, shingle=shingle))
+    # one row a text; its number is short, and fixed as it is written
+    unique = sketched.where("id is not null").groupBy("digest").agg(
+        F.min("id").alias("least"), F.count("*").alias("times"), F.first(F.struct("weight", "samples", "keys")).alias("s")
+    )
+    unique = materialize(unique.select(F.monotonically_increasing_id().alias("node"), "digest", "least", "times", "s.*"))
+    named = materialize(hot_join(sketched.where("id is not null").select("id", "digest"), unique.select("digest", "node", "times"), "digest", times="times", total=sketched.count()))
+    spots = unique.select("node", "weight", F.posexplode("keys").alias("band", "key"))
     shared = spots.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").withColumn("n", F.col("times"))
-    buckets = materialize(hot_join(spots, shared, "key", times="times", total=spots.count()))
+    total = unique.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
+    buckets = materialize(hot_join(spots, shared, "key", times="times", total=total))
     size = {"threshold": threshold, "samples": bands * rows}
-    links = verified(_stars(buckets, sketched, **size), known, idf, **options)
+    links = verified(_stars(buckets, unique, **size), texts, unique, idf, **options)
     labels = components(links)
-    more = verified(_open_pairs(buckets, labels, sketched, **size), known, idf, **options)
-    joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more).unionByName(_same_ids(named))
-    final = components(joined).withColumnRenamed("node", "digest")
-    labelled = texts.select("digest", "least", "rows").join(final, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-    labelled = materialize(labelled)
+    more = _between(buckets, labels, unique, texts, idf, bands=bands, rows=rows, **options)
+    joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more).unionByName(_same_ids(named.select("id", "node")))
+    final = components(joined)
+    labelled = materialize(unique.select("node", "least", "times").join(final, "node", "left").withColumn("label", F.coalesce("label", "node")))
     classes_of = labelled.groupBy("label").agg(F.min("least").alias("class_id"), F.count("*").alias("n"))
-    of_text = hot_join(labelled, classes_of, "label", times="n", total=labelled.count()).select("digest", "class_id", "rows")
-    return hot_join(named, materialize(of_text), "digest", times="rows", total=named.count()).select(
-        "id", "digest", F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id")
-    )
+    of_text = materialize(hot_join(labelled, classes_of, "label", times="n", total=labelled.count()).select("node", "class_id", "times"))
+    known = hot_join(named, of_text, "node", times="times", total=named.count()).select("id", "digest", "class_id")
+    nothing = F.lit(None).cast("long")
+    return known.unionByName(sketched.where("id is null").select("id", "digest", nothing.alias("class_id")))
 
 
 def classes(

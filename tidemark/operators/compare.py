@@ -55,3 +55,27 @@ def json_array_of(answer: Column) -> Column:
 def backoff_ms(attempt: Column, base: int = 500) -> Column:
     """Nominal wait before an attempt: it doubles each time."""
     return (F.lit(base) * F.pow(F.lit(2), attempt - 1)).cast("long")
+
+
+def touched(listings: DataFrame, seen: DataFrame, now: Column) -> DataFrame:
+    """Listings (site, url, last_seen_at, removed_at) after a scrape that saw (site, url): what is there again was seen now and isn't
+    removed, what is gone is removed now, addresses that are new have no listing yet."""
+    s = seen.select("site", "url").distinct().withColumn("_seen", F.lit(True))
+    both = listings.withColumn("_old", F.lit(True)).join(s, ["site", "url"], "full")
+    again = F.coalesce("_seen", F.lit(False))
+    action = F.when(F.col("_old").isNull(), "net_new").when(again, "existing").when(F.col("removed_at").isNull(), "removed").otherwise("gone")
+    return both.select(
+        "site", "url", action.alias("action"), F.when(again & F.col("_old"), now).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
+        F.when(~again, F.coalesce("removed_at", now)).alias("removed_at"),
+    )
+
+
+def labellings(before: DataFrame, after: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """(resolver, n, same, changed) of rows that two runs both labelled, by id: a blank label is none, and all fields must agree."""
+    plain = lambda c: F.nullif(F.trim(c), F.lit(""))
+    a = before.select("id", *(plain(F.col(c)).alias(f"a_{c}") for c in fields))
+    b = after.select("id", F.coalesce(plain(F.col("resolver")), F.lit("unknown")).alias("resolver"), *(plain(F.col(c)).alias(f"b_{c}") for c in fields))
+    same = F.lit(True)
+    for c in fields:
+        same &= F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))
+    return a.join(b, "id").groupBy("resolver").agg(F.count("*").alias("n"), F.count_if(same).alias("same"), F.count_if(~same).alias("changed"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import classify
 from tidemark.functions.numbers import percent, round_half_up
 from tidemark.operators.numbering import overlapped
 from tidemark.sources.shared import ranked
@@ -121,3 +122,34 @@ def no_result_reason(*, reason: Column, category_error: Column, failure_class: C
         F.concat(F.lit("http_"), F.nullif(status_code, F.lit(0)).cast("string")), F.when(jobs == 0, F.lit("zero_jobs")),
         F.when(category.isNull() | (category == "None"), F.lit("category_none")), F.when(platform.isNull(), F.lit("ats_undetected")), F.lit("unknown"),
     )
+
+
+# How a scrape's method is told from its name, in order, and below how many bytes a body is small.
+SCRAPE_METHODS = (("greenhouse", "greenhouse_api"), ("lever", "lever_api"), ("ashby", "ashby_api"), ("workday", "workday_api"), ("playwright", "playwright_html"), ("direct", "direct_html"), ("html", "direct_html"))
+SMALL_BODY = 5120
+
+
+def scrape_summary(scrapes: DataFrame) -> DataFrame:
+    """(kind, key, n) of scrapes (success, method, skipped, status_code, n_bytes): outcomes, methods, status codes, small bodies. Known methods
+    have a row though none came that way; others are named as they are."""
+    low = F.lower(F.coalesce(F.nullif("method", F.lit("")), F.lit("unknown")))
+    method = F.coalesce(*(F.when(low.contains(w), F.lit(n)) for w, n in SCRAPE_METHODS), low)
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    flags = (("success", yes(F.col("success"))), ("error", ~yes(F.col("success"))), ("skipped_signature_match", yes(F.col("skipped"))), ("small_body", yes(F.col("n_bytes") < SMALL_BODY)))
+    pair = lambda kind, key: F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+    told = [pair("outcome", F.lit("total")), pair("method", method), pair("status", F.coalesce(F.col("status_code").cast("string"), F.lit("unknown")))]
+    told += [F.when(test, pair("outcome", F.lit(name))) for name, test in flags]
+    counts = scrapes.select(F.explode(F.array_compact(F.array(*told))).alias("t")).groupBy("t.kind", "t.key").agg(F.count("*").alias("n"))
+    known = [("outcome", k) for k in ("total", *(n for n, _ in flags))] + [("method", n) for n in dict.fromkeys(n for _, n in SCRAPE_METHODS)]
+    return scrapes.sparkSession.createDataFrame(known, "kind string, key string").join(counts, ["kind", "key"], "full").select("kind", "key", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def retries(events: DataFrame, most: int = 3) -> DataFrame:
+    """Failures with the attempt that they are (from the last event that was none), and whether another attempt follows: only for a
+    transient class, and up to the third."""
+    order = Window.partitionBy("company_id", "stage").orderBy("seq")
+    chain = F.count_if(F.col("outcome") != "failure").over(order)
+    rows = events.withColumn("_chain", chain).where("outcome = 'failure'")
+    attempt = F.row_number().over(Window.partitionBy("company_id", "stage", "_chain").orderBy("seq"))
+    again = F.col("failure_class").isin(*classify.TRANSIENT) & (F.col("attempt") < most)
+    return rows.withColumn("attempt", attempt).withColumn("retry", again).drop("_chain")

@@ -131,3 +131,15 @@ def example_cells(parts: DataFrame) -> DataFrame:
         F.when(three, "HQ location").otherwise(F.col("p_name")), F.when(three, "Total Raised").when(k % 5 == 0, "").otherwise(F.col("p_size").cast("string")),
     )
     return parts.select((k % 50).alias("doc"), k.alias("row"), cells.alias("cells"))
+
+
+def under_headers(cells: DataFrame, headers: DataFrame, most: float = 40.0) -> DataFrame:
+    """(page, row, header, text): cells (page, row, left, text) under the nearest of their page's headers (page, left, name, ord), the first
+    among equals, if it is nearer than ``most``; the cells under one header are joined in order. A page has a few headers, which meet
+    its cells as one array."""
+    few = headers.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("ord", F.col("left").cast("double").alias("left"), "name"))).alias("_h"))
+    met = cells.join(few, "page")
+    near = F.array_min(F.transform("_h", lambda h: F.struct(F.abs(h["left"] - F.col("left")).alias("d"), h["ord"].alias("ord"), h["name"].alias("name"))))
+    kept = met.where(F.trim("text") != "").withColumn("_n", near).where(F.col("_n.d") < most)
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("left", F.trim("text").alias("text")))), lambda x: x["text"])
+    return kept.groupBy("page", "row", F.col("_n.name").alias("header")).agg(F.array_join(texts, " ").alias("text"))

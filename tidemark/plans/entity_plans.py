@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import classify, lifecycle, text
 from tidemark.functions.numbers import model_cost, percent, round_half_up
-from tidemark.operators import categorize, upsert
+from tidemark.operators import categorize, compare, report, tabular, upsert
 from tidemark.sources.tables import increment
 from tidemark.plans import fixed_sql
 from tidemark.plans.model import COMPANIES, EVENTS, JOBS, companies, events, jobs, pick, sql_pick, table
@@ -64,13 +64,19 @@ def description_hashes(spark, sf_dir):
     )
 
 
+REQUIRED = ("function", "level", "relevance", "title", "employment", "location", "confirmed")
+
+
 def needs_enrichment(spark, sf_dir):
-    """Documents whose stored hash is another, whose version is old, or that miss a label."""
-    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    stored = F.when(F.col("doc_id") % 4 == 0, F.lit("old")).otherwise(text.text_hash(F.col("text")))
-    version = F.when(F.col("doc_id") % 9 == 0, F.lit("v1")).otherwise(F.lit("v2"))
-    due = (version != "v2") | ~stored.eqNullSafe(text.text_hash(F.col("text"))) | F.col("quality").isNull()
-    return d.groupBy("source").agg(F.count_if(due).alias("due"), F.count("*").alias("n"))
+    """Documents whose stored hash is another, whose version is old, that miss one of the required fields, or that were asked for; and, when
+    only errors are tried again, those with one."""
+    k = F.col("doc_id")
+    d = table(spark, sf_dir, "documents").select("*", *(F.when(k % (40 + i) != 0, "x").alias(c) for i, c in enumerate(REQUIRED)))
+    stored = F.when(k % 4 == 0, F.lit("old")).otherwise(text.text_hash(F.col("text")))
+    due = classify.needs_enrichment(
+        force=k % 23 == 0, version=F.when(k % 9 == 0, "v1").otherwise("v2"), current="v2", stored_hash=stored, text_hash=text.text_hash(F.col("text")), required=[F.col(c) for c in REQUIRED]
+    )
+    return d.groupBy("source").agg(F.count_if(due).alias("due"), F.count_if(k % 13 == 0).alias("errors"), F.count("*").alias("n"))
 
 
 def jobs_with_companies(spark, sf_dir):
@@ -289,28 +295,35 @@ def relevance_summary(spark, sf_dir):
 
 
 def scrape_summary(spark, sf_dir):
-    """Scrapes by method, with zero for a method that none had."""
-    e = events(spark, sf_dir).where("stage = 'scrape'")
-    method = pick(("greenhouse_api", "direct_html", "lever_api", "unknown"), F.col("k"))
-    bucket = F.when(method.contains("greenhouse"), "greenhouse").when(method.contains("lever"), "lever").when(method.contains("direct"), "direct_html").otherwise("other")
-    every = spark.createDataFrame([(m,) for m in ("greenhouse", "lever", "ashby", "direct_html", "rendered", "other")], "method string")
-    counts = e.groupBy(bucket.alias("method")).agg(F.count("*").alias("n"), F.count_if(F.col("outcome") == "failure").alias("errors"))
-    return every.join(counts, "method", "left").select("method", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("errors", F.lit(0)).alias("errors"))
+    """Scrapes by outcome, method and status code."""
+    e, k = events(spark, sf_dir).where("stage = 'scrape'"), F.col("k")
+    rows = e.select(
+        F.when(k % 11 != 0, F.col("outcome") == "success").alias("success"), pick(("Greenhouse_API", "direct_html", "lever_api", "", "sitemap", "Playwright_HTML"), k).alias("method"),
+        (F.col("outcome") == "skipped").alias("skipped"), F.when(k % 3 != 0, F.when(k % 5 == 0, 404).otherwise(200)).alias("status_code"), F.when(k % 4 != 0, k * 300).alias("n_bytes"),
+    )
+    return report.scrape_summary(rows)
 
 
 def run_compare(spark, sf_dir):
-    """Two labellings of the same documents: agreements and disagreements by pair."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.when(F.length("text") > 100, 1).otherwise(0).alias("rule"))
-    both = d.join(table(spark, sf_dir, "labels"), "doc_id")
-    return both.groupBy("rule", "quality", F.col("rule").eqNullSafe(F.col("quality")).alias("agree")).agg(F.count("*").alias("n"))
+    """Two labellings of the same companies: how many labels stayed, by what decided them."""
+    c, k = companies(spark, sf_dir), F.col("id")
+    before = c.where("id % 7 <> 0").select("id", F.when(k % 4 == 0, " ").otherwise(F.col("sector")).alias("category"), F.when(k % 3 == 0, F.col("hq")).alias("area"))
+    after = c.where("id % 5 <> 0").select(
+        "id", F.when(k % 8 != 0, F.when(k % 6 == 0, "Other").otherwise(F.col("sector"))).alias("category"), F.when(k % 3 == 0, F.col("hq")).otherwise("").alias("area"), pick(("rule", "", "llm", None), k).alias("resolver")
+    )
+    return compare.labellings(before, after, ("category", "area"))
 
 
 def header_of_cell(spark, sf_dir):
-    """Cells of table rows under the nearest header, 40 units away at most, the first header among equals."""
-    cells = events(spark, sf_dir).select("seq", (F.col("duration_ms") % 400).cast("double").alias("left"))
-    heads = F.array(*(F.struct(F.abs(F.col("left") - x).alias("d"), F.lit(i).alias("i"), F.lit(n).alias("n")) for i, (n, x) in enumerate((("name", 0.0), ("website", 110.0), ("size", 190.0), ("hq", 300.0)))))
-    best = F.array_min(heads)
-    return cells.select("seq", F.when(best["d"] < 40, best["n"]).alias("header"))
+    """Cells of table rows under the nearest header of their page."""
+    li = table(spark, sf_dir, "lineitem")
+    cells = li.select(
+        F.col("l_orderkey").alias("page"), F.lit(1).alias("row"), (F.floor("l_extendedprice") % 400).cast("double").alias("left"), F.when(F.col("l_linenumber") != 3, F.concat(F.lit(" c"), F.col("l_linenumber").cast("string"))).otherwise(" ").alias("text")
+    )
+    names = F.posexplode(F.array(*map(F.lit, ("name", "website", "size", "hq")))).alias("ord", "name")
+    heads = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page"), names)
+    heads = heads.withColumn("left", F.element_at(F.array(*map(F.lit, (0, 110, 190, 300))), F.col("ord") + 1) + F.col("page") % 30)
+    return tabular.under_headers(cells, heads)
 
 
 def added_items(spark, sf_dir):
@@ -346,7 +359,8 @@ s AS (SELECT *, regexp_replace(lower(trim(regexp_replace(name, '[^\w\s-]', '', '
 SELECT c_custkey, slug, slug || '-' || substr(sha1(name), 1, 10) AS id FROM s""",
     "description_hashes": """SELECT doc_id, sha256(coalesce(text, '')) AS description_hash, sha256(coalesce(text, '') || '|' || coalesce(source, '')) AS id,
   CASE doc_id % 3 WHEN 0 THEN 'part_time' WHEN 1 THEN 'full_time' ELSE 'contract' END AS employment FROM documents""",
-    "needs_enrichment": "SELECT source, count(*) FILTER (doc_id % 9 = 0 OR doc_id % 4 = 0 OR quality IS NULL) AS due, count(*) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source",
+    "needs_enrichment": """SELECT source, count(*) FILTER (doc_id % 23 = 0 OR doc_id % 9 = 0 OR doc_id % 4 = 0 OR doc_id % 40 = 0 OR doc_id % 41 = 0 OR doc_id % 42 = 0 OR doc_id % 43 = 0 OR doc_id % 44 = 0 OR doc_id % 45 = 0 OR doc_id % 46 = 0) AS due,
+  count(*) FILTER (doc_id % 13 = 0) AS errors, count(*) AS n FROM documents GROUP BY source""",
     "jobs_browse": JC + "SELECT * FROM jc WHERE (contains(lower(title), 'manager') OR contains(lower(company), '9')) AND climate AND function IN ('product', 'operations', 'marketing')",
     "jobs_browse_page": JC + """SELECT id, title, company FROM jc WHERE (contains(lower(title), 'manager') OR contains(lower(company), '9')) AND climate
   AND function IN ('product', 'operations', 'marketing') ORDER BY id LIMIT 20 OFFSET 40""",
@@ -418,13 +432,19 @@ SELECT s.stage, count(c.stage) AS n FROM s LEFT JOIN c USING (stage) GROUP BY 1"
     "qa_profile": JC + f"""SELECT count(*) AS n, {p2("function IS NULL")} AS no_function_pct, {p2("climate")} AS climate_pct,
   {p2("seniority = 'unknown'")} > 30 AS warn_seniority, NOT {p2("climate")} BETWEEN 10 AND 90 AS warn_climate FROM jc""",
     "relevance_summary": JC + "SELECT coalesce(function, 'unknown') AS function, seniority, count(*) AS n FROM jc GROUP BY ALL",
-    "scrape_summary": f"""WITH {EVENTS}, m AS (SELECT *, CASE k % 4 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'direct_html' WHEN 2 THEN 'lever' ELSE 'other' END AS method FROM ev WHERE stage = 'scrape'),
-s AS (SELECT unnest(['greenhouse', 'lever', 'ashby', 'direct_html', 'rendered', 'other']) AS method)
-SELECT s.method, count(m.method) AS n, count(*) FILTER (outcome = 'failure') AS errors FROM s LEFT JOIN m USING (method) GROUP BY 1""",
-    "run_compare": "SELECT CASE WHEN length(text) > 100 THEN 1 ELSE 0 END AS rule, quality, (CASE WHEN length(text) > 100 THEN 1 ELSE 0 END) IS NOT DISTINCT FROM quality AS agree, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY ALL",
-    "header_of_cell": f"""WITH {EVENTS}, h AS (SELECT * FROM (VALUES (0, 'name', 0.0), (1, 'website', 110.0), (2, 'size', 190.0), (3, 'hq', 300.0)) AS v(i, n, x)),
-d AS (SELECT seq, n, abs(duration_ms % 400 - x) AS d, row_number() OVER (PARTITION BY seq ORDER BY abs(duration_ms % 400 - x), i) AS rn FROM ev, h)
-SELECT seq, CASE WHEN d < 40 THEN n END AS header FROM d WHERE rn = 1""",
+    "scrape_summary": f"""WITH {EVENTS}, r AS (SELECT k % 11 <> 0 AND outcome = 'success' AS ok, outcome = 'skipped' AS skipped, CASE k % 6 WHEN 0 THEN 'greenhouse_api' WHEN 1 THEN 'direct_html' WHEN 2 THEN 'lever_api' WHEN 3 THEN 'unknown' WHEN 4 THEN 'sitemap' ELSE 'playwright_html' END AS m,
+  CASE WHEN k % 3 = 0 THEN 'unknown' WHEN k % 5 = 0 THEN '404' ELSE '200' END AS st, k % 4 <> 0 AND k * 300 < 5120 AS small FROM ev WHERE stage = 'scrape'),
+u AS (SELECT 'outcome' AS kind, 'total' AS key FROM r UNION ALL SELECT 'outcome', CASE WHEN ok THEN 'success' ELSE 'error' END FROM r UNION ALL SELECT 'outcome', 'skipped_signature_match' FROM r WHERE skipped
+  UNION ALL SELECT 'outcome', 'small_body' FROM r WHERE small UNION ALL SELECT 'method', m FROM r UNION ALL SELECT 'status', st FROM r),
+z AS (SELECT 'outcome' AS kind, unnest(['total', 'success', 'error', 'skipped_signature_match', 'small_body']) AS key UNION ALL SELECT 'method', unnest(['greenhouse_api', 'lever_api', 'ashby_api', 'workday_api', 'playwright_html', 'direct_html'])),
+c AS (SELECT kind, key, count(*) AS n FROM u GROUP BY 1, 2) SELECT coalesce(c.kind, z.kind) AS kind, coalesce(c.key, z.key) AS key, coalesce(n, 0) AS n FROM c FULL JOIN z ON c.kind = z.kind AND c.key = z.key""",
+    "run_compare": f"""WITH {COMPANIES}, b AS (SELECT id, CASE WHEN id % 4 <> 0 THEN sector END AS bc, CASE WHEN id % 3 = 0 THEN hq END AS ba, CASE WHEN id % 8 <> 0 THEN CASE WHEN id % 6 = 0 THEN 'Other' ELSE sector END END AS ac,
+  CASE id % 4 WHEN 0 THEN 'rule' WHEN 2 THEN 'llm' ELSE 'unknown' END AS resolver FROM companies WHERE id % 7 <> 0 AND id % 5 <> 0)
+SELECT resolver, count(*) AS n, count(*) FILTER (bc IS NOT DISTINCT FROM ac) AS same, count(*) FILTER (bc IS DISTINCT FROM ac) AS changed FROM b GROUP BY 1""",
+    "header_of_cell": """WITH c AS (SELECT l_orderkey AS page, l_linenumber AS n, CAST(floor(l_extendedprice) AS BIGINT) % 400 AS x, row_number() OVER () AS rid FROM lineitem WHERE l_linenumber <> 3),
+h AS (SELECT * FROM (VALUES (0, 'name', 0), (1, 'website', 110), (2, 'size', 190), (3, 'hq', 300)) AS v(i, name, x0)),
+d AS (SELECT c.*, name, abs(x - x0 - page % 30) AS d, row_number() OVER (PARTITION BY rid ORDER BY abs(x - x0 - page % 30), i) AS rn FROM c, h)
+SELECT page, 1::INT AS row, name AS header, string_agg('c' || n, ' ' ORDER BY x, n) AS text FROM d WHERE rn = 1 AND d < 40 GROUP BY 1, 3""",
     "added_items": "SELECT doc_id AS item_id FROM documents EXCEPT ALL SELECT item_id FROM benchmark",
 }
 QUERIES = {k: globals()[k] for k in SQL}

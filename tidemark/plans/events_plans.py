@@ -104,10 +104,10 @@ def transition_counts(spark, sf_dir):
 
 
 def retry_attempts(spark, sf_dir):
-    """Attempts and failures by company and stage; up to three attempts, the last outcome decides."""
-    return events(spark, sf_dir).groupBy("company_id", "stage").agg(
-        F.least(F.count("*"), F.lit(3)).alias("attempts"), report.of("failure").alias("failures"), F.max_by("outcome", "seq").alias("last_outcome")
-    )
+    """Failures by the attempt that they were, and how many of them are tried again."""
+    kind = F.element_at(F.array(*map(F.lit, ("timeout", "auth", "rate_limit", "bad_data", "transient_network"))), (F.col("k") % 5 + 1).cast("int"))
+    r = report.retries(events(spark, sf_dir).withColumn("failure_class", kind))
+    return r.groupBy("stage", "failure_class", "attempt").agg(F.count("*").alias("n"), F.count_if("retry").alias("retries"))
 
 
 def micro_batches(spark, sf_dir):
@@ -173,8 +173,9 @@ SELECT id, company_id, strftime(seen, '%Y-%m-%d %H:%M:%S') AS last_seen, removed
 SELECT stage, outcome, advanced, CASE WHEN advanced THEN CASE stage WHEN 'profile' THEN 'discovery' WHEN 'discovery' THEN 'fingerprint'
   WHEN 'fingerprint' THEN 'scrape' WHEN 'scrape' THEN 'extract' WHEN 'extract' THEN 'enrich' WHEN 'enrich' THEN 'categorize' ELSE 'done' END END AS goes_to,
   count(*) AS n FROM s GROUP BY ALL""",
-    "retry_attempts": WITH + """SELECT company_id, stage, CAST(least(count(*), 3) AS BIGINT) AS attempts,
-  count(*) FILTER (outcome = 'failure') AS failures, arg_max(outcome, seq) AS last_outcome FROM ev GROUP BY 1, 2""",
+    "retry_attempts": WITH + """, c AS (SELECT *, count(*) FILTER (outcome <> 'failure') OVER (PARTITION BY company_id, stage ORDER BY seq) AS g FROM ev),
+f AS (SELECT stage, ['timeout', 'auth', 'rate_limit', 'bad_data', 'transient_network'][k % 5 + 1] AS failure_class, row_number() OVER (PARTITION BY company_id, stage, g ORDER BY seq)::INT AS attempt FROM c WHERE outcome = 'failure')
+SELECT stage, failure_class, attempt, count(*) AS n, count(*) FILTER (failure_class IN ('timeout', 'rate_limit', 'transient_network') AND attempt < 3) AS retries FROM f GROUP BY ALL""",
     "micro_batches": WITH + """SELECT CAST(floor((rn - 1) / 10) AS BIGINT) AS batch, count(*) AS n, min(seq) AS first_seq FROM (
   SELECT seq, row_number() OVER (ORDER BY seq) AS rn FROM ev WHERE stage = 'categorize') GROUP BY 1""",
 }

@@ -63,6 +63,15 @@ def warm_decision(spark, sf_dir):
     return compare.warm_decision(flags)
 
 
+def warm_touch(spark, sf_dir):
+    """Listings of sites after a scrape: seen again, removed, gone before, and new addresses."""
+    u = table(spark, sf_dir, "pages").select("page_id", urls.host(F.col("url")).alias("site"), urls.normalize(F.col("url")).alias("url")).where("url is not null")
+    at = lambda n: F.timestamp_seconds(F.lit(n))
+    old = u.where("page_id % 5 <> 0").groupBy("site", "url").agg(F.min("page_id").alias("k")).select("site", "url", at(1_500_000_000).alias("last_seen_at"), F.when(F.col("k") % 4 == 0, at(1_510_000_000)).alias("removed_at"))
+    out = compare.touched(old, u.where("page_id % 7 <> 0"), at(1_600_000_000))
+    return out.select("site", "url", "action", F.unix_seconds("last_seen_at").cast("string").alias("last_seen"), F.unix_seconds("removed_at").cast("string").alias("removed"))
+
+
 def json_answers(spark, sf_dir):
     """Answers of a model, with fences, talk and trailing commas, as arrays."""
     c = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("Sure:\n```json\n["), F.concat_ws(",", F.col("c_custkey").cast("string"), F.lit("2")), F.lit(",]\n``` done")).alias("a"))
@@ -199,6 +208,9 @@ hr AS (SELECT coalesce(a.shape, b.shape) AS shape, coalesce(b.n, 0) AS before, c
 E = f"WITH {EVENTS} "
 
 SQL = {
+    "warm_touch": page_plans.NORMAL + """, o AS (SELECT site, url, min(page_id) % 4 = 0 AS gone FROM u WHERE page_id % 5 <> 0 GROUP BY 1, 2), s AS (SELECT DISTINCT site, url FROM u WHERE page_id % 7 <> 0)
+SELECT coalesce(o.site, s.site) AS site, coalesce(o.url, s.url) AS url, CASE WHEN o.url IS NULL THEN 'net_new' WHEN s.url IS NOT NULL THEN 'existing' WHEN gone THEN 'gone' ELSE 'removed' END AS action,
+  CASE WHEN o.url IS NOT NULL THEN CASE WHEN s.url IS NOT NULL THEN '1600000000' ELSE '1500000000' END END AS last_seen, CASE WHEN s.url IS NULL THEN CASE WHEN gone THEN '1510000000' ELSE '1600000000' END END AS removed FROM o FULL JOIN s ON o.site = s.site AND o.url = s.url""",
     "placeholder_jobs": """SELECT o_orderkey % 7 = 0 OR o_orderkey % 4 < 2 AS placeholder, count(*) AS n FROM orders GROUP BY 1""",
     "artifact_choice": "SELECT page_id % 40 AS company_id, CASE WHEN bool_or(page_id % 80 = 3) THEN 'json' ELSE 'html' END AS kind FROM pages GROUP BY 1",
     "sink_actions": """WITH a AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 OR c_mktsegment = 'BUILDING' THEN 'update' ELSE 'create' END AS action FROM customer)
