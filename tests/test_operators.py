@@ -109,3 +109,17 @@ def test_increment_has_all_rows_and_parts_ties(spark):
     assert rows(got.groupBy("page").agg(F.min("id"), F.max("id"))) == [(1, 0, 499), (2, 500, 999), (3, 1000, 1299)]
     rest = tables.increment(table, F.lit(t), at="at", key="id", after=F.lit(499))
     assert sorted(r["id"] for r in rest.collect()) == list(range(500, 1300))
+
+
+def test_log_is_appended_streamed_and_kept(spark, tmp_path):
+    log = spark.createDataFrame([(f"r{i % 4}", "scrape", i) for i in range(12)], "run_id string, stage string, seq long")
+    tables.append_events(log.where("run_id < 'r2'"), f"{tmp_path}/log")
+    tables.append_events(log.where("run_id >= 'r2'"), f"{tmp_path}/log")
+    got = spark.read.parquet(f"{tmp_path}/log")
+    assert got.count() == 12 and rows(tables.retained(got, 2).select("run_id").distinct()) == [("r2",), ("r3",)]
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.jsonl").write_text('{"stage":"scrape","duration_ms":5}\nno json\n')
+    q = tables.stream_events(spark, f"{tmp_path}/lines").writeStream.format("memory").queryName("tail").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert rows(spark.table("tail").select("stage", "duration_ms")) == [("scrape", 5)]
+    assert tables.missing_columns(["Stage", "Lane"], got) == ["Lane"]
