@@ -50,3 +50,17 @@ def test_edges_and_repeats(spark):
     assert mixed.columns == docs.columns
     assert mixed.count() == out.agg(F.sum("copies")).first()[0]
     assert mixing.plan(data.empty(spark)).count() == 0 and mixing.mix(data.empty(spark)).count() == 0
+
+
+def test_mix_repeats_rows_as_planned(spark):
+    rows = [data.row(i, data.prose(5 + i % 40, i), f"s{i % 4}") for i in range(120)] + [data.row(500 + i % 3, "a b c", "s0") for i in range(9)]
+    rows += [data.row(None, "x y z " * (i % 3), "s1") for i in range(12)]
+    docs = data.frame(spark, rows)
+    planned, mixed = Counter(), Counter()
+    for r in mixing.plan(docs).collect():
+        planned[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    for r in mixing.mix(docs).collect():
+        mixed[r["doc_id"], r["source"], len((r["text"] or "").split())] += 1
+    assert mixed == +planned
+    texts = {(r[0], r[1], r[3]) for r in rows}
+    assert all((r["doc_id"], r["text"], r["source"]) in texts for r in mixing.mix(docs).collect())

@@ -111,10 +111,3 @@ def test_long_texts_in_one_group_are_compared_one_by_one(spark):
     # in one process, as a worker has them: the sets of two texts at a time
     cut = near_dedup.Shingles(np.ones(near_dedup.SLOTS))
     assert sum(x.nbytes for x in cut(base)) * 2 < 2_000_000
-
-
-def test_agreement_bounds_what_is_verified():
-    assert near_dedup.least_agreement(64, 0.8) == 38
-    r = np.random.RandomState(1)
-    draws = r.binomial(64, 0.8, 200_000)
-    assert (draws < near_dedup.least_agreement(64, 0.8)).mean() < 2e-4

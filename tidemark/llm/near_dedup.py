@@ -2,23 +2,21 @@
 
 A text is a weighted set of five-word shingles: the weight is the shingle's count times the mean
 inverse document frequency of its words. (The frequency is that of the words: with the frequency of
-whole shingles, the shared shingles of a large group of near copies would weigh next to nothing against
-an edited one, and pairs of a similarity of 0.9 would be lost; README has the figures.) Word frequencies are
-counted over all different texts into 2**16 hashed slots.
+whole shingles, the shared shingles of a large group of copies would weigh next to nothing against
+an edited one, and links would be lost; README has the figures.) Word frequencies are counted over
+all documents into 2**16 hashed slots.
 
 1. Equal texts collapse to one by digest (a task sketches the copies that it meets once); a text has a number from then on.
 2. Improved consistent weighted sampling gives every text ``bands * rows`` samples; the ``rows``
    samples of a band make a bucket key.
-3. In every bucket the member whose buckets are the fullest is the centre, every other member is a candidate against it.
-4. Links make components. In buckets that still hold several components every member outside the bucket's main
-   component is compared with every member of another component whose weight allows the similarity. So no link within a
-   bucket is lost, and what is compared is what transitivity couldn't settle.
+3. In every bucket the member whose buckets are the fullest is the centre, and every other member is
+   verified against it by exact weighted Jaccard similarity. A centre with many members is salted.
+4. Links make components. Buckets that still hold several components are verified again, in blocks:
+   every member outside the bucket's main component against every member of another component whose
+   weight allows the similarity. So no link within a bucket is lost, and what is compared is what
+   transitivity couldn't settle.
 5. Components over all links are the classes.
 
-Candidates are first compared by their samples (256 bytes a text): a share of agreeing samples far below the
-threshold (``SLACK`` standard deviations) ends it; the others are verified by exact weighted Jaccard similarity, in groups of a
-bounded number of texts, of which a task holds a bounded number of shingles.
-
 No bucket, partner or candidate is capped. Two texts of similarity s share a bucket with a chance of
 1 - (1 - s**rows)**bands: 0.9998 at 0.8.
 
@@ -41,10 +39,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hot_join, materialize
+from tidemark.llm.common import materialize
 from tidemark.llm.components import components
 
-SLOTS, TABLE, MEMBERS, BLOCK, TEXTS, SLACK = 1 << 16, 4096, 64, 4096, 256, 3.5
+SLOTS, TABLE, MEMBERS, BLOCK, CELLS = 1 << 16, 4096, 64, 128, 1 << 23
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -186,238 +184,156 @@ def band_keys(who: np.ndarray, level: np.ndarray, bands: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def folded(who: np.ndarray, level: np.ndarray) -> bytes:
-    """Four bytes a sample; equal samples have equal ones."""
-    mixed = (who ^ (level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
-    return (mixed >> np.uint64(32)).astype("<u4").tobytes()
-
-
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
 
 
 def sketch(rows_in: DataFrame, idf: np.ndarray, *, bands: int, rows: int, shingle: int) -> DataFrame:
-    """(id, digest, weight, samples, keys) of rows (id, digest, text): the weight of all shingles, the samples, and the
-    bucket keys; for a text without words weight 0 and no keys. A task remembers some thousand texts by digest, so it
-    sketches the copies that it meets once."""
+    """(id, digest, weight, keys) of rows (id, digest, text): the weight of all shingles and the bucket keys, none for a text
+    without words. A task remembers some thousand texts by digest, so it sketches the copies that it meets once."""
     sent = rows_in.sparkSession.sparkContext.broadcast(idf)  # SLOTS numbers, whatever the input
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cut, sample = Shingles(sent.value, shingle), Sampler(bands * rows)
-        seen: dict[bytes, tuple] = {}
+        cut, sample, seen = Shingles(sent.value, shingle), Sampler(bands * rows), {}
         for pdf in batches:
             out = []
             for name, text in zip(pdf["digest"], pdf["text"]):
                 got = seen.get(name)
                 if got is None:
                     h, w = cut(text)
-                    got = (float(w.sum()), b"", np.zeros(0, np.int64))
-                    if len(h):
-                        who, level = sample(h, w)
-                        got = (got[0], folded(who, level), band_keys(who, level, bands))
+                    got = float(w.sum()), band_keys(*sample(h, w), bands) if len(h) else np.zeros(0, np.int64)
                     if len(seen) > 4096:
                         seen.clear()
                     seen[name] = got
                 out.append(got)
-            weight, samples, keys = zip(*out) if out else ((), (), ())
-            yield pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "weight": weight, "samples": samples, "keys": keys})
-
-    return rows_in.mapInPandas(run, "id long, digest binary, weight double, samples binary, keys array<long>")
-
-
-def least_agreement(samples: int, threshold: float) -> int:
-    """Samples that a pair of similarity ``threshold`` agrees in, but for a chance of SLACK standard deviations."""
-    return max(1, int(samples * threshold - SLACK * math.sqrt(samples * threshold * (1 - threshold))))
-
-
-def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    stack = lambda s: np.frombuffer(b"".join(s), "<u4").reshape(len(s), -1)
-    return pd.Series((stack(a) == stack(b)).sum(1) if len(a) else [], dtype="int64")
-
+            yield pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "weight": [x for x, _ in out], "keys": [k for _, k in out]})
 
-def _texts_of(nodes: DataFrame, unique: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, text) of these nodes, each once, by digest."""
-    named = materialize(unique.select("node", "digest").join(nodes, "node"))
-    return materialize(texts.select("digest", "text").join(named, "digest").dropDuplicates(["node"]).select("node", "text"))
+    return rows_in.mapInPandas(run, "id long, digest binary, weight double, keys array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, unique: DataFrame, idf: np.ndarray, *, shingle: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose exact weighted Jaccard similarity is ``threshold`` or more.
+def _verified(members: DataFrame, texts: DataFrame, idf: np.ndarray, *, shingle: int, threshold: float) -> DataFrame:
+    """Links (a, b) of similarity ``threshold`` or more between the sides of a group.
 
-    The partners of a text are dealt over groups of about MEMBERS; a group reads its first text, then one partner after the other."""
-    sent = pairs.sparkSession.sparkContext.broadcast(idf)
+    members: (g1, g2, g3, node, side, comp); within a group (g1, g2, g3) every node of side 0 is compared
+    with every node of side 1 of another comp. Groups are small by their making; a task holds the shingles of
+    a group's texts, and a matrix of CELLS weights."""
+    sent = members.sparkSession.sparkContext.broadcast(idf)
     held: list[Shingles] = []  # one for a task
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         if not held:
             held.append(Shingles(sent.value, shingle))
-        cut, a, out = held[0], int(pdf["a"].iloc[0]), []
-        base = cut(pdf.loc[pdf["node"] == a, "text"].iloc[0])
-        for b, text in zip(pdf["node"], pdf["text"]):
-            if b != a and weighted_jaccard(base, cut(text)) >= threshold:
-                out.append((a, b))
+        cut = held[0]
+        pdf = pdf.drop_duplicates(["node", "side"])
+        sets = {node: cut(text) for node, text in zip(pdf["node"], pdf["text"])}
+        sides = [[(n, c) for n, c, s in zip(pdf["node"], pdf["comp"], pdf["side"]) if s == k] for k in (0, 1)]
+        out = []
+        if len(sides[0]) <= 2:
+            for n0, c0 in sides[0]:
+                for n1, c1 in sides[1]:
+                    if c0 != c1 and n0 != n1 and weighted_jaccard(sets[n0], sets[n1]) >= threshold:
+                        out.append((n0, n1))
+            return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        # shingles of the group as numbers; the other side's weights as rows of a matrix of at most CELLS cells at a time
+        axis = np.unique(np.concatenate([sets[n][0] for side in sides for n, _ in side]))
+        at = {n: np.searchsorted(axis, sets[n][0]) for side in sides for n, _ in side}
+        step = max(1, CELLS // max(1, len(axis)))
+        for k in range(0, len(sides[1]), step):
+            part = sides[1][k : k + step]
+            dense = np.zeros((len(part), len(axis)), np.float32)
+            for i, (n, _) in enumerate(part):
+                dense[i, at[n]] = sets[n][1]
+            total1 = dense.sum(1, dtype=np.float64)
+            node1, comp1 = (np.array(x) for x in zip(*part))
+            for n0, c0 in sides[0]:
+                w = sets[n0][1].astype(np.float32)
+                both = np.minimum(dense[:, at[n0]], w).sum(1, dtype=np.float64)
+                union = total1 + float(w.sum()) - both
+                near = np.flatnonzero((both >= (threshold - 1e-4) * np.maximum(union, 1e-9)) & (comp1 != c0) & (node1 != n0))
+                out += [(n0, int(node1[i])) for i in near if weighted_jaccard(sets[n0], sets[int(node1[i])]) >= threshold]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("salts"))
-    dealt = materialize(pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("g"), "b"))
-    nodes = dealt.select(F.col("a").alias("node")).unionByName(dealt.select(F.col("b").alias("node"))).distinct()
-    wanted = _texts_of(nodes, unique, texts)
-    rows = dealt.select("a", "g", F.col("b").alias("node")).unionByName(dealt.select("a", "g", F.col("a").alias("node")).distinct())
-    return materialize(rows.join(wanted, "node").groupBy("a", "g").applyInPandas(compare, "a long, b long"))
-
-
-def _stars(buckets: DataFrame, sketched: DataFrame, *, threshold: float, samples: int) -> DataFrame:
-    """Candidate pairs (centre, member) of every bucket (key, node, weight, n)."""
-    full = buckets.groupBy("node").agg(F.sum("n").alias("full"))
-    centres = buckets.join(full, "node").groupBy("key").agg(
-        F.max_by(F.struct("node", "weight"), F.struct("full", -F.col("node"))).alias("c"), F.max("n").alias("n")
-    )
-    met = hot_join(buckets.select("key", "node", "weight"), centres, "key", times="n", total=buckets.count())
-    # a similarity of t needs weights that differ by a factor of t at most
-    alike = F.least("weight", "c.weight") >= F.greatest("weight", "c.weight") * (threshold - 1e-9)
-    pairs = met.where((F.col("node") != F.col("c.node")) & alike).select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = materialize(pairs)
-    one = lambda side: sketched.select(F.col("node").alias(side), F.col("samples").alias(f"s_{side}"))
-    centre = one("a").join(pairs.groupBy("a").agg(F.count("*").alias("n")), "a")
-    both = hot_join(pairs, centre, "a", times="n", total=pairs.count()).join(one("b"), "b")
-    agree = F.pandas_udf(agreement, "long")(F.col("s_a"), F.col("s_b"))
-    return both.where(agree >= least_agreement(samples, threshold)).select("a", "b")
-
-
-def _blocked(rows: DataFrame, block: int) -> DataFrame:
-    """Rows (key, bin, node, comp, side) dealt over groups (key, bin, g2, g3) of about ``block`` rows of each side, so that each row
-    of side 0 meets each of side 1 once; bins of one component only are left out."""
-    per = rows.groupBy("key", "bin").agg(
-        *(F.ceil(F.count_if(F.col("side") == k) / block).alias(f"n{k}") for k in (0, 1)), F.min("comp").alias("low"), F.max("comp").alias("high")
+    return (
+        members.join(texts, "node").groupBy("g1", "g2", "g3").applyInPandas(compare, "a long, b long")
     )
-    per = materialize(per.where("n0 > 0 and n1 > 0 and low != high").select("key", "bin", "n0", "n1"))
-    upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
-    dealt = rows.join(per, ["key", "bin"])
-    mine = lambda c: F.array(F.pmod(F.xxhash64("node"), F.col(c)))
-    minor = F.col("side") == 0
-    dealt = dealt.withColumn("g2", F.explode(F.when(minor, mine("n0")).otherwise(upto("n0"))))
-    return dealt.withColumn("g3", F.explode(F.when(minor, upto("n1")).otherwise(mine("n1")))).drop("n0", "n1")
-
-
-def _candidates(pdf: pd.DataFrame, least: int, bands: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Of each row of side 0 the rows of side 1 that it is to be compared with, the most alike first: of another component, with enough samples
-    in common, and without a bucket in common in an earlier band, where they are compared already."""
-    comp, side, band = (pdf[c].to_numpy() for c in ("comp", "side", "band"))
-    rows = np.frombuffer(b"".join(pdf["samples"]), "<u4").reshape(len(pdf), -1)
-    other = np.flatnonzero(side == 1)
-    for i in np.flatnonzero(side == 0):
-        near = other[comp[other] != comp[i]]
-        same = rows[near] == rows[i]
-        agree = same.sum(1)
-        hit = np.flatnonzero(agree >= least)
-        if len(hit):
-            first = same[hit].reshape(len(hit), bands, -1).all(2).argmax(1)
-            hit = hit[first == band[i]]
-            yield i, near[hit[np.argsort(-agree[hit], kind="stable")]]
-
-
-def _between(
-    buckets: DataFrame, labels: DataFrame, unique: DataFrame, texts: DataFrame, idf: np.ndarray, *, threshold: float, shingle: int, bands: int, rows: int
-) -> DataFrame:
-    """Links (a, b) between different components within a bucket: of the smaller components' members with all others.
-
-    Blocks of members are compared by their samples first; members with a candidate are then dealt over smaller blocks with their
-    texts, and compared there exactly. Pairs are never rows; a member of a bucket is repeated once for each block that it meets."""
-    # bins of weight: texts of a similarity of ``threshold`` are in the same bin or in neighbours
-    width = -math.log(threshold) if 0 < threshold < 1 else 1.0
-    held = buckets.join(labels, "node", "left").select(
-        "key", "band", "node", F.coalesce("label", "node").alias("comp"), F.floor(F.log("weight") / (width + 1e-9)).alias("bin")
-    )
-    by_comp = held.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    mixed = by_comp.groupBy("key").agg(
-        F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.count("*").alias("comps"), F.sum("n").alias("n")
-    ).where("comps > 1").drop("comps")
-    open_rows = materialize(hot_join(held, mixed, "key", times="n", total=buckets.count()))
-    names = ["key", "band", "bin", "node", "comp", "side"]
-    near_bins = F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1))
-    minor = open_rows.where("comp != main").select("key", "band", near_bins.alias("bin"), "node", "comp", F.lit(0).alias("side"))
-    whole = materialize(minor.unionByName(open_rows.select("key", "band", "bin", "node", "comp", F.lit(1).alias("side"))).select(names))
-    least = least_agreement(bands * rows, threshold)
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        keep = np.zeros(len(pdf), bool)
-        for i, hits in _candidates(pdf, least, bands):
-            if len(hits):
-                keep[i] = True
-                keep[hits] = True
-        return pdf.loc[keep, names]
-
-    samples = unique.select("node", "samples")
-    groups = ("key", "bin", "g2", "g3")
-    schema = "key long, band int, bin long, node long, comp long, side int"
-    some = _blocked(whole, BLOCK).join(samples, "node").groupBy(*groups).applyInPandas(pick, schema)
-    some = materialize(some.distinct())
-    sent = whole.sparkSession.sparkContext.broadcast(idf)
-    held_sets: list[Shingles] = []  # one for a task
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        if not held_sets:
-            held_sets.append(Shingles(sent.value, shingle))
-        node, comp, text, sets, out = pdf["node"].to_numpy(), pdf["comp"].to_numpy(), pdf["text"].to_numpy(), {}, []
-        for i, hits in _candidates(pdf, least, bands):
-            mine, linked = None, set()
-            for j in hits:
-                if comp[j] in linked:
-                    continue  # one link joins two components
-                if mine is None:
-                    mine = held_sets[0](text[i])
-                if node[j] not in sets:
-                    if sum(len(x[0]) for x in sets.values()) > 2_000_000:
-                        sets.clear()
-                    sets[node[j]] = held_sets[0](text[j])
-                if weighted_jaccard(mine, sets[node[j]]) >= threshold:
-                    linked.add(comp[j])
-                    out.append((node[i], node[j]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    wanted = _texts_of(some.select("node").distinct(), unique, texts)
-    dealt = _blocked(some, TEXTS).join(samples, "node").join(wanted, "node")
-    return materialize(dealt.groupBy(*groups).applyInPandas(compare, "a long, b long"))
 
 
 def _same_ids(named: DataFrame) -> DataFrame:
     """Links (a, b) between the texts under one id, of (id, node) rows."""
-    several = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count("*").alias("n")).where("a < z").drop("z")
-    return hot_join(named, several, "id", times="n", total=named.count()).select("a", F.col("node").alias("b")).where("a != b").distinct()
+    several = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").drop("z")
+    return named.join(several, "id").select("a", F.col("node").alias("b")).where("a != b").distinct()
 
 
 def _classed(
     docs: DataFrame, *, id_col: str, text_col: str, threshold: float, shingle: int, bands: int, rows: int
 ) -> DataFrame:
     """(id, digest, class_id) of every row."""
-    texts = _keyed(docs, id_col, text_col)
-    df, n = document_frequency(texts)
+    every = _keyed(docs, id_col, text_col)
+    df, n = document_frequency(every)
     idf = np.log1p(max(n, 1) / df) + 1.0 if n else np.ones(SLOTS)
     options = {"shingle": shingle, "threshold": threshold}
-    sketched = materialize(sketch(texts, idf, bands=bands, rows=rows, shingle=shingle))
+    sketched = materialize(sketch(every, idf, bands=bands, rows=rows, shingle=shingle))
     # one row a text; its number is short, and fixed as it is written
-    unique = sketched.where("id is not null").groupBy("digest").agg(
-        F.min("id").alias("least"), F.count("*").alias("times"), F.first(F.struct("weight", "samples", "keys")).alias("s")
+    unique = sketched.groupBy("digest").agg(F.min("id").alias("least"), F.first("weight").alias("weight"), F.first("keys").alias("keys")).where("least is not null")
+    unique = materialize(unique.withColumn("rep", F.monotonically_increasing_id()))
+    all_rows = unique.select("rep", "weight", F.explode("keys").alias("key")).distinct()
+    shared = all_rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = materialize(all_rows.join(shared, "key"))
+    # the texts that share a bucket with another are taken out once, for both verifications
+    wanted = unique.select(F.col("rep").alias("node"), "digest").join(buckets.select(F.col("rep").alias("node")).distinct(), "node")
+    texts = materialize(every.select("digest", "text").join(wanted.hint("merge"), "digest").dropDuplicates(["digest"]).select("node", "text"))
+    ranked = buckets.join(buckets.groupBy("rep").agg(F.sum("n").alias("full")), "rep")
+    centres = ranked.groupBy("key").agg(F.max_by(F.struct("rep", "weight"), F.struct("full", -F.col("rep"))).alias("c"))
+    # a similarity of t needs weights that differ by a factor of t at most
+    alike = F.least("weight", "c.weight") >= F.greatest("weight", "c.weight") * (threshold - 1e-9)
+    stars = buckets.join(centres, "key").where((F.col("rep") != F.col("c.rep")) & alike).select(F.col("c.rep").alias("centre"), "rep").distinct()
+    salts = stars.groupBy("centre").agg(F.ceil(F.count("*") / MEMBERS).alias("salts"))
+    stars = materialize(
+        stars.join(salts, "centre").select("centre", "rep", F.pmod(F.xxhash64("rep"), F.col("salts")).alias("salt"))
     )
-    unique = materialize(unique.select(F.monotonically_increasing_id().alias("node"), "digest", "least", "times", "s.*"))
-    named = materialize(hot_join(sketched.where("id is not null").select("id", "digest"), unique.select("digest", "node", "times"), "digest", times="times", total=sketched.count()))
-    spots = unique.select("node", "weight", F.posexplode("keys").alias("band", "key"))
-    shared = spots.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").withColumn("n", F.col("times"))
-    total = unique.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
-    buckets = materialize(hot_join(spots, shared, "key", times="times", total=total))
-    size = {"threshold": threshold, "samples": bands * rows}
-    links = verified(_stars(buckets, unique, **size), texts, unique, idf, **options)
+    member = stars.select(
+        F.col("centre").alias("g1"), F.col("salt").alias("g2"), F.lit(0).alias("g3"),
+        F.col("rep").alias("node"), F.lit(1).alias("side"), F.col("rep").alias("comp"),
+    )
+    centre = member.select("g1", "g2", "g3", F.col("g1").alias("node"), F.lit(0).alias("side"), F.col("g1").alias("comp")).distinct()
+    links = materialize(_verified(member.unionByName(centre), texts, idf, **options))
+
     labels = components(links)
-    more = _between(buckets, labels, unique, texts, idf, bands=bands, rows=rows, **options)
+    # bins of weight: texts of a similarity of ``threshold`` are in the same bin or in neighbours
+    width = -math.log(threshold) if 0 < threshold < 1 else 1.0
+    held = materialize(
+        buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "key", "rep", F.coalesce("label", "rep").alias("comp"), F.floor(F.log("weight") / (width + 1e-9)).alias("bin")
+        )
+    )
+    by_comp = held.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    mixed = by_comp.groupBy("key").agg(
+        F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.count("*").alias("comps")
+    ).where("comps > 1")
+    open_rows = held.join(mixed, "key")
+    near_bins = F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1))
+    minor = open_rows.where("comp != main").select("key", "rep", "comp", near_bins.alias("bin"))
+    whole = open_rows.select("key", "rep", "comp", "bin")
+    # both sides of a bin are dealt over blocks; a group is one block of each
+    count = lambda df, name: df.groupBy("key", "bin").agg(F.ceil(F.count("*") / BLOCK).alias(name), F.min("comp").alias(f"{name}_low"), F.max("comp").alias(f"{name}_high"))
+    bins = count(minor, "minors").join(count(whole, "blocks"), ["key", "bin"])
+    bins = materialize(bins.where("least(minors_low, blocks_low) != greatest(minors_high, blocks_high)").select("key", "bin", "minors", "blocks"))
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    group, node = F.xxhash64("key", "bin").alias("g1"), F.col("rep").alias("node")
+    mine = F.pmod(F.xxhash64("rep"), F.col("minors")).alias("g2")
+    theirs = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks")).alias("g3")
+    left = minor.join(bins, ["key", "bin"]).select(group, mine, upto("blocks").alias("g3"), node, F.lit(0).alias("side"), "comp")
+    right = whole.join(bins, ["key", "bin"]).select(group, upto("minors").alias("g2"), theirs, node, F.lit(1).alias("side"), "comp")
+    more = materialize(_verified(left.unionByName(right), texts, idf, **options))
+    named = materialize(sketched.where("id is not null").select("id", "digest").join(unique.select("digest", F.col("rep").alias("node")), "digest"))
     joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more).unionByName(_same_ids(named.select("id", "node")))
     final = components(joined)
-    labelled = materialize(unique.select("node", "least", "times").join(final, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    classes_of = labelled.groupBy("label").agg(F.min("least").alias("class_id"), F.count("*").alias("n"))
-    of_text = materialize(hot_join(labelled, classes_of, "label", times="n", total=labelled.count()).select("node", "class_id", "times"))
-    known = hot_join(named, of_text, "node", times="times", total=named.count()).select("id", "digest", "class_id")
-    nothing = F.lit(None).cast("long")
-    return known.unionByName(sketched.where("id is null").select("id", "digest", nothing.alias("class_id")))
+    labelled = unique.select(F.col("rep").alias("node"), "least").join(final, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = materialize(labelled)
+    of_text = labelled.join(labelled.groupBy("label").agg(F.min("least").alias("class_id")), "label").select("node", "class_id")
+    known = named.join(of_text, "node").select("id", "digest", "class_id")
+    return known.unionByName(sketched.where("id is null").select("id", "digest", F.lit(None).cast("long").alias("class_id")))
 
 
 def classes(
