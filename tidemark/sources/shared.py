@@ -37,22 +37,34 @@ def materialize(df: DataFrame, partition_by: str | None = None, codec: str = "zs
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_blocks(df: DataFrame, by: list[str]) -> DataFrame:
+    """df sorted by ``by`` in blocks of about equal numbers of rows, written: column ``block`` numbers them along the order.
+    Rows that agree in ``by`` are told apart by their whole content and then by their position, so any number of tied or equal rows is cut
+    as well. (Rows that only their position parts are equal: a task that runs again may exchange them.)"""
+    known = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    told = df.withColumn("tie_content", F.xxhash64(*known)).withColumn("tie_row", F.monotonically_increasing_id())
+    keys = [*by, "tie_content", "tie_row"]
+    return materialize(told.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("block", F.spark_partition_id()).drop("tie_row"))
+
+
+def block_starts(counts: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Of sums by key and block: what stands before the block, as ``start_`` columns. One row a key and block."""
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(*keys, "block", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"start_{c}") for c in columns))
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
     """Number the rows of each key from 1 along ``order``, without bringing a key into one task.
 
-    A range sort cuts the rows into blocks and is written; each block counts its rows by key, a
-    prefix sum over the counts gives every block its start. Returns (df with ``rank``, the sorted
-    rows). Ties beyond ``order`` keep the place they were written in."""
-    by = [*keys, *order]
-    ordered = materialize(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("block", F.spark_partition_id()))
+    A range sort cuts the rows into blocks (``in_blocks``); each block counts its rows by key, a prefix sum over the counts
+    gives every block its start. Returns (df with ``rank``, the sorted rows). Ties beyond ``order`` go by content."""
+    ordered = in_blocks(df, [*keys, *order])
     counts = ordered.groupBy(*keys, "block").agg(F.count("*").alias("n"))
-    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        *(F.col(k).alias(f"b_{k}") for k in keys), F.col("block").alias("b_block"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("b_start")
-    )
-    within = Window.partitionBy("block", *keys).orderBy(*order)
+    starts = block_starts(counts, keys, ["n"]).select(*(F.col(k).alias(f"b_{k}") for k in keys), F.col("block").alias("b_block"), F.col("start_n").alias("b_start"))
+    within = Window.partitionBy("block", *keys).orderBy(*order, "tie_content")
     same = F.col("block") == F.col("b_block")
     for k in keys:
         same &= F.col(k).eqNullSafe(F.col(f"b_{k}"))
     placed = ordered.withColumn("row", F.row_number().over(within)).join(starts, same)
-    return placed.withColumn("rank", F.col("b_start") + F.col("row")).drop("row", "block", "b_block", "b_start", *(f"b_{k}" for k in keys)), ordered
+    rank = (F.col("b_start") + F.col("row")).alias("rank")
+    return placed.select(*df.columns, rank), ordered.drop("tie_content")
