@@ -3,6 +3,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from tests.llm.data import empty, frame, row
 from tidemark.llm import variants
 
@@ -61,7 +63,7 @@ def corpus():
 def test_equals_brute_force(spark):
     rows = corpus()
     expected = plain(rows)
-    assert sum(r[1] is not None for r in expected) > 20 and any(r[2] == "chainabbb" and r[1] == "chainaaab" for r in expected)
+    assert sum(r[1] is not None for r in expected) > 10 and any(r[2] == "chainabbb" and r[1] == "chainaaab" for r in expected)
     assert result(frame(spark, rows)) == expected
 
 
@@ -85,8 +87,6 @@ def test_no_rows(spark):
 def test_filters_hold_all_words():
     words = [f"word{i:05}" for i in range(2000)]
     h = variants.word_hash(words)
-    import numpy as np
-
     blocks = np.zeros(len(words) * variants.BITS_PER_WORD // 64, np.uint64)
     np.bitwise_or.at(blocks, variants.block_of(h, len(blocks)).astype(int), variants.bits_of(h))
     ask = lambda h: (blocks[variants.block_of(h, len(blocks)).astype(int)] & variants.bits_of(h)) == variants.bits_of(h)
