@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import nested
 from tidemark.functions.text import deterministic_id, slugify
 from tidemark.functions.urls import domain_imported
+from tidemark.sources.shared import materialize
 
 TOLERANCE = 2.5
 
@@ -29,19 +34,58 @@ def group_rows(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Cells (page, top, left, text) with the number of their row on the page.
 
     Cells go down the page; one that lies more than the tolerance under the first cell of the current row begins
-    the next. The rule looks back at a row's first cell, which no window can, so a page's cells are walked in order."""
-
-    def walk(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values(["top", "left", "text"], kind="stable")
-        rows, anchor, row = [], None, 0
-        for top in page["top"].astype(float):
-            if anchor is None or abs(top - anchor) > tolerance:
-                anchor, row = top, row + 1
-            rows.append(row)
-        return page.assign(row=rows)[["page", "top", "left", "text", "row"]]
-
+    the next. The rule looks back at a row's first cell, which no window can, so sorted cells are walked as they stream by."""
     kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
-    return cells.select("page", "top", "left", "text").groupBy("page").applyInPandas(walk, ", ".join(f"{c} {kinds[c]}" for c in ("page", "top", "left", "text")) + ", row int")
+    columns = ["page", "top", "left", "text"]
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        page, anchor, row = None, 0.0, 0
+        for pdf in batches:
+            rows = []
+            for p, top in zip(pdf["page"], pdf["top"].astype(float)):
+                if p != page:
+                    page, anchor, row = p, top, 1
+                elif abs(top - anchor) > tolerance:
+                    anchor, row = top, row + 1
+                rows.append(row)
+            yield pdf.assign(row=rows)
+
+    ordered = cells.select(*columns).repartition("page").sortWithinPartitions(*columns)
+    return ordered.mapInPandas(walk, ", ".join(f"{c} {kinds[c]}" for c in columns) + ", row int")
+
+
+PAGE_NAMES = ("pageNum", "page", "page_number")  # fixed values
+
+
+def coordinate_items(docs: DataFrame) -> DataFrame:
+    """(doc, page, top, left, text): the texts with a place in documents (doc, json) of a reader of tables.
+
+    The known form is a list of pages with their items. Where a document has none in it, every object at any depth counts that has a text and
+    a place; its page is the one that the nearest object around it names (1 without any), and what several objects repeat counts once."""
+    docs = docs.select("doc", F.try_parse_json("json").alias("v"))
+    get = lambda fields, *names: nested.first_given(fields, *names)
+    pages = docs.select("doc", F.posexplode(F.try_variant_get("v", "$.pages", nested.ARRAY)).alias("i", "p"))
+    pages = pages.select("doc", "i", F.try_variant_get("p", "$", nested.OBJECT).alias("f"))
+    named = nested.number(get(F.col("f"), *PAGE_NAMES))
+    given = reduce(lambda a, b: a | b, (~nested.is_missing(F.try_element_at("f", F.lit(n))) for n in PAGE_NAMES))
+    page = F.coalesce(F.when(given, F.nullif(named, F.lit(0.0))), F.col("i") + 1.0)
+    items = pages.select("doc", page.alias("page"), F.explode(F.try_variant_get(F.try_element_at("f", F.lit("textItems")), "$", nested.ARRAY)).alias("t"))
+    items = items.select("doc", "page", F.try_variant_get("t", "$", nested.OBJECT).alias("t"))
+    place = lambda f, *names: nested.number(get(f, *names))
+    t = F.col("t")
+    known = items.select(
+        "doc", "page", place(t, "y", "top").alias("top"), place(t, "x", "left").alias("left"), F.trim(nested.string(F.try_element_at(t, F.lit("text")))).alias("text")
+    ).where("text <> '' AND top IS NOT NULL AND left IS NOT NULL")
+
+    known = materialize(known)
+    rest = docs.join(known.select("doc").distinct(), "doc", "left_anti")
+    named_page = lambda f, hint: F.coalesce(nested.number(get(f, *PAGE_NAMES, "pageIndex")), hint)
+    found = nested.objects(rest, "v", ["doc"], hint=F.lit(1.0), inherit=named_page)
+    f = F.col("fields")
+    texts = F.coalesce(*(nested.string(F.try_element_at(f, F.lit(n))) for n in ("text", "content", "value")))
+    found = found.select("doc", F.coalesce(F.nullif("hint", F.lit(0.0)), F.lit(1.0)).alias("page"), place(f, "y", "top").alias("top"), place(f, "x", "left").alias("left"), texts.alias("text"))
+    found = found.where("text <> '' AND top IS NOT NULL AND left IS NOT NULL").withColumn("text", F.trim("text")).distinct()
+    return known.unionByName(found)
 
 
 def field(row: Column, patterns: tuple[str, ...]) -> Column:

@@ -52,7 +52,68 @@ def header_rows(spark, sf_dir):
     return tabular.admitted(tabular.example_cells(table(spark, sf_dir, "part")))
 
 
+def _readings(spark, sf_dir):
+    """An order as a read document: pages in the known form, blocks around which the page is named, a bare list, a known form without items, and
+    no JSON; its lines are items of four forms, one of them deep inside others."""
+    n, q, p = F.col("l_linenumber").cast("string"), F.col("l_quantity").cast("int").cast("string"), F.col("l_partkey").cast("string")
+    item = (
+        F.when(n == "1", F.format_string('{"text":" p%s","x":%s.5,"y":%s}', p, n, q))
+        .when(n == "2", F.format_string('{"content":"p%s","left":" %s","top":%s,"extra":[{"text":"deep","x":1,"y":2,"page":9}]}', p, n, q))
+        .when(n == "3", F.format_string('{"text":7,"value":"p%s","x":null,"left":5,"y":"%s","pageIndex":3}', p, q))
+        .otherwise(F.format_string('{"box":{"page":null,"inner":[[{"text":"p%s","x":%s,"y":%s},{"text":"no place"},{"text":"","x":1,"y":1}]]}}', p, n, q))
+    )
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("n"), item.alias("item"))
+    items = li.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "item"))), lambda x: x["item"]), ",").alias("items"))
+    form = F.col("doc") % 5
+    body = (
+        F.when(form == 0, F.concat(F.lit('{"pages":[{"pageNum":2,"textItems":['), "items", F.lit(']},{"textItems":['), "items", F.lit(']},{"page":7,"textItems":[]}]}')))
+        .when(form == 1, F.concat(F.lit('{"page":4,"blocks":['), "items", F.lit('],"copy":{"again":['), "items", F.lit("]}}")))
+        .when(form == 2, F.concat(F.lit("["), "items", F.lit("]")))
+        .when(form == 3, F.concat(F.lit('{"pages":[{"textItems":[]},null],"content":['), "items", F.lit("]}")))
+        .otherwise(F.concat(F.lit('{"cut":['), "items"))
+    )
+    return items.select("doc", body.alias("json"))
+
+
+def coordinate_items(spark, sf_dir):
+    """Placed texts of read documents, and the row (W11) of each on its page."""
+    found = tabular.coordinate_items(_readings(spark, sf_dir))
+    named = found.select(F.concat_ws("|", F.col("doc").cast("string"), F.col("page").cast("string")).alias("page"), "top", "left", "text")
+    rows = tabular.group_rows(named)
+    return rows.select(F.split("page", r"\|")[0].cast("long").alias("doc"), F.split("page", r"\|")[1].cast("double").alias("page"), "top", "left", "text", F.col("row").cast("long").alias("row"))
+
+
+JS_NUMBER = lambda v: (  # noqa: E731  a value of json as a script's number
+    f"CASE WHEN {v} IS NULL THEN NULL WHEN json_type({v}) = 'NULL' THEN 0.0 WHEN json_type({v}) IN ('OBJECT', 'ARRAY') THEN NULL WHEN json_type({v}) = 'BOOLEAN' THEN ({v} ->> '$' = 'true')::INT"
+    f" WHEN trim({v} ->> '$') = '' THEN 0.0 ELSE TRY_CAST(trim({v} ->> '$') AS DOUBLE) END"
+)
+JS_FIRST = lambda o, *names: "CASE " + " ".join(f"WHEN coalesce(json_type({o}, '$.{n}'), 'NULL') <> 'NULL' THEN {o} -> '$.{n}'" for n in names[:-1]) + f" ELSE {o} -> '$.{names[-1]}' END"
 SQL = {
+    "coordinate_items": f"""WITH RECURSIVE i AS (SELECT l_orderkey AS doc, string_agg(CASE l_linenumber
+    WHEN 1 THEN '{{"text":" p' || l_partkey || '","x":1.5,"y":' || l_quantity::INT || '}}'
+    WHEN 2 THEN '{{"content":"p' || l_partkey || '","left":" 2","top":' || l_quantity::INT || ',"extra":[{{"text":"deep","x":1,"y":2,"page":9}}]}}'
+    WHEN 3 THEN '{{"text":7,"value":"p' || l_partkey || '","x":null,"left":5,"y":"' || l_quantity::INT || '","pageIndex":3}}'
+    ELSE '{{"box":{{"page":null,"inner":[[{{"text":"p' || l_partkey || '","x":' || l_linenumber || ',"y":' || l_quantity::INT || '}},{{"text":"no place"}},{{"text":"","x":1,"y":1}}]]}}}}' END, ',' ORDER BY l_linenumber) AS s
+  FROM lineitem GROUP BY 1),
+d AS (SELECT doc, CASE doc % 5 WHEN 0 THEN '{{"pages":[{{"pageNum":2,"textItems":[' || s || ']}},{{"textItems":[' || s || ']}},{{"page":7,"textItems":[]}}]}}'
+    WHEN 1 THEN '{{"page":4,"blocks":[' || s || '],"copy":{{"again":[' || s || ']}}}}' WHEN 2 THEN '[' || s || ']'
+    ELSE '{{"pages":[{{"textItems":[]}},null],"content":[' || s || ']}}' END AS j FROM i WHERE doc % 5 < 4),
+p AS (SELECT doc, unnest(json_extract(j, '$.pages[*]')) AS p, unnest(range(len(json_extract(j, '$.pages[*]')))) AS i FROM d WHERE json_type(j) = 'OBJECT'),
+q AS (SELECT doc, coalesce(nullif({JS_NUMBER("x")}, 0), i + 1.0) AS page, unnest(json_extract(p, '$.textItems[*]')) AS t FROM (SELECT *, {JS_FIRST("p", "pageNum", "page", "page_number")} AS x FROM p)),
+k AS (SELECT doc, page, {JS_NUMBER("y")} AS top, {JS_NUMBER("x")} AS "left", trim(t ->> '$.text') AS text FROM (SELECT *, {JS_FIRST("t", "y", "top")} AS y, {JS_FIRST("t", "x", "left")} AS x FROM q)
+  WHERE json_type(t, '$.text') = 'VARCHAR'),
+known AS (SELECT * FROM k WHERE text <> '' AND top IS NOT NULL AND "left" IS NOT NULL),
+n AS (SELECT doc, e.id, e.parent, e.value AS v, e.type FROM (SELECT * FROM d WHERE doc NOT IN (SELECT doc FROM known)) d, json_tree(d.j) e WHERE e.type IN ('OBJECT', 'ARRAY')),
+o AS (SELECT *, CASE WHEN type = 'OBJECT' THEN {JS_NUMBER("x")} END AS own FROM (SELECT *, {JS_FIRST("v", "pageNum", "page", "page_number", "pageIndex")} AS x FROM n)),
+h(doc, id, v, hint) AS (SELECT doc, id, v, coalesce(own, 1.0) FROM o WHERE parent IS NULL UNION ALL SELECT o.doc, o.id, o.v, coalesce(o.own, h.hint) FROM h JOIN o ON o.doc = h.doc AND o.parent = h.id),
+w AS (SELECT doc, coalesce(nullif(hint, 0), 1.0) AS page, {JS_NUMBER("y")} AS top, {JS_NUMBER("x")} AS "left", CASE WHEN json_type(v, '$.text') = 'VARCHAR' THEN v ->> '$.text'
+    WHEN json_type(v, '$.content') = 'VARCHAR' THEN v ->> '$.content' WHEN json_type(v, '$.value') = 'VARCHAR' THEN v ->> '$.value' END AS text
+  FROM (SELECT *, {JS_FIRST("v", "y", "top")} AS y, {JS_FIRST("v", "x", "left")} AS x FROM h WHERE json_type(v) = 'OBJECT')),
+c AS (SELECT * FROM known UNION ALL SELECT DISTINCT doc, page, top, "left", trim(text) FROM w WHERE text <> '' AND top IS NOT NULL AND "left" IS NOT NULL),
+s AS (SELECT *, row_number() OVER (PARTITION BY doc, page ORDER BY top, "left", text) AS i FROM c),
+r AS (SELECT doc, page, i, top AS anchor, 1 AS row FROM s WHERE i = 1
+  UNION ALL SELECT s.doc, s.page, s.i, CASE WHEN abs(s.top - anchor) > 2.5 THEN s.top ELSE anchor END, row + CASE WHEN abs(s.top - anchor) > 2.5 THEN 1 ELSE 0 END FROM r JOIN s ON s.doc = r.doc AND s.page = r.page AND s.i = r.i + 1)
+SELECT s.doc, s.page, s.top, s."left", s.text, r.row::BIGINT AS row FROM s JOIN r USING (doc, page, i)""",
     "row_grouping": """WITH RECURSIVE c AS (SELECT l_orderkey AS page, l_quantity AS top, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_extendedprice, l_linenumber) AS i FROM lineitem),
 r AS (SELECT page, i, top AS anchor, 1 AS row FROM c WHERE i = 1
   UNION ALL SELECT c.page, c.i, CASE WHEN abs(c.top - anchor) > 2.5 THEN c.top ELSE anchor END, row + CASE WHEN abs(c.top - anchor) > 2.5 THEN 1 ELSE 0 END FROM r JOIN c ON c.page = r.page AND c.i = r.i + 1)
