@@ -51,11 +51,14 @@ def number(v: Column) -> Column:
     return with_value(with_value(v, one), lambda n: F.when(F.abs(n) < float("inf"), n))
 
 
-def objects(df: DataFrame, value: str, keys: list[str], *, hint: Column | None = None, inherit: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+def objects(
+    df: DataFrame, value: str, keys: list[str], *, hint: Column | None = None, inherit: Callable[[Column, Column], Column] | None = None,
+    through: tuple[str, ...] | None = None,
+) -> DataFrame:
     """(keys, place, hint, fields): every object in a JSON value, at whatever depth, with its fields as a map.
 
     ``place`` orders a value's objects as a walk meets them, parents first (an object's fields by name, as variants keep them). ``hint`` goes down
-    from an object to what it holds; ``inherit(fields, hint)`` may replace it on the way. The walk goes down a level at a time, each level
+    from an object to what it holds; ``inherit(fields, hint)`` may replace it on the way. With ``through``, only these fields of an object are gone into. The walk goes down a level at a time, each level
     written before the next, until none has objects or arrays left; rows that are no JSON have none."""
     none = F.lit(None).cast("double") if hint is None else hint
     level = df.select(*keys, F.array().cast("array<int>").alias("place"), none.alias("hint"), F.col(value).alias("node"))
@@ -70,6 +73,8 @@ def objects(df: DataFrame, value: str, keys: list[str], *, hint: Column | None =
             break
         levels.append(level.select(*keys, "place", "hint", "fields").where("fields IS NOT NULL"))
         below = level.select(*keys, "place", "hint", "node").lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
+        if through:
+            below = below.where(F.col("key").isNull() | F.col("key").isin(*through))
         level = below.select(*keys, F.concat("place", F.array("pos")).alias("place"), "hint", F.col("value").alias("node"))
     if not levels:
         return level.select(*keys, "place", "hint", "fields")

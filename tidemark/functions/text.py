@@ -78,6 +78,15 @@ def title_from_path(path: Column) -> Column:
     return F.initcap(squeeze(F.regexp_replace(F.regexp_replace(last, r"\.[A-Za-z0-9]+$", ""), r"[-_]+", " ")))
 
 
+def title_of_link(url: Column) -> Column:
+    """The last segment of an address's path as words with large initials; null without one."""
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    last = F.try_element_at(F.filter(F.split(path, "/"), lambda x: x != ""), F.lit(-1))
+    words = F.trim(F.regexp_replace(F.regexp_replace(last, r"[-_]+", " "), r"\.[A-Za-z]+$", ""))
+    parts = F.regexp_extract_all(words, F.lit(r"(\w+|\W+)"), 1)
+    return F.nullif(F.array_join(F.transform(parts, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30))), ""), F.lit(""))
+
+
 def render(template: Column, values: dict[str, Column]) -> Column:
     for name, value in values.items():
         template = F.replace(template, F.lit("{" + name + "}"), F.coalesce(value.cast("string"), F.lit("")))
