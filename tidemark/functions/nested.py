@@ -18,6 +18,12 @@ def with_value(v: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(v), use)[0]
 
 
+def parsed(text: Column) -> Column:
+    """A JSON text as a variant; null if it isn't one value. (Alone, the parser takes what stands before further values, so it reads a list of one.)"""
+    one = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", ARRAY)
+    return with_value(one, lambda a: F.when(F.size(a) == 1, a[0]))
+
+
 def is_missing(v: Column) -> Column:
     """Absent, or JSON's null."""
     return v.isNull() | F.is_variant_null(v)

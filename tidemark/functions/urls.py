@@ -154,6 +154,30 @@ def slug_of_url(url: Column) -> Column:
     )
 
 
+def system_slugs(url: Column) -> dict[str, Column]:
+    """The company's name at each of eight applicant systems, null where an address isn't of that system."""
+    h, p = host(url), path(url)
+    labels, parts = F.split(h, r"\."), F.filter(F.split(p, "/"), lambda x: x != "")
+    some = lambda c: F.nullif(c, F.lit(""))
+    first, last, label = F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(-1)), labels[0]
+    under = lambda domain: F.when(h.endswith(domain), label)
+    asked = some(F.try_url_decode(F.regexp_extract(url, r"^[^#]*?[?&]organizationHostedJobsPageName=([^&#]*)", 1)))
+    own = (F.size(labels) >= 3) & (labels[1] == "greenhouse") & (F.try_element_at(labels, F.lit(3)) == "io")
+    workday = h.contains("myworkdayjobs.com") | h.contains("workday.com") | (h.contains("wd") & h.contains("workday"))
+    scheme = F.lower(F.regexp_extract(url, r"^(?i)(https?)://", 1))
+    return {
+        "greenhouse": F.coalesce(F.when(h.isNotNull() & url.contains("boards.greenhouse.io"), some(F.regexp_extract(p, "^/([^/]+)", 1))), F.when(own, label)),
+        "lever": F.when(h.contains("lever.co"), F.coalesce(some(F.regexp_extract(p, "^/(?:postings/)?([^/]+)(?:/|$)", 1)), F.when(label != "www", label))),
+        "ashby": F.when(h.contains("ashbyhq.com"), F.coalesce(asked, last, F.when(F.size(labels) >= 3, label))),
+        "workday": F.when(workday, first),
+        "workday_base": F.when(workday & first.isNotNull(), F.concat(scheme, F.lit("://"), h)),
+        "workable": F.when(h.contains("workable.com"), first),
+        "recruitee": under(".recruitee.com"),
+        "teamtailor": under(".teamtailor.com"),
+        "bamboohr": under(".bamboohr.com"),
+    }
+
+
 def is_listing_index(p: Column) -> Column:
     return F.coalesce(F.regexp_replace(F.lower(p), r"/+$", "").rlike(rf"^/({LISTING_WORDS})$"), F.lit(False))
 

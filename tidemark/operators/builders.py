@@ -98,7 +98,7 @@ def links(pages: DataFrame, builder: Builder) -> DataFrame:
 def objects(pages: DataFrame, builder: Builder) -> DataFrame:
     """Postings among the objects of scripts that are JSON, at any depth."""
     scripts = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(SCRIPT), 1)).alias("script", "json"))
-    values = scripts.select("page_id", "script", F.try_parse_json(F.trim("json")).alias("v"))
+    values = scripts.select("page_id", "script", nested.parsed(F.trim("json")).alias("v"))
     found = nested.objects(values, "v", ["page_id", "script"]).join(pages.select("page_id", F.col("url").alias("base"), "html"), "page_id")
     f = F.col("fields")
     if builder.url_fields:
@@ -122,7 +122,7 @@ def linked_data(pages: DataFrame) -> DataFrame:
     typed = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
     scripts = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(typed), 1)).alias("script", "json"))
     bare = F.trim(F.regexp_replace(F.regexp_replace(F.trim("json"), r"(?i)^<!\[CDATA\[", ""), r"\]\]>$", ""))
-    values = scripts.select("page_id", "script", F.try_parse_json(bare).alias("v"))
+    values = scripts.select("page_id", "script", nested.parsed(bare).alias("v"))
     found = nested.objects(values, "v", ["page_id", "script"], through=("@graph", "itemListElement", "item", "mainEntity"))
     found = found.join(pages.select("page_id", F.col("url").alias("base"), "html"), "page_id")
     at = lambda v, *names: reduce(lambda v, n: F.try_variant_get(v, "$['%s']" % n, "variant"), names, v)

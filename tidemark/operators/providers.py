@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import nested, urls
+
 # Where each provider keeps its listings, and the paths of a listing's fields in order of preference.
 LISTS = {
     "greenhouse": ("$.jobs", "$"), "lever": ("$", "$.jobs"), "ashby": ("$.jobs",), "workday": ("$.jobPostings",),
@@ -67,6 +69,7 @@ def _fields(item: Column, provider: str) -> Column:
     if provider == "workday":
         bullets = F.try_variant_get(item, "$.bulletFields", "array<string>")
         description = F.coalesce(blank_null(F.array_join(bullets, "\n")), description)
+        url = urls.resolve(url, F.col("base"))
     if provider == "workable":
         place = blank_null(F.concat_ws(", ", part("location.city"), part("location.region"), part("location.country")))
         location = F.coalesce(place, location)
@@ -84,13 +87,14 @@ def _fields(item: Column, provider: str) -> Column:
 
 def listings(answers: DataFrame) -> DataFrame:
     """(company_id, provider, ord, title, url, location, employment_type, description) of answers (company_id,
-    platform, slug, body). A body that isn't JSON, or of no known form, has none."""
-    a = answers.withColumn("v", F.try_parse_json("body"))
+    platform, slug, body, and base, the page that Workday's relative addresses are seen from). A body that isn't JSON, or of no known form, has none."""
+    answers = answers if "base" in answers.columns else answers.withColumn("base", F.lit(None).cast("string"))
+    a = answers.withColumn("v", nested.parsed(F.col("body")))
     a = a.withColumn("provider", provider_of(F.col("v"), F.col("platform")))
     items = F
     for name, paths in LISTS.items():
         items = items.when(F.col("provider") == name, _list(F.col("v"), paths))
-    a = a.select("company_id", "slug", "provider", F.posexplode(items).alias("ord", "item"))
+    a = a.select("company_id", "slug", "base", "provider", F.posexplode(items).alias("ord", "item"))
     fields = F
     for name in FIELDS:
         fields = fields.when(F.col("provider") == name, _fields(F.col("item"), name))

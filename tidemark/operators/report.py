@@ -153,3 +153,21 @@ def retries(events: DataFrame, most: int = 3) -> DataFrame:
     attempt = F.row_number().over(Window.partitionBy("company_id", "stage", "_chain").orderBy("seq"))
     again = F.col("failure_class").isin(*classify.TRANSIENT) & (F.col("attempt") < most)
     return rows.withColumn("attempt", attempt).withColumn("retry", again).drop("_chain")
+
+
+def quality_of_listings(jobs: DataFrame) -> DataFrame:
+    """One row about enriched listings (title_normalized, function, seniority, relevance, climate, error): errors, listings without a required field,
+    tiers whatever their case, and warnings: more than a fifth of errors, climate outside of 10 to 90 percent, more than 30 percent without a level. A
+    field that says unknown isn't missing."""
+    required = ("title_normalized", "function", "seniority", "relevance", "climate")
+    incomplete = F.exists(F.array(*(F.col(c).isNull() for c in required)), lambda x: x)
+    known = F.lower("relevance").isin("low", "medium", "high")
+    tier = F.when(known, F.lower("relevance")).otherwise("unknown")
+    failed = F.coalesce(F.col("error") != "", F.lit(False))
+    n, climate = F.count("*"), percent(F.count_if("climate"), F.count("*"), 2)
+    return jobs.agg(
+        n.alias("n"), F.count_if(failed).alias("errors"), percent(F.count_if(failed), n, 2).alias("errors_pct"), F.count_if(incomplete).alias("incomplete"),
+        percent(F.count_if(incomplete), n, 2).alias("incomplete_pct"), *(F.count_if(tier == t).alias(t) for t in ("low", "medium", "high", "unknown")),
+        F.count_if("climate").alias("climate"), F.count_if(~F.col("climate")).alias("not_climate"), climate.alias("climate_pct"),
+        (F.count_if(failed) > 0.2 * n).alias("warn_errors"), ((n > 0) & ~climate.between(10, 90)).alias("warn_climate"), (F.count_if(F.col("seniority").isNull()) > 0.3 * n).alias("warn_seniority"),
+    )

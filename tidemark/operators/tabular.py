@@ -62,7 +62,7 @@ def coordinate_items(docs: DataFrame) -> DataFrame:
 
     The known form is a list of pages with their items. Where a document has none in it, every object at any depth counts that has a text and
     a place; its page is the one that the nearest object around it names (1 without any), and what several objects repeat counts once."""
-    docs = docs.select("doc", F.try_parse_json("json").alias("v"))
+    docs = docs.select("doc", nested.parsed(F.col("json")).alias("v"))
     get = lambda fields, *names: nested.first_given(fields, *names)
     pages = docs.select("doc", F.posexplode(F.try_variant_get("v", "$.pages", nested.ARRAY)).alias("i", "p"))
     pages = pages.select("doc", "i", F.try_variant_get("p", "$", nested.OBJECT).alias("f"))
@@ -141,11 +141,61 @@ def warnings_of(name: Column, domain: Column, employees: Column) -> Column:
     )
 
 
-def recovered_array(answer: Column) -> Column:
-    """A JSON array that was cut off: what is left up to its last whole object, closed."""
-    whole = F.regexp_extract(answer, r"(?s)(\[.*\])\s*$", 1)
-    part = F.regexp_extract(answer, r"(?s)(\[.*\})", 1)
-    return F.coalesce(F.nullif(whole, F.lit("")), F.when(part != "", F.concat(part, F.lit("]"))))
+MOST_UNITS, KEPT_UNITS = 1000, 500
+
+
+def _capped(text: Column) -> Column:
+    """A text with its quoted strings of more than 1000 characters cut after 500, with their escapes spelled out."""
+    parts = F.regexp_extract_all(text, F.lit(r'("(?:[^"\\]++|\\.)*+"|[^"]++|")'), 1)
+    inner = lambda p: F.substring(p, 2, F.length(p) - 2)
+    units = lambda p: F.length(F.regexp_replace(inner(p), r"(?s)\\.", "x"))
+
+    def spelled(c: Column) -> Column:
+        for raw, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+            c = F.replace(c, F.lit(raw), F.lit(written))
+        return c
+
+    short = lambda p: F.concat(F.lit('"'), spelled(F.substring(inner(p), 1, KEPT_UNITS)), F.lit('…"'))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.startswith('"') & (F.length(p) > 1) & (units(p) > MOST_UNITS), short(p)).otherwise(p)), "")
+
+
+def recovered(answers: DataFrame) -> DataFrame:
+    """(id, form, rows) of answers (id, answer) of a model that was asked for JSON; rows are variants.
+
+    Fences go. What lies between the first opening and the last closing bracket is an array, else between braces an object; a comma before
+    a closing bracket is forgiven. Else the answer was cut off or went round in circles: strings that are too long are capped, and the objects that are whole
+    by the depth of braces from the first bracket on are taken, of which those that are no JSON are left out. Braces in strings count as any
+    others. Without any of these form and rows are null."""
+    s = F.trim(F.regexp_replace("answer", "(?i)```[a-z]*", "\n"))
+    at = lambda c: F.instr(F.col("s"), c)
+    last = lambda c: F.length("s") - F.instr(F.reverse("s"), c) + 1
+    between = lambda a, b: F.when((at(a) > 0) & (F.instr(F.reverse("s"), b) > 0) & (last(b) > at(a)), F.substring(F.col("s"), at(a), last(b) - at(a) + 1))
+    bare_list = lambda c: F.regexp_replace(F.regexp_replace(c, r",\s*\]", "]"), r",\s*\}", "}")
+    bare_object = lambda c: F.regexp_replace(c, r",\s*\}", "}")
+    texts = answers.select("id", s.alias("s"))
+    texts = texts.select("id", "s", between("[", "]").alias("a"), between("{", "}").alias("o"))
+    whole = texts.select(
+        "id", "s", F.coalesce(nested.parsed(F.col("a")), nested.parsed(bare_list(F.col("a")))).alias("a"), F.coalesce(nested.parsed(F.col("o")), nested.parsed(bare_object(F.col("o")))).alias("o")
+    )
+    whole = materialize(whole)
+
+    cut = whole.where("a IS NULL AND o IS NULL").where((at("[") > 0) & (at("{") > 0))
+    tail = F.substring(_capped(F.col("s")), F.instr(F.col("s"), "["), F.lit(1 << 30))
+    pieces = cut.select("id", F.posexplode(F.regexp_extract_all(tail, F.lit(r"([^{}]++|[{}])"), 1)).alias("pos", "piece"))
+    so_far = Window.partitionBy("id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    depth = F.sum(F.when(F.col("piece") == "{", 1).when(F.col("piece") == "}", -1).otherwise(0)).over(so_far)
+    pieces = pieces.withColumn("depth", depth)
+    opens, closes = (F.col("piece") == "{") & (F.col("depth") == 1), (F.col("piece") == "}") & (F.col("depth") == 0)
+    pieces = pieces.withColumn("object", F.sum(opens.cast("int")).over(so_far)).where((F.col("depth") > 0) | closes)
+    spelled = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]), "")
+    objects = pieces.groupBy("id", "object").agg(F.max(closes).alias("whole"), nested.parsed(spelled).alias("v")).where("whole AND v IS NOT NULL")
+    # variants have no order: the rows are gathered under their numbers
+    gathered = F.map_from_entries(F.collect_list(F.struct("object", "v")))
+    partial = objects.groupBy("id").agg(gathered.alias("m")).select("id", F.transform(F.array_sort(F.map_keys("m")), lambda k: F.col("m")[k]).alias("rows"))
+    joined = whole.join(partial, "id", "left")
+    form = F.when(F.col("a").isNotNull(), "array").when(F.col("o").isNotNull(), "object").when(F.col("rows").isNotNull(), "partial")
+    rows = F.when(F.col("a").isNotNull(), F.try_variant_get("a", "$", nested.ARRAY)).when(F.col("o").isNotNull(), F.array("o")).otherwise(F.col("rows"))
+    return joined.select("id", form.alias("form"), rows.alias("rows"))
 
 
 # What the columns of a table of companies are called; a header names the first or three of them.

@@ -281,13 +281,13 @@ def stage_tally(spark, sf_dir):
 
 
 def qa_profile(spark, sf_dir):
-    j = jobs_with_companies(spark, sf_dir)
-    return j.agg(
-        F.count("*").alias("n"), percent(F.count_if(F.col("function").isNull()), F.count("*"), 2).alias("no_function_pct"),
-        percent(F.count_if(F.col("climate")), F.count("*"), 2).alias("climate_pct"),
-        (percent(F.count_if(F.col("seniority") == "unknown"), F.count("*"), 2) > 30).alias("warn_seniority"),
-        (~percent(F.count_if(F.col("climate")), F.count("*"), 2).between(10, 90)).alias("warn_climate"),
+    """Quality of the enriched listings; some have no level, an error, no verdict or a tier in another spelling."""
+    k = F.col("id")
+    j = jobs_with_companies(spark, sf_dir).select(
+        F.col("title").alias("title_normalized"), "function", F.when(k % 3 != 0, F.col("seniority")).alias("seniority"), F.when(k % 7 != 0, F.col("climate")).alias("climate"),
+        F.when(k % 4 == 1, "timeout").when(k % 4 == 2, "").alias("error"), F.when(k % 5 == 0, "High").when(k % 5 == 1, "low").when(k % 5 == 2, "MEDIUM").when(k % 5 == 3, "maybe").alias("relevance"),
     )
+    return report.quality_of_listings(j)
 
 
 def relevance_summary(spark, sf_dir):
@@ -429,8 +429,12 @@ SELECT agent, model, count(*) AS calls, floor(avg(ms) + 0.5) AS avg_ms, quantile
   WHEN c_custkey % 2 = 0 AND c_custkey % 17 <> 0 THEN 'categorize' ELSE 'done' END AS stage FROM customer),
 s AS (SELECT unnest(['wrds_ingest', 'profile', 'discovery', 'fingerprint', 'scrape', 'extract', 'enrich', 'categorize', 'done']) AS stage)
 SELECT s.stage, count(c.stage) AS n FROM s LEFT JOIN c USING (stage) GROUP BY 1""",
-    "qa_profile": JC + f"""SELECT count(*) AS n, {p2("function IS NULL")} AS no_function_pct, {p2("climate")} AS climate_pct,
-  {p2("seniority = 'unknown'")} > 30 AS warn_seniority, NOT {p2("climate")} BETWEEN 10 AND 90 AS warn_climate FROM jc""",
+    "qa_profile": JC + f""", q AS (SELECT title, function, CASE WHEN id % 3 <> 0 THEN seniority END AS s, CASE WHEN id % 7 <> 0 THEN climate END AS c, id % 4 = 1 AS err, CASE id % 5 WHEN 0 THEN 'high' WHEN 1 THEN 'low' WHEN 2 THEN 'medium' ELSE 'unknown' END AS b,
+  id % 5 = 4 AS no_tier FROM jc)
+SELECT count(*) AS n, count(*) FILTER (err) AS errors, {p2("err")} AS errors_pct, count(*) FILTER (title IS NULL OR function IS NULL OR s IS NULL OR no_tier OR c IS NULL) AS incomplete,
+  {p2("title IS NULL OR function IS NULL OR s IS NULL OR no_tier OR c IS NULL")} AS incomplete_pct, count(*) FILTER (b = 'low') AS low, count(*) FILTER (b = 'medium') AS medium, count(*) FILTER (b = 'high') AS high,
+  count(*) FILTER (b = 'unknown') AS unknown, count(*) FILTER (c) AS climate, count(*) FILTER (NOT c) AS not_climate, {p2("c")} AS climate_pct,
+  count(*) FILTER (err) > 0.2 * count(*) AS warn_errors, NOT {p2("c")} BETWEEN 10 AND 90 AS warn_climate, count(*) FILTER (s IS NULL) > 0.3 * count(*) AS warn_seniority FROM q""",
     "relevance_summary": JC + "SELECT coalesce(function, 'unknown') AS function, seniority, count(*) AS n FROM jc GROUP BY ALL",
     "scrape_summary": f"""WITH {EVENTS}, r AS (SELECT k % 11 <> 0 AND outcome = 'success' AS ok, outcome = 'skipped' AS skipped, CASE k % 6 WHEN 0 THEN 'greenhouse_api' WHEN 1 THEN 'direct_html' WHEN 2 THEN 'lever_api' WHEN 3 THEN 'unknown' WHEN 4 THEN 'sitemap' ELSE 'playwright_html' END AS m,
   CASE WHEN k % 3 = 0 THEN 'unknown' WHEN k % 5 = 0 THEN '404' ELSE '200' END AS st, k % 4 <> 0 AND k * 300 < 5120 AS small FROM ev WHERE stage = 'scrape'),

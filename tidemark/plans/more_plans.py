@@ -186,13 +186,23 @@ def typed_values(spark, sf_dir):
     return c.select("c_custkey", text.string_or_null(F.col("a")).alias("text"), text.number_or_null(F.col("b")).alias("number"))
 
 
+#: Answers of a model by the customer's number modulo 9; ~ is the number, ^ a long string.
+ANSWERS = (
+    '```json\n[{"id":~},{"id":"b~", },]\n```', 'x [{"id":~,"t":{"a":1}},{"id":2},{"id', '[{"id":~},{"id":7,"s":"^"},{"id":8,"s":"^', 'Here: {"id":~,} done', "none",
+    '[{"id":~,"s":"}"},{"id":2},', '{"rows":[1,2],"id":~}', '[ } {"id":~} {"id":2}', '[{"id":~,"s":"a\\"b"},{"id":oops},{"id":3}, and so on',
+)
+
+
 def recovered_answers(spark, sf_dir):
-    """Answers whose array was cut off, closed after their last whole object."""
+    """What is whole in answers with fences, stray commas, cut ends and strings that repeat themselves."""
     k = F.col("c_custkey")
-    one = lambda n: F.concat(F.lit('{"id":'), (k + n).cast("string"), F.lit("}"))
-    cut = F.concat(F.lit("x [") , one(0), F.lit(","), one(1), F.when(k % 3 == 0, "] ").when(k % 3 == 1, ',{"id').otherwise(""))
-    a = tabular.recovered_array(F.when(k % 10 == 0, "none").otherwise(cut))
-    return table(spark, sf_dir, "customer").select("c_custkey", a.alias("json"), F.coalesce(F.json_array_length(a), F.lit(0)).alias("n"))
+    answer = F.lit("")
+    for i, a in enumerate(ANSWERS):
+        answer = F.when(k % 9 == i, F.replace(F.replace(F.lit(a), F.lit("~"), k.cast("string")), F.lit("^"), F.repeat(F.lit("ab\\n{"), 400))).otherwise(answer)
+    got = tabular.recovered(table(spark, sf_dir, "customer").select(k.alias("id"), answer.alias("answer")))
+    ids = F.transform("rows", lambda r: F.coalesce(F.try_variant_get(r, "$.id", "string"), F.lit("-")))
+    longest = F.array_max(F.transform("rows", lambda r: F.coalesce(F.length(F.try_variant_get(r, "$.s", "string")), F.lit(0))))
+    return got.select("id", "form", F.array_join(ids, ",").alias("ids"), longest.alias("longest"))
 
 
 def base_addresses(spark, sf_dir):
@@ -218,7 +228,22 @@ SELECT action, count(*) AS n, CASE WHEN count(*) FILTER (action = 'create' AND i
     "lane_progress": """WITH c AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 1 THEN 'warm' ELSE 'cold' END AS lane, c_custkey % 7 AS m FROM customer)
 SELECT lane, count(*) AS n, CASE WHEN count(*) FILTER (m < 3) = 0 THEN 0.0 ELSE floor(CAST(count(*) FILTER (m = 0) AS DOUBLE) / count(*) FILTER (m < 3) * 100.0::DOUBLE + 0.5) END AS progress FROM c GROUP BY 1""",
     "typed_values": "SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS text, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey / 4.0::DOUBLE END AS number FROM customer",
-    "recovered_answers": """SELECT c_custkey, CASE WHEN c_custkey % 10 <> 0 THEN '[{"id":' || c_custkey || '},{"id":' || (c_custkey + 1) || '}]' END AS json, CASE WHEN c_custkey % 10 <> 0 THEN 2 ELSE 0 END AS n FROM customer""",
+    "recovered_answers": """WITH w AS (SELECT c_custkey AS id, replace(replace(CASE c_custkey % 9 """ + " ".join("WHEN %d THEN '%s'" % (i, a) for i, a in enumerate(ANSWERS)) + """ END, '~', c_custkey::VARCHAR), '^', repeat('ab\\n{', 400)) AS answer FROM customer),
+s AS (SELECT id, trim(regexp_replace(answer, '```[a-z]*', chr(10), 'gi'), ' ' || chr(10)) AS s FROM w),
+b AS (SELECT *, instr(s, '[') AS fa, instr(s, '{') AS fo, regexp_extract(s, '\\[.*\\]', 0, 's') AS a, regexp_extract(s, '\\{.*\\}', 0, 's') AS o FROM s),
+f AS (SELECT *, regexp_replace(regexp_replace(a, ',\\s*\\]', ']', 'g'), ',\\s*\\}', '}', 'g') AS fixed, regexp_replace(o, ',\\s*\\}', '}', 'g') AS fixed_o FROM b),
+g AS (SELECT *, CASE WHEN a <> '' AND json_valid(a) THEN a WHEN a <> '' AND json_valid(fixed) THEN fixed END AS va, CASE WHEN o <> '' AND json_valid(o) THEN o WHEN o <> '' AND json_valid(fixed_o) THEN fixed_o END AS vo FROM f),
+-- a whole long string is capped: 500 characters, each backslash of them written twice
+c AS (SELECT id, substr(array_to_string(list_transform(regexp_extract_all(s, '"(?:[^"\\\\]|\\\\.)*"|[^"]+|"'), lambda p: CASE WHEN p LIKE '"%"' AND length(regexp_replace(p, '\\\\.', 'x', 'g')) > 1002
+  THEN '"' || replace(substr(p, 2, 500), '\\', '\\\\') || '…"' ELSE p END), ''), fa) AS s FROM g WHERE va IS NULL AND vo IS NULL AND fa > 0 AND fo > 0),
+p AS (SELECT id, unnest(regexp_extract_all(s, '[^{}]+|[{}]')) AS x, generate_subscripts(regexp_extract_all(s, '[^{}]+|[{}]'), 1) AS i FROM c),
+d AS (SELECT *, sum(CASE x WHEN '{' THEN 1 WHEN '}' THEN -1 ELSE 0 END) OVER (PARTITION BY id ORDER BY i) AS depth FROM p),
+n AS (SELECT *, sum((x = '{' AND depth = 1)::INT) OVER (PARTITION BY id ORDER BY i) AS k FROM d),
+r AS (SELECT id, k, string_agg(x, '' ORDER BY i) AS v FROM n WHERE depth > 0 OR depth = 0 AND x = '}' GROUP BY 1, 2 HAVING bool_or(x = '}' AND depth = 0)),
+q AS (SELECT id, list(v ORDER BY k) AS vs FROM r WHERE json_valid(v) GROUP BY 1),
+z AS (SELECT g.id, CASE WHEN va IS NOT NULL THEN 'array' WHEN vo IS NOT NULL THEN 'object' WHEN vs IS NOT NULL THEN 'partial' END AS form, CASE WHEN va IS NOT NULL THEN json_extract(va, '$[*]')::VARCHAR[] WHEN vo IS NOT NULL THEN [vo] ELSE vs END AS rows FROM g LEFT JOIN q USING (id))
+SELECT id, form, array_to_string(list_transform(rows, lambda r: coalesce(CASE WHEN json_type(r) = 'OBJECT' THEN json_extract_string(r, '$.id') END, '-')), ',') AS ids,
+  list_max(list_transform(rows, lambda r: coalesce(CASE WHEN json_type(r) = 'OBJECT' THEN length(json_extract_string(r, '$.s')) END, 0))) AS longest FROM z""",
     "base_addresses": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'https://' || regexp_replace(url, '^[a-z]+://', '') ELSE url END AS url FROM pages",
     "company_projection": """WITH c AS (SELECT *, CASE WHEN c_custkey % 4 <> 0 THEN 'Site' || c_custkey || '.com' END AS domain FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
 SELECT coalesce(lower(replace(domain, '.', '-')), lower(replace(c_name, '#', '')) || '-' || substr(sha1(c_name), 1, 10)) AS id, domain,

@@ -18,12 +18,13 @@ def _answers(spark, sf_dir):
         F.when(F.col("m") == 0, js(many(t.alias("name"), u.alias("absolute_url"), F.struct(r.alias("name")).alias("location")).alias("jobs")))
         .when(F.col("m") == 1, F.to_json(many(t.alias("text"), u.alias("hostedUrl"), F.struct(F.array(r, F.lit("B")).alias("location")).alias("categories"))))
         .when(F.col("m") == 2, js(many(t.alias("title"), u.alias("jobUrl"), r.alias("location"), F.lit("<b>hi</b> ").alias("descriptionHtml")).alias("jobs")))
-        .when(F.col("m") == 3, js(many(t.alias("jobTitle"), u.alias("externalPath"), F.array(F.lit("a"), r).alias("bulletFields")).alias("jobPostings")))
+        .when(F.col("m") == 3, js(many(t.alias("jobTitle"), F.concat(F.lit("/en/job/"), F.col("company_id").cast("string")).alias("externalPath"), F.array(F.lit("a"), r).alias("bulletFields")).alias("jobPostings")))
         .when(F.col("m") == 4, js(many(t.alias("title"), F.lit("S1").alias("shortcode"), F.struct(r.alias("city"), F.lit("X").alias("country")).alias("location")).alias("results")))
         .when(F.col("m") == 5, F.to_json(many(t.alias("title"), u.alias("careers_url"), F.lit(True).alias("remote"), F.lit("perm").alias("kind"))))
         .otherwise(js(many(F.struct(t.alias("title"), r.alias("location")).alias("attributes"), F.struct(u.alias("careersite-job-url")).alias("links")).alias("data")))
     )
-    return j.select("company_id", F.lit(None).cast("string").alias("platform"), F.lit("acme").alias("slug"), F.when(F.col("company_id") % 50 == 0, "not json").otherwise(body).alias("body"))
+    base = F.when(F.col("company_id") % 2 == 0, "https://acme.wd1.myworkdayjobs.com/en-US/Careers?x=1")
+    return j.select("company_id", base.alias("base"), F.lit(None).cast("string").alias("platform"), F.lit("acme").alias("slug"), F.when(F.col("company_id") % 50 == 0, "not json").otherwise(body).alias("body"))
 
 
 def provider_mappers(spark, sf_dir):
@@ -58,7 +59,7 @@ SQL = {
     "provider_mappers": f"""WITH j AS (SELECT o_orderkey AS company_id, {sql_pick(TITLES, "o_orderkey")} AS title, 'https://x/' || o_orderkey AS u, o_orderpriority AS r, o_orderkey % 7 AS m
   FROM orders WHERE o_orderkey % 50 <> 0)
 SELECT company_id, ['greenhouse', 'lever', 'ashby', 'workday', 'workable', 'recruitee', 'teamtailor'][m + 1] AS provider, title,
-  CASE WHEN m = 4 THEN 'https://apply.workable.com/acme/j/S1' ELSE u END AS url,
+  CASE WHEN m = 4 THEN 'https://apply.workable.com/acme/j/S1' WHEN m <> 3 THEN u WHEN company_id % 2 = 0 THEN 'https://acme.wd1.myworkdayjobs.com/en/job/' || company_id END AS url,
   CASE m WHEN 1 THEN r || ' | B' WHEN 3 THEN NULL WHEN 4 THEN r || ', X' WHEN 5 THEN 'Remote' ELSE r END AS location, CASE WHEN m = 5 THEN 'perm' END AS employment_type,
   CASE m WHEN 2 THEN 'hi' WHEN 3 THEN 'a' || chr(10) || r END AS description FROM j""",
     "anchor_listings": PAGES_SQL + r""", a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\s[^>]*?href\s*=\s*["''][^"'']+["''][^>]*>.*?</a>', 0, 'is')) AS tag, generate_subscripts(regexp_extract_all(html, '<a\s[^>]*?href\s*=\s*["''][^"'']+["''][^>]*>.*?</a>', 0, 'is'), 1) AS ord FROM p),
