@@ -12,12 +12,12 @@ from tidemark.plans.page_plans import link_test
 #: What is put behind a page, by the page's number modulo 9; ~ is the number.
 TAILS = (
     """<header><a href="/jobs/in-header-~">h</a></header><main><!-- <a href="/jobs/hidden">x</a> --><a href='/jobs/one-~'> First <b>one</b></a><a href="/jobs/one-~">again</a><p><a class=x href="/careers/two-~"></a></main><footer><div><a href="/jobs/foot">f</a></div></footer>""",
-    """<section><a href="/jobs/alone-~">alone</a></section><ul><li><a href="/jobs/a-~">A</a></li><li><a href="/jobs/b-~">B</a></li></ul><a href="/jobs/nowhere">n</a><article><a href="/jobs/c-~">C</a><div role="banner"><a href="/jobs/banner">x</a></div></article>""",
+    """<section><a href="/openings/alone-~">alone</a></section><ul><li><a href="/openings/a-~">A</a></li><li><a href="/openings/b-~">B</a></li></ul><a href="/openings/nowhere">n</a><article><a href="/openings/c-~">C</a><div role="banner"><a href="/openings/banner">x</a></div></article>""",
     """<html data-wf-domain="x"><nav class="w-nav"><a href="/jobs/nav-1">n</a><div class="a w-dyn-item"><a href="/jobs/in-card">card</a></div></nav><div class="w-dyn-list"><a href="/lead-engineer-~">Lead</a><a href="/about-us">About</a><a href="/roles/x~">Role</a><a href="/careers#sec-~">Section</a><a href="/team/x-y">T</a><a href="/single">S</a></div><a href="/lead-designer">no card</a>""",
     """<nav><a href="/jobs/only-~">only in navigation</a></nav>""",
     """<nav><a href="/jobs/n1">1</a><a href="/jobs/n2">2</a><a href="/jobs/n3">3</a></nav><link href="/wp-content/a.css">""",
     """<main><a href="/jobs/privacy">p</a><a href="/jobs/">index</a><a href="mailto:jobs@a.b">m</a><a title="a > b" href="/jobs/quoted-~">quo<i>ted</i></a>""" + f"<a href='/jobs/long-~'>{'long title ' * 12}</a></main>",
-    """<ul role="navigation"><li><a href="/jobs/role-nav">r</a></ul><ol><li><a href="/jobs/x-~">X</a><li><a href="/jobs/y-~">Y</a></ol><ol><a href="/jobs/z">Z</a></ol>""",
+    """<ul role="navigation"><li><a href="/openings/role-nav">r</a></ul><ol><li><a href="/openings/x-~">X</a><li><a href="/openings/y-~">Y</a></ol><ol><a href="/openings/z">Z</a></ol>""",
 )
 
 
