@@ -88,10 +88,11 @@ class TokenScores:
         return np.fromiter(map(seen.__getitem__, tokens), float, len(tokens))
 
 
-def posterior(counts: dict[str, tuple[float, float]], base: float) -> dict[str, float]:
-    """Log-odds against the base rate of the nodes that differ from their parent.
+def posterior(counts: dict[str, tuple[float, float, float, float]], base: float) -> dict[str, float]:
+    """Log-odds against the base rate of the nodes that differ from their parent, from (n, t, words, rates) by node: its own evidence (a word's are
+    documents, n of which t are toxic), and how many different words there are under it with the sum of their toxic shares.
 
-    A node's prior is its parent's posterior without the node's own documents. Nodes whose count agrees with
+    A node's prior is its parent's posterior without the node's own words. Nodes whose count agrees with
     that prior keep it and get no entry of their own; to differ, the likelihood ratio must be one that chance
     wouldn't give among so many nodes."""
     sure = max(12.0, 2 * math.log(max(1, len(counts))))
@@ -105,13 +106,15 @@ def posterior(counts: dict[str, tuple[float, float]], base: float) -> dict[str,
     def prior_of(node: str) -> float:
         if node not in prior:
             up = parent(node)
-            n, t = counts.get(node, (0.0, 0.0))
-            n_up, t_up = counts.get(up, (n, t)) if up else (n, t)
-            prior[node] = (t_up - t + ALPHA * prior_of(up)) / (n_up - n + ALPHA)
+            none = (0.0, 0.0, 0.0, 0.0)
+            words, rates = counts.get(node, none)[2:]
+            words_up, rates_up = counts.get(up, none)[2:]
+            others = max(words_up - words, 0.0)
+            prior[node] = (min(max(rates_up - rates, 0.0), others) + ALPHA * prior_of(up)) / (others + ALPHA)
         return prior[node]
 
     logit = lambda p: math.log(p / (1 - p))
-    for node, (n, t) in counts.items():
+    for node, (n, t, *_) in counts.items():
         p = min(max(prior_of(node), 1e-6), 1 - 1e-6)
         if n < LEAST:
             continue
@@ -129,7 +132,7 @@ def signature(text: str, shingle: int = 5) -> np.ndarray:
     return np.array([((h ^ (h >> np.uint64(29))) * m >> np.uint64(16)).min() for m in _DRAWS]).astype(np.uint32)
 
 
-def copies(signatures: np.ndarray, threshold: float = 0.5) -> np.ndarray:
+def copies(signatures: np.ndarray, threshold: float = 0.15) -> np.ndarray:
     """The class of each text: texts that are alike, or joined by texts that are, have one class."""
     found, left, number = np.zeros(len(signatures), np.int64), np.arange(len(signatures)), 0
     while len(left):
@@ -163,32 +166,58 @@ def without_copies(rows: DataFrame, id_col: str) -> DataFrame:
 def node_counts(rows: DataFrame) -> DataFrame:
     """Documents by node, fold and label of (text, label, fold, class_id) rows.
 
-    A word counts once for a class of copies and a label, whatever words are around it: so what different documents
-    repeat counts for each of them, and what one document and its copies have counts once."""
+    A node counts once for a class of copies and a label, however many of its words a document has and whatever words are around them: so what
+    different documents repeat counts for each of them, and what one document and its copies have counts once. The classes come to tasks
+    as a whole and in order; a task adds up what it has seen before anything is shuffled."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of: dict[str, list[str]] = {}
+        total: dict[str, list[int]] = {}
+        group, nodes = None, set()
+
+        def add() -> None:
+            for node in nodes:
+                c = total.setdefault(node, [0, 0, 0, 0])
+                c[2 * group[2]] += 1
+                c[2 * group[2] + 1] += group[1]
 
-    def list_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, str] = {}
         for pdf in batches:
-            parts = []
-            for text, label, fold, group in zip(pdf["text"], pdf["label"], pdf["fold"], pdf["class_id"]):
-                tokens = set(_word.findall(text))
-                known.update((t, core(t)) for t in tokens.difference(known))
-                words = sorted({known[t] for t in tokens} - {""})
-                parts.append(pd.DataFrame({"core": words, "class_id": group, "label": label, "fold": fold}))
-            yield pd.concat(parts).astype({"core": object, "class_id": "int64", "label": "int64", "fold": "int64"})
-
-    words = rows.mapInPandas(list_words, "core string, class_id long, label long, fold long")
-    once = words.distinct().select("core", "fold", F.col("label").alias("tox"), F.lit(1).alias("n"))
-    sums = [F.sum(F.when(F.col("fold") == f, F.col(c)).otherwise(0)).alias(f"{c}{f}") for f in (0, 1) for c in ("n", "tox")]
-    by_word = once.groupBy("core").agg(*sums)
-    prefixes = [F.when(F.length("core") > n, F.concat(F.lit("^"), F.left("core", F.lit(n)))) for n in PREFIXES]
-    nodes = F.explode(F.array_compact(F.array(*prefixes, F.concat(F.lit("="), F.col("core")))))
-    return (
-        by_word.withColumn("node", nodes)
-        .groupBy("node")
-        .agg(*(F.sum(c).alias(c) for c in ("n0", "tox0", "n1", "tox1")))
-        .where(f"n0 + n1 >= {LEAST} and tox0 + tox1 > 0")
-    )
+            for text, label, fold, class_id in zip(pdf["text"], pdf["label"], pdf["fold"], pdf["class_id"]):
+                if group != (class_id, label, fold):
+                    add()
+                    group, nodes = (class_id, label, fold), set()
+                for t in set(_word.findall(text)):
+                    if t not in of:
+                        of[t] = chain(t)
+                    nodes.update(of[t])
+            if len(total) > 1_000_000:
+                yield counted(total)
+                total.clear()
+        add()
+        yield counted(total)
+
+    def counted(total: dict[str, list[int]]) -> pd.DataFrame:
+        counts = np.array(list(total.values()), np.int64).reshape(len(total), 4)
+        return pd.DataFrame({"node": pd.Series(list(total), dtype=object), **{c: counts[:, i] for i, c in enumerate(columns)}})
+
+    columns = ("n0", "tox0", "n1", "tox1")
+    whole = rows.repartition("class_id").sortWithinPartitions("class_id", "label")
+    counts = whole.mapInPandas(count, "node string, " + ", ".join(f"{c} long" for c in columns)).groupBy("node").agg(*(F.sum(c).alias(c) for c in columns))
+    counts = counts.withColumn("n2", F.col("n0") + F.col("n1")).withColumn("tox2", F.col("tox0") + F.col("tox1"))
+    kinds = (0, 1, 2)  # the folds and both
+    share = lambda f: F.when(F.col(f"n{f}") > 0, F.col(f"tox{f}") / F.col(f"n{f}")).otherwise(0.0)
+    seen = lambda f: (F.col(f"n{f}") > 0).cast("double")
+    words = counts.where(F.col("node").startswith("="))
+    prefixes = F.array_compact(F.array(*(F.when(F.length("node") - 1 > n, F.concat(F.lit("^"), F.substring("node", 2, n))) for n in PREFIXES)))
+    under = words.select(F.explode(prefixes).alias("node"), *(e(f).alias(f"{c}{f}") for f in kinds for c, e in (("words", seen), ("rates", share))))
+    under = under.groupBy("node").agg(*(F.sum(f"{c}{f}").alias(f"{c}{f}") for f in kinds for c in ("words", "rates")))
+    own = words.select("node", *(c.cast("double").alias(f"{k}{f}") for f in kinds for k, c in (("n", F.col(f"n{f}")), ("tox", F.col(f"tox{f}")), ("words", seen(f)), ("rates", share(f)))))
+    # what a prefix says of a word that no one has seen, it says by its different words, not by how often one of them is there
+    n = lambda f: F.least(F.col(f"n{f}").cast("double"), F.col(f"words{f}"))
+    rate = lambda f: F.when(F.col(f"words{f}") > 0, F.col(f"rates{f}") / F.col(f"words{f}")).otherwise(0.0)
+    above = counts.join(under, "node")
+    above = above.select("node", *(c.alias(f"{k}{f}") for f in kinds for k, c in (("n", n(f)), ("tox", n(f) * rate(f)), ("words", F.col(f"words{f}")), ("rates", F.col(f"rates{f}")))))
+    return own.unionByName(above).where(f"n2 >= {LEAST} and tox2 > 0")
 
 
 def _evidence(found: list[tuple[int, int, float]], m: int, lam: float, k: float) -> float:
@@ -219,11 +248,10 @@ def fit(
         base = (tox + 0.5) / (n + 1)
         if tox == 0 or tox == n:
             return {"nodes": {}, "lam": 1.0, "k": 1.0, "a": math.log(base / (1 - base)), "b": 0.0}
-        counted = [tuple(r) for r in node_counts(rows).collect()]
-        nodes = posterior({r[0]: (r[1] + r[3], r[2] + r[4]) for r in counted}, base)
-        halves = [
-            posterior({r[0]: (r[3 - 2 * f], r[4 - 2 * f]) for r in counted}, base) for f in (0, 1)
-        ]  # fold f is scored by the other fold's counts
+        counted = node_counts(rows).collect()  # of the sample, which is bounded
+        by_fold = [{r.node: tuple(r[f"{c}{f}"] for c in ("n", "tox", "words", "rates")) for r in counted} for f in (0, 1, 2)]
+        nodes = posterior(by_fold[2], base)
+        halves = [posterior(by_fold[1 - f], base) for f in (0, 1)]  # a fold is scored by the other's counts
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             by = [TokenScores(h) for h in halves]
