@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import data
 from tidemark.llm import mixing
+from tidemark.sources.shared import in_blocks
 
 
 def brute_targets(sizes):
@@ -64,3 +65,15 @@ def test_mix_repeats_rows_as_planned(spark):
     assert mixed == +planned
     texts = {(r[0], r[1], r[3]) for r in rows}
     assert all((r["doc_id"], r["text"], r["source"]) in texts for r in mixing.mix(docs).collect())
+
+
+def test_tied_rows_and_null_ids_are_cut_into_blocks(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") % 2 == 0, F.lit(None).cast("long")).otherwise(F.lit(5)).alias("doc_id"), F.lit("one text").alias("text"), F.lit("s").alias("source"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small blocks stay apart
+    sizes = [r["count"] for r in in_blocks(rows.repartition(4), ["source", "doc_id"]).groupBy("block").count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 30_000 and max(sizes) < 15_000
+    few = rows.limit(600)
+    assert few.count() == mixing.mix(few).count()
+    taken = mixing.plan(few).agg(F.sum("copies"), F.count("*")).first()
+    assert tuple(taken) == (600, 600)

@@ -84,58 +84,54 @@ def source_targets(
     )
 
 
-def plan(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights: Sequence[int] = (1, 2, 3),
-    max_repeat: int = 3,
-    seed: str = "mix",
+def _taken(
+    docs: DataFrame, *, id_col: str, text_col: str, source_col: str, weights: Sequence[int], max_repeat: int, seed: str, whole: bool
 ) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, copies, taken."""
+    """One row per document: id, mix_source, size, source_size, target, copies, and the document itself if asked for."""
     narrow = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("mix_source"),
         word_count(F.col(text_col)).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("h"),
+        *([F.struct("*").alias("document")] if whole else []),
     )
     numbered, ordered = ranked(narrow, ["mix_source"], ["size", "h", "id"])
     targets = source_targets(ordered, weights=weights, max_repeat=max_repeat, seed=seed).withColumnRenamed("mix_source", "t_source")
     placed = numbered.join(targets, F.col("mix_source").eqNullSafe(F.col("t_source")))
     step = F.col("rank")
     crossed = F.floor(step * F.col("rate") + F.col("offset")) - F.floor((step - 1) * F.col("rate") + F.col("offset"))
-    return placed.select(
-        F.col("id").alias(id_col),
-        F.col("mix_source").alias(source_col),
-        "size",
-        "source_size",
-        "target",
-        crossed.cast("long").alias("copies"),
-        (crossed * F.col("size")).cast("long").alias("taken"),
-    )
+    return placed.select("id", "mix_source", "size", "source_size", "target", crossed.cast("long").alias("copies"), *(["document"] if whole else []))
 
 
-def mix(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents, each repeated as often as the mix takes it, with the columns they came with."""
-    source_col, text_col = options.get("source_col", "source"), options.get("text_col", "text")
-    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0"))  # noqa: E731  a key of its own for null
-    # Rows that agree in id, source and size are numbered on both sides and meet one to one.
-    keys = ("id", "source", "size")
-    taken = plan(docs, id_col=id_col, **options).select(
-        known(id_col).alias("k_id"), known(source_col).alias("k_source"), F.col("size").alias("k_size"), F.col("copies").alias("k_copies")
-    )
-    twin = Window.partitionBy(*(f"k_{k}" for k in keys)).orderBy(F.desc("k_copies"))
-    taken = taken.withColumn("k_twin", F.row_number().over(twin)).where("k_copies > 0")
-    left = docs.select(
-        F.struct("*").alias("row"), known(id_col).alias("d_id"), known(source_col).alias("d_source"), word_count(F.col(text_col)).alias("d_size"),
-        F.md5(F.col(text_col)).alias("d_text"),
+def plan(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: Sequence[int] = (1, 2, 3),
+    max_repeat: int = 3,
+    seed: str = "mix",
+) -> DataFrame:
+    """One row per document: id, source, size, source_size, target, copies, taken."""
+    taken = _taken(docs, id_col=id_col, text_col=text_col, source_col=source_col, weights=weights, max_repeat=max_repeat, seed=seed, whole=False)
+    return taken.select(
+        F.col("id").alias(id_col), F.col("mix_source").alias(source_col), "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"),
     )
-    left = left.withColumn("d_twin", F.row_number().over(Window.partitionBy(*(f"d_{k}" for k in keys)).orderBy("d_text")))
-    # the difference of the numbers is no join key: the rows stay where the window has dealt them
-    meet = F.col("d_twin") - F.col("k_twin") == 0
-    for k in keys:
-        meet &= F.col(f"d_{k}") == F.col(f"k_{k}")
-    joined = left.join(taken, meet)
-    return joined.withColumn("k_copy", F.explode(F.sequence(F.lit(1), F.col("k_copies").cast("int")))).select("row.*")
+
+
+def mix(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: Sequence[int] = (1, 2, 3),
+    max_repeat: int = 3,
+    seed: str = "mix",
+) -> DataFrame:
+    """The documents, each repeated as often as the mix takes it, with the columns they came with. A document goes through the
+    sort with its number, so rows that agree in id, source and size needn't be told apart afterwards."""
+    taken = _taken(docs, id_col=id_col, text_col=text_col, source_col=source_col, weights=weights, max_repeat=max_repeat, seed=seed, whole=True)
+    return taken.where("copies > 0").select("document", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("document.*")
