@@ -1,4 +1,4 @@
-"""Listings in pages of three site builders: links to postings, objects in script JSON, and JSON-LD, merged by address."""
+"""Listings in pages of five site builders: links to postings, objects in script JSON, and JSON-LD, merged by address."""
 
 from __future__ import annotations
 
@@ -20,6 +20,26 @@ NO_POSTING = r"(?i)(privacy|terms|cookie|about|contact|legal|policy|disclaimer|s
 ROLES = r"(?i)(engineer|developer|manager|intern|technician|specialist|analyst|operator|designer|director|consultant|architect)"
 URL_KEYS = r"(?i)(url|joburl|job_url|link|applicationurl|application_url|postingurl|posting_url)$"
 WIX_MARKS = r"(?i)static\.wixstatic\.com|parastorage\.com|data-wix-|wix-warmup-data|wix-code|<meta[^>]*name\s*=\s*[\"']generator[\"'][^>]*content\s*=\s*[\"'][^\"']*wix[^\"']*[\"']"
+SHOP_NO_PAGES = (
+    "privacy-policy", "privacy", "terms", "terms-of-service", "contact", "about", "faq", "shipping", "returns", "cookie-policy", "legal", "careers", "jobs",
+)
+NOTE_NO_PAGES = ("privacy", "privacy-policy", "terms", "terms-of-service", "legal", "about", "cookies", "cookie-policy", "careers", "jobs", "home")
+NOTE_MARKS = r"(?i)id\s*=\s*[\"']notion-app[\"']|notion\.site|notion\.so|<meta[^>]*name\s*=\s*[\"']generator[\"'][^>]*content\s*=\s*[\"'][^\"']*notion[^\"']*[\"']"
+
+
+def _segments(url: Column) -> Column:
+    return F.filter(F.split(urls.path(url), "/"), lambda x: x != "")
+
+
+def _shopify(url: Column, base: Column) -> Column:
+    parts = _segments(url)
+    return F.coalesce((F.size(parts) >= 2) & (F.get(parts, F.lit(0)) == "pages") & ~F.lower(F.try_element_at(parts, F.lit(-1))).isin(*SHOP_NO_PAGES), F.lit(False))
+
+
+def _notion(url: Column, base: Column) -> Column:
+    parts, host = _segments(url), urls.host(url)
+    public = host.isin("notion.so", "www.notion.so") | host.endswith(".notion.site")
+    return F.coalesce(public & ((F.size(parts) > 1) | ((F.size(parts) == 1) & ~F.lower(F.get(parts, F.lit(0))).isin(*NOTE_NO_PAGES))), F.lit(False))
 
 
 def _greenhouse(url: Column, base: Column) -> Column:
@@ -43,7 +63,8 @@ def _wix(url: Column, base: Column) -> Column:
 @dataclass(frozen=True)
 class Builder:
     """mark: of its pages; posting(address, base): whether an address is a posting's; links(fields): an object's addresses, each with its place
-    in the object; titles, description: names of its fields; linked_data: whether JSON-LD is read as well."""
+    in the object; titles, description: names of its fields; linked_data: whether JSON-LD is read as well; scripts: whether objects of scripts are; href: what a link
+    must hold as it is written."""
 
     name: str
     mark: str
@@ -53,6 +74,8 @@ class Builder:
     description: str
     longest: int | None = 120
     linked_data: bool = True
+    scripts: bool = True
+    href: str = ""
 
 
 BUILDERS = {
@@ -61,6 +84,8 @@ BUILDERS = {
         Builder("greenhouse", r"(?i)greenhouse\.io|boards\.greenhouse", _greenhouse, ("absolute_url",), ("title", "name"), "content"),
         Builder("lever", r"(?i)lever\.co|jobs\.lever", _lever, ("hostedUrl", "hosted_url", "applyUrl"), ("text", "title", "name"), "descriptionPlain"),
         Builder("wix", WIX_MARKS, _wix, (), ("title", "name", "role"), "description", None, False),
+        Builder("shopify", r"(?i)cdn\.shopify\.com|shopify\.theme", _shopify, (), (), "", scripts=False, href="/pages/"),
+        Builder("notion", NOTE_MARKS, _notion, (), (), "", scripts=False, linked_data=False),
     )
 }
 
@@ -90,7 +115,7 @@ def links(pages: DataFrame, builder: Builder) -> DataFrame:
     href = F.trim(F.regexp_extract("tag", r"(?i)href\s*=\s*[\"']([^\"']+)[\"']", 1))
     text = squeeze(F.regexp_replace(F.regexp_replace("tag", r"(?i)^<a[^>]*>|</a>$", ""), r"<[^>]+>", ""))
     title = F.when(F.length(text) > 120, F.concat(F.substring(text, 1, 117), F.lit("..."))).otherwise(F.nullif(text, F.lit("")))
-    found = tags.where(~href.startswith("#")).select("page_id", "base", "html", "ord", once(urls.resolve(href, F.col("base"))), title.alias("title"))
+    found = tags.where(~href.startswith("#") & href.contains(builder.href)).select("page_id", "base", "html", "ord", once(urls.resolve(href, F.col("base"))), title.alias("title"))
     found = found.where(builder.posting(F.col("link"), F.col("base")) & page_has(F.col("html"), F.col("link")))
     return found.select("page_id", F.array("ord").alias("place"), "link", F.coalesce("title", title_of_link(F.col("link"))).alias("title"), F.lit(None).cast("string").alias("description"))
 
@@ -156,8 +181,12 @@ def listings(pages: DataFrame, name: str) -> DataFrame:
     the first stands, links before objects before JSON-LD. Scripts that aren't JSON have none; pages of others have none."""
     builder = BUILDERS[name]
     mine = pages.where(F.col("html").rlike(builder.mark) & ~not_html(F.col("html")))
-    found = [links(mine, builder), objects(mine, builder), *([linked_data(mine)] if builder.linked_data else [])]
-    tagged = [f.withColumn("kind", F.lit(i)) for i, f in enumerate(found)]
-    every = reduce(DataFrame.unionByName, tagged)
+    found = [links(mine, builder), *([objects(mine, builder)] if builder.scripts else []), *([linked_data(mine)] if builder.linked_data else [])]
+    return merged(found)
+
+
+def merged(found: list[DataFrame]) -> DataFrame:
+    """Finds (page_id, place, link, title, description) of several kinds: of an address the first stands, by kind, then by place."""
+    every = reduce(DataFrame.unionByName, [f.withColumn("kind", F.lit(i)) for i, f in enumerate(found)])
     first = every.groupBy("page_id", "link").agg(F.min_by(F.struct("title", "description"), F.struct("kind", "place")).alias("s"))
     return first.select("page_id", F.col("link").alias("url"), "s.title", "s.description")

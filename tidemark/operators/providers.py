@@ -27,6 +27,18 @@ FIELDS = {
     "teamtailor": {"title": ("title", "attributes.title"), "url": ("url", "links['careersite-job-url']"), "location": ("location", "attributes.location")},
 }
 
+# Where an answer's list is, and its items' addresses in order of preference.
+ADDRESSES = {
+    "greenhouse_api": (("$.jobs",), ("absolute_url", "url", "apply_url", "job_url")),
+    "lever_api": (("$",), ("hostedUrl", "hosted_url", "url", "applyUrl")),
+    "ashby_api": (("$.jobs",), ("jobUrl", "hostedUrl", "url")),
+    "workday_api": (("$.jobPostings",), ("externalPath", "url")),
+    "workable_api": (("$.results",), ("url",)),
+    "recruitee_api": (("$", "$.offers"), ("url", "careers_url")),
+    "teamtailor_api": (("$", "$.data", "$.jobs"), ("url", "links['careersite-job-url']")),
+}
+PAGE_PROVIDER = "bamboohr_api"
+
 
 def _text(item: Column, *paths: str) -> Column:
     """The first non-blank text at one of the paths."""
@@ -99,3 +111,23 @@ def listings(answers: DataFrame) -> DataFrame:
     for name in FIELDS:
         fields = fields.when(F.col("provider") == name, _fields(F.col("item"), name))
     return a.select("company_id", "provider", "ord", fields.alias("f")).select("company_id", "provider", "ord", "f.*")
+
+
+def _address(provider: str, names: tuple[str, ...]):
+    made = F.concat(F.lit("https://apply.workable.com/"), F.nullif(F.col("slug"), F.lit("")), F.lit("/j/"))
+    if provider == "workable_api":
+        return lambda item: F.coalesce(_text(item, *names), F.concat(made, _text(item, "shortcode")))
+    return lambda item: _text(item, *names)
+
+
+def addresses(answers: DataFrame) -> DataFrame:
+    """(company_id, url): each normal address that a provider's answer (company_id, provider, slug, base, body) lists, once. Relative ones are seen from
+    ``base``. A body that isn't JSON, has another form or is of another provider has none; one provider answers with a page, whose links are read."""
+    a = answers.withColumn("v", nested.parsed(F.when(F.col("provider") != PAGE_PROVIDER, F.col("body"))))
+    raw = F
+    for name, (lists, names) in ADDRESSES.items():
+        raw = raw.when(F.col("provider") == name, F.transform(_list(F.col("v"), lists), _address(name, names)))
+    raw = raw.when(F.col("provider") == PAGE_PROVIDER, F.regexp_extract_all("body", F.lit(urls.LINK), 1))
+    rows = a.select("company_id", "base", F.explode(raw).alias("raw")).where("raw IS NOT NULL")
+    rows = rows.select("company_id", F.explode(F.array(urls.resolve(F.col("raw"), F.col("base")))).alias("link"))
+    return rows.select("company_id", urls.normalize(F.col("link")).alias("url")).where("url IS NOT NULL").distinct()

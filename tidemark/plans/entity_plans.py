@@ -246,11 +246,28 @@ def dictionary_cascade(spark, sf_dir):
     return categorize.lane(found).select("id", "category", "hint", "section", "resolver")
 
 
+TAXONOMY_ENTRIES = (
+    (1, "spaces", "Building", "Built"), (2, "spaces", "machinery", None), (3, "verticals", "V3", "Old"), (4, "verticals", " v3 ", "Three"), (5, "codes", "c5", "Code"),
+    (6, "codes", "c4", None), (7, "groups", "g2", "Group"), (8, "unused", "g3", "Not"),
+)
+SECTIONS = [("spaces", "spaces", "high"), ("verticals", "verticals", "high"), ("codes", "code", "medium"), ("groups", "group", "low")]
+
+
+def taxonomy_cascade(spark, sf_dir):
+    """Spaces, verticals, code, group, then keywords of what a company bought."""
+    c = _tagged(spark, sf_dir).select("id", "spaces", "verticals", F.concat(F.lit("C"), (F.col("id") % 7).cast("string")).alias("code"), F.when(F.col("id") % 3 != 0, F.concat(F.lit("g"), (F.col("id") % 5).cast("string"))).alias("group"))
+    entries = spark.createDataFrame(list(TAXONOMY_ENTRIES), "ord int, section string, key string, category string")
+    taxonomy = table(spark, sf_dir, "part").select(F.col("p_type").alias("category"), F.col("p_name").alias("keyword"))
+    return categorize.taxonomy_cascade(c, entries, SECTIONS, _company_keywords(spark, sf_dir), taxonomy)
+
+
 def token_shortlist(spark, sf_dir):
-    p = table(spark, sf_dir, "part").groupBy("p_type").agg(F.flatten(F.collect_list(F.split(F.lower("p_name"), " "))).alias("tokens"))
-    taxonomy = p.select(F.col("p_type").alias("category"), (F.row_number().over(Window.orderBy("p_type")) - 1).cast("long").alias("ord"), "tokens")
+    part = table(spark, sf_dir, "part").withColumnRenamed("p_type", "category")
+    names = part.select("category").distinct()  # the taxonomy's names alone are put in order
+    names = names.select("category", (F.row_number().over(Window.orderBy("category")) - 1).cast("long").alias("ord"))
+    tokens = part.select("category", F.explode(F.split(F.lower("p_name"), " ")).alias("token"))
     words = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 50 == 0, "none").otherwise(F.col("p_name")).alias("text"))
-    return categorize.shortlist(words, taxonomy, 3).select("id", "category", "score")
+    return categorize.shortlist(words, names, tokens, 3).select("id", "category", "score")
 
 
 def telemetry_summary_sets(spark, sf_dir):
@@ -414,6 +431,15 @@ d AS (SELECT *, CASE WHEN s1 IN ('building', 'machinery', 'japan') THEN s1 WHEN
 SELECT id, CASE coalesce(sp, ve) WHEN 'building' THEN 'Built' WHEN 'japan' THEN 'Asia' WHEN 'v3' THEN 'Three' WHEN 'v1' THEN 'One' END AS category, coalesce(sp, ve) IS NOT NULL AS hint,
   CASE WHEN sp IS NOT NULL THEN 'spaces' WHEN ve IS NOT NULL THEN 'verticals' END AS section,
   CASE WHEN coalesce(sp, ve) IS NOT NULL THEN 'wrds_fast' WHEN src AND len >= 80 THEN 'wrds_medium' ELSE 'cold' END AS resolver FROM d""",
+    "taxonomy_cascade": f"""WITH {COMPANIES}, c AS (SELECT DISTINCT o_custkey AS company_id, lower(p_name) AS keyword FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey),
+t AS (SELECT DISTINCT p_type AS category, lower(p_name) AS keyword FROM part),
+s AS (SELECT company_id, category, count(*) AS score FROM c JOIN t USING (keyword) GROUP BY 1, 2), r AS (SELECT *, rank() OVER (PARTITION BY company_id ORDER BY score DESC) AS rk FROM s),
+k AS (SELECT company_id, CASE WHEN count(*) = 1 THEN min(category) END AS rule FROM r WHERE rk = 1 GROUP BY 1),
+d AS (SELECT id, rule, CASE WHEN lower(sector) IN ('building', 'machinery') THEN 'spaces' WHEN id % 9 = 3 OR id % 4 = 3 THEN 'verticals' WHEN id % 7 IN (4, 5) THEN 'codes' WHEN id % 3 <> 0 AND id % 5 = 2 THEN 'groups' END AS section,
+  lower(sector) = 'machinery' OR id % 7 = 4 AND lower(sector) <> 'building' AND NOT (id % 9 = 3 OR id % 4 = 3) AS hint FROM companies LEFT JOIN k ON id = company_id)
+SELECT id, CASE WHEN hint THEN NULL WHEN section IS NULL THEN rule ELSE CASE section WHEN 'spaces' THEN 'Built' WHEN 'verticals' THEN 'Three' WHEN 'codes' THEN 'Code' ELSE 'Group' END END AS category,
+  CASE WHEN hint THEN NULL WHEN section IS NULL THEN CASE WHEN rule IS NOT NULL THEN 'high' END WHEN section = 'codes' THEN 'medium' WHEN section = 'groups' THEN 'low' ELSE 'high' END AS confidence,
+  coalesce(section, CASE WHEN rule IS NOT NULL THEN 'rule' END) AS resolver, hint FROM d""",
     "token_shortlist": """WITH t AS (SELECT p_type AS category, dense_rank() OVER (ORDER BY p_type) - 1 AS ord, unnest(string_split(lower(p_name), ' ')) AS token FROM part),
 w AS (SELECT category, ord, token, count(*) AS w FROM t GROUP BY ALL),
 c AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 50 = 0 THEN 'none' ELSE p_name END AS text FROM part),
