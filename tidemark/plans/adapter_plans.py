@@ -24,7 +24,7 @@ TAILS = (
 ANSWER = """{"jobs":[{"title":"Nurse #","absolute_url":"https://x/#"},{"title":"Example Job","absolute_url":"https://x/e"}]}"""
 
 
-def _pages(spark, sf_dir):
+def tailed(spark, sf_dir):
     n, tail = F.col("page_id").cast("string"), F.lit("")
     for i, t in enumerate(TAILS):
         tail = F.when(F.col("page_id") % len(TAILS) == i, F.replace(F.lit(t), F.lit("#"), n)).otherwise(tail)
@@ -37,12 +37,12 @@ def _decided(spark, sf_dir, fallback):
         n.alias("company_id"), F.lit(None).cast("string").alias("platform"), F.lit(None).cast("string").alias("slug"),
         F.when(n % 2 == 0, F.replace(F.lit(ANSWER), F.lit("#"), n.cast("string"))).otherwise("cut off {").alias("body"),
     )
-    return adapters.paths(_pages(spark, sf_dir), answers, fallback)
+    return adapters.paths(tailed(spark, sf_dir), answers, fallback)
 
 
 def adapter_listings(spark, sf_dir):
     """Listings of every page by the first adapter that finds one."""
-    return adapters.registry(_pages(spark, sf_dir)).select("page_id", "adapter", "url", "title")
+    return adapters.registry(tailed(spark, sf_dir)).select("page_id", "adapter", "url", "title")
 
 
 def adapter_paths(spark, sf_dir):

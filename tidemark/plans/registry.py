@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.plans import adapter_plans, builder_plans, entity_plans, events_plans, markup_plans, more_plans, page_plans, source_plans, state_plans, table_plans
+from tidemark.plans import adapter_plans, builder_plans, entity_plans, events_plans, markup_plans, more_plans, page_plans, run_plans, source_plans, state_plans, table_plans
 
 FLAGSHIP = "lifecycle"
-MODULES = (events_plans, page_plans, entity_plans, source_plans, more_plans, table_plans, state_plans, builder_plans, adapter_plans, markup_plans)
+MODULES = (events_plans, page_plans, entity_plans, source_plans, more_plans, table_plans, state_plans, builder_plans, adapter_plans, run_plans, markup_plans)
 
 
 def queries() -> dict:
