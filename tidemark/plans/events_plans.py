@@ -150,7 +150,8 @@ FROM ev GROUP BY GROUPING SETS ((stage, outcome), (lane, stage, outcome))""",
     "rolling60s": WITH + """SELECT seq, stage, count(*) OVER w AS completions,
   floor(CAST(count(*) FILTER (outcome = 'failure') OVER w AS DOUBLE) / count(*) OVER w * 10000 + 0.5) / 10000 AS error_rate,
   list_extract(list_sort(list(duration_ms) OVER w), greatest(CAST(ceil(count(*) OVER w * 0.95) AS INT), 1)) AS p95_ms
-FROM ev WINDOW w AS (PARTITION BY stage ORDER BY epoch_ms(ts) RANGE BETWEEN 60000 PRECEDING AND CURRENT ROW)""",
+-- whole milliseconds, as unix_millis has them; epoch_ms rounds, which puts events later than they were
+FROM ev WINDOW w AS (PARTITION BY stage ORDER BY epoch_us(ts) // 1000 RANGE BETWEEN 60000 PRECEDING AND CURRENT ROW)""",
     "last20_failure_rate": WITH + """SELECT seq, stage, CASE WHEN count(*) OVER w >= 5 THEN
   floor(CAST(count(*) FILTER (outcome = 'failure') OVER w AS DOUBLE) / count(*) OVER w * 10000 + 0.5) / 10000 END AS failure_rate
 FROM ev WINDOW w AS (PARTITION BY stage ORDER BY seq ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
