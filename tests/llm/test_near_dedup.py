@@ -111,3 +111,14 @@ def test_long_texts_in_one_group_are_compared_one_by_one(spark):
     # in one process, as a worker has them: the sets of two texts at a time
     cut = near_dedup.Shingles(np.ones(near_dedup.SLOTS))
     assert sum(x.nbytes for x in cut(base)) * 2 < 2_000_000
+
+
+def test_words_are_hashed_as_they_are_parted():
+    texts = ["", " ", "a", "\x00a a\x00 a", " ab\tcd\nab\x0bcd\x0cab\rcd ", "é x é x \x1c \x85 é", "x" * 300_000 + " y", "w v " * 40_000, "ab" * 5000 + " " + "ba" * 5000]
+    for t in texts:
+        words, hashes = near_dedup.words_of(t), near_dedup.word_hashes(t.encode())
+        assert len(words) == len(hashes) and len(set(hashes.tolist())) == len(set(words))
+        assert dict(zip(words, hashes.tolist())) == {w: int(near_dedup.word_hashes(w)[0]) for w in set(words)}
+    slots = [near_dedup._slot(b"%d" % i) for i in range(200_000)]
+    counts = np.bincount(slots, minlength=near_dedup.SLOTS)
+    assert 0.9 < counts.var() / counts.mean() < 1.1

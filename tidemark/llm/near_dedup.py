@@ -30,12 +30,10 @@ extra columns don't matter, whatever their names; texts of any length are read w
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +44,67 @@ SLOTS, TABLE, MEMBERS, BLOCK, CELLS = 1 << 16, 4096, 64, 128, 1 << 23
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
+#: Of a word's bytes a polynomial in BASE is taken, modulo 2**64, and mixed with the word's length.
+BASE, WORDS, LONGEST = 0x9DDFEA08EB382D69, 1 << 14, 1 << 18
+_tables: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of BASE and of its inverse; up to LONGEST of them are made once a process."""
+    if n > LONGEST:
+        return _made(n)
+    if not _tables:
+        _tables.extend(_made(LONGEST))
+    return _tables[0][:n], _tables[1][:n]
+
+
+def _made(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = tuple(np.full(n, x, np.uint64) for x in (BASE, pow(BASE, -1, 1 << 64)))
+    for x in out:
+        x[0] = 1
+        np.cumprod(x, out=x)
+    return out
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text in UTF-8; splitting bytes parts at the blanks of WORD and nothing else."""
-    return (text or "").encode("utf-8", "replace").split()
+    return _utf8(text).split()
+
+
+def word_hashes(utf8: bytes) -> np.ndarray:
+    """The hashes of a text's words (``words_of``), in order. WORDS words are hashed at a time, from differences of one running sum."""
+    data = np.frombuffer(utf8, np.uint8)
+    blank = np.ones(len(data) + 2, bool)
+    np.less(data - np.uint8(9), 5, out=blank[1:-1])
+    blank[1:-1] |= data == 32
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    h = (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(0, len(starts), WORDS):
+        first, last = starts[i], ends[min(i + WORDS, len(ends)) - 1]
+        up, down = _powers(last - first)
+        sums = np.zeros(last - first + 1, np.uint64)
+        np.cumsum(up * data[first:last].astype(np.uint64), out=sums[1:])
+        at = starts[i : i + WORDS] - first
+        h[i : i + WORDS] ^= (sums[ends[i : i + WORDS] - first] - sums[at]) * down[at]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
 def _slot(word: bytes) -> int:
-    return zlib.crc32(word) & (SLOTS - 1)
+    return int(_slots(word_hashes(word))[0])
+
+
+def _utf8(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "replace")
 
 
 def document_frequency(docs: DataFrame, *, text_col: str = "text") -> tuple[np.ndarray, int]:
@@ -60,17 +112,11 @@ def document_frequency(docs: DataFrame, *, text_col: str = "text") -> tuple[np.n
     first; the driver gets SLOTS sums at most."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, n, slots = np.zeros(SLOTS, np.int64), 0, {}
+        total, n = np.zeros(SLOTS, np.int64), 0
         for pdf in batches:
             for text in pdf["text"]:
                 n += 1
-                words = set(words_of(text))
-                if len(slots) > 500_000:
-                    slots.clear()
-                for w in words.difference(slots):
-                    slots[w] = _slot(w)
-                found = set(map(slots.__getitem__, words))
-                total[np.fromiter(found, np.int64, len(found))] += 1
+                total[_slots(word_hashes(_utf8(text)))] += 1  # an index that repeats counts once
         found = np.flatnonzero(total)
         yield pd.DataFrame({"slot": np.append(found, -1), "n": np.append(total[found], n)})
 
@@ -85,37 +131,17 @@ def document_frequency(docs: DataFrame, *, text_col: str = "text") -> tuple[np.n
 
 
 class Shingles:
-    """(hashes, weights) of the distinct shingles of a text; remembers a bounded number of words."""
+    """(hashes, weights) of the distinct shingles of a text."""
 
     def __init__(self, idf: np.ndarray, size: int = 5):
         self.idf, self.size = idf, size
-        self._forget()
-
-    def _forget(self) -> None:
-        self.seen: dict[bytes, int] = {}
-        self.ids, self.weights = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16)
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.seen) > 500_000:
-            self._forget()
-        start = len(self.seen)
-        new = list(words.difference(self.seen))
-        self.seen.update(zip(new, range(start, start + len(new))))
-        while len(self.seen) > len(self.ids):
-            self.ids, self.weights = np.append(self.ids, self.ids), np.append(self.weights, self.weights)
-        self.ids[start : start + len(new)] = [xxhash.xxh64_intdigest(w) for w in new]
-        self.weights[start : start + len(new)] = self.idf[[_slot(w) for w in new]]
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        words = words_of(text)
-        n = len(words)
+        ids = word_hashes(_utf8(text))
+        n = len(ids)
         if not n:
             return np.zeros(0, np.uint64), np.zeros(0)
-        distinct = set(words)
-        if not distinct <= self.seen.keys():
-            self._learn(distinct)
-        at = np.fromiter(map(self.seen.__getitem__, words), np.int64, n)
-        ids, idf = self.ids[at], self.weights[at]
+        idf = self.idf[_slots(ids)]
         k = min(self.size, n)
         m = n - k + 1
         h, weight = ids[:m] * _ODD[0], idf[:m].copy()
@@ -163,11 +189,16 @@ class Sampler:
         one, two = (h & np.uint64(TABLE - 1)).astype(np.int64), ((h >> np.uint64(20)) & np.uint64(TABLE - 1)).astype(np.int64)
         log_w = np.log(weight).astype(np.float32)[:, None]
         columns = np.arange(samples)
-        for i in range(0, len(h), 1024):
-            k = one[i : i + 1024]
-            beta = self.beta[k]
-            t = np.floor(log_w[i : i + 1024] * self.inverse[k] + beta)
-            a = self.log_c[two[i : i + 1024]] - self.r[k] * (t - beta + np.float32(1.0))
+        for i in range(0, len(h), 512):
+            k = one[i : i + 512]
+            beta, t = self.beta.take(k, 0), self.inverse.take(k, 0)
+            t *= log_w[i : i + 512]
+            t += beta
+            np.floor(t, out=t)
+            a = np.subtract(t, beta, out=beta)
+            a += np.float32(1.0)
+            a *= self.r.take(k, 0)
+            np.subtract(self.log_c.take(two[i : i + 512], 0), a, out=a)
             low = a.argmin(0)
             value = a[low, columns]
             new = value < best
