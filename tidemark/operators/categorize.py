@@ -6,6 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import normalize_keyword, word_set
+from tidemark.sources.shared import materialize
+
+FEW = 200_000
+
+
+def _few(taxonomy: DataFrame) -> DataFrame:
+    """A taxonomy's rows, written; broadcast where they are counted to be few, else they meet the others by a shuffle."""
+    kept = materialize(taxonomy)
+    return F.broadcast(kept) if kept.count() <= FEW else kept
 
 
 def keyword_rule(company_keywords: DataFrame, taxonomy_keywords: DataFrame) -> DataFrame:
@@ -13,7 +22,7 @@ def keyword_rule(company_keywords: DataFrame, taxonomy_keywords: DataFrame) -> D
 
     Inputs are (company_id, keyword) and (category, keyword); equal keywords count once for a company."""
     c = company_keywords.select("company_id", normalize_keyword(F.col("keyword")).alias("keyword")).distinct()
-    t = taxonomy_keywords.select("category", normalize_keyword(F.col("keyword")).alias("keyword")).distinct()
+    t = _few(taxonomy_keywords.select("category", normalize_keyword(F.col("keyword")).alias("keyword")).distinct())
     scores = c.join(t, "keyword").groupBy("company_id", "category").agg(F.count("*").alias("score"))
     ends = scores.groupBy("company_id").agg(F.max(F.struct("score", "category")).alias("last"), F.min(F.struct(-F.col("score"), "category")).alias("first"))
     alone = F.col("first.category").eqNullSafe(F.col("last.category"))
@@ -60,11 +69,11 @@ def shortlist(companies: DataFrame, categories: DataFrame, category_tokens: Data
     meet it on tokens, so pairs without a common token are never made, except for companies without any.
     Inputs are (id, text), (category, ord) and (category, token), a row for each time that a category's keywords have a token."""
     tokens = companies.select("id", F.explode(word_set(F.col("text"))).alias("token"))
-    weights = category_tokens.groupBy("category", "token").agg(F.count("*").alias("w"))
-    scored = tokens.join(weights, "token").groupBy("id", "category").agg(F.sum("w").alias("score")).join(categories, "category")
+    weights = _few(category_tokens.groupBy("category", "token").agg(F.count("*").alias("w")))
+    scored = tokens.join(weights, "token").groupBy("id", "category").agg(F.sum("w").alias("score")).join(_few(categories), "category")
     rank = Window.partitionBy("id").orderBy(F.desc("score"), "ord")
     some = scored.withColumn("rn", F.row_number().over(rank)).where(F.col("rn") <= most).select("id", "category", "ord", "score", "rn")
-    known = tokens.join(weights.select("token").distinct(), "token", "left_semi").select("id").distinct()
+    known = tokens.join(weights.select("token"), "token", "left_semi").select("id").distinct()
     every = companies.select("id").join(known, "id", "left_anti").crossJoin(categories.select("category", "ord")).select(
         "id", "category", "ord", F.lit(0).cast("long").alias("score"), (F.col("ord") + 1).cast("int").alias("rn")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import classify, lifecycle, text
 from tidemark.functions.numbers import model_cost, percent, round_half_up
 from tidemark.operators import categorize, compare, report, tabular, upsert
+from tidemark.sources.shared import dealt
 from tidemark.sources.tables import increment
 from tidemark.plans import fixed_sql
 from tidemark.plans.model import COMPANIES, EVENTS, JOBS, companies, events, jobs, pick, sql_pick, table
@@ -266,7 +267,7 @@ def token_shortlist(spark, sf_dir):
     names = part.select("category").distinct()  # the taxonomy's names alone are put in order
     names = names.select("category", (F.row_number().over(Window.orderBy("category")) - 1).cast("long").alias("ord"))
     tokens = part.select("category", F.explode(F.split(F.lower("p_name"), " ")).alias("token"))
-    words = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 50 == 0, "none").otherwise(F.col("p_name")).alias("text"))
+    words = dealt(table(spark, sf_dir, "part"), "p_partkey").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 50 == 0, "none").otherwise(F.col("p_name")).alias("text"))
     return categorize.shortlist(words, names, tokens, 3).select("id", "category", "score")
 
 

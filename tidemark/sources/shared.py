@@ -37,6 +37,17 @@ def materialize(df: DataFrame, partition_by: str | None = None, codec: str = "zs
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(spark: SparkSession, rows: int, size: int) -> int:
+    """How many tasks take ``size`` rows each, one for each core at least: what a task holds doesn't grow with the input."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // size))
+
+
+def dealt(df: DataFrame, key: str, size: int = 50_000) -> DataFrame:
+    """Rows of a stored table dealt over tasks by a key: a file of a few MB is one split, and would be one task with all that follows. Windows,
+    groups and joins by the key or by more than it need no further shuffle. (The rows are counted by the file's own figures.)"""
+    return df.repartition(tasks_for(df.sparkSession, df.count(), size), key)
+
+
 def in_blocks(df: DataFrame, by: list[str]) -> DataFrame:
     """df sorted by ``by`` in blocks of about equal numbers of rows, written: column ``block`` numbers them along the order.
     Rows that agree in ``by`` are told apart by their whole content and then by their position, so any number of tied or equal rows is cut
