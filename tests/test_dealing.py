@@ -21,3 +21,9 @@ def test_a_taxonomy_of_any_size_gives_the_same_shortlist(spark, monkeypatch):
         monkeypatch.setattr(categorize, "FEW", few)
         found.append(sorted(tuple(r) for r in categorize.shortlist(companies, categories, tokens).select("id", "category", "score", "rn").collect()))
     assert found[0] == found[1] == [(1, "S", 1, 2), (1, "W", 2, 1), (2, "S", 0, 1), (2, "W", 0, 2), (3, "S", 0, 1), (3, "W", 0, 2)]
+
+
+def test_keywords_are_dealt_by_the_lines(spark, monkeypatch):
+    monkeypatch.setattr(entity_plans, "tasks_for", lambda session, rows, size: 5 if size == 500_000 and rows > 5000 else 0)
+    got = entity_plans._company_keywords(spark, "/root/testdata/sf0.001")
+    assert got.rdd.getNumPartitions() == 5

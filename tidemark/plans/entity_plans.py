@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import classify, lifecycle, text
 from tidemark.functions.numbers import model_cost, percent, round_half_up
 from tidemark.operators import categorize, compare, report, tabular, upsert
-from tidemark.sources.shared import dealt
+from tidemark.sources.shared import dealt, tasks_for
 from tidemark.sources.tables import increment
 from tidemark.plans import fixed_sql
 from tidemark.plans.model import COMPANIES, EVENTS, JOBS, companies, events, jobs, pick, sql_pick, table
@@ -221,9 +221,13 @@ def scout_distinct(spark, sf_dir):
 
 
 def _company_keywords(spark, sf_dir):
+    """What companies bought, dealt by company; each shuffle's tasks take as many rows however many there are."""
     o, li, p = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "part"))
-    bought = o.join(li, o["o_orderkey"] == li["l_orderkey"]).join(p, li["l_partkey"] == p["p_partkey"])
-    return bought.select(F.col("o_custkey").alias("company_id"), F.col("p_name").alias("keyword"))
+    n = tasks_for(spark, li.count(), 500_000)
+    named = li.select("l_orderkey", "l_partkey").repartition(n, "l_partkey").join(p.select("p_partkey", "p_name").repartition(n, "p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
+    named = named.select("l_orderkey", F.col("p_name").alias("keyword")).repartition(n, "l_orderkey")
+    bought = o.select("o_orderkey", "o_custkey").repartition(n, "o_orderkey").join(named, F.col("o_orderkey") == F.col("l_orderkey"))
+    return bought.select(F.col("o_custkey").alias("company_id"), "keyword").repartition(n, "company_id")
 
 
 def keyword_rule(spark, sf_dir):
