@@ -1,7 +1,8 @@
 """Tasks grow in number, not in size, with the rows of a table that is one small file."""
 
 from tidemark.operators import categorize
-from tidemark.plans import entity_plans
+from tidemark.operators.tabular import recovered
+from tidemark.plans import entity_plans, more_plans
 from tidemark.sources import shared
 
 
@@ -27,3 +28,11 @@ def test_keywords_are_dealt_by_the_lines(spark, monkeypatch):
     monkeypatch.setattr(entity_plans, "tasks_for", lambda session, rows, size: 5 if size == 500_000 and rows > 5000 else 0)
     got = entity_plans._company_keywords(spark, "/root/testdata/sf0.001")
     assert got.rdd.getNumPartitions() == 5
+
+
+def test_answers_are_made_by_many_tasks(spark, monkeypatch):
+    """The heavy work begins after the deal, so the table's one file isn't one task."""
+    seen = []
+    monkeypatch.setattr(more_plans.tabular, "recovered", lambda df: seen.append(df.rdd.getNumPartitions()) or recovered(df))
+    monkeypatch.setattr(more_plans, "dealt", lambda df, key, size: shared.dealt(df, key, 10))
+    assert more_plans.recovered_answers(spark, "/root/testdata/sf0.001").count() == 150 and seen == [15]

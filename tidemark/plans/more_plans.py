@@ -10,6 +10,7 @@ from tidemark.functions.numbers import percent, progress, round_half_up
 from tidemark.operators import compare, report, tabular
 from tidemark.plans import page_plans
 from tidemark.plans.model import COMPANIES, EVENTS, companies, events, jobs, pick, table
+from tidemark.sources.shared import dealt
 from tidemark.sources.tables import prefer_json, retained, run_status, upsert_plan
 
 
@@ -199,7 +200,7 @@ def recovered_answers(spark, sf_dir):
     answer = F.lit("")
     for i, a in enumerate(ANSWERS):
         answer = F.when(k % 9 == i, F.replace(F.replace(F.lit(a), F.lit("~"), k.cast("string")), F.lit("^"), F.repeat(F.lit("ab\\n{"), 400))).otherwise(answer)
-    got = tabular.recovered(table(spark, sf_dir, "customer").select(k.alias("id"), answer.alias("answer")))
+    got = tabular.recovered(dealt(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", 20_000).select(k.alias("id"), answer.alias("answer")))
     ids = F.transform("rows", lambda r: F.coalesce(F.try_variant_get(r, "$.id", "string"), F.lit("-")))
     longest = F.array_max(F.transform("rows", lambda r: F.coalesce(F.length(F.try_variant_get(r, "$.s", "string")), F.lit(0))))
     return got.select("id", "form", F.array_join(ids, ",").alias("ids"), longest.alias("longest"))
