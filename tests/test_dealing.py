@@ -2,7 +2,7 @@
 
 from tidemark.operators import categorize
 from tidemark.operators.tabular import recovered
-from tidemark.plans import entity_plans, more_plans
+from tidemark.plans import entity_plans, markup_plans, more_plans
 from tidemark.sources import shared
 
 
@@ -36,3 +36,10 @@ def test_answers_are_made_by_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(more_plans.tabular, "recovered", lambda df: seen.append(df.rdd.getNumPartitions()) or recovered(df))
     monkeypatch.setattr(more_plans, "dealt", lambda df, key, size: shared.dealt(df, key, 10))
     assert more_plans.recovered_answers(spark, "/root/testdata/sf0.001").count() == 150 and seen == [15]
+
+
+def test_pages_are_cut_by_many_tasks(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count()
+    wanted = shared.tasks_for(spark, pages, 500)
+    plan = markup_plans._tailed(spark, "/root/testdata/sf0.001")
+    assert plan.rdd.getNumPartitions() == wanted and "RepartitionByExpression" in plan._jdf.queryExecution().logical().toString()

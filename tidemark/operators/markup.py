@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import urls
 from tidemark.functions.text import squeeze, title_of_link
 from tidemark.operators.builders import once, page_has
+from tidemark.sources.shared import materialize
 
 LEFT_OUT = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<noscript\b.*?</noscript>"
 TOKEN = r"</?[A-Za-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^<]++|<"
@@ -85,8 +86,8 @@ def texts(every: DataFrame, parts: DataFrame) -> DataFrame:
 
 def anchors(pages: DataFrame, kinds: dict[str, Column]) -> DataFrame:
     """(page_id, ord, href, text, kinds as the places of the nearest such elements or null) of links; kinds are conditions on name and tag."""
-    every = tokens(pages)
-    found = elements(every)
+    every = materialize(tokens(pages))  # links, regions and texts read the tokens and elements that are cut once
+    found = materialize(elements(every))
     links = found.where("name = 'a'").withColumn("href", attribute(F.col("tag"), "href")).where("href IS NOT NULL")
     several = F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in kinds.items())))
     regions = found.select("page_id", F.explode(several).alias("kind"), "ord", "end")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import markup
 from tidemark.plans.model import table
 from tidemark.plans.page_plans import link_test
+from tidemark.sources.shared import dealt
 
 #: What is put behind a page, by the page's number modulo 9; ~ is the number.
 TAILS = (
@@ -25,7 +26,7 @@ def _tailed(spark, sf_dir):
     n, tail = F.col("page_id").cast("string"), F.lit("")
     for i, t in enumerate(TAILS):
         tail = F.when(F.col("page_id") % 9 == i, F.replace(F.lit(t), F.lit("~"), n)).otherwise(tail)
-    return table(spark, sf_dir, "pages").select("page_id", "url", F.concat("html", tail).alias("html"))
+    return dealt(table(spark, sf_dir, "pages"), "page_id", 500).select("page_id", "url", F.concat("html", tail).alias("html"))
 
 
 #: As above, for profile pages.
