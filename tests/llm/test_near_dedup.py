@@ -122,3 +122,14 @@ def test_words_are_hashed_as_they_are_parted():
     slots = [near_dedup._slot(b"%d" % i) for i in range(200_000)]
     counts = np.bincount(slots, minlength=near_dedup.SLOTS)
     assert 0.9 < counts.var() / counts.mean() < 1.1
+
+
+def test_a_star_names_its_links_twice(spark, monkeypatch):
+    """However a round's links are made, no plan that the driver holds grows with it."""
+    from tidemark.llm import components as module
+
+    seen, real = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df: seen.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation")) or real(df))
+    links = spark.createDataFrame([(i, i + 1) for i in range(1, 9)] + [(20, 21), (22, 21)], "a long, b long")
+    got = {r["node"]: r["label"] for r in components(links).collect()}
+    assert got == {**dict.fromkeys(range(1, 10), 1), 20: 20, 21: 20, 22: 20} and max(seen) == 2

@@ -14,22 +14,29 @@ def _with_least(links: DataFrame) -> DataFrame:
     return links.join(least, "u")
 
 
+def _large_star(pairs: DataFrame) -> DataFrame:
+    """Each neighbour larger than u goes to the least node around u; (u, v) with v < u."""
+    both = pairs.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("p")).select("p.*")
+    return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+
+
+def _small_star(large: DataFrame) -> DataFrame:
+    """Each neighbour not larger than u, and u, go to the least."""
+    to_least = F.explode(F.array(F.col("v"), F.col("u"))).alias("u")
+    return _with_least(large).select(to_least, F.col("m").alias("v")).where("u != v").distinct()
+
+
 def components(links: DataFrame, *, max_rounds: int = 100) -> DataFrame:
     """(node, label) for every node of the links (a, b): label is the least node of its component.
 
     A round is a large star (each neighbour larger than u goes to the least node around u) and a
-    small star (each neighbour not larger than u, and u, go to the least). Each round is written to
-    the shared folder; the loop ends when a round changes nothing, after about log(n) rounds."""
+    small star (each neighbour not larger than u, and u, go to the least). Each star is written to
+    the shared folder, so that its plan names its input twice, however it is made (the driver holds and
+    replans it); the loop ends when a round changes nothing, after about log(n) rounds."""
     pairs = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     pairs, before = materialize(pairs), None
     for _ in range(max_rounds):
-        both = pairs.select("u", "v").unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        around = _with_least(large)
-        small = around.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            around.select("u", F.col("m").alias("v"))
-        )
-        pairs = materialize(small.where("u != v").distinct())
+        pairs = materialize(_small_star(materialize(_large_star(pairs))))
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

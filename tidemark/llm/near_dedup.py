@@ -318,7 +318,8 @@ def _classed(
     centres = ranked.groupBy("key").agg(F.max_by(F.struct("rep", "weight"), F.struct("full", -F.col("rep"))).alias("c"))
     # a similarity of t needs weights that differ by a factor of t at most
     alike = F.least("weight", "c.weight") >= F.greatest("weight", "c.weight") * (threshold - 1e-9)
-    stars = buckets.join(centres, "key").where((F.col("rep") != F.col("c.rep")) & alike).select(F.col("c.rep").alias("centre"), "rep").distinct()
+    # written, as all that is used twice: a plan that holds its input twice over is twice the driver's
+    stars = materialize(buckets.join(centres, "key").where((F.col("rep") != F.col("c.rep")) & alike).select(F.col("c.rep").alias("centre"), "rep").distinct())
     salts = stars.groupBy("centre").agg(F.ceil(F.count("*") / MEMBERS).alias("salts"))
     stars = materialize(
         stars.join(salts, "centre").select("centre", "rep", F.pmod(F.xxhash64("rep"), F.col("salts")).alias("salt"))
@@ -342,7 +343,7 @@ def _classed(
     mixed = by_comp.groupBy("key").agg(
         F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.count("*").alias("comps")
     ).where("comps > 1")
-    open_rows = held.join(mixed, "key")
+    open_rows = materialize(held.join(mixed.drop("comps"), "key"))
     near_bins = F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1))
     minor = open_rows.where("comp != main").select("key", "rep", "comp", near_bins.alias("bin"))
     whole = open_rows.select("key", "rep", "comp", "bin")
