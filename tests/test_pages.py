@@ -20,6 +20,19 @@ def test_placed_texts_at_any_depth(spark):
     ]
 
 
+def test_documents_are_made_once(spark):
+    """However often the steps read them, and whether their items are known or found by a walk."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        made.add(1)
+        return row
+
+    rows = [(1, '{"pages":[{"textItems":[{"text":"a","x":1,"y":2}]}]}'), (2, '[{"text":" b","x":3,"y":4},{"text":"no place"}]'), (3, "{cut")]
+    got = tabular.coordinate_items(spark.createDataFrame(spark.sparkContext.parallelize(rows, 1).map(counted), "doc long, json string")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1.0, 2.0, 1.0, "a"), (2, 1.0, 4.0, 3.0, "b")] and made.value == 3
+
+
 def test_walks_keep_their_order_and_go_as_deep_as_there_is(spark):
     deep = '{"n":' * 30 + '{"end":1}' + "}" * 30
     df = spark.createDataFrame([(1, deep), (2, '[{"b":1},[{"c":2}],3]')], "doc long, j string").select("doc", nested.parsed(F.col("j")).alias("v"))

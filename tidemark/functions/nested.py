@@ -59,29 +59,33 @@ def number(v: Column) -> Column:
 
 def objects(
     df: DataFrame, value: str, keys: list[str], *, hint: Column | None = None, inherit: Callable[[Column, Column], Column] | None = None,
-    through: tuple[str, ...] | None = None,
+    through: tuple[str, ...] | None = None, take: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """(keys, place, hint, fields): every object in a JSON value, at whatever depth, with its fields as a map.
 
     ``place`` orders a value's objects as a walk meets them, parents first (an object's fields by name, as variants keep them). ``hint`` goes down
-    from an object to what it holds; ``inherit(fields, hint)`` may replace it on the way. With ``through``, only these fields of an object are gone into. The walk goes down a level at a time, each level
+    from an object to what it holds; ``inherit(fields, hint)`` may replace it on the way. With ``through``, only these fields of an object are gone into. With ``take``,
+    ``taken`` = take(fields, hint) is made once and written in place of the fields; objects for which it is null aren't returned. The walk goes down a level at a time, each level
     written before the next, until none has objects or arrays left; rows that are no JSON have none."""
     none = F.lit(None).cast("double") if hint is None else hint
     level = df.select(*keys, F.array().cast("array<int>").alias("place"), none.alias("hint"), F.col(value).alias("node"))
-    spark, levels = df.sparkSession, []
+    spark, levels, what = df.sparkSession, [], "taken" if take else "fields"
     while True:
-        level = level.select("*", F.try_variant_get("node", "$", OBJECT).alias("fields"), F.try_variant_get("node", "$", ARRAY).isNotNull().alias("many"))
-        level = level.where("fields IS NOT NULL OR many")
+        # a generator's rows are made once; a filter on computed columns would compute them again
+        parts = F.array(F.struct(F.try_variant_get("node", "$", OBJECT).alias("fields"), F.try_variant_get("node", "$", ARRAY).isNotNull().alias("many")))
+        level = level.select("*", F.inline(parts)).where("fields IS NOT NULL OR many")
         if inherit:
             level = level.withColumn("hint", F.when(F.col("fields").isNotNull(), inherit(F.col("fields"), F.col("hint"))).otherwise(F.col("hint")))
+        if take:
+            level = level.select(*keys, "place", "hint", "node", F.when(F.col("fields").isNotNull(), take(F.col("fields"), F.col("hint"))).alias("taken"))
         level = materialize(level)
         if level.isEmpty():
             break
-        levels.append(level.select(*keys, "place", "hint", "fields").where("fields IS NOT NULL"))
+        levels.append(level.select(*keys, "place", "hint", what).where(f"{what} IS NOT NULL"))
         below = level.select(*keys, "place", "hint", "node").lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
         if through:
             below = below.where(F.col("key").isNull() | F.col("key").isin(*through))
         level = below.select(*keys, F.concat("place", F.array("pos")).alias("place"), "hint", F.col("value").alias("node"))
     if not levels:
-        return level.select(*keys, "place", "hint", "fields")
+        return level.select(*keys, "place", "hint", what)
     return reduce(DataFrame.unionByName, levels)

@@ -62,7 +62,7 @@ def coordinate_items(docs: DataFrame) -> DataFrame:
 
     The known form is a list of pages with their items. Where a document has none in it, every object at any depth counts that has a text and
     a place; its page is the one that the nearest object around it names (1 without any), and what several objects repeat counts once."""
-    docs = docs.select("doc", nested.parsed(F.col("json")).alias("v"))
+    docs = materialize(docs.select("doc", nested.parsed(F.col("json")).alias("v")))  # used twice: made and parsed once
     get = lambda fields, *names: nested.first_given(fields, *names)
     pages = docs.select("doc", F.posexplode(F.try_variant_get("v", "$.pages", nested.ARRAY)).alias("i", "p"))
     pages = pages.select("doc", "i", F.try_variant_get("p", "$", nested.OBJECT).alias("f"))
@@ -73,18 +73,21 @@ def coordinate_items(docs: DataFrame) -> DataFrame:
     items = items.select("doc", "page", F.try_variant_get("t", "$", nested.OBJECT).alias("t"))
     place = lambda f, *names: nested.number(get(f, *names))
     t = F.col("t")
-    known = items.select(
-        "doc", "page", place(t, "y", "top").alias("top"), place(t, "x", "left").alias("left"), F.trim(nested.string(F.try_element_at(t, F.lit("text")))).alias("text")
-    ).where("text <> '' AND top IS NOT NULL AND left IS NOT NULL")
+
+    def placed(f, text):
+        """(top, left, text) of an object's fields; null without a text or a place."""
+        made = F.struct(place(f, "y", "top").alias("top"), place(f, "x", "left").alias("left"), text.alias("text"))
+        return nested.with_value(made, lambda p: F.when((p["text"] != "") & p["top"].isNotNull() & p["left"].isNotNull(), p))
+
+    item = placed(t, F.trim(nested.string(F.try_element_at(t, F.lit("text")))))
+    known = items.select("doc", "page", F.inline(F.array_compact(F.array(item))))
 
     known = materialize(known)
     rest = docs.join(known.select("doc").distinct(), "doc", "left_anti")
     named_page = lambda f, hint: F.coalesce(nested.number(get(f, *PAGE_NAMES, "pageIndex")), hint)
-    found = nested.objects(rest, "v", ["doc"], hint=F.lit(1.0), inherit=named_page)
-    f = F.col("fields")
-    texts = F.coalesce(*(nested.string(F.try_element_at(f, F.lit(n))) for n in ("text", "content", "value")))
-    found = found.select("doc", F.coalesce(F.nullif("hint", F.lit(0.0)), F.lit(1.0)).alias("page"), place(f, "y", "top").alias("top"), place(f, "x", "left").alias("left"), texts.alias("text"))
-    found = found.where("text <> '' AND top IS NOT NULL AND left IS NOT NULL").withColumn("text", F.trim("text")).distinct()
+    texts = lambda f: F.coalesce(*(nested.string(F.try_element_at(f, F.lit(n))) for n in ("text", "content", "value")))
+    found = nested.objects(rest, "v", ["doc"], hint=F.lit(1.0), inherit=named_page, take=lambda f, _: placed(f, texts(f)))
+    found = found.select("doc", F.coalesce(F.nullif("hint", F.lit(0.0)), F.lit(1.0)).alias("page"), "taken.top", "taken.left", F.trim("taken.text").alias("text")).distinct()
     return known.unionByName(found)
 
 
