@@ -33,6 +33,34 @@ def test_documents_are_made_once(spark):
     assert sorted(tuple(r) for r in got) == [(1, 1.0, 2.0, 1.0, "a"), (2, 1.0, 4.0, 3.0, "b")] and made.value == 3
 
 
+def test_walks_are_written_once_in_many_levels(spark, monkeypatch):
+    """What each level held was written before the next; deeper documents go on from what is written, with the page that the objects around name."""
+    written = []
+    for module in (nested, tabular):
+        monkeypatch.setattr(module, "materialize", lambda df, keep=module.materialize: written.append(1) or keep(df))
+    item = lambda n, page="": f'{{"text":"t{n}","x":{n},"y":1{page}}}'
+    usual = [(1, f'{{"page":4,"a":{{"b":[[{{"c":[{item(1)},{item(1)}]}}]]}}}}'), (2, f'{{"pages":[{{"textItems":[{item(1)},{item(1)}]}}],"rest":{item(2)}}}')]
+    read = lambda rows: sorted(tuple(r) for r in tabular.coordinate_items(spark.createDataFrame(rows, "doc long, json string")).collect())
+    assert read(usual) == [(1, 4.0, 1.0, 1.0, "t1"), (2, 1.0, 1.0, 1.0, "t1"), (2, 1.0, 1.0, 1.0, "t1")] and len(written) == 1
+    deep = item(0)
+    for n in range(1, 13):
+        deep = item(n, f',"in":[{deep}]' + (f',"page":{n}' if n in (5, 12) else ""))
+    assert read([(3, deep), *usual[1:]]) == [usual_item := (2, 1.0, 1.0, 1.0, "t1"), usual_item, *((3, 5.0, 1.0, float(n), f"t{n}") for n in range(6)), *((3, 12.0, 1.0, float(n), f"t{n}") for n in range(6, 13))]
+    assert len(written) == 1 + -(-27 // nested.LEVELS)
+
+
+def test_what_is_a_number(spark):
+    """Strings that only some parsers take for numbers have none; neither has what a double can't hold."""
+    values = {'" +.5 "': 0.5, '"5."': 5.0, '"1e2"': 100.0, "true": 1.0, "null": 0.0, '" "': 0.0, "false": 0.0, "123456789012345678901234567890123456789012345": 123456789012345678901234567890123456789012345.0}
+    values |= dict.fromkeys(('"1d"', '"NaN"', '"Infinity"', '"true"', '"false"', "1e999", '"1e999"', "[1]", '{"x":1}', '"1 2"'))
+    rows = [(i, f'{{"value":"v","y":{v},"left":1}}') for i, v in enumerate(values)] + [(100 + i, f'{{"pages":[{{"page":{v},"textItems":[{{"text":"k","top":{v},"x":"2"}}]}}]}}') for i, v in enumerate(values)]
+    got = {r.doc: (r.page, r.top) for r in tabular.coordinate_items(spark.createDataFrame(rows, "doc long, json string")).collect()}
+    # a JSON null isn't a place of its own, but where the last of the names has it, it is 0
+    numbers = [None if v == "null" else n for v, n in values.items()]
+    assert [got.get(i, (1.0, None)) for i in range(len(values))] == [(1.0, n) for n in numbers]
+    assert [got.get(100 + i) for i in range(len(values))] == [None if n is None else (n or 1.0, n) for n in values.values()]
+
+
 def test_walks_keep_their_order_and_go_as_deep_as_there_is(spark):
     deep = '{"n":' * 30 + '{"end":1}' + "}" * 30
     df = spark.createDataFrame([(1, deep), (2, '[{"b":1},[{"c":2}],3]')], "doc long, j string").select("doc", nested.parsed(F.col("j")).alias("v"))
@@ -135,6 +163,14 @@ def test_rows_of_cells_stream_by(spark):
     assert {p: sorted((r.top, r.row) for r in got if r.page == p) for p in ("a", "b", "c")} == dict.fromkeys(("a", "b", "c"), [(1, 1), (3, 1), (3.5, 1), (4, 2), (9, 3), (30, 4)])
 
 
+def test_cells_lie_on_pages_of_several_keys(spark):
+    """Pages are told apart by all keys, and rows that lie together already aren't dealt again."""
+    cells = spark.createDataFrame([(d, p, float(t), 0.0, "c") for d in (1, 2) for p in (1.0, 2.0) for t in (1, 9, 10)], "doc long, page double, top double, left double, text string").repartition("doc")
+    got = tabular.group_rows(cells, keys=("doc", "page"))
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted((r.doc, r.page, r.top, r.row) for r in got.collect()) == [(d, p, t, n) for d in (1, 2) for p in (1.0, 2.0) for t, n in ((1.0, 1), (9.0, 2), (10.0, 2))]
+
+
 def test_titles_of_links(spark):
     get = lambda u: spark.range(1).select(text.title_of_link(F.lit(u))).first()[0]
     assert get("https://x.org/a/senior_data-engineer.html?x") == "Senior Data Engineer" and get("https://x.org/") is None and get("https://x.org/vp-R&d") == "Vp R&D"

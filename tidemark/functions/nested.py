@@ -29,63 +29,67 @@ def is_missing(v: Column) -> Column:
     return v.isNull() | F.is_variant_null(v)
 
 
-def first_given(fields: Column, *names: str) -> Column:
-    """The value under the first of the names that isn't missing; else whatever the last name has."""
-    values = [F.try_element_at(fields, F.lit(n)) for n in names]
-    return F.coalesce(*(with_value(v, lambda x: F.when(~is_missing(x), x)) for v in values[:-1]), values[-1])
+def first_given(*values: Column) -> Column:
+    """The first of the values that isn't missing; else whatever the last one is."""
+    return F.coalesce(*(F.when(~F.is_variant_null(v), v) for v in values[:-1]), values[-1])
 
 
 def string(v: Column) -> Column:
-    """A string's value; null for anything else."""
-    return with_value(v, lambda x: F.when(F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string")))
+    """A string's value; null for anything else. (Only strings can be read as bytes.)"""
+    return F.try_variant_get(v, "$", "binary").cast("string")
 
 
-def number(v: Column) -> Column:
-    """A finite number, or what a string spells as one; null, blanks and false are 0, true is 1, everything else has no number."""
-    none = F.lit(None).cast("double")
+def number(v: Column, text: Column) -> Column:
+    """The number that a value is or that a string spells; null, blanks and false are 0, true is 1, everything else has no number. ``text`` is the
+    value's trimmed ``string``, made in a step before, as it is looked at more than once. It may be beyond a double's range: see ``finite``."""
+    number_like = text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+    return F.when(F.is_variant_null(v) | (text == ""), 0.0).when(number_like, text.try_cast("double")).when(text.isNull(), F.try_variant_get(v, "$", "double"))
 
-    def spelled(text: Column) -> Column:
-        number_like = text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
-        return F.when(text == "", 0.0).when(number_like, text.try_cast("double")).when(text == "true", 1.0).when(text == "false", 0.0)
 
-    def one(x: Column) -> Column:
-        plain = with_value(F.trim(F.try_variant_get(x, "$", "string")), spelled)
-        kind = F.schema_of_variant(x)
-        words = F.when(kind.isin("STRING"), F.lower(F.trim(F.try_variant_get(x, "$", "string"))).isin("true", "false")).otherwise(F.lit(False))
-        return F.when(x.isNull(), none).when(F.is_variant_null(x), 0.0).when(kind.rlike("^(OBJECT|ARRAY)") | words, none).otherwise(plain)
+def finite(n: Column) -> Column:
+    return F.abs(n) < float("inf")
 
-    return with_value(with_value(v, one), lambda n: F.when(F.abs(n) < float("inf"), n))
+
+LEVELS = 12  # of a walk, between two writes
 
 
 def objects(
-    df: DataFrame, value: str, keys: list[str], *, hint: Column | None = None, inherit: Callable[[Column, Column], Column] | None = None,
-    through: tuple[str, ...] | None = None, take: Callable[[Column, Column], Column] | None = None,
+    df: DataFrame, value: str, keys: list[str], *, hint: Column | None = None, see: Callable[[DataFrame], DataFrame] | None = None,
+    through: tuple[str, ...] | None = None, found: str | None = None, places: bool = True,
 ) -> DataFrame:
     """(keys, place, hint, fields): every object in a JSON value, at whatever depth, with its fields as a map.
 
-    ``place`` orders a value's objects as a walk meets them, parents first (an object's fields by name, as variants keep them). ``hint`` goes down
-    from an object to what it holds; ``inherit(fields, hint)`` may replace it on the way. With ``through``, only these fields of an object are gone into. With ``take``,
-    ``taken`` = take(fields, hint) is made once and written in place of the fields; objects for which it is null aren't returned. The walk goes down a level at a time, each level
-    written before the next, until none has objects or arrays left; rows that are no JSON have none."""
-    none = F.lit(None).cast("double") if hint is None else hint
-    level = df.select(*keys, F.array().cast("array<int>").alias("place"), none.alias("hint"), F.col(value).alias("node"))
-    spark, levels, what = df.sparkSession, [], "taken" if take else "fields"
+    ``place`` orders a value's objects as a walk meets them, parents first (an object's fields by name, as variants keep them); without ``places`` there is
+    none. ``hint`` goes down from a value to what it holds. With ``through``, only these fields of an object are gone into. ``see(level)`` may look at values
+    (``node``) otherwise: it adds what is returned of each instead of ``fields``, as ``met`` (null: nothing), and may replace their hints. What a row
+    has in the column ``found``, structs (place, hint, met), is returned, too.
+
+    The walk goes down a level at a time. What it met goes along with a value's first part, and is written with what is left to walk after every ``LEVELS``
+    levels, until nothing is left; rows that are no JSON have none."""
+    own = [*(["place"] if places else []), "hint"]
+    start = [*([F.array().cast("array<int>").alias("place")] if places else []), (F.lit(None).cast("double") if hint is None else hint).alias("hint")]
+    level = df.select(*keys, *start, F.col(value).alias("node"), *([F.col(found).alias("so_far")] if found else []))
+    what = "met" if see else "fields"
+    see = see or (lambda level: level.withColumn("met", F.try_variant_get("node", "$", OBJECT)))
+
+    def below(level: DataFrame) -> DataFrame:
+        """The parts of each node, with what was met down to it; one row without a part where it has none."""
+        known = F.col("so_far") if "so_far" in level.columns else None
+        level = see(level)
+        new = F.when(F.col("met").isNotNull(), F.array(F.struct(*own, "met")))
+        level = level.select(*keys, *own, "node", (new if known is None else F.when(known.isNull(), new).when(F.col("met").isNull(), known).otherwise(F.concat(known, new))).alias("so_far"))
+        level = level.lateralJoin(df.sparkSession.tvf.variant_explode_outer(F.col("node").outer()))
+        place = [F.concat("place", F.array("pos")).alias("place")] if places else []
+        part = F.when(F.col("key").isNull() | F.col("key").isin(*through), F.col("value")) if through else F.col("value")
+        level = level.select(*keys, *place, "hint", part.alias("node"), F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("so_far")).alias("so_far"))
+        return level.where("node IS NOT NULL OR so_far IS NOT NULL")
+
+    levels = []
     while True:
-        # a generator's rows are made once; a filter on computed columns would compute them again
-        parts = F.array(F.struct(F.try_variant_get("node", "$", OBJECT).alias("fields"), F.try_variant_get("node", "$", ARRAY).isNotNull().alias("many")))
-        level = level.select("*", F.inline(parts)).where("fields IS NOT NULL OR many")
-        if inherit:
-            level = level.withColumn("hint", F.when(F.col("fields").isNotNull(), inherit(F.col("fields"), F.col("hint"))).otherwise(F.col("hint")))
-        if take:
-            level = level.select(*keys, "place", "hint", "node", F.when(F.col("fields").isNotNull(), take(F.col("fields"), F.col("hint"))).alias("taken"))
+        for _ in range(LEVELS):
+            level = below(level)
         level = materialize(level)
+        levels.append(level.select(*keys, F.inline("so_far")).withColumnRenamed("met", what))
+        level = level.where("node IS NOT NULL").drop("so_far")
         if level.isEmpty():
-            break
-        levels.append(level.select(*keys, "place", "hint", what).where(f"{what} IS NOT NULL"))
-        below = level.select(*keys, "place", "hint", "node").lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
-        if through:
-            below = below.where(F.col("key").isNull() | F.col("key").isin(*through))
-        level = below.select(*keys, F.concat("place", F.array("pos")).alias("place"), "hint", F.col("value").alias("node"))
-    if not levels:
-        return level.select(*keys, "place", "hint", what)
-    return reduce(DataFrame.unionByName, levels)
+            return reduce(DataFrame.unionByName, levels)

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,65 +29,81 @@ HEADERS = {
 }
 
 
-def group_rows(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """Cells (page, top, left, text) with the number of their row on the page.
+def group_rows(cells: DataFrame, tolerance: float = TOLERANCE, keys: tuple[str, ...] = ("page",)) -> DataFrame:
+    """Cells (page, top, left, text) with the number of their row on the page; a page is what ``keys`` name.
 
     Cells go down the page; one that lies more than the tolerance under the first cell of the current row begins
-    the next. The rule looks back at a row's first cell, which no window can, so sorted cells are walked as they stream by."""
+    the next. The rule looks back at a row's first cell, which no window can, so a window only sorts the cells and numbers them, and they are
+    walked as they stream by. (A window's rows aren't dealt anew where they lie together already.)"""
     kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
-    columns = ["page", "top", "left", "text"]
+    columns = [*keys, "top", "left", "text"]
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        page, anchor, row = None, 0.0, 0
-        for pdf in batches:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchor, row = 0.0, 0
+        for batch in batches:
             rows = []
-            for p, top in zip(pdf["page"], pdf["top"].astype(float)):
-                if p != page:
-                    page, anchor, row = p, top, 1
+            for top, nth in zip(batch["top"].cast(pa.float64()).to_numpy(zero_copy_only=False).tolist(), batch["row"].to_pylist()):
+                if nth == 1:
+                    anchor, row = top, 1
                 elif abs(top - anchor) > tolerance:
                     anchor, row = top, row + 1
                 rows.append(row)
-            yield pdf.assign(row=rows)
-
-    ordered = cells.select(*columns).repartition("page").sortWithinPartitions(*columns)
-    return ordered.mapInPandas(walk, ", ".join(f"{c} {kinds[c]}" for c in columns) + ", row int")
-
-
-PAGE_NAMES = ("pageNum", "page", "page_number")  # fixed values
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in columns), pa.array(rows, pa.int32())], [*columns, "row"])
+
+    down = F.row_number().over(Window.partitionBy(*keys).orderBy("top", "left", "text"))
+    return cells.select(*columns, down.alias("row")).mapInArrow(walk, ", ".join(f"{c} {kinds[c]}" for c in columns) + ", row int")
+
+
+# The fields of a reader's objects that are looked at.
+PAGE_NAMES = ("pageNum", "page", "page_number")
+PLACES = ("y", "top", "x", "left")
+ITEMS = f"array<struct<text binary, {', '.join(f'{n} variant' for n in PLACES)}>>"
+PAGES = f"array<struct<{', '.join(f'{n} variant' for n in PAGE_NAMES)}, textItems {ITEMS}>>"
+ANY = f"struct<{', '.join(f'{n} variant' for n in (*PAGE_NAMES, 'pageIndex', *PLACES))}, text binary, content binary, value binary>"  # bytes: strings, and nothing else
+
+
+def _known_items(pages: Column) -> Column:
+    """[(hint, met)] of the placed items of pages (``PAGES``): hint is the page. Each step makes what the next looks at more than once."""
+    first, number, finite, spelled = nested.first_given, nested.number, nested.finite, lambda v: F.trim(nested.string(v))
+    named = F.transform(pages, lambda p: F.struct(first(*(p[n] for n in PAGE_NAMES)).alias("v"), p["textItems"].alias("items")))
+    named = F.transform(named, lambda p: F.struct(number(p["v"], spelled(p["v"])).alias("page"), p["items"].alias("items")))
+    named = F.transform(named, lambda p, i: F.struct(F.when((p["page"] != 0) & finite(p["page"]), p["page"]).otherwise(i + 1.0).alias("page"), p["items"].alias("items")))
+    item = lambda p, t: F.struct(p["page"].alias("page"), F.trim(t["text"].cast("string")).alias("text"), first(t["y"], t["top"]).alias("y"), first(t["x"], t["left"]).alias("x"))
+    items = F.flatten(F.array_compact(F.transform(named, lambda p: F.transform(p["items"], lambda t: item(p, t)))))
+    items = F.transform(F.filter(items, lambda t: t["text"] != ""), lambda t: F.struct(t.alias("t"), spelled(t["y"]).alias("y"), spelled(t["x"]).alias("x")))
+    read = lambda t: F.struct(t["t"]["page"].alias("page"), number(t["t"]["y"], t["y"]).alias("top"), number(t["t"]["x"], t["x"]).alias("left"), t["t"]["text"].alias("text"))
+    items = F.filter(F.transform(items, read), lambda t: finite(t["top"]) & finite(t["left"]))
+    return F.transform(items, lambda t, i: F.struct(t["page"].alias("hint"), F.struct(i.alias("nth"), t["top"].alias("top"), t["left"].alias("left"), t["text"].alias("text")).alias("met")))
+
+
+def _see_placed(level: DataFrame) -> DataFrame:
+    """The nodes that are objects with a text and a place, and the pages that they name."""
+    first, f = nested.first_given, lambda n: F.col("f")[n]
+    level = level.withColumn("f", F.try_variant_get("node", "$", ANY))
+    level = level.select("*", F.coalesce(*(f(n) for n in ("text", "content", "value"))).cast("string").alias("text"), first(*map(f, PAGE_NAMES), f("pageIndex")).alias("p"))
+    level = level.select("*", *(F.when(F.col("text") != "", first(f(a), f(b))).alias(a) for a, b in (PLACES[:2], PLACES[2:]))).drop("f")
+    level = level.select("*", *(F.trim(nested.string(F.col(c))).alias(f"{c}_text") for c in "pyx"))
+    level = level.select("*", *(nested.number(F.col(c), F.col(f"{c}_text")).alias(n) for c, n in (("p", "page"), ("y", "top"), ("x", "left"))))
+    met = F.struct(F.lit(None).cast("int").alias("nth"), "top", "left", F.trim("text").alias("text"))
+    whole = nested.finite(F.col("top")) & nested.finite(F.col("left"))
+    return level.withColumns({"hint": F.when(nested.finite(F.col("page")), F.col("page")).otherwise(F.col("hint")), "met": F.when(whole, met)})
 
 
 def coordinate_items(docs: DataFrame) -> DataFrame:
-    """(doc, page, top, left, text): the texts with a place in documents (doc, json) of a reader of tables.
+    """(doc, page, top, left, text): the texts with a place in documents (doc, json) of a reader of tables; doc names one document.
 
     The known form is a list of pages with their items. Where a document has none in it, every object at any depth counts that has a text and
-    a place; its page is the one that the nearest object around it names (1 without any), and what several objects repeat counts once."""
-    docs = materialize(docs.select("doc", nested.parsed(F.col("json")).alias("v")))  # used twice: made and parsed once
-    get = lambda fields, *names: nested.first_given(fields, *names)
-    pages = docs.select("doc", F.posexplode(F.try_variant_get("v", "$.pages", nested.ARRAY)).alias("i", "p"))
-    pages = pages.select("doc", "i", F.try_variant_get("p", "$", nested.OBJECT).alias("f"))
-    named = nested.number(get(F.col("f"), *PAGE_NAMES))
-    given = reduce(lambda a, b: a | b, (~nested.is_missing(F.try_element_at("f", F.lit(n))) for n in PAGE_NAMES))
-    page = F.coalesce(F.when(given, F.nullif(named, F.lit(0.0))), F.col("i") + 1.0)
-    items = pages.select("doc", page.alias("page"), F.explode(F.try_variant_get(F.try_element_at("f", F.lit("textItems")), "$", nested.ARRAY)).alias("t"))
-    items = items.select("doc", "page", F.try_variant_get("t", "$", nested.OBJECT).alias("t"))
-    place = lambda f, *names: nested.number(get(f, *names))
-    t = F.col("t")
-
-    def placed(f, text):
-        """(top, left, text) of an object's fields; null without a text or a place."""
-        made = F.struct(place(f, "y", "top").alias("top"), place(f, "x", "left").alias("left"), text.alias("text"))
-        return nested.with_value(made, lambda p: F.when((p["text"] != "") & p["top"].isNotNull() & p["left"].isNotNull(), p))
-
-    item = placed(t, F.trim(nested.string(F.try_element_at(t, F.lit("text")))))
-    known = items.select("doc", "page", F.inline(F.array_compact(F.array(item))))
-
-    known = materialize(known)
-    rest = docs.join(known.select("doc").distinct(), "doc", "left_anti")
-    named_page = lambda f, hint: F.coalesce(nested.number(get(f, *PAGE_NAMES, "pageIndex")), hint)
-    texts = lambda f: F.coalesce(*(nested.string(F.try_element_at(f, F.lit(n))) for n in ("text", "content", "value")))
-    found = nested.objects(rest, "v", ["doc"], hint=F.lit(1.0), inherit=named_page, take=lambda f, _: placed(f, texts(f)))
-    found = found.select("doc", F.coalesce(F.nullif("hint", F.lit(0.0)), F.lit(1.0)).alias("page"), "taken.top", "taken.left", F.trim("taken.text").alias("text")).distinct()
-    return known.unionByName(found)
+    a place; its page is the one that the nearest object around it names (1 without any), and what several objects repeat counts once.
+    Both are found as the documents stream by, so a document is made, parsed and walked in one task, and only what is found is written."""
+    # the parser takes what stands before further values, so it reads a list of one
+    lists = docs.select("doc", F.try_parse_json(F.concat(F.lit("["), "json", F.lit("]"))).alias("v"))
+    alone = lists.select("doc", F.when(F.try_variant_get("v", "$[1]", "variant").isNull(), F.col("v")).alias("v"))
+    known = alone.select("doc", "v", _known_items(F.try_variant_get("v", "$[0].pages", PAGES)).alias("known"))
+    level = known.select("doc", F.when(F.size("known") > 0, F.col("known")).alias("known"), F.when(F.coalesce(F.size("known"), F.lit(0)) <= 0, F.col("v")).alias("v"))
+    found = nested.objects(level, "v", ["doc"], hint=F.lit(1.0), see=_see_placed, found="known", places=False)
+    page = F.when(F.col("hint") != 0, F.col("hint")).otherwise(1.0)
+    # dealt by document: neither what follows nor a grouping by document deals them again; known items have a number, so none of them is left out
+    return found.select("doc", page.alias("page"), "met.*").repartition("doc").distinct().drop("nth")
 
 
 def field(row: Column, patterns: tuple[str, ...]) -> Column:
