@@ -46,7 +46,7 @@ def test_walks_are_written_once_in_many_levels(spark, monkeypatch):
     for n in range(1, 13):
         deep = item(n, f',"in":[{deep}]' + (f',"page":{n}' if n in (5, 12) else ""))
     assert read([(3, deep), *usual[1:]]) == [usual_item := (2, 1.0, 1.0, 1.0, "t1"), usual_item, *((3, 5.0, 1.0, float(n), f"t{n}") for n in range(6)), *((3, 12.0, 1.0, float(n), f"t{n}") for n in range(6, 13))]
-    assert len(written) == 1 + -(-27 // nested.LEVELS)
+    assert len(written) == 1 + -(-27 // tabular.LEVELS)
 
 
 def test_what_is_a_number(spark):

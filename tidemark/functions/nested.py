@@ -50,12 +50,9 @@ def finite(n: Column) -> Column:
     return F.abs(n) < float("inf")
 
 
-LEVELS = 12  # of a walk, between two writes
-
-
 def objects(
     df: DataFrame, value: str, keys: list[str], *, hint: Column | None = None, see: Callable[[DataFrame], DataFrame] | None = None,
-    through: tuple[str, ...] | None = None, found: str | None = None, places: bool = True,
+    through: tuple[str, ...] | None = None, found: str | None = None, places: bool = True, levels: int = 4,
 ) -> DataFrame:
     """(keys, place, hint, fields): every object in a JSON value, at whatever depth, with its fields as a map.
 
@@ -64,7 +61,7 @@ def objects(
     (``node``) otherwise: it adds what is returned of each instead of ``fields``, as ``met`` (null: nothing), and may replace their hints. What a row
     has in the column ``found``, structs (place, hint, met), is returned, too.
 
-    The walk goes down a level at a time. What it met goes along with a value's first part, and is written with what is left to walk after every ``LEVELS``
+    The walk goes down a level at a time. What it met goes along with a value's first part, and is written with what is left to walk after every ``levels``
     levels, until nothing is left; rows that are no JSON have none."""
     own = [*(["place"] if places else []), "hint"]
     start = [*([F.array().cast("array<int>").alias("place")] if places else []), (F.lit(None).cast("double") if hint is None else hint).alias("hint")]
@@ -84,12 +81,12 @@ def objects(
         level = level.select(*keys, *place, "hint", part.alias("node"), F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("so_far")).alias("so_far"))
         return level.where("node IS NOT NULL OR so_far IS NOT NULL")
 
-    levels = []
+    walked = []
     while True:
-        for _ in range(LEVELS):
+        for _ in range(levels):
             level = below(level)
         level = materialize(level)
-        levels.append(level.select(*keys, F.inline("so_far")).withColumnRenamed("met", what))
+        walked.append(level.select(*keys, F.inline("so_far")).withColumnRenamed("met", what))
         level = level.where("node IS NOT NULL").drop("so_far")
         if level.isEmpty():
-            return reduce(DataFrame.unionByName, levels)
+            return reduce(DataFrame.unionByName, walked)

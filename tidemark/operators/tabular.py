@@ -54,6 +54,8 @@ def group_rows(cells: DataFrame, tolerance: float = TOLERANCE, keys: tuple[str,
     return cells.select(*columns, down.alias("row")).mapInArrow(walk, ", ".join(f"{c} {kinds[c]}" for c in columns) + ", row int")
 
 
+LEVELS = 12  # of a walk through documents, between two writes
+
 # The fields of a reader's objects that are looked at.
 PAGE_NAMES = ("pageNum", "page", "page_number")
 PLACES = ("y", "top", "x", "left")
@@ -100,7 +102,7 @@ def coordinate_items(docs: DataFrame) -> DataFrame:
     alone = lists.select("doc", F.when(F.try_variant_get("v", "$[1]", "variant").isNull(), F.col("v")).alias("v"))
     known = alone.select("doc", "v", _known_items(F.try_variant_get("v", "$[0].pages", PAGES)).alias("known"))
     level = known.select("doc", F.when(F.size("known") > 0, F.col("known")).alias("known"), F.when(F.coalesce(F.size("known"), F.lit(0)) <= 0, F.col("v")).alias("v"))
-    found = nested.objects(level, "v", ["doc"], hint=F.lit(1.0), see=_see_placed, found="known", places=False)
+    found = nested.objects(level, "v", ["doc"], hint=F.lit(1.0), see=_see_placed, found="known", places=False, levels=LEVELS)
     page = F.when(F.col("hint") != 0, F.col("hint")).otherwise(1.0)
     # dealt by document: neither what follows nor a grouping by document deals them again; known items have a number, so none of them is left out
     return found.select("doc", page.alias("page"), "met.*").repartition("doc").distinct().drop("nth")
